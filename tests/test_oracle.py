@@ -1,0 +1,33 @@
+"""Every registered query against its SQL counterpart on whole tables."""
+
+import pytest
+
+import __spark_entry__ as contract
+from compare import differences, duck
+
+SQL = contract.oracle_sql()
+QUERIES = contract.queries()
+
+
+@pytest.fixture(scope="module")
+def connection(sf_dir):
+    with duck(sf_dir) as open_connection:
+        yield open_connection
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_agrees_with_sql(spark, sf_dir, connection, name):
+    assert differences(QUERIES[name](spark, sf_dir), connection, SQL[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_query_without_sql_has_rows(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_sql_is_given_for_known_queries_only():
+    assert set(SQL) <= set(QUERIES)
+
+
+def test_entry_has_rows(spark):
+    assert contract.entry(spark).count() > 0

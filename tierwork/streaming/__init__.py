@@ -1,0 +1 @@
+"""Holds nothing: every operator of the toolkit, the change feed included, is a batch read."""
