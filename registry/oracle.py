@@ -257,5 +257,10 @@ def oracle_sql() -> dict[str, str]:
         "change_feed_keyed": f"{SNAP} " + " UNION ALL ".join(map(keyed_feed, (0, 1, 2))),
         "change_summary": f"""{SNAP}, feed AS ({except_feed(2)} UNION ALL {except_feed(3)})
           SELECT _change_type, count(*) AS count FROM feed GROUP BY _change_type""",
-        "stored_snapshots": rows_at(2),
+        "stored_as_of": rows_at(2),
+        "stored_change_feed": f"{SNAP} " + " UNION ALL ".join(map(except_feed, (2, 3))),
+        "table_versions": """SELECT CAST(0 AS INTEGER) AS version, count(*) AS row_count,
+            'CREATE TABLE' AS operation FROM orders
+          UNION ALL SELECT 1, count(*), 'WRITE' FROM orders WHERE o_orderstatus <> 'P'
+          UNION ALL SELECT 2, count(*), 'OPTIMIZE' FROM orders WHERE o_orderstatus <> 'P'""",
     }

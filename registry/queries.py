@@ -543,12 +543,39 @@ for build in (
     over_snapshots(build)
 
 
-@query
-def stored_snapshots(spark, sf_dir):
-    """Version 2 read back from a stored table, one folder per version."""
-    path = work_path(spark, "versions")
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    """The four versions of the orders in a version store."""
+    location = work_path(spark, "orders")
     rows = shapes.snapshots(spark, sf_dir)
     for version, committed_at, operation in shapes.COMMITS:
-        one = versions.as_of(rows, version=version)
-        snapshots.add_version(one, path, version, committed_at, operation)
-    return versions.as_of(snapshots.read_snapshots(spark, path), version=2)
+        one = versions.as_of(rows, version=version, missing="empty")
+        snapshots.add_version(one, location, operation, committed_at)
+    return location
+
+
+@query
+def stored_as_of(spark, sf_dir):
+    """The version in force on January 10th, read from its folder only."""
+    location = _stored(spark, sf_dir)
+    stored, commits = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    return versions.as_of(stored, timestamp=datetime(2024, 1, 10), commits=commits)
+
+
+@query
+def stored_change_feed(spark, sf_dir):
+    location = _stored(spark, sf_dir)
+    stored, commits = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    return _without_zone(changes.change_feed(stored, 2, 3, commits))
+
+
+@query
+def table_versions(spark, sf_dir):
+    """A named table written, overwritten with fewer rows and compacted: its history."""
+    name, location = f"orders_{uuid4().hex}", work_path(spark, "orders")
+    orders = shapes.table(spark, sf_dir, "orders")
+    tables.overwrite_table(orders, name, location, operation="CREATE TABLE")
+    tables.overwrite_table(spark.table(name).filter("o_orderstatus <> 'P'"), name, location)
+    tables.compact_table(spark, name, location)
+    commits = snapshots.read_commits(spark, location)
+    operations = commits.select(F.col("_version").alias("version"), "operation")
+    return versions.version_history(snapshots.read_snapshots(spark, location), operations).drop("timestamp")

@@ -1,0 +1,91 @@
+"""Counting, numbering and repeating copies, checked against plain Python."""
+
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tierwork.operators import copies
+
+FEW = settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+VALUES = st.sampled_from([None, "", "a", "b", "é"])
+ROWS = st.lists(st.tuples(VALUES, st.sampled_from([None, 0, 1])), min_size=0, max_size=40)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "a string, b int")
+
+
+def bag(df):
+    return Counter(map(tuple, df.collect()))
+
+
+@FEW
+@given(rows=ROWS)
+def test_copies_add_up(spark, rows):
+    df = frame(spark, rows)
+    assert bag(copies.collapse_copies(df)) == Counter((*r, n) for r, n in Counter(rows).items())
+    assert bag(copies.distinct_rows(df)) == Counter(set(rows))
+    assert bag(copies.extra_copies(df)) == Counter(rows) - Counter(set(rows))
+    numbered = Counter((*r, i + 1) for r, n in Counter(rows).items() for i in range(n))
+    assert bag(copies.number_copies(df)) == numbered
+
+
+@FEW
+@given(left=ROWS, right=ROWS)
+def test_bag_difference(spark, left, right):
+    a, b = frame(spark, left), frame(spark, right)
+    assert bag(copies.rows_missing(a, b)) == Counter(left) - Counter(right)
+    assert bag(copies.rows_missing(a, b)) == bag(a.exceptAll(b))
+
+
+@pytest.mark.parametrize("times", [-1, 0, 1, 2, 99, 100, 101, 199, 200, 201, 12_345])
+def test_repeats_around_the_block_size(spark, times):
+    df = spark.createDataFrame([("x", times), ("y", 3)], "a string, n bigint")
+    repeated = copies.repeat_rows(df, "n", "i").groupBy("a").agg(
+        F.count("*").alias("n"), F.countDistinct("i").alias("d"), F.min("i").alias("lo"), F.max("i").alias("hi")
+    )
+    wanted = {("y", 3, 3, 1, 3)} | ({("x", times, times, 1, times)} if times > 0 else set())
+    assert set(map(tuple, repeated.collect())) == wanted
+
+
+def test_a_large_row_is_cut_into_a_bounded_number_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(copies, "MOST_BLOCKS", 7)
+    df = spark.createDataFrame([("x", 100_003)], "a string, n bigint")
+    repeated = copies.repeat_rows(df, "n", "i")
+    found = repeated.agg(F.count("*"), F.countDistinct("i"), F.min("i"), F.max("i")).first()
+    assert tuple(found) == (100_003, 100_003, 1, 100_003)
+
+
+def test_blocks_of_a_hot_row_are_spread_over_tasks(spark):
+    df = spark.createDataFrame([("x", 80_000)], "a string, n bigint")
+    repeated = copies.repeat_rows(df, "n")
+    sizes = repeated.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 80_000
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(r["count"] for r in sizes) < 20_000
+
+
+def test_special_floats_group_together(spark):
+    rows = [(1, None, float("nan"), 0.0), (1, None, float("nan"), -0.0), (1, "a", 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "k int, s string, x double, y double")
+    assert copies.distinct_rows(df).count() == 2
+    assert sorted(r["_copies"] for r in copies.collapse_copies(df).collect()) == [1, 2]
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x")], "`a.b` int, `c ``d` string")
+    assert copies.extra_copies(df).count() == 1
+    assert copies.number_copies(df).columns == ["a.b", "c `d", "row_num"]
+
+
+def test_helper_columns_do_not_clash_with_data(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)] * 150, "_copies int, _at int, _start int, _width int")
+    assert copies.extra_copies(df).count() == 149
+    assert copies.number_copies(df).agg(F.max("row_num")).first()[0] == 150

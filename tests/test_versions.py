@@ -1,0 +1,161 @@
+"""Version-tagged tables: as-of reads, retention, change feeds."""
+
+from collections import Counter
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+
+from tierwork.operators import changes, versions
+from tierwork.sources import snapshots
+
+SCHEMA = "_version int, _commit_timestamp timestamp_ntz, k int, v string"
+FEW = settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+CONTENT = st.lists(st.tuples(st.integers(0, 3), st.sampled_from([None, "a", "b"])), max_size=12)
+KEYED = st.dictionaries(st.integers(0, 6), st.sampled_from([None, "a", "b"]), max_size=7)
+
+
+def day(version):
+    return datetime(2024, 1, 1 + 4 * version)
+
+
+def tagged(spark, contents):
+    rows = [(n, day(n), *row) for n, content in enumerate(contents) for row in content]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def commits(spark, n):
+    return spark.createDataFrame([(v, day(v)) for v in range(n)], SCHEMA.split(", k")[0])
+
+
+def bag(df):
+    return Counter(map(tuple, df.collect()))
+
+
+@FEW
+@given(contents=st.lists(CONTENT, min_size=3, max_size=3))
+def test_feed_leads_from_each_version_to_the_next(spark, contents):
+    feed = changes.change_feed(tagged(spark, contents), 0, 2, commits(spark, 3)).collect()
+    state = Counter()
+    for version, content in enumerate(contents):
+        step = [r for r in feed if r["_commit_version"] == version]
+        assert all(r["_commit_timestamp"] == day(version) for r in step)
+        for kind, sign in (("insert", 1), ("delete", -1)):
+            for r in step:
+                if r["_change_type"] == kind:
+                    state[(r["k"], r["v"])] += sign
+        assert +state == Counter(content) and min(state.values(), default=0) >= 0
+
+
+@FEW
+@given(contents=st.lists(KEYED, min_size=2, max_size=2))
+def test_keyed_feed(spark, contents):
+    old, new = contents
+    rows = tagged(spark, [list(content.items()) for content in contents])
+    feed = changes.change_feed_keyed(rows, ["k"], 1, 1, commits(spark, 2))
+    wanted = Counter()
+    for k in old.keys() | new.keys():
+        if k not in old:
+            wanted[(k, new[k], "insert")] += 1
+        elif k not in new:
+            wanted[(k, old[k], "delete")] += 1
+        elif old[k] != new[k]:
+            wanted[(k, old[k], "update_preimage")] += 1
+            wanted[(k, new[k], "update_postimage")] += 1
+    assert bag(feed.select("k", "v", "_change_type")) == wanted
+
+
+def test_repeated_key_is_refused(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "a"), (1, "a")]])
+    with pytest.raises(PySparkException, match="not unique"):
+        changes.change_feed_keyed(rows, ["k"], 1).collect()
+
+
+def test_null_keys_match_each_other(spark):
+    rows = tagged(spark, [[(None, "a")], [(None, "b")]])
+    kinds = changes.change_feed_keyed(rows, ["k"], 1).select("_change_type")
+    assert bag(kinds) == Counter([("update_preimage",), ("update_postimage",)])
+
+
+def test_exact_copies_are_inserts(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "a")] * 300])
+    summary = changes.change_summary(changes.change_feed(rows, 1))
+    assert bag(summary) == Counter([("insert", 299)])
+
+
+@pytest.mark.parametrize("start, end", [(3, None), (-1, 1), (2, 1), (1, 5)])
+def test_feed_of_versions_that_are_not_there(spark, start, end):
+    rows = tagged(spark, [[(1, "a")], [(1, "b")], [(1, "c")]])
+    with pytest.raises(versions.VersionNotAvailable):
+        changes.change_feed(rows, start, end)
+
+
+def test_feed_needs_the_version_before_its_start(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "b")], [(1, "c")]]).filter("_version >= 1")
+    with pytest.raises(versions.VersionNotAvailable):
+        changes.change_feed(rows, 1)
+    assert changes.change_feed(rows, 2).count() == 2
+
+
+def test_as_of(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "b"), (2, "b")]])
+    assert bag(versions.as_of(rows, version=0)) == Counter([(1, "a")])
+    assert bag(versions.as_of(rows, timestamp=datetime(2024, 1, 4))) == Counter([(1, "a")])
+    assert versions.as_of(rows, timestamp=datetime(2025, 1, 1), commits=commits(spark, 2)).count() == 2
+    with pytest.raises(versions.VersionNotAvailable):
+        versions.as_of(rows, version=7)
+    with pytest.raises(versions.VersionNotAvailable):
+        versions.as_of(rows, timestamp=datetime(2020, 1, 1))
+    assert versions.as_of(rows, version=7, missing="empty").isEmpty()
+    with pytest.raises(ValueError):
+        versions.as_of(rows)
+
+
+def test_retention(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "b")], [(1, "c")]])  # January 1st, 5th, 9th
+    kept = lambda at, hours=168: [
+        r[0] for r in versions.retain_versions(rows, at, hours).select("_version").orderBy("_version").collect()
+    ]
+    assert kept(datetime(2024, 1, 10)) == [0, 1, 2]
+    assert kept(datetime(2024, 1, 12)) == [1, 2]
+    assert kept(datetime(2030, 1, 1)) == [2], "the latest version stays"
+    assert kept(datetime(2024, 1, 1)) == [0, 1, 2], "nothing is that old"
+    assert kept(datetime(2024, 1, 9), 0) == [2]
+    expired = versions.expired_versions(rows, datetime(2024, 1, 12)).select("version", "row_count")
+    assert bag(expired) == Counter([(0, 1)])
+    assert versions.expired_versions(rows, datetime(2024, 1, 1)).isEmpty()
+
+
+def test_stored_versions_are_pruned_by_folder(spark, tmp_path):
+    location = str(tmp_path / "store")
+    for n in range(3):
+        rows = spark.createDataFrame([(n, "x")] * (n + 1), "k int, v string")
+        assert snapshots.add_version(rows, location, committed_at=day(n)) == n
+    stored, notes = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    plan = versions.as_of(stored, version=1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_version" in plan
+    one = versions.as_of(stored, timestamp=datetime(2024, 1, 6), commits=notes)
+    assert bag(one) == Counter({(1, "x"): 2})
+
+
+def test_a_version_without_note_is_not_read_and_is_replaced(spark, tmp_path):
+    location = str(tmp_path / "store")
+    rows = spark.createDataFrame([(1, "x")], "k int, v string")
+    snapshots.add_version(rows, location)
+    rows.unionByName(rows).write.parquet(snapshots.snapshot_path(location, 1))
+    assert snapshots.read_snapshots(spark, location).count() == 1
+    assert snapshots.latest_version(spark, location) == 0
+    assert snapshots.add_version(rows, location) == 1
+    assert snapshots.read_snapshots(spark, location).count() == 2
+
+
+def test_history(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "b"), (2, "b")]])
+    log = spark.createDataFrame([(0, "CREATE TABLE")], "version int, operation string")
+    shown = versions.newest_first(versions.version_history(rows, log)).collect()
+    assert [tuple(r) for r in shown] == [(1, day(1), 2, None), (0, day(0), 1, "CREATE TABLE")]
+    assert tuple(versions.version_bounds(rows).first()) == (0, 1)

@@ -13,9 +13,13 @@ class NameCollision(ValueError):
     """Two columns would end up under one name."""
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
     """The column called ``name``, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def free_name(stem: str, taken: Iterable[str]) -> str:

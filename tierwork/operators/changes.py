@@ -2,7 +2,9 @@
 
 A feed over versions ``start .. end`` lists what each of those versions changed against the one
 before it; version 0 starts from nothing. Every row takes part twice, as new row of its version
-and as old row of the next one, so all steps of a feed share one read and one shuffle.
+and as old row of the next one, so all steps of a feed share one read and one shuffle. Which versions
+there are and when they were committed comes from ``commits`` (one row per version) if given, else
+from the snapshots themselves.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ UPDATE_AFTER = "update_postimage"
 MOST_BROADCAST_VERSIONS = 10_000
 
 
-def _feed_range(snapshots: DataFrame, start: int, end: int | None) -> tuple[int, int]:
-    earliest, latest = version_bounds(snapshots).first()
+def _feed_range(commits: DataFrame, start: int, end: int | None) -> tuple[int, int]:
+    earliest, latest = version_bounds(commits).first()
     end = latest if end is None else end
     first_needed = max(start - 1, 0)
     if latest is None or start < 0 or start > end or end > latest or first_needed < earliest:
@@ -55,9 +57,9 @@ def _sides(snapshots: DataFrame, start: int, end: int) -> DataFrame:
     )
 
 
-def _with_times(changes: DataFrame, snapshots: DataFrame, start: int, end: int) -> DataFrame:
+def _with_times(changes: DataFrame, commits: DataFrame, start: int, end: int) -> DataFrame:
     times = (
-        snapshots.filter(F.col(VERSION).between(start, end))
+        commits.filter(F.col(VERSION).between(start, end))
         .groupBy(F.col(VERSION).cast("bigint").alias(COMMIT_VERSION))
         .agg(F.min(COMMIT_TIME).alias(COMMIT_TIME))
     )
@@ -71,13 +73,16 @@ def _feed_columns(snapshots: DataFrame) -> list[Column]:
     return [*map(named, data), *map(F.col, (CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIME))]
 
 
-def change_feed(snapshots: DataFrame, start: int, end: int | None = None) -> DataFrame:
+def change_feed(
+    snapshots: DataFrame, start: int, end: int | None = None, commits: DataFrame | None = None
+) -> DataFrame:
     """Inserted and deleted rows per version, without a key.
 
     Versions are compared as bags: an added exact copy is an insert, a changed row a delete and
     an insert.
     """
-    start, end = _feed_range(snapshots, start, end)
+    commits = snapshots if commits is None else commits
+    start, end = _feed_range(commits, start, end)
     sides = _sides(snapshots, start, end)
     same_row = [named(name) for name in sides.columns if name != "_side"]
     net = sides.groupBy(*same_row).agg(F.sum("_side").alias("_net")).filter(F.col("_net") != 0)
@@ -85,21 +90,28 @@ def change_feed(snapshots: DataFrame, start: int, end: int | None = None) -> Dat
     listed = repeat_rows(
         net.withColumn(CHANGE_TYPE, change).withColumn("_net", F.abs("_net")), "_net"
     )
-    return _with_times(listed, snapshots, start, end).select(*_feed_columns(snapshots))
+    return _with_times(listed, commits, start, end).select(*_feed_columns(snapshots))
 
 
 def change_feed_keyed(
-    snapshots: DataFrame, key: Sequence[str], start: int, end: int | None = None
+    snapshots: DataFrame,
+    key: Sequence[str],
+    start: int,
+    end: int | None = None,
+    commits: DataFrame | None = None,
 ) -> DataFrame:
     """Inserts, deletes and updates per version for rows known by ``key``.
 
     An update gives the row before and after. The query fails if a key occurs twice in a version.
     """
-    start, end = _feed_range(snapshots, start, end)
+    commits = snapshots if commits is None else commits
+    start, end = _feed_range(commits, start, end)
     sides = _sides(snapshots, start, end)
     data = [name for name in sides.columns if name not in (COMMIT_VERSION, "_side")]
     row = F.struct(*map(named, data))
     new, old = F.col("_side") == 1, F.col("_side") == -1
+    # Rows fold on the map side, so a key that wrongly fills a third of a version fails the query
+    # without first being gathered in one task.
     pairs = sides.groupBy(
         F.col(COMMIT_VERSION), *(named(name).alias(f"_key{i}") for i, name in enumerate(key))
     ).agg(
@@ -124,7 +136,7 @@ def change_feed_keyed(
     listed = pairs.select(COMMIT_VERSION, F.explode(entries).alias("_entry")).select(
         COMMIT_VERSION, F.col("_entry.kind").alias(CHANGE_TYPE), "_entry.row.*"
     )
-    return _with_times(listed, snapshots, start, end).select(*_feed_columns(snapshots))
+    return _with_times(listed, commits, start, end).select(*_feed_columns(snapshots))
 
 
 def change_summary(feed: DataFrame) -> DataFrame:

@@ -28,8 +28,12 @@ class CountBy:
     def group(self) -> Column:
         return named(self.column)
 
-    def measure(self) -> Column:
-        return F.count(F.lit(1))
+    def input(self) -> Column:
+        """What is measured, per row."""
+        return F.lit(1)
+
+    def measure(self, values: Column) -> Column:
+        return F.count(values)
 
     def reported(self, group: Column, measure: Column) -> Column:
         return F.lit(True)
@@ -62,9 +66,12 @@ class AverageHours:
     def group(self) -> Column:
         return named(self.column)
 
-    def measure(self) -> Column:
+    def input(self) -> Column:
         hours = hours_between(named(self.start), named(self.end))
-        return F.round(F.avg(F.when(hours >= 0, hours)), 2)
+        return F.when(hours >= 0, hours)
+
+    def measure(self, values: Column) -> Column:
+        return F.round(F.avg(values), 2)
 
     def reported(self, group: Column, measure: Column) -> Column:
         return measure.isNotNull()
@@ -94,10 +101,17 @@ def metric_table(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     places = {text: i for i, text in enumerate(groups)}
     dims = [f"_group{i}" for i in range(len(groups))]
 
-    wide = df.withColumns(dict(zip(dims, groups.values())))
+    # Groups and inputs are worked out before the rows are multiplied by the grouping sets.
+    wide = df.select(
+        *(group.alias(dim) for dim, group in zip(dims, groups.values())),
+        *(metric.input().alias(f"_input{i}") for i, metric in enumerate(metrics)),
+    )
     totals = wide.groupingSets([[F.col(dim)] for dim in dims], *map(F.col, dims)).agg(
         F.grouping_id().alias("_set"),
-        *(metric.measure().alias(f"_measure{i}") for i, metric in enumerate(metrics)),
+        *(
+            metric.measure(F.col(f"_input{i}")).alias(f"_measure{i}")
+            for i, metric in enumerate(metrics)
+        ),
     )
 
     def long_row(i: int, metric: Metric) -> Column:

@@ -7,7 +7,7 @@ shuffle but that of the partial counts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +36,18 @@ def _sum(values: Column) -> Column:
     return F.coalesce(F.sum(values), F.lit(0).cast("bigint"))
 
 
-def _counts(rows: DataFrame, columns: Sequence[str], weight: Column, extra: Column) -> DataFrame:
-    """One row: ``total``, ``duplicates`` and ``n0 .. nk``, the nulls per column."""
+def counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: ``total`` and ``n0 .. nk``, the nulls of ``columns``; one pass, no wide shuffle."""
+    present = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *(F.count(named(name)).alias(f"p{i}") for i, name in enumerate(columns)),
+    )
+    nulls = ((F.col("total") - F.col(f"p{i}")).alias(f"n{i}") for i in range(len(columns)))
+    return present.select("total", *nulls)
+
+
+def _weighted(rows: DataFrame, columns: Sequence[str], weight: Column, extra: Column) -> DataFrame:
+    """The same from rows that stand for ``weight`` rows each, with ``duplicates`` added."""
     return rows.agg(
         _sum(weight).alias("total"),
         _sum(extra).alias("duplicates"),
@@ -48,94 +58,94 @@ def _counts(rows: DataFrame, columns: Sequence[str], weight: Column, extra: Colu
     )
 
 
-def counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Total and nulls of ``columns`` in one pass; duplicates are not looked for."""
-    one = F.lit(1).cast("bigint")
-    return _counts(df.select(*map(named, columns)), columns, one, one - 1)
-
-
 def counts_with_duplicates(df: DataFrame) -> DataFrame:
     """Total, duplicates and nulls of every column; one pass and one shuffle of folded rows."""
     n = F.col("_copies")
-    return _counts(collapse_copies(df, "_copies"), df.columns, n, n - 1)
+    return _weighted(collapse_copies(df, "_copies"), df.columns, n, n - 1)
 
 
 def counts_of_routed(routed: DataFrame) -> DataFrame:
     """The same from routed rows, which need no shuffle any more."""
     columns = [name for name in routed.columns if name not in MARKS]
     weight = F.col("_kept").cast("bigint") + F.col("_extra")
-    return _counts(routed, columns, weight, F.col("_extra"))
+    return _weighted(routed, columns, weight, F.col("_extra"))
 
 
-def _report_row(check: str, label: str, value: Column, share: Column, state: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check_type"),
-        F.lit(label).alias("column_name"),
-        value.cast("string").alias("value"),
-        share.alias("percentage"),
-        state.alias("status"),
-    )
-
+Finding = tuple[str, str, Column]
 
-def _record_row() -> Column:
-    return _report_row(RECORD_COUNT, TOTAL_ROWS, F.col("total"), F.lit("100%"), F.lit("INFO"))
 
+def _record() -> Finding:
+    return RECORD_COUNT, TOTAL_ROWS, F.col("total")
 
-def _duplicate_row() -> Column:
-    n = F.col("duplicates")
-    share = percentage_text(n, F.col("total"))
-    return _report_row(DUPLICATE_CHECK, DUPLICATE_ROWS, n, share, status(n, "WARNING"))
 
+def _duplicates() -> Finding:
+    return DUPLICATE_CHECK, DUPLICATE_ROWS, F.col("duplicates")
 
-def _null_row(name: str, i: int) -> Column:
-    n = F.col(f"n{i}")
-    share = percentage_text(n, F.col("total"))
-    return _report_row(NULL_CHECK, name, n, share, status(n, "WARNING"))
 
-
-def critical_issues(columns: Sequence[str], critical: Sequence[str]) -> Column:
+def _critical(columns: Sequence[str], critical: Sequence[str]) -> Finding:
     """How many critical columns hold a null, from a counts row over ``columns``."""
     places = [list(columns).index(name) for name in critical]
-    return sum(((F.col(f"n{i}") > 0).cast("bigint") for i in places), F.lit(0).cast("bigint"))
+    hit = (F.when(F.col(f"n{i}") > 0, 1).otherwise(0) for i in places)
+    return CRITICAL_NULL_CHECK, CRITICAL_COLUMNS, sum(hit, F.lit(0).cast("bigint"))
+
+
+def _nulls(columns: Sequence[str]) -> list[Finding]:
+    return [(NULL_CHECK, name, F.col(f"n{i}")) for i, name in enumerate(columns)]
 
 
-def _critical_row(columns: Sequence[str], critical: Sequence[str]) -> Column:
-    k = critical_issues(columns, critical)
-    share = F.concat(k.cast("string"), F.lit(f"/{len(critical)} columns affected"))
-    return _report_row(CRITICAL_NULL_CHECK, CRITICAL_COLUMNS, k, share, status(k, "FAIL"))
+def _found(counts: DataFrame, findings: Sequence[Finding]) -> DataFrame:
+    """A row per finding, in order: ``check_type, column_name, n`` and the total."""
+    rows = F.array(
+        *(
+            F.struct(F.lit(check).alias("check_type"), F.lit(label).alias("column_name"), n.alias("n"))
+            for check, label, n in findings
+        )
+    )
+    return counts.select("total", F.inline(rows))
 
 
-def _laid_out(counts: DataFrame, rows: Sequence[Column]) -> DataFrame:
-    return counts.select(F.inline(F.array(*rows)))
+def _laid_out(counts: DataFrame, findings: Sequence[Finding], critical: int = 0) -> DataFrame:
+    """Findings in the wording of a report; ``critical`` is the number of critical columns."""
+    kind, n = F.col("check_type"), F.col("n")
+    share = (
+        F.when(kind == RECORD_COUNT, F.lit("100%"))
+        .when(kind == CRITICAL_NULL_CHECK, F.concat(n, F.lit(f"/{critical} columns affected")))
+        .otherwise(percentage_text(n, F.col("total")))
+    )
+    state = (
+        F.when(kind == RECORD_COUNT, F.lit("INFO"))
+        .when(kind == CRITICAL_NULL_CHECK, status(n, "FAIL"))
+        .otherwise(status(n, "WARNING"))
+    )
+    return _found(counts, findings).select(
+        "check_type",
+        "column_name",
+        n.cast("string").alias("value"),
+        share.alias("percentage"),
+        state.alias("status"),
+    )
 
 
 def record_count(df: DataFrame) -> DataFrame:
-    return _laid_out(counts_of(df, []), [_record_row()])
+    return _laid_out(counts_of(df, []), [_record()])
 
 
 def null_check(df: DataFrame) -> DataFrame:
-    rows = [_null_row(name, i) for i, name in enumerate(df.columns)]
-    return _laid_out(counts_of(df, df.columns), rows)
+    return _laid_out(counts_of(df, df.columns), _nulls(df.columns))
 
 
 def duplicate_check(df: DataFrame) -> DataFrame:
-    return _laid_out(counts_with_duplicates(df), [_duplicate_row()])
+    return _laid_out(counts_with_duplicates(df), [_duplicates()])
 
 
 def critical_check(df: DataFrame, critical: Sequence[str]) -> DataFrame:
-    return _laid_out(counts_of(df, critical), [_critical_row(critical, critical)])
+    finding = _critical(critical, critical)
+    return _laid_out(counts_of(df, critical), [finding], len(critical))
 
 
 def _report(counts: DataFrame, columns: Sequence[str], critical: Sequence[str]) -> DataFrame:
-    return _laid_out(
-        counts,
-        [
-            _record_row(),
-            _duplicate_row(),
-            _critical_row(columns, critical),
-            *(_null_row(name, i) for i, name in enumerate(columns)),
-        ],
-    )
+    findings = [_record(), _duplicates(), _critical(columns, critical), *_nulls(columns)]
+    return _laid_out(counts, findings, len(critical))
 
 
 def quality_report(df: DataFrame, critical: Sequence[str]) -> DataFrame:
@@ -175,30 +185,17 @@ def enforce_gate(report: DataFrame, on_fail: str = "warn") -> None:
             raise QualityGateFailed(f"{row['critical_issues']} critical columns hold nulls")
 
 
-def _per_column(df: DataFrame, row: Callable[[str, int], Column]) -> DataFrame:
-    rows = [row(name, i) for i, name in enumerate(df.columns)]
-    return _laid_out(counts_of(df, df.columns), rows)
-
-
 def null_counts(df: DataFrame) -> DataFrame:
     """Nulls per column, as numbers."""
-    return _per_column(
-        df,
-        lambda name, i: F.struct(
-            F.lit(name).alias("column_name"), F.col(f"n{i}").alias("null_count")
-        ),
-    )
+    found = _found(counts_of(df, df.columns), _nulls(df.columns))
+    return found.select("column_name", F.col("n").alias("null_count"))
 
 
 def null_percentages(df: DataFrame) -> DataFrame:
     """Share of nulls per column in percent."""
-    return _per_column(
-        df,
-        lambda name, i: F.struct(
-            F.lit(name).alias("column_name"),
-            percentage(F.col(f"n{i}"), F.col("total")).alias("null_percentage"),
-        ),
-    )
+    found = _found(counts_of(df, df.columns), _nulls(df.columns))
+    share = percentage(F.col("n"), F.col("total")).alias("null_percentage")
+    return found.select("column_name", share)
 
 
 def table_profile(df: DataFrame) -> DataFrame:

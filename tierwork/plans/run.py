@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +39,20 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
     enforce_gate(report, spec.on_fail)
     rejected = write(quarantine(routed), "quarantine")
     clean = write(layers.silver(routed, spec), "silver")
-    check_rows(bronze, clean, rejected)
+    check_rows(bronze, clean, rejected, spec.on_loss)
     write(layers.gold(clean, spec), "gold")
     return layer_rows(spark, spec)
 
 
-def check_rows(bronze: DataFrame, clean: DataFrame, rejected: DataFrame) -> None:
-    """Compare the row counts, which parquet footers hold, and stop at a difference."""
+def check_rows(
+    bronze: DataFrame, clean: DataFrame, rejected: DataFrame, on_loss: str = "raise"
+) -> None:
+    """Compare the row counts, which parquet footers hold; stop or warn at a difference."""
     counts = reconcile(bronze, clean, rejected).first()
     if not counts["matched"]:
-        raise RowsLost(str(counts.asDict()))
+        if on_loss == "raise":
+            raise RowsLost(str(counts.asDict()))
+        warnings.warn(f"rows lost: {counts.asDict()}", stacklevel=2)
 
 
 def layer_rows(spark: SparkSession, spec: DatasetSpec) -> DataFrame:

@@ -23,6 +23,13 @@ def table_detail(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
     )
 
 
+def packed(rows: DataFrame, path: str, file_bytes: int) -> DataFrame:
+    """``rows``, which are those under ``path``, in as many partitions as files of ``file_bytes``
+    are needed. No shuffle: scan tasks pack small files together and ``coalesce`` joins tasks."""
+    size = table_detail(rows.sparkSession, path).first()["sizeInBytes"]
+    return rows.coalesce(max(1, -(-size // file_bytes)))
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -33,15 +40,10 @@ def compact(
     """Write the parquet rows under ``path`` to the new folder ``target`` in files of about
     ``file_bytes``, and return them.
 
-    An unpartitioned table needs no shuffle: scan tasks already pack small files together and
-    ``coalesce`` joins neighbours until the file count fits. A partitioned one is rebalanced on
-    its partition columns, which joins small partitions' rows and splits a large partition.
+    A partitioned table is rebalanced on its partition columns, which brings the rows of a small
+    partition together and splits a large one at Spark's advisory partition size.
     """
     rows = spark.read.parquet(path)
-    if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
-    else:
-        size = table_detail(spark, path).first()["sizeInBytes"]
-        rows = rows.coalesce(max(1, -(-size // file_bytes)))
-    rows.write.partitionBy(*partition_by).parquet(target)
+    laid_out = rows.hint("rebalance", *partition_by) if partition_by else packed(rows, path, file_bytes)
+    laid_out.write.partitionBy(*partition_by).parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

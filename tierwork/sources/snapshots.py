@@ -1,43 +1,70 @@
-"""Storing a version-tagged table: one folder per version."""
+"""Storing every version of a table: one folder per version, one note per commit.
+
+``<location>/snapshots/_version=<n>`` holds the rows of version n, ``<location>/commits`` a row per
+finished version. A version counts only when its note is written, so what a failed job leaves
+behind is never read and is replaced by the next attempt. One writer at a time per location.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.operators.versions import COMMIT_TIME, VERSION
 
 
-def add_version(
-    df: DataFrame, path: str, version: int, committed_at: datetime, operation: str
-) -> None:
-    """Add ``df`` as snapshot ``version`` under ``path`` and note the operation.
+def snapshot_path(location: str, version: int) -> str:
+    return f"{location.rstrip('/')}/snapshots/{VERSION}={version}"
 
-    A snapshot that is there already is not touched: the second write of a version fails.
-    """
+
+def read_commits(spark: SparkSession, location: str) -> DataFrame:
+    """One row per version: ``_version, _commit_timestamp, operation``."""
+    schema = f"{VERSION} int, {COMMIT_TIME} timestamp, operation string"
+    return spark.read.schema(schema).parquet(f"{location.rstrip('/')}/commits")
+
+
+def latest_version(spark: SparkSession, location: str) -> int | None:
+    """The last finished version, None if there is none."""
+    try:
+        return read_commits(spark, location).agg(F.max(VERSION)).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def add_version(
+    df: DataFrame,
+    location: str,
+    operation: str = "WRITE",
+    committed_at: datetime | None = None,
+    file_format: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> int:
+    """Store ``df`` as the next version under ``location`` and return its number."""
     spark = df.sparkSession
-    df.write.mode("error").parquet(f"{path}/snapshots/{VERSION}={version}")
+    latest = latest_version(spark, location)
+    version = 0 if latest is None else latest + 1
+    rows = df.write.format(file_format).mode("overwrite").partitionBy(*partition_by)
+    rows.save(snapshot_path(location, version))
     note = spark.range(1).select(
         F.lit(version).alias(VERSION),
-        F.lit(committed_at).alias(COMMIT_TIME),
+        (F.current_timestamp() if committed_at is None else F.lit(committed_at)).alias(COMMIT_TIME),
         F.lit(operation).alias("operation"),
     )
-    note.coalesce(1).write.mode("append").parquet(f"{path}/commits")
-
-
-def read_commits(spark: SparkSession, path: str) -> DataFrame:
-    """One row per version: ``_version, _commit_timestamp, operation``."""
-    return spark.read.parquet(f"{path}/commits")
+    note.coalesce(1).write.mode("append").parquet(f"{location.rstrip('/')}/commits")
+    return version
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All snapshots with ``_version`` and ``_commit_timestamp``.
+def read_snapshots(spark: SparkSession, location: str, file_format: str = "parquet") -> DataFrame:
+    """All finished versions with ``_version`` and ``_commit_timestamp``.
 
-    The times come from the commit notes, one small row per version, by a join that Spark
-    broadcasts as long as the notes stay under its threshold.
+    The times come from the notes, a row per version, by a join on the folder's version; Spark
+    broadcasts the notes while they are under its size threshold.
     """
-    rows = spark.read.parquet(f"{path}/snapshots")
-    times = read_commits(spark, path).select(VERSION, COMMIT_TIME)
-    return rows.join(times, VERSION)
+    rows = spark.read.format(file_format).load(f"{location.rstrip('/')}/snapshots")
+    return rows.join(read_commits(spark, location).select(VERSION, COMMIT_TIME), VERSION)

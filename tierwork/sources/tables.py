@@ -1,12 +1,15 @@
-"""Named tables: current namespace, scan, overwrite, append, properties."""
+"""Named tables: current namespace, scan, overwrite, append, compaction, properties."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwork.functions.names import quoted
+from tierwork.sources.files import DEFAULT_FILE_BYTES, packed
+from tierwork.sources.snapshots import add_version, latest_version, snapshot_path
+
 
 class SchemaChanged(ValueError):
     """An overwrite would change the columns of a table."""
@@ -23,37 +26,48 @@ def table_scan(spark: SparkSession, name: str) -> DataFrame:
 
 
 def _columns(df: DataFrame) -> list[tuple[str, str]]:
-    return [(name.lower(), kind) for name, kind in df.dtypes]
+    return sorted((name.lower(), kind) for name, kind in df.dtypes)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{quoted(name)} {kind}" for name, kind in df.dtypes)
 
 
 def overwrite_table(
     df: DataFrame,
     name: str,
     location: str,
+    operation: str = "WRITE",
     file_format: str = "parquet",
     partition_by: Sequence[str] = (),
     allow_schema_change: bool = False,
 ) -> DataFrame:
     """Make ``df`` the content of table ``name`` and return the table.
 
-    The rows go to a new folder under ``location`` and the table is pointed there when the write
-    is complete: readers see the old rows or the new ones, ``df`` may read the table it replaces,
-    and a failed job leaves the table as it was. Earlier folders stay until retention takes them.
+    The rows become the next version under ``location`` and the table is pointed there when they
+    are complete: readers see the old rows or the new ones, ``df`` may read the table it replaces,
+    and a failed job leaves the table as it was. Earlier versions stay readable
+    (``sources.snapshots.read_snapshots``) and the table keeps its properties.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
-    same = exists and sorted(_columns(spark.table(name))) == sorted(_columns(df))
+    same = exists and _columns(spark.table(name)) == _columns(df)
     if exists and not same and not allow_schema_change:
         raise SchemaChanged(f"{name} has other columns than the rows to be written")
-    folder = f"{location.rstrip('/')}/{uuid4().hex}"
-    df.write.format(file_format).partitionBy(*partition_by).save(folder)
-    if exists and not same:
-        spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
-    if exists and same:
+    version = add_version(
+        df, location, operation, file_format=file_format, partition_by=partition_by
+    )
+    folder = snapshot_path(location, version)
+    if same:
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{folder}'", args={"name": name})
         spark.catalog.refreshTable(name)
     else:
-        spark.catalog.createTable(name, path=folder, source=file_format)
+        parts = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+        spark.sql(
+            f"CREATE TABLE IDENTIFIER(:name) ({_ddl(df)}) USING {file_format} {parts} LOCATION '{folder}'",
+            args={"name": name},
+        )
     if partition_by:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
@@ -67,6 +81,15 @@ def append_rows(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def compact_table(
+    spark: SparkSession, name: str, location: str, file_bytes: int = DEFAULT_FILE_BYTES
+) -> DataFrame:
+    """The same rows of an unpartitioned table in fewer files, as a version of its own."""
+    current = snapshot_path(location, latest_version(spark, location))
+    rows = packed(spark.table(name), current, file_bytes)
+    return overwrite_table(rows, name, location, operation="OPTIMIZE")
+
+
 def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(
         f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ('{key}' = '{value}')", args={"name": name}

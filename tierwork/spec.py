@@ -19,6 +19,8 @@ class DatasetSpec:
 
     ``duplicate_key`` is the whole row if left out. ``file_names`` says what the source-file
     column holds: the name of the path read ("path") or of the file each row came from ("each").
+    ``on_fail`` and ``on_loss`` say whether nulls in critical columns and a row count that does
+    not add up stop a run ("raise") or not ("warn").
     """
 
     name: str
@@ -37,6 +39,7 @@ class DatasetSpec:
     multi_line: bool = True
     file_names: str = "path"
     on_fail: str = "warn"
+    on_loss: str = "raise"
 
     def table(self, layer: str) -> str:
         """Full name of a layer's table: bronze, silver, quarantine, gold or quality."""
