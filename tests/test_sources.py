@@ -42,18 +42,51 @@ def test_csv_types(spark, tmp_path):
     assert tuple(given.first()) == (1, "2024-01-01 10:00:00", "007")
 
 
-def test_csv_with_single_lines_is_split(spark, tmp_path):
-    path = str(tmp_path / "in.csv")
-    spark.range(200_000).select("id", F.lit("x" * 40).alias("s")).coalesce(1).write.option(
-        "header", True
-    ).csv(path)
+PLAIN = "id,note\n1,plain\n2,\"a, b\"\n3,\"say \"\"x\"\"\"\n4,\"\"\n5,\n\n6,\"\"\"\"\n"
+
+
+@pytest.mark.parametrize(
+    "text, alone",
+    [
+        (PLAIN, True),
+        (PLAIN + '7,"two\nlines"\n', False),
+        (PLAIN + '7,5" disk\n', False),
+        (PLAIN + 'a"b,"x\ny",z"w\n', False),
+        (PLAIN + '"x"y,"z"\n', False),
+        (PLAIN + '7, "x"\n', False),
+        (PLAIN + "7,a\rb\n", False),
+        (PLAIN.replace("\n", "\r\n"), False),
+        (PLAIN + "   \n", False),
+        (PLAIN + '7,"' + 'x""' * 20_000 + '"\n', True),
+    ],
+)
+def test_lines_that_stand_alone(spark, tmp_path, text, alone):
+    path = tmp_path / "in.csv"
+    path.write_bytes(text.encode())
+    assert delimited.lines_stand_alone(spark, str(path)) is alone
+    if alone:
+        split = delimited.read_csv(spark, str(path), multi_line=False)
+        assert bag(split) == bag(delimited.read_csv(spark, str(path), multi_line=True))
+
+
+def test_a_large_file_is_split_where_lines_stand_alone(spark, tmp_path, monkeypatch):
+    plain, broken = str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")
+    rows = spark.range(200_000).select("id", F.lit('x, "y" ' * 6).alias("s"))
+    odd = spark.range(1).select("id", F.lit("two\nlines").alias("s"))
+    for path, df in ((plain, rows), (broken, rows.unionByName(odd))):
+        df.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+
+    def tasks(path):
+        df = delimited.read_csv(spark, path)
+        return df.groupBy(F.spark_partition_id()).count().count(), df.count()
+
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
     try:
-        whole = delimited.read_csv(spark, path)
-        split = delimited.read_csv(spark, path, multi_line=False)
-        tasks = [df.groupBy(F.spark_partition_id()).count().count() for df in (whole, split)]
-        assert tasks[0] == 1 and tasks[1] > 4
-        assert split.count() == 200_000
+        assert tasks(plain) == (1, 200_000), "small files are left alone"
+        monkeypatch.setattr(delimited, "LARGE_FILE_BYTES", 1_000_000)
+        split, count = tasks(plain)
+        assert split > 4 and count == 200_000
+        assert tasks(broken) == (1, 200_001)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 

@@ -84,7 +84,8 @@ def _duplicates() -> Finding:
 
 def _critical(columns: Sequence[str], critical: Sequence[str]) -> Finding:
     """How many critical columns hold a null, from a counts row over ``columns``."""
-    places = [list(columns).index(name) for name in critical]
+    spelled = [name.lower() for name in columns]
+    places = [spelled.index(name.lower()) for name in critical]
     hit = (F.when(F.col(f"n{i}") > 0, 1).otherwise(0) for i in places)
     return CRITICAL_NULL_CHECK, CRITICAL_COLUMNS, sum(hit, F.lit(0).cast("bigint"))
 

@@ -3,23 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Files up to this size are read whole by one task each without a second thought.
+LARGE_FILE_BYTES = 1024 * 1024 * 1024
+
+# A quoted field: at the start of a line or after a comma, up to a comma or the end of the line,
+# quotes inside it doubled. The quantifiers give nothing back, so long fields cost no stack.
+QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+
+
+def has_large_files(spark: SparkSession, path: str | list[str]) -> bool:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return (files.agg(F.max("length")).first()[0] or 0) > LARGE_FILE_BYTES
+
+
+def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether every line is a whole record, so that files may be split at line ends.
+
+    True only if no line has a quote outside a complete quoted field, a carriage return, or
+    nothing but blanks; whatever is in doubt counts as no. One parallel pass over the text.
+    """
+    line = F.col("value")
+    doubtful = (
+        F.regexp_replace(line, QUOTED_FIELD, "$1").contains('"')
+        | line.contains("\r")
+        | line.rlike(r"^[\x00-\x20]+$")
+    )
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.filter(doubtful).limit(1).count() == 0
+
 
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: StructType | str | None = None,
     infer_types: bool = False,
-    multi_line: bool = True,
+    multi_line: bool | str = "auto",
 ) -> DataFrame:
     """CSV with a header line, doubled quotes as escape; an empty field is null.
 
-    Without a schema every column is text, for which only the header line is read ahead.
+    Without a schema every column is text, for which only the header line is read ahead;
     ``infer_types`` costs a pass over the data. ``multi_line`` allows line breaks inside quoted
-    fields, and then one file is one task: turn it off where no field has them, and large files
-    are split.
+    fields, and then one file is one task. "auto" gives the same rows as True, but where a file
+    is large it looks whether lines stand alone, and if they do, large files are split.
     """
+    if multi_line == "auto":
+        multi_line = not (has_large_files(spark, path) and lines_stand_alone(spark, path))
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         return reader.schema(schema).csv(path)

@@ -36,7 +36,7 @@ class DatasetSpec:
     date_formats: tuple[str, ...] = ("dd-MM-yyyy HH:mm", "yyyy-MM-dd HH:mm:ss")
     metrics: tuple[Metric, ...] = ()
     infer_types: bool = False
-    multi_line: bool = True
+    multi_line: bool | str = "auto"
     file_names: str = "path"
     on_fail: str = "warn"
     on_loss: str = "raise"
