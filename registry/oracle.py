@@ -258,6 +258,10 @@ def oracle_sql() -> dict[str, str]:
         "change_summary": f"""{SNAP}, feed AS ({except_feed(2)} UNION ALL {except_feed(3)})
           SELECT _change_type, count(*) AS count FROM feed GROUP BY _change_type""",
         "stored_as_of": rows_at(2),
+        "stored_retention": f"""{SNAP} SELECT _version AS version, min(_commit_timestamp) AS timestamp,
+          count(*) AS row_count FROM snap GROUP BY _version
+          HAVING _version >= (SELECT max(_version) FROM snap
+            WHERE _commit_timestamp <= TIMESTAMP '2024-01-15' - INTERVAL 168 HOUR)""",
         "stored_change_feed": f"{SNAP} " + " UNION ALL ".join(map(except_feed, (2, 3))),
         "table_versions": """SELECT CAST(0 AS INTEGER) AS version, count(*) AS row_count,
             'CREATE TABLE' AS operation FROM orders

@@ -579,3 +579,12 @@ def table_versions(spark, sf_dir):
     commits = snapshots.read_commits(spark, location)
     operations = commits.select(F.col("_version").alias("version"), "operation")
     return versions.version_history(snapshots.read_snapshots(spark, location), operations).drop("timestamp")
+
+
+@query
+def stored_retention(spark, sf_dir):
+    """The versions left after those expired on January 15th were retired, and their rows."""
+    location = _stored(spark, sf_dir)
+    snapshots.retire_versions(spark, location, AS_OF)
+    history = versions.version_history(snapshots.read_snapshots(spark, location))
+    return _without_zone(history)

@@ -53,18 +53,15 @@ def _unless(condition: Column, value: Column) -> Column:
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident rows in the sixteen columns of the incident dataset, dates as timestamps."""
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            F.max("l_shipdate").alias("shipped"),
-            F.count("*").alias("lines"),
-            F.min("l_suppkey").alias("first_supplier"),
-            F.max("l_suppkey").alias("last_supplier"),
-            F.max("l_linenumber").alias("last_line"),
-            F.max("l_quantity").alias("units"),
-            F.count_if((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.1)).alias("again"),
-        )
+    lineitem = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    lines = lineitem.groupBy("o_orderkey").agg(
+        F.max("l_shipdate").alias("shipped"),
+        F.count("*").alias("lines"),
+        F.min("l_suppkey").alias("first_supplier"),
+        F.max("l_suppkey").alias("last_supplier"),
+        F.max("l_linenumber").alias("last_line"),
+        F.max("l_quantity").alias("units"),
     )
     places = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -76,10 +73,12 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     price, balance, units = F.col("o_totalprice"), F.col("c_acctbal"), F.col("units")
     family = F.when(units >= 40, "Bulk").when(units >= 15, "Mixed").otherwise("Single")
-    rows = (
-        table(spark, sf_dir, "orders")
-        .join(people, "o_custkey")
+    again = lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.1))
+    filings = orders.select("o_orderkey").unionByName(again.select("o_orderkey"))
+    return (
+        orders.join(people, "o_custkey")
         .join(lines, "o_orderkey", "left")
+        .join(filings, "o_orderkey")
         .select(
             _unless(price < 7000, F.concat(F.lit("INC"), F.col("o_orderkey"))).alias("Number"),
             _unless(balance > 9850, F.col("o_orderdate")).alias("Opened"),
@@ -101,10 +100,8 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
             F.col("shipped").alias("Updated"),
             F.concat(F.lit("S"), "last_supplier").alias("Updated_By"),
-            F.explode(F.sequence(F.lit(0), F.coalesce("again", F.lit(0)))).alias("copy"),
         )
     )
-    return rows.drop("copy")
 
 
 INCIDENT_SQL = """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tierwork import INCIDENTS
 from tierwork.operators.quality import QualityGateFailed
 from tierwork.plans import layers, run
+from tierwork.sources.files import table_detail
 from tierwork.sources.snapshots import read_commits, read_snapshots
 
 HEADER = (
@@ -69,6 +70,12 @@ def test_quarantine(spark, made):
     assert rejected.filter("reject_reason = 'duplicate row' AND Number = 'N2'").first()["Channel"] is None
 
 
+def test_quarantine_is_written_in_few_files(spark, made):
+    _, _, folder = made
+    detail = table_detail(spark, f"{folder}/tables/quarantine/snapshots/_version=0").first()
+    assert detail["numFiles"] == 1
+
+
 def test_silver(spark, made):
     spec, _, _ = made
     silver = {r["Number"]: r for r in spark.table(spec.table("silver")).collect()}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tierwork import settings
 from tierwork.functions.names import NameCollision, rename_columns, sanitize_columns
 from tierwork.operators import versions
 from tierwork.sources import delimited, files, snapshots, tables, work
@@ -142,6 +143,8 @@ def test_partitioned_table(spark, tmp_path, name):
     assert bag(table.groupBy("p").count()) == Counter([(0, 5), (1, 5)])
     again = tables.overwrite_table(rows.filter("id < 4"), name, str(tmp_path / "t"), partition_by=["p"])
     assert bag(again.groupBy("p").count()) == Counter([(0, 2), (1, 2)])
+    even = tables.overwrite_table(rows.filter("p = 0"), name, str(tmp_path / "t"), partition_by=["p"])
+    assert bag(even.groupBy("p").count()) == Counter([(0, 5)])
 
 
 def test_append_matches_columns_by_name(spark, tmp_path, name):
@@ -195,6 +198,14 @@ def test_compacted_table_is_a_version(spark, tmp_path, name):
     assert [r[0] for r in operations.collect()] == ["WRITE", "OPTIMIZE"]
 
 
+@pytest.mark.parametrize("size, partition", [(1, 128 * 2**20), (10**14, 1_810_193_360), (10**18, 2**31)])
+def test_settings_follow_the_table_size(spark, size, partition):
+    assert settings.partition_bytes(size) == pytest.approx(partition, rel=1e-6)
+    chosen = settings.session_settings(size)
+    assert int(chosen["spark.sql.shuffle.partitions"]) == max(1, -(-size // settings.partition_bytes(size)))
+    assert all(spark.conf.isModifiable(name) for name in chosen)
+
+
 def test_detail_of_no_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     assert tuple(files.table_detail(spark, str(tmp_path / "empty")).first()) == (0, 0)

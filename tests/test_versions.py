@@ -159,3 +159,26 @@ def test_history(spark):
     shown = versions.newest_first(versions.version_history(rows, log)).collect()
     assert [tuple(r) for r in shown] == [(1, day(1), 2, None), (0, day(0), 1, "CREATE TABLE")]
     assert tuple(versions.version_bounds(rows).first()) == (0, 1)
+
+
+def test_retiring_stored_versions(spark, tmp_path):
+    location = str(tmp_path / "store")
+    for n in range(3):  # January 1st, 5th, 9th
+        rows = spark.createDataFrame([(n, "x")], "k int, v string").repartition(n + 1)
+        snapshots.add_version(rows, location, committed_at=day(n))
+    at = datetime(2024, 1, 12)
+    listed = snapshots.expired_files(spark, location, at).collect()
+    assert {r["version"] for r in listed} == {0} and all("_version=0/" in r["path"] for r in listed)
+    assert snapshots.expired_files(spark, location, datetime(2024, 1, 1)).isEmpty()
+    snapshots.retire_versions(spark, location, at)
+    snapshots.retire_versions(spark, location, at)
+    stored, notes = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    assert bag(stored.select("k")) == Counter([(1,), (2,)])
+    assert tuple(versions.version_bounds(notes).first()) == (1, 2)
+    with pytest.raises(versions.VersionNotAvailable):
+        versions.as_of(stored, version=0, commits=notes)
+    with pytest.raises(versions.VersionNotAvailable):
+        changes.change_feed(stored, 1, commits=notes)
+    snapshots.retire_versions(spark, location, datetime(2030, 1, 1))
+    assert snapshots.latest_version(spark, location) == 2
+    assert snapshots.add_version(rows, location) == 3

@@ -37,7 +37,8 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
     routed = written(layers.routed(bronze, spec), "routed")
     report = write(timed(quality_report_of_routed(routed, spec.critical)), "quality")
     enforce_gate(report, spec.on_fail)
-    rejected = write(quarantine(routed), "quarantine")
+    # Few rejected rows come out of every scan task; rebalanced, they make few files.
+    rejected = write(quarantine(routed).hint("rebalance"), "quarantine")
     clean = write(layers.silver(routed, spec), "silver")
     check_rows(bronze, clean, rejected, spec.on_loss)
     write(layers.gold(clean, spec), "gold")

@@ -1,8 +1,9 @@
 """Storing every version of a table: one folder per version, one note per commit.
 
 ``<location>/snapshots/_version=<n>`` holds the rows of version n, ``<location>/commits`` a row per
-finished version. A version counts only when its note is written, so what a failed job leaves
-behind is never read and is replaced by the next attempt. One writer at a time per location.
+finished version, ``<location>/retired`` a row per version given up. A version counts only between
+its two notes, so what a failed job leaves behind is never read and is replaced by the next
+attempt. One writer at a time per location.
 """
 
 from __future__ import annotations
@@ -14,17 +15,24 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.operators.versions import COMMIT_TIME, VERSION
+from tierwork.operators.versions import COMMIT_TIME, VERSION, expired_versions
+
+COMMIT_SCHEMA = f"{VERSION} int, {COMMIT_TIME} timestamp, operation string"
 
 
 def snapshot_path(location: str, version: int) -> str:
     return f"{location.rstrip('/')}/snapshots/{VERSION}={version}"
 
 
+def _retired_path(location: str) -> str:
+    return f"{location.rstrip('/')}/retired"
+
+
 def read_commits(spark: SparkSession, location: str) -> DataFrame:
-    """One row per version: ``_version, _commit_timestamp, operation``."""
-    schema = f"{VERSION} int, {COMMIT_TIME} timestamp, operation string"
-    return spark.read.schema(schema).parquet(f"{location.rstrip('/')}/commits")
+    """One row per version that can be read: ``_version, _commit_timestamp, operation``."""
+    commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{location.rstrip('/')}/commits")
+    retired = spark.read.schema(f"{VERSION} int").parquet(_retired_path(location))
+    return commits.join(retired, VERSION, "left_anti")
 
 
 def latest_version(spark: SparkSession, location: str) -> int | None:
@@ -49,6 +57,9 @@ def add_version(
     spark = df.sparkSession
     latest = latest_version(spark, location)
     version = 0 if latest is None else latest + 1
+    if latest is None:
+        none = spark.createDataFrame([], f"{VERSION} int")
+        none.write.mode("overwrite").parquet(_retired_path(location))
     rows = df.write.format(file_format).mode("overwrite").partitionBy(*partition_by)
     rows.save(snapshot_path(location, version))
     note = spark.range(1).select(
@@ -68,3 +79,35 @@ def read_snapshots(spark: SparkSession, location: str, file_format: str = "parqu
     """
     rows = spark.read.format(file_format).load(f"{location.rstrip('/')}/snapshots")
     return rows.join(read_commits(spark, location).select(VERSION, COMMIT_TIME), VERSION)
+
+
+def expired_files(
+    spark: SparkSession, location: str, as_of: datetime, retain_hours: int = 168
+) -> DataFrame:
+    """The files of the versions superseded before the retention period: ``version, path, length``.
+
+    Files are found by listing folders and none is opened.
+    """
+    commits = read_commits(spark, location)
+    expired = expired_versions(commits, as_of, retain_hours).select("version")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(f"{location.rstrip('/')}/snapshots")
+    )
+    version = F.regexp_extract("path", f"/{VERSION}=([0-9]+)/", 1).cast("int")
+    return files.select(version.alias("version"), "path", "length").join(expired, "version")
+
+
+def retire_versions(
+    spark: SparkSession, location: str, as_of: datetime, retain_hours: int = 168
+) -> None:
+    """Give up the versions superseded before the retention period; the latest always stays.
+
+    They can no longer be read. No row is copied and no file deleted: ``expired_files``, asked
+    beforehand, tells the storage's own tools what may go.
+    """
+    commits = read_commits(spark, location)
+    expired = expired_versions(commits, as_of, retain_hours)
+    notes = expired.select(F.col("version").alias(VERSION)).coalesce(1)
+    notes.write.mode("append").parquet(_retired_path(location))

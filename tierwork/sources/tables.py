@@ -47,7 +47,8 @@ def overwrite_table(
     The rows become the next version under ``location`` and the table is pointed there when they
     are complete: readers see the old rows or the new ones, ``df`` may read the table it replaces,
     and a failed job leaves the table as it was. Earlier versions stay readable
-    (``sources.snapshots.read_snapshots``) and the table keeps its properties.
+    (``sources.snapshots.read_snapshots``) and the table keeps its properties. A table with
+    partitions, which the catalog may hold by folder, is dropped and created anew instead.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
@@ -58,7 +59,7 @@ def overwrite_table(
         df, location, operation, file_format=file_format, partition_by=partition_by
     )
     folder = snapshot_path(location, version)
-    if same:
+    if same and not partition_by:
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{folder}'", args={"name": name})
         spark.catalog.refreshTable(name)
     else:
