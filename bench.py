@@ -18,7 +18,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from registry import shapes
+from tierwork.registry import shapes
 from tierwork import INCIDENTS
 from tierwork.operators import changes, copies, metrics, quality, routing, versions
 from tierwork.plans import layers, run

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierwork import settings
 from tierwork.functions.names import NameCollision, rename_columns, sanitize_columns
-from tierwork.operators import versions
+from tierwork.operators import changes, versions
 from tierwork.sources import delimited, files, snapshots, tables, work
 
 
@@ -125,6 +125,9 @@ def test_schema_change_is_refused_unless_allowed(spark, tmp_path, name):
     assert spark.table(name).columns == ["id"]
     changed = spark.range(3).withColumn("x", F.lit(1))
     assert tables.overwrite_table(changed, name, location, allow_schema_change=True).columns == ["id", "x"]
+    merged = snapshots.read_snapshots(spark, location, merge_schema=True)
+    assert bag(versions.as_of(merged, version=0).select("id", "x")) == Counter({(i, None): 1 for i in range(3)})
+    assert versions.as_of(merged, version=1).filter("x = 1").count() == 3
 
 
 def test_a_failed_overwrite_leaves_the_table(spark, tmp_path, name):
@@ -154,6 +157,17 @@ def test_append_matches_columns_by_name(spark, tmp_path, name):
     assert bag(after) == Counter({(1, "a"): 2})
 
 
+def test_append_as_a_version(spark, tmp_path, name):
+    location = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    tables.overwrite_table(rows, name, location)
+    assert tables.append_rows(rows.filter("k = 1").select("v", "k"), name, location).count() == 3
+    stored = snapshots.read_snapshots(spark, location)
+    assert versions.as_of(stored, version=0).count() == 2
+    feed = changes.change_feed(stored, 1).select("k", "v", "_change_type")
+    assert bag(feed) == Counter([(1, "a", "insert")])
+
+
 def test_namespace(spark, tmp_path, name):
     spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/db'")
     tables.use_namespace(spark, "spark_catalog", name)

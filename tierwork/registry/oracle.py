@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.shapes import COLUMNS, INCIDENT_SQL, SNAPSHOT_SQL
+from tierwork.registry.shapes import COLUMNS, INCIDENT_SQL, SNAPSHOT_SQL
 
 C = ", ".join(COLUMNS)
 CRITICAL = ("Number", "Category", "Priority", "State")
@@ -234,6 +234,15 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT 'silver', count(*) FROM silver
           UNION ALL SELECT 'quarantine', count(reject_reason) FROM routed
           UNION ALL SELECT 'gold', count(*) FROM gold""",
+        "gold_of_orders": """WITH kept AS (
+            SELECT CASE WHEN o_orderstatus = 'P' THEN 'Unknown' ELSE o_orderstatus END AS status,
+              strftime(o_orderdate, '%Y-%m') AS month, CAST(o_custkey AS VARCHAR) AS customer
+            FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED')
+          SELECT 'by_status' AS aggregation_type, status AS group_column, 'order_count' AS metric,
+            CAST(count(*) AS VARCHAR) AS value FROM kept GROUP BY status
+          UNION ALL SELECT 'by_month', month, 'order_count', CAST(count(*) AS VARCHAR) FROM kept GROUP BY month
+          UNION ALL SELECT 'by_customer', customer, 'order_count', CAST(count(*) AS VARCHAR) FROM kept
+            GROUP BY customer""",
         "version_history": f"""{SNAP} SELECT _version AS version, min(_commit_timestamp) AS timestamp,
           count(*) AS row_count, CASE _version WHEN 0 THEN 'CREATE TABLE' WHEN 2 THEN 'MERGE' ELSE 'WRITE' END
           AS operation FROM snap GROUP BY _version""",
@@ -258,6 +267,8 @@ def oracle_sql() -> dict[str, str]:
         "change_summary": f"""{SNAP}, feed AS ({except_feed(2)} UNION ALL {except_feed(3)})
           SELECT _change_type, count(*) AS count FROM feed GROUP BY _change_type""",
         "stored_as_of": rows_at(2),
+        "appended_changes": """SELECT *, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version
+          FROM orders ORDER BY o_orderkey LIMIT 5""",
         "stored_retention": f"""{SNAP} SELECT _version AS version, min(_commit_timestamp) AS timestamp,
           count(*) AS row_count FROM snap GROUP BY _version
           HAVING _version >= (SELECT max(_version) FROM snap

@@ -10,8 +10,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry import shapes
-from tierwork import INCIDENTS
+from tierwork.registry import shapes
+from tierwork import INCIDENTS, DatasetSpec
 from tierwork.functions import dates, names
 from tierwork.operators import changes, copies, metrics, quality, routing, versions
 from tierwork.plans import layers, run
@@ -476,6 +476,38 @@ def layer_rows(spark, sf_dir):
     return run.run(spark, spec, _raw_csv(spark, sf_dir), location)
 
 
+# The same layers for another dataset, told apart by its spec only
+
+ORDERS = DatasetSpec(
+    name="orders",
+    renames={"order key": "o_orderkey"},
+    critical=("o_orderkey", "o_orderpriority"),
+    defaults={"o_orderstatus": "Unknown"},
+    date_columns=("o_orderdate",),
+    metrics=(
+        metrics.CountBy("by_status", "o_orderstatus", "order_count"),
+        metrics.CountByMonth("by_month", "o_orderdate", "order_count", pad=True),
+        metrics.CountBy("by_customer", "o_custkey", "order_count"),
+    ),
+)
+
+
+@query
+def gold_of_orders(spark, sf_dir):
+    """Orders through CSV, with status P and priority 4 left empty, up to gold."""
+    path = work_path(spark, "orders-csv")
+    orders = shapes.table(spark, sf_dir, "orders").withColumns(
+        {
+            "o_orderstatus": F.nullif(F.col("o_orderstatus"), F.lit("P")),
+            "o_orderpriority": F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")),
+            "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+        }
+    )
+    orders.withColumnRenamed("o_orderkey", "order key").write.option("header", True).csv(path)
+    routed = layers.routed(layers.bronze(spark, ORDERS, path), ORDERS)
+    return layers.gold(layers.silver(routed, ORDERS), ORDERS).drop("created_timestamp")
+
+
 # Table history
 
 
@@ -581,6 +613,16 @@ def table_versions(spark, sf_dir):
     return versions.version_history(snapshots.read_snapshots(spark, location), operations).drop("timestamp")
 
 
+@query
+def appended_changes(spark, sf_dir):
+    """The change feed of a table from before five of its own rows were added again."""
+    name, location = f"orders_{uuid4().hex}", work_path(spark, "orders")
+    orders = tables.overwrite_table(shapes.table(spark, sf_dir, "orders"), name, location)
+    tables.append_rows(orders.orderBy("o_orderkey").limit(5), name, location)
+    stored, commits = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    return changes.change_feed(stored, 1, commits=commits).drop("_commit_timestamp")
+
+
 @query
 def stored_retention(spark, sf_dir):
     """The versions left after those expired on January 15th were retired, and their rows."""

@@ -71,13 +71,17 @@ def add_version(
     return version
 
 
-def read_snapshots(spark: SparkSession, location: str, file_format: str = "parquet") -> DataFrame:
+def read_snapshots(
+    spark: SparkSession, location: str, file_format: str = "parquet", merge_schema: bool = False
+) -> DataFrame:
     """All finished versions with ``_version`` and ``_commit_timestamp``.
 
-    The times come from the notes, a row per version, by a join on the folder's version; Spark
+    ``merge_schema`` is for tables whose columns have changed: a version without a column has
+    nulls there. The times come from the notes, a row per version, by a join on the folder's version; Spark
     broadcasts the notes while they are under its size threshold.
     """
-    rows = spark.read.format(file_format).load(f"{location.rstrip('/')}/snapshots")
+    reader = spark.read.format(file_format).option("mergeSchema", merge_schema)
+    rows = reader.load(f"{location.rstrip('/')}/snapshots")
     return rows.join(read_commits(spark, location).select(VERSION, COMMIT_TIME), VERSION)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierwork.functions.names import quoted
+from tierwork.functions.names import named, quoted
 from tierwork.sources.files import DEFAULT_FILE_BYTES, packed
 from tierwork.sources.snapshots import add_version, latest_version, snapshot_path
 
@@ -74,10 +74,17 @@ def overwrite_table(
     return spark.table(name)
 
 
-def append_rows(df: DataFrame, name: str) -> DataFrame:
-    """Add rows to a table, matched by column name, and return the table."""
+def append_rows(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
+    """Add rows to a table, matched by column name, and return the table.
+
+    With the ``location`` of its versions the table gets a new version, so a change feed shows
+    the rows as inserts; without, they join the current version's files.
+    """
     spark = df.sparkSession
-    df.select(*spark.table(name).columns).write.insertInto(name)
+    if location is not None:
+        longer = spark.table(name).unionByName(df)
+        return overwrite_table(longer, name, location, operation="APPEND")
+    df.select(*map(named, spark.table(name).columns)).write.insertInto(name)
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
