@@ -113,6 +113,13 @@ def test_text_dates(spark):
     assert tuple(parse_losses(df, ["d"], INCIDENTS.date_formats).first()) == ("d", 1)
 
 
+def test_a_date_becomes_midnight(spark):
+    df = spark.range(1).select(F.to_date(F.lit("2024-01-31")).alias("d"))
+    parsed = parse_timestamps(df, ["d"], ["dd-MM-yyyy HH:mm"])
+    assert parsed.dtypes == [("d", "timestamp")]
+    assert str(parsed.first()[0]) == "2024-01-31 00:00:00"
+
+
 def test_a_timestamp_is_left_as_it_is(spark):
     df = spark.range(1).select(F.to_timestamp_ntz(F.lit("2024-01-01 00:00:59")).alias("d"))
     assert parse_timestamps(df, ["d"], ["dd-MM-yyyy HH:mm"]).collect() == df.collect()

@@ -1,0 +1,120 @@
+"""What the plans read and how often they shuffle, on stored tables."""
+
+from datetime import datetime
+
+import pytest
+
+from tierwork import INCIDENTS
+from tierwork.operators import changes, copies, metrics, quality, routing, versions
+from tierwork.plans import layers
+from tierwork.registry import shapes
+from tierwork.sources import snapshots
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Incident rows, routed rows, silver and order versions as stored tables."""
+    folder, sf_dir = tmp_path_factory.mktemp("stored"), "/root/testdata/sf0.001"
+    incidents = shapes.with_text_dates(shapes.incidents(spark, sf_dir))
+    made = {"bronze": incidents, "routed": layers.routed(incidents, INCIDENTS)}
+    made["silver"] = layers.silver(made["routed"], INCIDENTS)
+    for name, df in made.items():
+        df.write.parquet(f"{folder}/{name}")
+    for version, committed_at, operation in shapes.COMMITS:
+        rows = versions.as_of(shapes.snapshots(spark, sf_dir), version=version)
+        snapshots.add_version(rows, f"{folder}/orders", operation, committed_at)
+    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in made}
+    tables["versions"] = snapshots.read_snapshots(spark, f"{folder}/orders")
+    tables["commits"] = snapshots.read_commits(spark, f"{folder}/orders")
+    return tables
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(frame) -> int:
+    """Shuffles of rows by key; the gathering of partial totals is not counted."""
+    plan = plan_of(frame)
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+def final_plan(frame) -> str:
+    frame.collect()
+    return plan_of(frame).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize(
+    "build, wanted",
+    [
+        (lambda t: quality.null_check(t["bronze"]), 0),
+        (lambda t: quality.duplicate_check(t["bronze"]), 1),
+        (lambda t: quality.quality_report(t["bronze"], INCIDENTS.critical), 1),
+        (lambda t: quality.quality_report_of_routed(t["routed"], INCIDENTS.critical), 0),
+        (lambda t: copies.distinct_rows(t["bronze"]), 1),
+        (lambda t: layers.routed(t["bronze"], INCIDENTS), 1),
+        (lambda t: layers.silver(t["routed"], INCIDENTS), 0),
+        (lambda t: metrics.metric_table(t["silver"], INCIDENTS.metrics), 1),
+        (lambda t: versions.as_of(t["versions"], version=2), 0),
+        (lambda t: versions.retain_versions(t["versions"], datetime(2024, 1, 15), commits=t["commits"]), 0),
+    ],
+    ids=lambda value: value if isinstance(value, int) else "query",
+)
+def test_number_of_shuffles(stored, build, wanted):
+    assert shuffles(build(stored)) == wanted
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda t: copies.number_copies(t["bronze"]),
+        lambda t: copies.extra_copies(t["bronze"]),
+        lambda t: routing.rejected_rows(layers.routed(t["bronze"], INCIDENTS)),
+    ],
+)
+def test_wide_shuffle_happens_once_and_hot_branch_vanishes(stored, build):
+    """Both branches of repeating rows read the same shuffle; without hot rows one branch goes."""
+    plan = final_plan(build(stored))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_gold_reads_six_columns(stored):
+    plan = plan_of(metrics.metric_table(stored["silver"], INCIDENTS.metrics))
+    assert plan.count("FileScan") == 1
+    wanted = {"Opened", "Priority", "State", "Category", "Assignment_Group", "Updated"}
+    read = plan.split("FileScan parquet [")[1].split("]")[0]
+    assert {column.split("#")[0] for column in read.split(",")} == wanted
+
+
+def test_gold_of_one_metric_reads_one_column(stored):
+    plan = plan_of(metrics.metric_table(stored["silver"], INCIDENTS.metrics[:1]))
+    assert "ReadSchema: struct<Priority:string>" in plan
+
+
+def test_critical_check_reads_critical_columns(stored):
+    plan = plan_of(quality.critical_check(stored["bronze"], INCIDENTS.critical))
+    assert "ReadSchema: struct<Number:string,Priority:string,State:string,Category:string>" in plan
+
+
+def test_version_reads_prune_folders(stored):
+    for frame in (
+        versions.as_of(stored["versions"], timestamp=datetime(2024, 1, 10), commits=stored["commits"]),
+        versions.retain_versions(stored["versions"], datetime(2024, 1, 15), commits=stored["commits"]),
+        changes.change_feed(stored["versions"], 2, 2, stored["commits"]),
+    ):
+        partition_filters = plan_of(frame).split("PartitionFilters: [")[1].split("]")[0]
+        assert "_version" in partition_filters
+
+
+def test_feed_over_several_versions_is_one_read_and_one_shuffle(stored):
+    plan = final_plan(changes.change_feed(stored["versions"], 1, 3, stored["commits"]))
+    assert plan.count("snapshots") == 1
+    keyed = plan_of(changes.change_feed_keyed(stored["versions"], ["k"], 1, 2, stored["commits"]))
+    assert keyed.count("/snapshots]") == 1
+    assert keyed.count("Exchange hashpartitioning(_commit_version") == 1
+
+
+def test_history_reads_no_data_columns(stored):
+    plan = plan_of(versions.version_history(stored["versions"]))
+    assert "price" not in plan and "status" not in plan

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Files up to this size are read whole by one task each without a second thought.
-LARGE_FILE_BYTES = 1024 * 1024 * 1024
+# A file up to this size is one task's work in any case.
+LARGE_FILE_BYTES = 128 * 1024 * 1024
 
 # A quoted field: at the start of a line or after a comma, up to a comma or the end of the line,
 # quotes inside it doubled. The quantifiers give nothing back, so long fields cost no stack.
@@ -15,8 +15,12 @@ QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
 
 def has_large_files(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether some file is more than one core's share of all of them, so that reading it whole
+    would hold up the rest; from the folder listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return (files.agg(F.max("length")).first()[0] or 0) > LARGE_FILE_BYTES
+    largest, total = files.agg(F.max("length"), F.sum("length")).first()
+    share = (total or 0) / spark.sparkContext.defaultParallelism
+    return (largest or 0) > max(LARGE_FILE_BYTES, share)
 
 
 def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:

@@ -28,9 +28,13 @@ def _retired_path(location: str) -> str:
     return f"{location.rstrip('/')}/retired"
 
 
+def _all_commits(spark: SparkSession, location: str) -> DataFrame:
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{location.rstrip('/')}/commits")
+
+
 def read_commits(spark: SparkSession, location: str) -> DataFrame:
     """One row per version that can be read: ``_version, _commit_timestamp, operation``."""
-    commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{location.rstrip('/')}/commits")
+    commits = _all_commits(spark, location)
     retired = spark.read.schema(f"{VERSION} int").parquet(_retired_path(location))
     return commits.join(retired, VERSION, "left_anti")
 
@@ -38,7 +42,7 @@ def read_commits(spark: SparkSession, location: str) -> DataFrame:
 def latest_version(spark: SparkSession, location: str) -> int | None:
     """The last finished version, None if there is none."""
     try:
-        return read_commits(spark, location).agg(F.max(VERSION)).first()[0]
+        return _all_commits(spark, location).agg(F.max(VERSION)).first()[0]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -58,7 +62,7 @@ def add_version(
     latest = latest_version(spark, location)
     version = 0 if latest is None else latest + 1
     if latest is None:
-        none = spark.createDataFrame([], f"{VERSION} int")
+        none = spark.range(0).select(F.col("id").cast("int").alias(VERSION))
         none.write.mode("overwrite").parquet(_retired_path(location))
     rows = df.write.format(file_format).mode("overwrite").partitionBy(*partition_by)
     rows.save(snapshot_path(location, version))
