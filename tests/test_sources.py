@@ -1,8 +1,12 @@
 """Reading files, writing tables, file layout, names, the shared folder."""
 
 from collections import Counter
+from uuid import uuid4
 
 import pytest
+from hypothesis import HealthCheck, given
+from hypothesis import settings as settings_of
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -14,8 +18,6 @@ from tierwork.sources import delimited, files, snapshots, tables, work
 
 @pytest.fixture
 def name():
-    from uuid import uuid4
-
     return f"t_{uuid4().hex}"
 
 
@@ -70,6 +72,23 @@ def test_lines_that_stand_alone(spark, tmp_path, text, alone):
         assert bag(split) == bag(delimited.read_csv(spark, str(path), multi_line=True))
 
 
+PLAIN_FIELD = st.text("ab ", max_size=3)
+QUOTED_FIELD = st.text('ab ,"', max_size=5).map(lambda text: '"' + text.replace('"', '""') + '"')
+RECORD = st.tuples(*[PLAIN_FIELD | QUOTED_FIELD] * 2).map(",".join)
+ANYTHING = st.text('a",\n', max_size=6)
+
+
+@settings_of(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records=st.lists(RECORD, min_size=1, max_size=6), tail=st.just("") | ANYTHING)
+def test_splitting_never_changes_the_rows(spark, tmp_path, records, tail):
+    path = tmp_path / f"{uuid4().hex}.csv"
+    path.write_text("\n".join(["x,y", *records]) + "\n" + tail)
+    if delimited.lines_stand_alone(spark, str(path)):
+        schema = "x string, y string"
+        split = delimited.read_csv(spark, str(path), schema, multi_line=False)
+        assert bag(split) == bag(delimited.read_csv(spark, str(path), schema, multi_line=True))
+
+
 def test_a_large_file_is_split_where_lines_stand_alone(spark, tmp_path, monkeypatch):
     plain, broken = str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")
     rows = spark.range(200_000).select("id", F.lit('x, "y" ' * 6).alias("s"))
@@ -206,10 +225,11 @@ def test_compacted_table_is_a_version(spark, tmp_path, name):
     location = str(tmp_path / "t")
     tables.overwrite_table(spark.range(100).repartition(9), name, location)
     assert tables.compact_table(spark, name, location).count() == 100
-    detail = files.table_detail(spark, snapshots.snapshot_path(location, 1)).first()
-    assert detail["numFiles"] == 1
-    operations = snapshots.read_commits(spark, location).orderBy("_version").select("operation")
-    assert [r[0] for r in operations.collect()] == ["WRITE", "OPTIMIZE"]
+    assert files.table_detail(spark, snapshots.snapshot_path(location, 0)).first()["numFiles"] == 9
+    assert tables.current_files(spark, location).first()["numFiles"] == 1
+    history = versions.newest_first(versions.commit_history(snapshots.read_commits(spark, location)))
+    assert history.columns == ["version", "timestamp", "operation"]
+    assert [(r[0], r[2]) for r in history.collect()] == [(1, "OPTIMIZE"), (0, "WRITE")]
 
 
 @pytest.mark.parametrize("size, partition", [(1, 128 * 2**20), (10**14, 1_810_193_360), (10**18, 2**31)])

@@ -608,9 +608,9 @@ def table_versions(spark, sf_dir):
     tables.overwrite_table(orders, name, location, operation="CREATE TABLE")
     tables.overwrite_table(spark.table(name).filter("o_orderstatus <> 'P'"), name, location)
     tables.compact_table(spark, name, location)
-    commits = snapshots.read_commits(spark, location)
-    operations = commits.select(F.col("_version").alias("version"), "operation")
-    return versions.version_history(snapshots.read_snapshots(spark, location), operations).drop("timestamp")
+    history = versions.commit_history(snapshots.read_commits(spark, location)).drop("timestamp")
+    stored = snapshots.read_snapshots(spark, location)
+    return versions.version_history(stored, history).drop("timestamp")
 
 
 @query

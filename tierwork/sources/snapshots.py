@@ -1,9 +1,9 @@
 """Storing every version of a table: one folder per version, one note per commit.
 
-``<location>/snapshots/_version=<n>`` holds the rows of version n, ``<location>/commits`` a row per
-finished version, ``<location>/retired`` a row per version given up. A version counts only between
-its two notes, so what a failed job leaves behind is never read and is replaced by the next
-attempt. One writer at a time per location.
+``<location>/snapshots/_version=<n>`` holds the rows of version n, ``<location>/commits`` a note per
+finished version and one more when it is given up. A version counts only between its two notes, so
+what a failed job leaves behind is never read and is replaced by the next attempt. One writer at a
+time per location.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tierwork.operators.versions import COMMIT_TIME, VERSION, expired_versions
 
+RETIRED = "RETIRE"
 COMMIT_SCHEMA = f"{VERSION} int, {COMMIT_TIME} timestamp, operation string"
 
 
@@ -24,25 +25,25 @@ def snapshot_path(location: str, version: int) -> str:
     return f"{location.rstrip('/')}/snapshots/{VERSION}={version}"
 
 
-def _retired_path(location: str) -> str:
-    return f"{location.rstrip('/')}/retired"
+def _notes(spark: SparkSession, location: str) -> DataFrame:
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{location.rstrip('/')}/commits")
 
 
-def _all_commits(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{location.rstrip('/')}/commits")
+def _add_notes(notes: DataFrame, location: str) -> None:
+    notes.coalesce(1).write.mode("append").parquet(f"{location.rstrip('/')}/commits")
 
 
 def read_commits(spark: SparkSession, location: str) -> DataFrame:
     """One row per version that can be read: ``_version, _commit_timestamp, operation``."""
-    commits = _all_commits(spark, location)
-    retired = spark.read.schema(f"{VERSION} int").parquet(_retired_path(location))
-    return commits.join(retired, VERSION, "left_anti")
+    notes = _notes(spark, location)
+    retired = notes.filter(F.col("operation") == RETIRED).select(VERSION)
+    return notes.filter(F.col("operation") != RETIRED).join(retired, VERSION, "left_anti")
 
 
 def latest_version(spark: SparkSession, location: str) -> int | None:
     """The last finished version, None if there is none."""
     try:
-        return _all_commits(spark, location).agg(F.max(VERSION)).first()[0]
+        return _notes(spark, location).agg(F.max(VERSION)).first()[0]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -61,9 +62,6 @@ def add_version(
     spark = df.sparkSession
     latest = latest_version(spark, location)
     version = 0 if latest is None else latest + 1
-    if latest is None:
-        none = spark.range(0).select(F.col("id").cast("int").alias(VERSION))
-        none.write.mode("overwrite").parquet(_retired_path(location))
     rows = df.write.format(file_format).mode("overwrite").partitionBy(*partition_by)
     rows.save(snapshot_path(location, version))
     note = spark.range(1).select(
@@ -71,7 +69,7 @@ def add_version(
         (F.current_timestamp() if committed_at is None else F.lit(committed_at)).alias(COMMIT_TIME),
         F.lit(operation).alias("operation"),
     )
-    note.coalesce(1).write.mode("append").parquet(f"{location.rstrip('/')}/commits")
+    _add_notes(note, location)
     return version
 
 
@@ -117,5 +115,9 @@ def retire_versions(
     """
     commits = read_commits(spark, location)
     expired = expired_versions(commits, as_of, retain_hours)
-    notes = expired.select(F.col("version").alias(VERSION)).coalesce(1)
-    notes.write.mode("append").parquet(_retired_path(location))
+    notes = expired.select(
+        F.col("version").alias(VERSION),
+        F.current_timestamp().alias(COMMIT_TIME),
+        F.lit(RETIRED).alias("operation"),
+    )
+    _add_notes(notes, location)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwork.functions.names import named, quoted
-from tierwork.sources.files import DEFAULT_FILE_BYTES, packed
+from tierwork.sources.files import DEFAULT_FILE_BYTES, packed, table_detail
 from tierwork.sources.snapshots import add_version, latest_version, snapshot_path
 
 
@@ -89,6 +89,11 @@ def append_rows(df: DataFrame, name: str, location: str | None = None) -> DataFr
     return spark.table(name)
 
 
+def current_files(spark: SparkSession, location: str) -> DataFrame:
+    """Number of files and bytes of a table's current version."""
+    return table_detail(spark, snapshot_path(location, latest_version(spark, location)))
+
+
 def compact_table(
     spark: SparkSession, name: str, location: str, file_bytes: int = DEFAULT_FILE_BYTES
 ) -> DataFrame:
