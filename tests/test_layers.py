@@ -136,6 +136,7 @@ def test_each_row_can_name_its_own_file(spark, tmp_path):
     spec = replace(INCIDENTS, file_names="each", duplicate_key=("Number", "User_ID"),
                    duplicate_order=("source_file_name",), critical=("Number",), defaults={}, date_columns=())
     bronze = layers.bronze(spark, spec, str(tmp_path), F.lit("2024-01-01").cast("timestamp"))
+    assert bronze.columns == ["Number", "User_ID", "ingestion_timestamp", "source_file_name"]
     assert {r["source_file_name"] for r in bronze.collect()} == {"a.csv", "b.csv"}
     routed = layers.routed(bronze, spec)
     assert [r["source_file_name"] for r in layers.silver(routed, spec).collect()] == ["a.csv"]

@@ -6,28 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.functions.dates import parse_timestamps
-from tierwork.functions.names import rename_columns, sanitize_columns
+from tierwork.functions.names import named, rename_columns, sanitize_columns
 from tierwork.operators.metrics import metric_table
 from tierwork.operators.routing import clean_rows, fill_defaults, route
 from tierwork.sources.delimited import read_csv
-from tierwork.spec import INGEST_TIME_COLUMN, SOURCE_FILE_COLUMN, DatasetSpec
+from tierwork.spec import INGEST_TIME_COLUMN, METADATA, SOURCE_FILE_COLUMN, DatasetSpec
 
 # Fixed value: the time column of a metric table.
 CREATED_TIME_COLUMN = "created_timestamp"
 
 
 def with_metadata(df: DataFrame, file_name: Column, at: Column | None = None) -> DataFrame:
-    """Add load time and source file."""
+    """Add load time and source file as the last columns."""
     at = F.current_timestamp() if at is None else at
-    return df.withColumns({INGEST_TIME_COLUMN: at, SOURCE_FILE_COLUMN: file_name})
+    own = [named(name) for name in df.columns if name not in METADATA]
+    return df.select(*own, at.alias(INGEST_TIME_COLUMN), file_name.alias(SOURCE_FILE_COLUMN))
 
 
 def bronze(spark: SparkSession, spec: DatasetSpec, path: str, at: Column | None = None) -> DataFrame:
     """The raw file with usable column names and load metadata, otherwise as it came."""
     raw = read_csv(spark, path, infer_types=spec.infer_types, multi_line=spec.multi_line)
     if spec.file_names == "each":
-        with_name = raw.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE_COLUMN))
-        raw, origin = with_name, F.col(SOURCE_FILE_COLUMN)
+        raw = raw.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE_COLUMN))
+        origin = F.col(SOURCE_FILE_COLUMN)
     else:
         origin = F.lit(path.rstrip("/").rsplit("/", 1)[-1])
     return with_metadata(usable_names(raw, spec), origin, at)
