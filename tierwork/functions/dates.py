@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,12 @@ from pyspark.sql import functions as F
 from tierwork.functions.names import named
 
 
+def moment(at: datetime) -> Column:
+    """A point in time; without a zone of its own it is meant in the session's, whatever the zone
+    of the machine the driver runs on."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def parsed_timestamp(df: DataFrame, name: str, formats: Sequence[str]) -> Column:
     """The column as a timestamp: the first format that fits, null if none does.
 

@@ -13,6 +13,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierwork.functions.dates import moment
+
 VERSION = "_version"
 COMMIT_TIME = "_commit_timestamp"
 
@@ -48,9 +50,9 @@ def version_bounds(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def _in_force(commits: DataFrame, at: datetime | Column) -> Column:
+def _in_force(commits: DataFrame, at: datetime) -> Column:
     """The version a reader saw at ``at``, as a scalar subquery."""
-    seen = commits.filter(F.col(COMMIT_TIME) <= (F.lit(at) if isinstance(at, datetime) else at))
+    seen = commits.filter(F.col(COMMIT_TIME) <= moment(at))
     return seen.agg(F.max(VERSION)).scalar()
 
 

@@ -47,6 +47,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _day(text: str) -> Column:
+    return F.to_timestamp_ntz(F.lit(text))
+
+
 def _unless(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
@@ -92,7 +96,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
             _unless(balance < -900, F.col("c_mktsegment")).alias("Category"),
             _unless(balance < 0, F.col("n_name")).alias("Assignment_Group"),
             F.concat(F.lit("S"), "first_supplier").alias("Assigned_To"),
-            _unless(F.col("o_orderdate") < datetime(1996, 1, 1), F.col("r_name")).alias("Channel"),
+            _unless(F.col("o_orderdate") < _day("1996-01-01"), F.col("r_name")).alias("Channel"),
             F.concat(F.lit("Line "), "last_line").alias("Service"),
             _unless(units.isNull() | (units < 10), family).alias("Service_Family"),
             F.concat(family, F.lit(" "), F.col("o_orderstatus"), F.lit(" "), "r_name").alias(
@@ -148,9 +152,9 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     appended, a merge that closes old open orders and removes cheap ones, and a repeated append
     of the last open month that leaves exact copies."""
     date, status, price = F.col("o_orderdate"), F.col("o_orderstatus"), F.col("o_totalprice")
-    merged = F.when((date < datetime(1996, 1, 1)) & (status == "O"), "F").otherwise(status)
+    merged = F.when((date < _day("1996-01-01")) & (status == "O"), "F").otherwise(status)
     remains = price >= 20000
-    repeated = remains & (status == "P") & (date >= datetime(2001, 7, 1))
+    repeated = remains & (status == "P") & (date >= _day("2001-07-01"))
 
     def entry(version: int, state: Column) -> Column:
         return F.struct(
@@ -161,7 +165,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     entries = F.array_compact(
         F.array(
-            F.when(date < datetime(2001, 1, 1), entry(0, status)),
+            F.when(date < _day("2001-01-01"), entry(0, status)),
             entry(1, status),
             F.when(remains, entry(2, merged)),
             F.when(remains, entry(3, merged)),

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwork.functions.dates import moment
 from tierwork.operators.versions import COMMIT_TIME, VERSION, expired_versions
 
 RETIRED = "RETIRE"
@@ -66,7 +67,7 @@ def add_version(
     rows.save(snapshot_path(location, version))
     note = spark.range(1).select(
         F.lit(version).alias(VERSION),
-        (F.current_timestamp() if committed_at is None else F.lit(committed_at)).alias(COMMIT_TIME),
+        (F.current_timestamp() if committed_at is None else moment(committed_at)).alias(COMMIT_TIME),
         F.lit(operation).alias("operation"),
     )
     _add_notes(note, location)
