@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tierwork.operators import changes, versions
 from tierwork.sources import snapshots
@@ -115,6 +116,34 @@ def test_as_of(spark):
         versions.as_of(rows)
 
 
+def test_a_version_without_rows(spark, tmp_path):
+    rows = tagged(spark, [[(1, "a")], [], [(2, "b")]])
+    for notes in (None, commits(spark, 3)):
+        feed = changes.change_feed(rows, 1, commits=notes).select("k", "_change_type", "_commit_version")
+        assert bag(feed) == Counter([(1, "delete", 1), (2, "insert", 2)])
+        keyed = changes.change_feed_keyed(rows, ["k"], 1, commits=notes)
+        assert bag(keyed.select("k", "_change_type", "_commit_version")) == bag(feed)
+    assert versions.as_of(rows, version=1, commits=commits(spark, 3)).isEmpty()
+    with pytest.raises(versions.VersionNotAvailable):
+        versions.as_of(rows, version=3, commits=commits(spark, 3))
+    log = versions.commit_history(commits(spark, 3).withColumn("operation", F.lit("WRITE")))
+    shown = versions.newest_first(versions.version_history(rows, log)).collect()
+    assert [tuple(r) for r in shown] == [
+        (2, day(2), 1, "WRITE"), (1, day(1), 0, "WRITE"), (0, day(0), 1, "WRITE")
+    ]
+
+
+def test_an_empty_last_version_is_stored(spark, tmp_path):
+    location = str(tmp_path / "store")
+    rows = spark.createDataFrame([(1, "x")], "k int, v string")
+    snapshots.add_version(rows, location)
+    snapshots.add_version(rows.limit(0), location)
+    stored, notes = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    feed = changes.change_feed(stored, 1, commits=notes).select("k", "_change_type")
+    assert bag(feed) == Counter([(1, "delete")])
+    assert versions.as_of(stored, version=1, commits=notes).isEmpty()
+
+
 def test_retention(spark):
     rows = tagged(spark, [[(1, "a")], [(1, "b")], [(1, "c")]])  # January 1st, 5th, 9th
     kept = lambda at, hours=168: [

@@ -45,5 +45,5 @@ def rename_columns(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
-    """Turn every run of characters other than letters, digits and underscore into one underscore."""
+    """Turn every run of characters other than letters, digits, underscores into one underscore."""
     return _checked(df, [re.sub(r"[^0-9A-Za-z_]+", "_", name) for name in df.columns])

@@ -2,9 +2,9 @@
 
 A feed over versions ``start .. end`` lists what each of those versions changed against the one
 before it; version 0 starts from nothing. Every row takes part twice, as new row of its version
-and as old row of the next one, so all steps of a feed share one read and one shuffle. Which versions
-there are and when they were committed comes from ``commits`` (one row per version) if given, else
-from the snapshots themselves.
+and as old row of the next one, so all steps of a feed share one read and one shuffle. Which
+versions there are and when they were committed comes from ``commits`` (one row per version) if
+given, else from the snapshots themselves, which do not show a last version without rows.
 """
 
 from __future__ import annotations
@@ -65,7 +65,8 @@ def _with_times(changes: DataFrame, commits: DataFrame, start: int, end: int) ->
     )
     if end - start < MOST_BROADCAST_VERSIONS:
         times = F.broadcast(times)
-    return changes.join(times, COMMIT_VERSION)
+    # A version without rows has no time in the snapshots; its deletes are kept all the same.
+    return changes.join(times, COMMIT_VERSION, "left")
 
 
 def _feed_columns(snapshots: DataFrame) -> list[Column]:
@@ -131,7 +132,10 @@ def change_feed_keyed(
         )
         .when(was.isNull(), F.array(entry(INSERT, "_new")))
         .when(now.isNull(), F.array(entry(DELETE, "_old")))
-        .when(~was.eqNullSafe(now), F.array(entry(UPDATE_BEFORE, "_old"), entry(UPDATE_AFTER, "_new")))
+        .when(
+            ~was.eqNullSafe(now),
+            F.array(entry(UPDATE_BEFORE, "_old"), entry(UPDATE_AFTER, "_new")),
+        )
     )
     listed = pairs.select(COMMIT_VERSION, F.explode(entries).alias("_entry")).select(
         COMMIT_VERSION, F.col("_entry.kind").alias(CHANGE_TYPE), "_entry.row.*"

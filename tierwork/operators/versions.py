@@ -24,12 +24,22 @@ class VersionNotAvailable(LookupError):
 
 
 def version_history(snapshots: DataFrame, operations: DataFrame | None = None) -> DataFrame:
-    """``version, timestamp, row_count`` per version, and ``operation`` if a log of
-    ``version, operation`` is given."""
+    """``version, timestamp, row_count`` per version, and ``operation`` if a log of ``version,
+    operation`` and perhaps ``timestamp`` is given; the log also knows versions without rows."""
     history = snapshots.groupBy(F.col(VERSION).alias("version")).agg(
         F.min(COMMIT_TIME).alias("timestamp"), F.count(F.lit(1)).alias("row_count")
     )
-    return history.join(operations, "version", "left") if operations is not None else history
+    if operations is None:
+        return history
+    known = operations.withColumnsRenamed({"timestamp": "noted"})
+    both = history.join(known, "version", "full")
+    times = ["timestamp", "noted"] if "noted" in known.columns else ["timestamp"]
+    return both.select(
+        "version",
+        F.coalesce(*times).alias("timestamp"),
+        F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
+        "operation",
+    )
 
 
 def commit_history(commits: DataFrame) -> DataFrame:
@@ -65,8 +75,8 @@ def as_of(
 ) -> DataFrame:
     """The rows of one version, or of the latest version not after ``timestamp``.
 
-    A version that is not there raises ``VersionNotAvailable`` (found out by looking for one row)
-    unless ``missing="empty"``.
+    A version that is not there raises ``VersionNotAvailable`` unless ``missing="empty"``; whether
+    it is there is looked up in ``commits``, else by looking for one of its rows.
     """
     if (version is None) == (timestamp is None):
         raise ValueError("give either a version or a timestamp")
@@ -75,7 +85,8 @@ def as_of(
     else:
         wanted = _in_force(snapshots if commits is None else commits, timestamp)
     rows = snapshots.filter(F.col(VERSION) == wanted)
-    if missing == "raise" and rows.isEmpty():
+    known = rows if commits is None else commits.filter(F.col(VERSION) == wanted)
+    if missing == "raise" and known.isEmpty():
         raise VersionNotAvailable(f"no rows for {version if version is not None else timestamp}")
     return rows.drop(VERSION, COMMIT_TIME)
 

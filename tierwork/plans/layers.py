@@ -23,7 +23,9 @@ def with_metadata(df: DataFrame, file_name: Column, at: Column | None = None) ->
     return df.select(*own, at.alias(INGEST_TIME_COLUMN), file_name.alias(SOURCE_FILE_COLUMN))
 
 
-def bronze(spark: SparkSession, spec: DatasetSpec, path: str, at: Column | None = None) -> DataFrame:
+def bronze(
+    spark: SparkSession, spec: DatasetSpec, path: str, at: Column | None = None
+) -> DataFrame:
     """The raw file with usable column names and load metadata, otherwise as it came."""
     raw = read_csv(spark, path, infer_types=spec.infer_types, multi_line=spec.multi_line)
     if spec.file_names == "each":
