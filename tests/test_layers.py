@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwork import INCIDENTS
-from tierwork.operators.quality import QualityGateFailed
+from tierwork.operators.quality import QualityGateFailed, quality_report
 from tierwork.plans import layers, run
 from tierwork.sources.files import table_detail
 from tierwork.sources.snapshots import read_commits, read_snapshots
@@ -103,6 +103,23 @@ def test_gold(spark, made):
     )
 
 
+def test_report_equals_the_one_computed_from_bronze(spark, made):
+    spec, _, _ = made
+    wanted = quality_report(spark.table(spec.table("bronze")), spec.critical)
+    written = spark.table(spec.table("quality")).drop("report_timestamp")
+    assert Counter(written.collect()) == Counter(wanted.collect())
+
+
+def test_no_rows_at_all(spark, made, tmp_path):
+    spec, _, _ = made
+    (tmp_path / "none.csv").write_text(HEADER + "\n")
+    empty = replace(spec, name="empty", schema="layers_empty")
+    spark.sql(f"CREATE DATABASE layers_empty LOCATION '{tmp_path}/schema'")
+    summary = run.run(spark, empty, str(tmp_path / "none.csv"), str(tmp_path / "tables"))
+    counts = {r["layer"]: r["row_count"] for r in summary.collect()}
+    assert counts == {"bronze": 0, "quality": 21, "silver": 0, "quarantine": 0, "gold": 0}
+
+
 def test_a_second_run_adds_versions(spark, made):
     spec, counts, folder = made
     again = run.run(spark, spec, str(folder / "incidents.csv"), str(folder / "tables"))

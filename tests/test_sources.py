@@ -252,6 +252,15 @@ def test_work_folder_is_the_one_the_session_names(spark):
     assert kept.count() == 5 and "Range" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_counts_taken_while_writing(spark, n):
+    rows = spark.range(n).withColumn("g", F.col("id") % 3).groupBy("g").agg(F.count("id").alias("c"))
+    total = F.coalesce(F.sum("c"), F.lit(0).cast("bigint")).alias("total")
+    kept, counts = work.written_and_counted(rows, "x", [total, F.count("g").alias("groups")])
+    assert counts.collect() == kept.agg(total, F.count("g").alias("groups")).collect()
+    assert tuple(counts.first()) == (n, min(n, 3))
+
+
 def test_a_cluster_has_to_name_the_folder():
     class Conf(dict):
         pass

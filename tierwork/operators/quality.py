@@ -46,29 +46,32 @@ def counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return present.select("total", *nulls)
 
 
-def _weighted(rows: DataFrame, columns: Sequence[str], weight: Column, extra: Column) -> DataFrame:
-    """The same from rows that stand for ``weight`` rows each, with ``duplicates`` added."""
-    return rows.agg(
+def _weighted(columns: Sequence[str], weight: Column, extra: Column) -> list[Column]:
+    """The same for rows that stand for ``weight`` rows each, and ``duplicates``."""
+    return [
         _sum(weight).alias("total"),
         _sum(extra).alias("duplicates"),
         *(
             _sum(F.when(named(name).isNull(), weight)).alias(f"n{i}")
             for i, name in enumerate(columns)
         ),
-    )
+    ]
 
 
 def counts_with_duplicates(df: DataFrame) -> DataFrame:
     """Total, duplicates and nulls of every column; one pass and one shuffle of folded rows."""
     n = F.col("_copies")
-    return _weighted(collapse_copies(df, "_copies"), df.columns, n, n - 1)
+    return collapse_copies(df, "_copies").agg(*_weighted(df.columns, n, n - 1))
 
 
-def counts_of_routed(routed: DataFrame) -> DataFrame:
-    """The same from routed rows, which need no shuffle any more."""
-    columns = [name for name in routed.columns if name not in MARKS]
+def routed_counts(columns: Sequence[str]) -> list[Column]:
+    """The same as aggregates over routed rows, which need no shuffle any more."""
     weight = F.col("_kept").cast("bigint") + F.col("_extra")
-    return _weighted(routed, columns, weight, F.col("_extra"))
+    return _weighted(columns, weight, F.col("_extra"))
+
+
+def _row_columns(routed: DataFrame) -> list[str]:
+    return [name for name in routed.columns if name not in MARKS]
 
 
 Finding = tuple[str, str, Column]
@@ -144,19 +147,22 @@ def critical_check(df: DataFrame, critical: Sequence[str]) -> DataFrame:
     return _laid_out(counts_of(df, critical), [finding], len(critical))
 
 
-def _report(counts: DataFrame, columns: Sequence[str], critical: Sequence[str]) -> DataFrame:
+def report_of_counts(
+    counts: DataFrame, columns: Sequence[str], critical: Sequence[str]
+) -> DataFrame:
+    """The report from one row of counts over ``columns``."""
     findings = [_record(), _duplicates(), _critical(columns, critical), *_nulls(columns)]
     return _laid_out(counts, findings, len(critical))
 
 
 def quality_report(df: DataFrame, critical: Sequence[str]) -> DataFrame:
     """Record count, duplicates, critical columns, then nulls per column, in this order."""
-    return _report(counts_with_duplicates(df), df.columns, critical)
+    return report_of_counts(counts_with_duplicates(df), df.columns, critical)
 
 
 def quality_report_of_routed(routed: DataFrame, critical: Sequence[str]) -> DataFrame:
-    columns = [name for name in routed.columns if name not in MARKS]
-    return _report(counts_of_routed(routed), columns, critical)
+    columns = _row_columns(routed)
+    return report_of_counts(routed.agg(*routed_counts(columns)), columns, critical)
 
 
 def timed(report: DataFrame, at: Column | None = None) -> DataFrame:

@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.operators.quality import enforce_gate, quality_report_of_routed, timed
+from tierwork.operators.quality import enforce_gate, report_of_counts, routed_counts, timed
 from tierwork.operators.routing import quarantine, reconcile
 from tierwork.plans import layers
 from tierwork.sources.tables import overwrite_table
-from tierwork.sources.work import written
+from tierwork.sources.work import written_and_counted
 from tierwork.spec import DatasetSpec
 
 LAYERS = ("bronze", "quality", "silver", "quarantine", "gold")
@@ -26,7 +26,8 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
     """Read ``path``, write the five tables under ``location``, return rows per layer.
 
     Each step starts from a written table, so the raw file is read once and the wide shuffle of
-    the duplicate search runs once; report, quarantine and silver are narrow reads of its result.
+    the duplicate search runs once. The report is counted while its result is written; quarantine
+    and silver are narrow reads of that.
     An exception stops the run and leaves the tables of later layers as they were.
     """
 
@@ -34,8 +35,11 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
         return overwrite_table(df, spec.table(layer), f"{location}/{layer}")
 
     bronze = write(layers.bronze(spark, spec, path), "bronze")
-    routed = written(layers.routed(bronze, spec), "routed")
-    report = write(timed(quality_report_of_routed(routed, spec.critical)), "quality")
+    columns = bronze.columns
+    routed, counts = written_and_counted(
+        layers.routed(bronze, spec), "routed", routed_counts(columns)
+    )
+    report = write(timed(report_of_counts(counts, columns, spec.critical)), "quality")
     enforce_gate(report, spec.on_fail)
     # Few rejected rows come out of every scan task; rebalanced, they make few files.
     rejected = write(quarantine(routed).hint("rebalance"), "quarantine")

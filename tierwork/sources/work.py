@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from functools import cache
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 @cache
@@ -34,3 +35,15 @@ def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     path = path or work_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_and_counted(
+    df: DataFrame, purpose: str, counts: Sequence[Column]
+) -> tuple[DataFrame, DataFrame]:
+    """``written``, and one row of bigint ``counts`` over the rows, which are taken while they are
+    written: no second read. A task that runs again counts once, like its file."""
+    seen = Observation()
+    rows = written(df.observe(seen, *counts), purpose)
+    found = seen.get
+    schema = ", ".join(f"{name} bigint" for name in found)
+    return rows, df.sparkSession.createDataFrame([tuple(found.values())], schema)
