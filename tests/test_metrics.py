@@ -40,16 +40,16 @@ def bag(df):
 def test_long_table(spark):
     assert bag(metric_table(frame(spark, ROWS), METRICS)) == Counter(
         [
-            ("by_g", "x", "incident_count", "3"),
-            ("by_g", "y", "incident_count", "1"),
-            ("by_g", None, "incident_count", "2"),
-            ("by_month", "2024-1", "incident_count", "3"),
-            ("by_month", "2024-10", "incident_count", "1"),
-            ("by_month", "2024-2", "incident_count", "1"),
-            ("hours", "x", "avg_resolution_hours", "1.0"),
-            ("hours", None, "avg_resolution_hours", "0.0"),
-            ("hours_by_s", "1", "avg_resolution_hours", "1.0"),
-            ("hours_by_s", "3", "avg_resolution_hours", "0.0"),
+            ("by_g", "x", "row_count", "3"),
+            ("by_g", "y", "row_count", "1"),
+            ("by_g", None, "row_count", "2"),
+            ("by_month", "2024-1", "row_count", "3"),
+            ("by_month", "2024-10", "row_count", "1"),
+            ("by_month", "2024-2", "row_count", "1"),
+            ("hours", "x", "avg_hours", "1.0"),
+            ("hours", None, "avg_hours", "0.0"),
+            ("hours_by_s", "1", "avg_hours", "1.0"),
+            ("hours_by_s", "3", "avg_hours", "0.0"),
         ]
     )
 
@@ -86,7 +86,7 @@ def test_short_negative_durations(spark):
     hours = frame(spark, rows).select(hours_between(F.col("a"), F.col("b")))
     assert [r[0] for r in hours.collect()] == [0.0, -0.01]
     table = metric_table(frame(spark, rows), METRICS[2:3])
-    assert bag(table) == Counter([("hours", "x", "avg_resolution_hours", "0.0")])
+    assert bag(table) == Counter([("hours", "x", "avg_hours", "0.0")])
 
 
 def test_mean_does_not_depend_on_the_order_of_rows(spark):
@@ -94,7 +94,7 @@ def test_mean_does_not_depend_on_the_order_of_rows(spark):
     ends = [f"2024-01-{d:02d} {h:02d}:{m:02d}:00" for d in range(1, 29) for h in range(24) for m in (6, 42)]
     rows = [("x", "1", "2024-01-01 00:00:00", end) for end in ends]
     exact = sum(round((int(e[8:10]) - 1) * 2400 + int(e[11:13]) * 100 + int(e[14:16]) * 100 / 60) for e in ends)
-    wanted = [("hours", "x", "avg_resolution_hours", str(round(exact / 100 / len(ends), 2)))]
+    wanted = [("hours", "x", "avg_hours", str(round(exact / 100 / len(ends), 2)))]
     for parts in (1, 3, 8):
         table = metric_table(frame(spark, rows).repartition(parts), METRICS[2:3])
         assert list(map(tuple, table.collect())) == wanted

@@ -6,6 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The status words of a check.
+PASS = "PASS"
+WARNING = "WARNING"
+FAIL = "FAIL"
+INFO = "INFO"
+
+
 def percentage(part: Column, total: Column) -> Column:
     """``part`` of ``total`` in percent, two decimals; 0.0 when there is nothing to divide by."""
     share = F.try_divide(part.cast("double"), total.cast("double"))
@@ -18,4 +25,4 @@ def percentage_text(part: Column, total: Column) -> Column:
 
 def status(found: Column, when_found: str) -> Column:
     """``when_found`` if anything was found, else PASS."""
-    return F.when(found > 0, F.lit(when_found)).otherwise(F.lit("PASS"))
+    return F.when(found > 0, F.lit(when_found)).otherwise(F.lit(PASS))

@@ -23,7 +23,7 @@ class CountBy:
 
     name: str
     column: str
-    metric: str = "incident_count"
+    metric: str = "row_count"
 
     def group(self) -> Column:
         return named(self.column)
@@ -61,7 +61,7 @@ class AverageHours:
     column: str
     start: str
     end: str
-    metric: str = "avg_resolution_hours"
+    metric: str = "avg_hours"
 
     def group(self) -> Column:
         return named(self.column)

@@ -12,12 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierwork.functions.measures import percentage, percentage_text, status
+from tierwork.functions.measures import (
+    FAIL,
+    INFO,
+    WARNING,
+    percentage,
+    percentage_text,
+    status,
+)
 from tierwork.functions.names import named
 from tierwork.operators.copies import collapse_copies
 from tierwork.operators.routing import MARKS
 
-# Check names, row labels, status words and the time column of a report.
+# Check names, row labels, wording and the time column of a report.
 RECORD_COUNT = "RECORD_COUNT"
 DUPLICATE_CHECK = "DUPLICATE_CHECK"
 CRITICAL_NULL_CHECK = "CRITICAL_NULL_CHECK"
@@ -25,6 +32,8 @@ NULL_CHECK = "NULL_CHECK"
 TOTAL_ROWS = "total_rows"
 DUPLICATE_ROWS = "duplicate_rows"
 CRITICAL_COLUMNS = "critical_columns_with_nulls"
+ALL_ROWS = "100%"
+COLUMNS_AFFECTED = " columns affected"
 REPORT_TIME_COLUMN = "report_timestamp"
 
 
@@ -112,14 +121,14 @@ def _laid_out(counts: DataFrame, findings: Sequence[Finding], critical: int = 0)
     """Findings in the wording of a report; ``critical`` is the number of critical columns."""
     kind, n = F.col("check_type"), F.col("n")
     share = (
-        F.when(kind == RECORD_COUNT, F.lit("100%"))
-        .when(kind == CRITICAL_NULL_CHECK, F.concat(n, F.lit(f"/{critical} columns affected")))
+        F.when(kind == RECORD_COUNT, F.lit(ALL_ROWS))
+        .when(kind == CRITICAL_NULL_CHECK, F.concat(n, F.lit(f"/{critical}{COLUMNS_AFFECTED}")))
         .otherwise(percentage_text(n, F.col("total")))
     )
     state = (
-        F.when(kind == RECORD_COUNT, F.lit("INFO"))
-        .when(kind == CRITICAL_NULL_CHECK, status(n, "FAIL"))
-        .otherwise(status(n, "WARNING"))
+        F.when(kind == RECORD_COUNT, F.lit(INFO))
+        .when(kind == CRITICAL_NULL_CHECK, status(n, FAIL))
+        .otherwise(status(n, WARNING))
     )
     return _found(counts, findings).select(
         "check_type",

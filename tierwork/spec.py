@@ -73,10 +73,12 @@ INCIDENTS = DatasetSpec(
     },
     date_columns=("Opened", "Updated"),
     metrics=(
-        CountBy("by_priority", "Priority"),
-        CountBy("by_category", "Category"),
-        CountBy("by_state", "State"),
-        CountByMonth("by_month", "Opened"),
-        AverageHours("avg_resolution_time", "Assignment_Group", "Opened", "Updated"),
+        CountBy("by_priority", "Priority", "incident_count"),
+        CountBy("by_category", "Category", "incident_count"),
+        CountBy("by_state", "State", "incident_count"),
+        CountByMonth("by_month", "Opened", "incident_count"),
+        AverageHours(
+            "avg_resolution_time", "Assignment_Group", "Opened", "Updated", "avg_resolution_hours"
+        ),
     ),
 )
