@@ -188,7 +188,8 @@ def oracle_sql() -> dict[str, str]:
         "nonneg_filter": f"{WITH} SELECT Number, {HOURS} AS hours FROM inc WHERE {HOURS} >= 0",
         "row_number_dups": f"{ROUTED} SELECT {C}, rn AS row_num FROM numbered",
         "duplicate_rows": f"{ROUTED} SELECT {C} FROM numbered WHERE rn > 1",
-        "dedup_keep_first": f"{BY_KEY} SELECT {C} FROM ranked WHERE rn = 1",
+        "dedup_keep_first": f"{ROUTED} SELECT {C} FROM numbered WHERE rn = 1",
+        "dedup_by_key": f"{BY_KEY} SELECT {C} FROM ranked WHERE rn = 1",
         "dedup_by_key_rejects": f"{BY_KEY} SELECT {C}, 'duplicate row' AS reject_reason FROM ranked WHERE rn > 1",
         "limit_n": f"""{WITH} SELECT * FROM inc WHERE Number IS NOT NULL
           ORDER BY Number NULLS FIRST, Opened NULLS FIRST, User_ID NULLS FIRST LIMIT 20""",

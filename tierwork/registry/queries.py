@@ -269,6 +269,11 @@ def duplicate_rows(inc):
 
 
 def dedup_keep_first(inc):
+    return routing.clean_rows(routing.route(inc, []))
+
+
+def dedup_by_key(inc):
+    """The first row per user and opening time."""
     routed = routing.route(inc, [], key=["User_ID", "Opened"], order=["Updated", "Number"])
     return routing.clean_rows(routed)
 
@@ -295,6 +300,7 @@ for build in (
     row_number_dups,
     duplicate_rows,
     dedup_keep_first,
+    dedup_by_key,
     dedup_by_key_rejects,
     limit_n,
 ):
