@@ -53,6 +53,7 @@ def final_plan(frame) -> str:
         (lambda t: quality.quality_report_of_routed(t["routed"], INCIDENTS.critical), 0),
         (lambda t: copies.distinct_rows(t["bronze"]), 1),
         (lambda t: layers.routed(t["bronze"], INCIDENTS), 1),
+        (lambda t: routing.route(t["bronze"], [], key=["User_ID"], order=["Opened"]), 2),
         (lambda t: layers.silver(t["routed"], INCIDENTS), 0),
         (lambda t: metrics.metric_table(t["silver"], INCIDENTS.metrics), 1),
         (lambda t: versions.as_of(t["versions"], version=2), 0),

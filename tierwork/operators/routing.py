@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,34 +54,39 @@ def route(
     Without ``key`` two rows are duplicates if they agree in every column. With a key the first
     row of a key survives, by ``order`` and then by the remaining columns.
     """
-    copies = collapse_copies(df, "_copies")
-    reason = first_null(critical).alias("_reason")
+    columns = list(map(named, df.columns))
     if key is None or set(key) >= set(df.columns):
-        return copies.select(
-            *map(named, df.columns),
-            F.lit(True).alias("_kept"),
-            (F.col("_copies") - 1).alias("_extra"),
-            reason,
+        marked = collapse_copies(df, "_copies").withColumn("_kept", F.lit(True))
+    elif order:
+        # The survivors go through the same aggregate as the rows, which so learn whether they are
+        # one. Both aggregates fold on the map side: unlike with a window over the key, a key with
+        # a third of all rows does not end in one task.
+        rows = df.withColumns({"_n": F.lit(1), "_first": F.lit(False)})
+        firsts = _first_rows(df, key, order).withColumns({"_n": F.lit(0), "_first": F.lit(True)})
+        marked = (
+            rows.unionByName(firsts)
+            .groupBy(*columns)
+            .agg(F.sum("_n").alias("_copies"), F.max("_first").alias("_kept"))
         )
-    if not order:
+    else:
         raise ValueError("a key that is not the whole row needs an order to pick the survivor by")
-    # The survivor comes from an aggregate and a join, not from a window over the key: the
-    # aggregate folds on the map side and the join's rows can be split, so a key with a third
-    # of all rows does not end in one task.
-    others = [name for name in (*order, *df.columns) if name not in key]
-    rank = F.struct(*map(named, dict.fromkeys(others)))
-    firsts = copies.groupBy(*(named(name).alias(f"_key{i}") for i, name in enumerate(key))).agg(
-        F.min(rank).alias("_first")
+    return marked.select(
+        *columns,
+        "_kept",
+        (F.col("_copies") - F.col("_kept").cast("bigint")).alias("_extra"),
+        first_null(critical).alias("_reason"),
     )
-    same_key = reduce(
-        and_, (named(name).eqNullSafe(F.col(f"_key{i}")) for i, name in enumerate(key))
+
+
+def _first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key, by ``order`` and then by the remaining columns."""
+    others = [name for name in dict.fromkeys((*order, *df.columns)) if name not in key]
+    firsts = df.groupBy(*(named(name).alias(f"_key{i}") for i, name in enumerate(key))).agg(
+        F.min(F.struct(*map(named, others))).alias("_first")
     )
-    kept = rank.eqNullSafe(F.col("_first"))
-    return copies.join(firsts, same_key, "left").select(
-        *map(named, df.columns),
-        kept.alias("_kept"),
-        (F.col("_copies") - kept.cast("bigint")).alias("_extra"),
-        reason,
+    return firsts.select(
+        *(F.col(f"_key{i}").alias(name) for i, name in enumerate(key)),
+        *(F.col("_first").getField(name).alias(name) for name in others),
     )
 
 
