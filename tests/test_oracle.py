@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import differences, duck
+from tierwork.registry import oracle, queries
 
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+SQL = oracle.oracle_sql()
+QUERIES = queries.queries()
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,8 @@ def test_query_without_sql_has_rows(spark, sf_dir, name):
 
 def test_sql_is_given_for_known_queries_only():
     assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
 def test_entry_has_rows(spark):
