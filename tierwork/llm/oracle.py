@@ -31,5 +31,55 @@ FROM doc_words d LEFT JOIN hit USING (r) LEFT JOIN item_lists USING (r)
 """
 
 
+
+def _crc_of_nibble(value: int) -> int:
+    for _ in range(4):
+        value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+    return value
+
+
+NIBBLES = (
+    "list_transform(regexp_extract_all(regexp_replace(hex(encode(text)), '(.)(.)', '\\2\\1', 'g'), '.'), "
+    "lambda x: strpos('0123456789ABCDEF', x) - 1)"
+)
+CRC32 = (
+    f"xor(list_reduce(list_prepend(4294967295::BIGINT, {NIBBLES}), lambda a, x: "
+    f"xor(a >> 4, {[_crc_of_nibble(i) for i in range(16)]}[(xor(a, x) & 15) + 1]::BIGINT)), 4294967295::BIGINT)"
+)
+SHARDING = f"""
+WITH d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, coalesce(text, '') AS text, source,
+    md5('interleave-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+crcs AS (SELECT text, {CRC32} AS crc FROM (SELECT DISTINCT text FROM d)),
+placed AS (
+  SELECT d.*, crc, (2 * row_number() OVER (PARTITION BY source ORDER BY digest, size, crc) - 1)::DOUBLE
+    / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS place FROM d JOIN crcs USING (text)),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY place, digest, size, crc) - 1 AS g, count(*) OVER () AS n FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, CAST(g * 24 // n AS INTEGER) AS shard,
+  CAST(g - ((g * 24 // n) * n + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM ranked
+"""
+
+BASE32_OF_SHA1 = " || ".join(
+    f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((('0x' || substr(h, {1 + 10 * (digit // 8)}, 10))::BIGINT "
+    f">> {35 - 5 * (digit % 8)}) & 31) + 1]"
+    for digit in range(32)
+)
+WARC = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, {BASE32_OF_SHA1} AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": DECONTAMINATION}
+    return {
+        "op1_decontamination": DECONTAMINATION,
+        "op2_sharding": SHARDING,
+        "op3_warc": WARC,
+    }

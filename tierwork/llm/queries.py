@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import decontamination
+from tierwork.llm import decontamination, pieces, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,5 +31,38 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.interleaved(table(spark, sf_dir, "documents"), shards=24)
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.revisit_resolution(table(spark, sf_dir, "pages"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return digests_of_pieces(documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def digests_of_pieces(documents: DataFrame, model_path: str) -> DataFrame:
+    with open(model_path, "rb") as file:
+        found = pieces.encoded_and_decoded(documents, file.read())
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: build for name, build in globals().items() if name.startswith("op")}
