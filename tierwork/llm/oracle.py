@@ -77,9 +77,34 @@ FROM f
 """
 
 
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+pairs AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r
+  GROUP BY a.r, b.r),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT r, r AS t FROM d UNION SELECT reached.r, steps.b FROM reached JOIN steps ON steps.a = reached.t),
+least_of AS (SELECT reached.r, min(d.doc_id) AS component_id FROM reached JOIN d ON d.r = reached.t GROUP BY reached.r)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id,
+  d.doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN least_of USING (r) LEFT JOIN sizes USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_sharding": SHARDING,
         "op3_warc": WARC,
+        "op5_minhash": NEAR_DUPLICATES,
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import decontamination, pieces, sharding, warc
+from tierwork.llm import decontamination, languages, near_duplicates, pieces, repeats, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisit_resolution(table(spark, sf_dir, "pages"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return digests_of_pieces(documents, public_tokenizers.path("piece_bpe_32k.model"))
@@ -64,5 +68,22 @@ def digests_of_pieces(documents: DataFrame, model_path: str) -> DataFrame:
     )
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = languages.predicted(documents, languages.learned(documents))
+    return found.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select(
+        "document.doc_id",
+        "document.text",
+        "n_units",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        "removed",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: build for name, build in globals().items() if name.startswith("op")}
