@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.llm import decontamination, languages, near_duplicates, pieces, repeats, sharding, warc
+from tierwork.llm import (
+    decontamination,
+    languages,
+    near_duplicates,
+    pieces,
+    quality,
+    repeats,
+    sharding,
+    toxicity,
+    vantage,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,10 +59,37 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.revisit_resolution(table(spark, sf_dir, "pages"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.neighbours(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = toxicity.scored(documents, toxicity.learned(documents, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "sentences",
+    )
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = quality.scored(documents, quality.learned(documents, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return digests_of_pieces(documents, public_tokenizers.path("piece_bpe_32k.model"))
