@@ -42,6 +42,7 @@ LEAST_SEEN = 2
 SAMPLE_TEXTS = 4_000
 SAMPLE_BYTES = 16 << 20
 UNDETERMINED = "und"
+FEW_GRAMS = 40
 
 _BLANK = 0x20
 _LETTER = np.full(256, _BLANK, np.uint8)
@@ -194,7 +195,7 @@ def predicted(documents: DataFrame, filters: Filters) -> DataFrame:
 
 def accepted(documents: DataFrame, filters: Filters, least: float) -> DataFrame:
     """The documents whose language is determined with a score of ``least`` or more, with all their
-    columns."""
+    columns. Texts with letters but fewer than ``FEW_GRAMS`` n-grams have too little to be rejected for."""
     sent = documents.sparkSession.sparkContext.broadcast(filters)
     columns = documents.columns
 
@@ -205,9 +206,10 @@ def accepted(documents: DataFrame, filters: Filters, least: float) -> DataFrame:
             if not known.languages:
                 return batch.slice(0, 0)
             best = known.shares(batch.column("text")).max(axis=1)
+            few = np.bincount(text_grams(batch.column("text"))[1], minlength=len(batch)) < FEW_GRAMS
             texts = batch.column("text").to_pylist()
             letters = np.array([bool(x) and any(map(str.isalpha, x)) for x in texts], bool)
-            return batch.filter(pa.array(letters & (best >= least)))
+            return batch.filter(pa.array(letters & (few | (best >= least))))
 
         return by_slices(batches, "text", one)
 

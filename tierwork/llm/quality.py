@@ -1,7 +1,9 @@
 """Quality by supervised subword embeddings.
 
-Every word, and every run of ``GRAM`` bytes of the text, is hashed to a row of a table of vectors. The
-vectors of a document are averaged and a softmax over the average gives its label. Vectors and softmax are
+Every word, and every run of ``GRAM`` bytes of the text, is hashed to a row of a table of vectors; one
+more row stands for a word that repeats the word before it. The vectors of a document are averaged,
+with ``EMPTY_ROWS`` vectors of zero so that a few words decide little, and a softmax over the average
+gives its label. Vectors and softmax are
 learned together, by numpy stochastic gradient descent over labelled documents. Case and
 punctuation are kept, they tell much here.
 
@@ -36,17 +38,23 @@ SAMPLE_DOCUMENTS = 3_000
 ROW_BITS = 17
 DIMENSIONS = 8
 GRAM = 4
+REPEATED = 2 << ROW_BITS
+EMPTY_ROWS = 50
 EPOCHS = 6
-RATE = 0.5
+RATE = 0.2
 
 
 def features_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of all words and runs, and for each the text it is from: words have the lower
-    half of the table, runs the upper one."""
+    half of the table, runs the upper one, and a repeated word the last row."""
     words = words_of(column, NOT_BLANK, lower=False)
     shift = np.uint64(64 - ROW_BITS)
     rows = [(words.hashes >> shift).astype(np.int64)]
     texts = [words.text_of()]
+    again = np.zeros(len(words.hashes), bool)
+    again[1:] = (words.hashes[1:] == words.hashes[:-1]) & (texts[0][1:] == texts[0][:-1])
+    rows.append(np.full(np.count_nonzero(again), REPEATED))
+    texts.append(texts[0][again])
     data = words.data.astype(np.uint64)
     count = len(data) - GRAM + 1
     if count > 0:
@@ -77,7 +85,7 @@ def scores(odds_per_row: np.ndarray, bias: float, column: pa.Array) -> np.ndarra
     rows, texts = features_of(column)
     sums = np.bincount(texts, odds_per_row[rows], minlength=len(column))
     total = np.bincount(texts, minlength=len(column))
-    odds = sums / np.maximum(total, 1) + bias
+    odds = sums / (total + EMPTY_ROWS) + bias
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
@@ -85,12 +93,12 @@ def fitted(texts: pa.Array, labels: np.ndarray) -> Model:
     """Steps of one document each, in a new order every epoch, ever smaller ones. Documents of the
     rarer label weigh more, so that both labels weigh the same."""
     generator = np.random.default_rng(7)
-    vectors = generator.uniform(-1, 1, (2 << ROW_BITS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
+    vectors = generator.uniform(-1, 1, (REPEATED + 1, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     model = Model(vectors, np.zeros((2, DIMENSIONS), np.float32), np.zeros(2, np.float32))
     bags = []
     for at in range(len(labels)):
         rows, times = np.unique(features_of(texts[at : at + 1])[0], return_counts=True)
-        bags.append((rows.astype(np.int32), (times / max(1, times.sum())).astype(np.float32)))
+        bags.append((rows.astype(np.int32), (times / (times.sum() + EMPTY_ROWS)).astype(np.float32)))
     share = np.bincount(labels, minlength=2) / max(1, len(labels))
     weight = np.where(share > 0, 0.5 / np.maximum(share, 1e-9), 0)
     steps, done = EPOCHS * len(labels), 0

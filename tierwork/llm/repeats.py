@@ -230,3 +230,11 @@ def deduplicated(documents: DataFrame) -> DataFrame:
 
     document = F.struct(*map(column, documents.columns))
     return found.select(document.alias("document"), "n_units", "removed")
+
+
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """The documents with all their columns and what is left of their texts. Documents that lost all
+    their words are left out."""
+    found = deduplicated(documents)
+    lost = (F.size("removed") > 0) & ~F.col("document.text").rlike("[\\p{L}\\p{N}]")
+    return found.filter(~F.coalesce(lost, F.lit(False))).select("document.*")

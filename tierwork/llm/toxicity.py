@@ -28,20 +28,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.llm import samples
-from tierwork.llm.words import ALPHANUMERIC, Words, by_slices, lists, mix, words_of
+from tierwork.llm.words import ALPHANUMERIC, Words, by_slices, lists, mix, text_slices, words_of
 
-SAMPLE_DOCUMENTS = 6_000
+SAMPLE_DOCUMENTS = 8_000
 WEIGHT_BITS = 18
 NO_WEIGHT = 1 << WEIGHT_BITS
 #: Bytes of a word's beginnings that are features of their own.
 BEGINNINGS = (4, 5, 6)
-EPOCHS = 12
+EPOCHS = 10
 BATCH = 128
-RATE = 0.3
+RATE = 0.8
 #: What a sentence of unknown words has as log odds before the fit.
-FIRST_BIAS = -6.0
-#: Shrinks weights that the labels do not hold up.
-DECAY = 2e-6
+FIRST_BIAS = -10.0
+#: What a weight loses with every step, so that only weights which the labels hold up remain.
+SHRINK = 2e-4
 OFFENDING = 0.5
 
 _ENDS = np.zeros(256, bool)
@@ -52,7 +52,7 @@ def features_of(words: Words) -> np.ndarray:
     """Per word a number for the word and one for each beginning that it has; shorter words have the
     number of no weight instead."""
     shift = np.uint64(64 - WEIGHT_BITS)
-    found = np.full((len(words.hashes), 1 + len(BEGINNINGS)), NO_WEIGHT)
+    found = np.full((len(words.hashes), 1 + len(BEGINNINGS)), NO_WEIGHT, np.int32)
     found[:, 0] = words.hashes >> shift
     begin = np.zeros(len(words.hashes), np.uint64)
     last = max(0, len(words.data) - 1)
@@ -67,8 +67,8 @@ def features_of(words: Words) -> np.ndarray:
 
 @dataclass
 class Sentences:
-    """Per word the numbers of its features, the first word of each sentence, the sentences before
-    each text."""
+    """Per word the numbers of its features, none for a word that the sentence had already; the
+    first word of each sentence, the sentences before each text."""
 
     words: Words
     features: np.ndarray
@@ -84,6 +84,10 @@ def sentences_of(column: pa.Array) -> Sentences:
     fresh[1:] = (ended[1:] != ended[:-1]) | (texts[1:] != texts[:-1])
     starts = np.flatnonzero(fresh)
     features = features_of(words)
+    sentence = np.cumsum(fresh)
+    order = np.lexsort((words.hashes, sentence))
+    again = (words.hashes[order][1:] == words.hashes[order][:-1]) & (sentence[order][1:] == sentence[order][:-1])
+    features[order[1:][again]] = NO_WEIGHT
     return Sentences(words, features, starts, np.searchsorted(starts, words.first))
 
 
@@ -109,28 +113,41 @@ class Model:
         return -np.expm1(-together), 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
+def _bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, first words of sentences and sentences before each text, made slice by slice."""
+    features, starts, before = [], [], [np.zeros(1, np.int64)]
+    words = sentences = 0
+    for start, stop in text_slices(texts):
+        found = sentences_of(texts[start:stop])
+        features.append(found.features)
+        starts.append(found.starts + words)
+        before.append(found.before[1:] + sentences)
+        words, sentences = words + len(found.features), sentences + len(found.starts)
+    return np.concatenate(features), np.concatenate(starts), np.concatenate(before)
+
+
 def fitted(texts: pa.Array, labels: np.ndarray) -> Model:
     """The weights that explain the labels of whole documents, by steps scaled per weight."""
     model = Model(np.zeros(NO_WEIGHT + 1, np.float32), FIRST_BIAS)
     toxic = labels == 1
     if not len(labels) or toxic.all() or not toxic.any():
         return model
-    found = sentences_of(texts)
-    ends = np.append(found.starts[1:], len(found.features)) if len(found.starts) else found.starts
+    features_all, starts, before = _bags(texts)
+    ends = np.append(starts[1:], len(features_all)) if len(starts) else starts
     squares, bias_square = np.full(len(model.weights), 1e-6), 1e-6
     generator = np.random.default_rng(5)
     for _ in range(EPOCHS):
         order = generator.permutation(len(labels))
         for batch in np.split(order, range(BATCH, len(order), BATCH)):
-            rows = [np.arange(found.before[t], found.before[t + 1]) for t in batch]
+            rows = [np.arange(before[t], before[t + 1]) for t in batch]
             sentence = np.concatenate(rows)
             if not len(sentence):
                 continue
             owner = np.repeat(np.arange(len(batch)), [len(x) for x in rows])
-            sizes = ends[sentence] - found.starts[sentence]
+            sizes = ends[sentence] - starts[sentence]
             first = np.append(0, np.cumsum(sizes)[:-1])
-            word = np.arange(sizes.sum()) - np.repeat(first - found.starts[sentence], sizes)
-            features = found.features[word]
+            word = np.arange(sizes.sum()) - np.repeat(first - starts[sentence], sizes)
+            features = features_all[word]
             odds = np.add.reduceat(model.of_words(features), first) + model.bias
             together = np.bincount(owner, np.logaddexp(0, odds), minlength=len(batch))
             slope = np.where(toxic[batch], -1 / np.expm1(np.clip(together, 1e-6, 50)), 1.0)
@@ -141,8 +158,8 @@ def fitted(texts: pa.Array, labels: np.ndarray) -> Model:
             step[NO_WEIGHT] = 0
             used = np.flatnonzero(step)
             squares[used] += step[used] ** 2
-            model.weights[used] -= RATE * step[used] / np.sqrt(squares[used])
-            model.weights *= 1 - DECAY * BATCH
+            moved = model.weights[used] - RATE * step[used] / np.sqrt(squares[used])
+            model.weights[used] = np.maximum(moved - SHRINK, 0)
             bias_square += pull.sum() ** 2
             model.bias -= 0.05 * RATE * pull.sum() / np.sqrt(bias_square)
     return model
