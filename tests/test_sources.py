@@ -1,6 +1,7 @@
 """Reading files, writing tables, file layout, names, the shared folder."""
 
 from collections import Counter
+from datetime import datetime
 from uuid import uuid4
 
 import pytest
@@ -9,10 +10,11 @@ from hypothesis import settings as settings_of
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierwork import settings
 from tierwork.functions.names import NameCollision, rename_columns, sanitize_columns
-from tierwork.operators import changes, versions
+from tierwork.operators import versions
 from tierwork.sources import delimited, files, snapshots, tables, work
 
 
@@ -58,7 +60,7 @@ PLAIN = "id,note\n1,plain\n2,\"a, b\"\n3,\"say \"\"x\"\"\"\n4,\"\"\n5,\n\n6,\"\"
         (PLAIN + '"x"y,"z"\n', False),
         (PLAIN + '7, "x"\n', False),
         (PLAIN + "7,a\rb\n", False),
-        (PLAIN.replace("\n", "\r\n"), False),
+        (PLAIN.replace("\n", "\r\n"), True),
         (PLAIN + "   \n", False),
         (PLAIN + '7,"' + 'x""' * 20_000 + '"\n', True),
     ],
@@ -67,50 +69,99 @@ def test_lines_that_stand_alone(spark, tmp_path, text, alone):
     path = tmp_path / "in.csv"
     path.write_bytes(text.encode())
     assert delimited.lines_stand_alone(spark, str(path)) is alone
-    if alone:
-        split = delimited.read_csv(spark, str(path), multi_line=False)
-        assert bag(split) == bag(delimited.read_csv(spark, str(path), multi_line=True))
+    schema = StructType.fromDDL("id string, note string")
+    whole = spark.read.schema(schema).csv(str(path), header=True, escape='"', multiLine=True)
+    assert bag(delimited.read_csv(spark, str(path), schema)) == bag(whole)
+
+
+@pytest.mark.parametrize(
+    "line, outside, inside",
+    [
+        ("a,b", False, True),
+        ('"a,b', True, False),
+        ('a","b', True, True),
+        ('"a""b', True, False),
+        ('"a"",b",c', False, False),
+        ('5" disk', False, False),
+        ('x,"', True, False),
+        ('"x"y,"z', True, True),
+        ("", False, True),
+    ],
+)
+def test_where_lines_end(line, outside, inside):
+    assert delimited.ends_inside(line, False) is outside
+    assert delimited.ends_inside(line, True) is inside
 
 
 PLAIN_FIELD = st.text("ab ", max_size=3)
-QUOTED_FIELD = st.text('ab ,"', max_size=5).map(lambda text: '"' + text.replace('"', '""') + '"')
-RECORD = st.tuples(*[PLAIN_FIELD | QUOTED_FIELD] * 2).map(",".join)
-ANYTHING = st.text('a",\n', max_size=6)
+QUOTED_FIELD = st.text('ab ,"\n', max_size=6).map(lambda text: '"' + text.replace('"', '""') + '"')
+RECORD = st.tuples(*[PLAIN_FIELD | QUOTED_FIELD] * 2).map(",".join).filter(str.strip)
 
 
 @settings_of(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(records=st.lists(RECORD, min_size=1, max_size=6), tail=st.just("") | ANYTHING)
-def test_splitting_never_changes_the_rows(spark, tmp_path, records, tail):
+@given(records=st.lists(RECORD, min_size=1, max_size=9), end=st.sampled_from(["\n", "\r\n"]))
+def test_splitting_never_changes_the_rows(spark, tmp_path, records, end):
+    """Blocks of some bytes: records begin, go on and end in different ones."""
     path = tmp_path / f"{uuid4().hex}.csv"
-    path.write_text("\n".join(["x,y", *records]) + "\n" + tail)
-    if delimited.lines_stand_alone(spark, str(path)):
-        schema = "x string, y string"
-        split = delimited.read_csv(spark, str(path), schema, multi_line=False)
-        assert bag(split) == bag(delimited.read_csv(spark, str(path), schema, multi_line=True))
+    path.write_bytes((end.join(["x,y", *records]) + end).encode())
+    schema = StructType.fromDDL("x string, y string")
+    whole = spark.read.schema(schema).csv(str(path), header=True, escape='"', multiLine=True)
+    wanted = bag(whole)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "9b")
+    try:
+        assert bag(delimited.read_csv(spark, str(path), schema)) == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_a_large_file_is_split_where_lines_stand_alone(spark, tmp_path, monkeypatch):
+def test_files_are_split_whatever_their_records_look_like(spark, tmp_path):
     plain, broken = str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")
     rows = spark.range(200_000).select("id", F.lit('x, "y" ' * 6).alias("s"))
-    odd = spark.range(1).select("id", F.lit("two\nlines").alias("s"))
+    odd = spark.range(100).select("id", F.lit("two\nlines").alias("s"))
     for path, df in ((plain, rows), (broken, rows.unionByName(odd))):
         df.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
 
     def tasks(path):
         df = delimited.read_csv(spark, path)
-        return df.groupBy(F.spark_partition_id()).count().count(), df.count()
+        return df.groupBy(F.spark_partition_id()).count().count(), df.distinct().count()
 
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
     try:
-        assert tasks(plain) == (1, 200_000), "small files are left alone"
-        monkeypatch.setattr(delimited, "LARGE_FILE_BYTES", 1_000_000)
         split, count = tasks(plain)
         assert split > 4 and count == 200_000
-        assert tasks(broken) == (1, 200_001)
+        split, count = tasks(broken)
+        assert split > 4 and count == 200_100
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("extra", ["", '9,"two\nlines"\n'])
+def test_malformed_records_keep_their_text(spark, tmp_path, extra):
+    path = tmp_path / "in.csv"
+    path.write_text("id,note\n1,x\n2,x,LOST\n3\n" + extra)
+    rows = delimited.read_csv(spark, str(path), malformed="bad", file_name="file")
+    assert rows.columns == ["id", "note", "bad", "file"]
+    found = {r["id"]: r for r in rows.collect()}
+    assert found["2"]["bad"] == "2,x,LOST" and found["3"]["bad"] == "3" and found["1"]["bad"] is None
+    assert {r["file"] for r in found.values()} == {"in.csv"}
+    assert rows.select("id").count() == 3 + bool(extra)
+
+
+def test_files_with_other_headers(spark, tmp_path):
+    for name, text in (("a", "a,b\n1,x\n"), ("b", "b,a\ny,2\n"), ("c", "a,b,c\n3,z,more\n"), ("d", "a,b\n4,w\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="header"):
+        delimited.read_csv(spark, str(tmp_path)).collect()
+    rows = delimited.read_csv(spark, str(tmp_path), by_name=True)
+    assert rows.columns == ["a", "b", "c"]
+    assert bag(rows) == Counter([("1", "x", None), ("2", "y", None), ("3", "z", "more"), ("4", "w", None)])
+    (tmp_path / "e.csv").write_text('a,b\n5,"two\nlines"\n')
+    with pytest.raises(delimited.OtherHeader):
+        delimited.read_csv(spark, str(tmp_path))
+
+
 def test_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`User ID` int, `a.b-c` int, plain int")
     assert sanitize_columns(df).columns == ["User_ID", "a_b_c", "plain"]
@@ -122,18 +173,14 @@ def test_names(spark):
         rename_columns(df, {"User ID": "Plain"})
 
 
-def test_overwrite_from_itself_and_history(spark, tmp_path, name):
+def test_overwrite_from_itself(spark, tmp_path, name):
     location = str(tmp_path / "t")
-    tables.overwrite_table(spark.range(10), name, location, operation="CREATE TABLE")
+    tables.overwrite_table(spark.range(10), name, location)
     tables.set_table_property(spark, name, "p", "1")
     assert tables.overwrite_table(spark.table(name).filter("id > 5"), name, location).count() == 4
     assert spark.sql(f"SHOW TBLPROPERTIES {name} ('p')").first()["value"] == "1"
-    stored = snapshots.read_snapshots(spark, location)
-    assert versions.as_of(stored, version=0).count() == 10
-    assert [r["operation"] for r in snapshots.read_commits(spark, location).orderBy("_version").collect()] == [
-        "CREATE TABLE",
-        "WRITE",
-    ]
+    assert tables.overwrite_table(spark.table(name).filter("id > 7"), name, location).count() == 2
+    assert sorted(x.name for x in (tmp_path / "t").iterdir()) == ["a", "b"], "no copy is left behind"
 
 
 def test_schema_change_is_refused_unless_allowed(spark, tmp_path, name):
@@ -144,7 +191,14 @@ def test_schema_change_is_refused_unless_allowed(spark, tmp_path, name):
     assert spark.table(name).columns == ["id"]
     changed = spark.range(3).withColumn("x", F.lit(1))
     assert tables.overwrite_table(changed, name, location, allow_schema_change=True).columns == ["id", "x"]
-    merged = snapshots.read_snapshots(spark, location, merge_schema=True)
+
+
+def test_versions_with_other_columns(spark, tmp_path):
+    location = str(tmp_path / "t")
+    snapshots.write_version(spark.range(3), location, 0, datetime(2024, 1, 1))
+    wider = spark.range(3).withColumn("x", F.lit(1))
+    snapshots.write_version(wider, location, 1, datetime(2024, 1, 2))
+    merged = snapshots.read_versions(spark, location, merge_schema=True)
     assert bag(versions.as_of(merged, version=0).select("id", "x")) == Counter({(i, None): 1 for i in range(3)})
     assert versions.as_of(merged, version=1).filter("x = 1").count() == 3
 
@@ -176,15 +230,20 @@ def test_append_matches_columns_by_name(spark, tmp_path, name):
     assert bag(after) == Counter({(1, "a"): 2})
 
 
-def test_append_as_a_version(spark, tmp_path, name):
-    location = str(tmp_path / "t")
-    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    tables.overwrite_table(rows, name, location)
-    assert tables.append_rows(rows.filter("k = 1").select("v", "k"), name, location).count() == 3
-    stored = snapshots.read_snapshots(spark, location)
-    assert versions.as_of(stored, version=0).count() == 2
-    feed = changes.change_feed(stored, 1).select("k", "v", "_change_type")
-    assert bag(feed) == Counter([(1, "a", "insert")])
+def test_append_writes_the_new_rows_only(spark, tmp_path, name):
+    location = tmp_path / "t"
+    tables.overwrite_table(spark.range(1000).coalesce(1), name, str(location))
+    before = {x.name for x in location.rglob("*.parquet")}
+    assert tables.append_rows(spark.range(5).coalesce(1), name).count() == 1005
+    after = {x.name for x in location.rglob("*.parquet")}
+    assert before < after and len(after) == len(before) + 1
+
+
+def test_property_text_is_taken_as_it_is(spark, tmp_path, name):
+    tables.overwrite_table(spark.range(1), name, str(tmp_path / "it's"))
+    tables.set_table_property(spark, name, "who's", "o'clock \\ x")
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    assert found["who's"] == "o'clock \\ x"
 
 
 def test_namespace(spark, tmp_path, name):
@@ -221,15 +280,16 @@ def test_compaction_of_partitions(spark, tmp_path):
     assert files.table_detail(spark, target).first()["numFiles"] == 3
 
 
-def test_compacted_table_is_a_version(spark, tmp_path, name):
-    location = str(tmp_path / "t")
-    tables.overwrite_table(spark.range(100).repartition(9), name, location)
-    assert tables.compact_table(spark, name, location).count() == 100
-    assert files.table_detail(spark, snapshots.snapshot_path(location, 0)).first()["numFiles"] == 9
-    assert tables.current_files(spark, location).first()["numFiles"] == 1
-    history = versions.newest_first(versions.commit_history(snapshots.read_commits(spark, location)))
-    assert history.columns == ["version", "timestamp", "operation"]
-    assert [(r[0], r[2]) for r in history.collect()] == [(1, "OPTIMIZE"), (0, "WRITE")]
+@pytest.mark.parametrize("partition_by", [(), ("p",)])
+def test_compaction_gives_files_of_the_size_asked_for(spark, tmp_path, partition_by):
+    path, target = str(tmp_path / "large"), str(tmp_path / "cut")
+    rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 2).alias("p"))
+    rows.repartition(2).write.partitionBy(*partition_by).parquet(path)
+    before = files.table_detail(spark, path).first()
+    wanted = before["sizeInBytes"] // 10
+    assert files.compact(spark, path, target, wanted, partition_by).count() == 200_000
+    after = files.table_detail(spark, target).first()
+    assert before["numFiles"] <= 4 and 8 <= after["numFiles"] <= 24
 
 
 @pytest.mark.parametrize("size, partition", [(1, 128 * 2**20), (10**14, 1_810_193_360), (10**18, 2**31)])

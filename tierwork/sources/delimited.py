@@ -1,42 +1,308 @@
-"""Delimited text files."""
+"""Delimited text files, split into tasks whatever their records look like.
+
+A record may span lines, inside quotes, and then no one can tell from the middle of a file
+whether a line begins inside or outside of quotes. Where every line is a record, which one pass
+over the text tells, Spark's reader splits files by itself. Otherwise records are cut here: a line
+is a map of "inside quotes or not" at its start to the same at its end, the maps of a block's lines
+make the block's map, and carried over the blocks of a file they give the state every block begins
+with, so all blocks are cut in parallel. The rule is the same for files of every size.
+
+Records that do not fit their header, with fields too many or too few or of another type, keep
+their text in a column of their own. Files of one load have the same header, else the read fails, or
+with ``by_name`` they are matched by column name.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from functools import reduce
+from io import StringIO
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-# A file up to this size is one task's work in any case.
-LARGE_FILE_BYTES = 128 * 1024 * 1024
+from tierwork.functions.names import named, quoted
+from tierwork.sources.work import written
 
 # A quoted field: at the start of a line or after a comma, up to a comma or the end of the line,
 # quotes inside it doubled. The quantifiers give nothing back, so long fields cost no stack.
 QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
 
 
-def has_large_files(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether some file is more than one core's share of all of them, so that reading it whole
-    would hold up the rest; from the folder listing."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    largest, total = files.agg(F.max("length"), F.sum("length")).first()
-    share = (total or 0) / spark.sparkContext.defaultParallelism
-    return (largest or 0) > max(LARGE_FILE_BYTES, share)
+class OtherHeader(ValueError):
+    """The files of a load have different headers."""
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Every line with its file and where the block it was read in begins."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
+    )
 
 
 def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether every line is a whole record, so that files may be split at line ends.
+    """Whether every line is a whole record, so that Spark may split files at line ends.
 
-    True only if no line has a quote outside a complete quoted field, a carriage return, or
-    nothing but blanks; whatever is in doubt counts as no. One parallel pass over the text.
+    True only if no line has a quote outside a complete quoted field, a carriage return but at its
+    end, or nothing but blanks; whatever is in doubt counts as no. One parallel pass over the text.
     """
-    line = F.col("value")
+    line = F.regexp_replace("value", "\r$", "")
     doubtful = (
         F.regexp_replace(line, QUOTED_FIELD, "$1").contains('"')
         | line.contains("\r")
         | line.rlike(r"^[\x00-\x20]+$")
     )
-    lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.filter(doubtful).limit(1).count() == 0
+    return _lines(spark, path).filter(doubtful).limit(1).count() == 0
+
+
+def ends_inside(line: str, inside: bool) -> bool:
+    """Whether a line ends inside a quoted field, if it begins inside one or not."""
+    at = 0
+    while True:
+        if not inside:
+            if not line.startswith('"', at):
+                at = line.find(",", at) + 1
+                if not at:
+                    return False
+                continue
+            at += 1
+        quote = line.find('"', at)
+        while quote >= 0 and line.startswith('"', quote + 1):
+            quote = line.find('"', quote + 2)
+        if quote < 0:
+            return True
+        inside = False
+        at = line.find(",", quote + 1) + 1
+        if not at:
+            return False
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], str]]:
+    for batch in batches:
+        places = zip(batch.column("file").to_pylist(), batch.column("block").to_pylist())
+        yield from zip(places, batch.column("value").to_pylist())
+
+
+def _block_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block whether it ends inside quotes, begun outside and begun inside; whether, begun
+    inside, some line ends outside; and the first record of a file."""
+
+    def row(place, outside, inside, closed, first):
+        file, block = place
+        header = "\n".join(first).removesuffix("\r") if block == 0 else None
+        columns = ([file], [block], [outside], [inside], [closed], [header])
+        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)],
+            ["file", "block", "outside", "inside", "closed", "header"],
+        )
+
+    now, outside, inside, closed, first, whole = None, False, True, False, [], False
+    for place, line in _rows(batches):
+        if place != now:
+            if now is not None:
+                yield row(now, outside, inside, closed, first)
+            now, outside, inside, closed, first, whole = place, False, True, False, [], False
+        if '"' in line:
+            same = outside == inside
+            outside = ends_inside(line, outside)
+            inside = outside if same else ends_inside(line, inside)
+        closed = closed or not inside
+        if not whole and (first or line.strip("\r")):
+            first.append(line)
+            whole = not outside
+    if now is not None:
+        yield row(now, outside, inside, closed, first)
+
+
+@dataclass
+class Cuts:
+    """What the blocks need to know of each other: which begin inside a record, and in which block
+    that record begins; and per file its header's number, if it is not 0."""
+
+    begun_in: dict[tuple[str, int], int] = field(default_factory=dict)
+    header_of: dict[str, int] = field(default_factory=dict)
+
+
+def find_cuts(spark: SparkSession, path: str | list[str]) -> tuple[Cuts, list[str]]:
+    """The cuts of all blocks, and the different headers. What comes to the driver is a row for each
+    block that begins inside a record and for each file whose header is not the most frequent one."""
+    schema = "file string, block bigint, outside boolean, inside boolean, closed boolean, header string"
+    maps = written(_lines(spark, path).mapInArrow(_block_maps, schema), "block-maps")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file").orderBy("block")
+
+    def last(value: Column) -> Column:
+        return F.last(value, ignorenulls=True).over(before)
+
+    # A block either ends in the same state whatever it began with, keeps the state, or turns it.
+    fixed, turns = F.col("outside") == F.col("inside"), F.col("outside") & ~F.col("inside")
+    turned = F.sum(turns.cast("int")).over(upto)
+    states = maps.withColumn("turned", turned)
+    since = F.coalesce(last(F.col("turned")), F.lit(0)) - F.coalesce(
+        last(F.when(fixed, F.col("turned"))), F.lit(0)
+    )
+    known = F.coalesce(last(F.when(fixed, F.col("outside"))), F.lit(False))
+    states = states.withColumn("begins_inside", known != (since % 2 == 1))
+    ends = F.when(F.col("begins_inside"), F.col("inside")).otherwise(F.col("outside"))
+    opens = ends & (~F.col("begins_inside") | F.col("closed"))
+    states = states.withColumn("opens", opens)
+    states = states.withColumn("begun_in", last(F.when(F.col("opens"), F.col("block"))))
+    begun = states.filter("begins_inside").select("file", "block", "begun_in").collect()
+    files = maps.filter("block = 0")
+    headers = [
+        row.header for row in files.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
+    ]
+    others = files.filter(F.col("header") != headers[0]).collect() if len(headers) > 1 else []
+    number = {header: n for n, header in enumerate(headers)}
+    return (
+        Cuts(
+            {(row.file, row.block): row.begun_in for row in begun},
+            {row.file: number[row.header] for row in others},
+        ),
+        headers,
+    )
+
+
+def records(spark: SparkSession, path: str | list[str], cuts: Cuts) -> DataFrame:
+    """``header`` (its number), ``file_name`` and ``record`` for every record but the headers."""
+    sent = spark.sparkContext.broadcast(cuts)
+    schema = "header int, file string, begun_in bigint, block bigint, record string"
+
+    def cut(pieces: bool):
+        """Whole records, or the pieces of those that go on in other blocks."""
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, found = sent.value, []
+            now, open_lines, inside, begun, header_left = None, [], False, None, False
+
+            def add(begun_in: int | None) -> None:
+                if (begun_in is not None) == pieces:
+                    text = "\n".join(open_lines)
+                    number = known.header_of.get(now[0], 0)
+                    found.append((number, now[0], begun_in, now[1], text))
+
+            def batch() -> pa.RecordBatch:
+                kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string())
+                columns = zip(*found) if found else ([],) * 5
+                names = ["header", "file", "begun_in", "block", "record"]
+                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+            for place, line in _rows(batches):
+                if place != now:
+                    if open_lines:
+                        add(now[1] if begun is None else begun)
+                    now, open_lines = place, []
+                    begun = known.begun_in.get(place)
+                    inside, header_left = begun is not None, place[1] == 0
+                if '"' in line:
+                    inside = ends_inside(line, inside)
+                if not open_lines and begun is None and not inside and not line.strip("\r"):
+                    continue
+                open_lines.append(line)
+                if not inside:
+                    if header_left:
+                        header_left = False
+                    else:
+                        add(begun)
+                    open_lines, begun = [], None
+                    if len(found) >= 4096:
+                        yield batch()
+                        found = []
+            if open_lines:
+                add(now[1] if begun is None else begun)
+            yield batch()
+
+        return work
+
+    lines = _lines(spark, path)
+    whole = lines.mapInArrow(cut(False), schema)
+    if cuts.begun_in:
+        parts = lines.mapInArrow(cut(True), schema).groupBy("header", "file", "begun_in")
+        text = F.array_sort(F.collect_list(F.struct("block", "record")))
+        joined = parts.agg(F.array_join(F.transform(text, lambda x: x["record"]), "\n").alias("record"))
+        whole = whole.select("header", "file", "record").union(joined.select("header", "file", "record"))
+    return whole.select(
+        "header",
+        F.element_at(F.split("file", "/"), -1).alias("file_name"),
+        F.regexp_replace("record", "\r$", "").alias("record"),
+    )
+
+
+def _header_names(header: str) -> list[str]:
+    """The column names of a header record; nameless and repeated ones get their place."""
+    fields = next(csv.reader(StringIO(header, newline="")))
+    seen: set[str] = set()
+    names = []
+    for place, name in enumerate(fields):
+        name = name or f"_c{place}"
+        names.append(f"{name}{place}" if name.lower() in seen else name)
+        seen.add(name.lower())
+    return names
+
+
+def _ddl(names: list[str], kinds: dict[str, str], malformed: str | None) -> str:
+    fields = [f"{quoted(name)} {kinds.get(name.lower(), 'string')}" for name in names]
+    return ", ".join([*fields, f"{quoted(malformed)} string"] if malformed else fields)
+
+
+def _inferred(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Text columns cast to the narrowest type that takes all their values, found in one pass."""
+    kinds = ("int", "bigint", "double", "date", "timestamp", "boolean")
+    day = r"^\d{4}-\d{2}-\d{2}$"
+
+    def fits(name: str, kind: str) -> Column:
+        value = named(name).try_cast(kind)
+        return F.when(named(name).rlike(day), value) if kind == "date" else value
+
+    counts = rows.agg(
+        *(F.count(named(name)).alias(f"n{i}") for i, name in enumerate(names)),
+        *(F.count(fits(name, kind)).alias(f"{kind}{i}") for i, name in enumerate(names) for kind in kinds),
+    ).first()
+    found = {
+        name: next((k for k in kinds if counts[f"n{i}"] and counts[f"{k}{i}"] == counts[f"n{i}"]), "string")
+        for i, name in enumerate(names)
+    }
+    return rows.withColumns({name: named(name).cast(kind) for name, kind in found.items() if kind != "string"})
+
+
+def _read_cut(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType | None,
+    infer_types: bool,
+    malformed: str | None,
+    by_name: bool,
+    file_name: str | None,
+) -> DataFrame:
+    cuts, headers = find_cuts(spark, path)
+    if len(headers) > 1 and not by_name:
+        raise OtherHeader(f"headers differ: {headers[0]!r} and {headers[1]!r}")
+    found = records(spark, path, cuts)
+    kinds = {f.name.lower(): f.dataType.simpleString() for f in schema} if schema else {}
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    if malformed:
+        options["columnNameOfCorruptRecord"] = malformed
+    parts, columns = [], []
+    for number, header in enumerate(headers):
+        names = _header_names(header)
+        columns += [name for name in names if name.lower() not in {c.lower() for c in columns}]
+        parsed = F.from_csv("record", _ddl(names, kinds, malformed), options).alias("fields")
+        rows = found.filter(F.col("header") == number).select("file_name", parsed)
+        origin = [F.col("file_name").alias(file_name)] if file_name else []
+        parts.append(rows.select("fields.*", *origin))
+    rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
+    if schema is not None:
+        columns = schema.fieldNames()
+    elif infer_types:
+        rows = _inferred(rows, columns)
+    return rows.select(*map(named, [*columns, *(x for x in (malformed, file_name) if x)]))
 
 
 def read_csv(
@@ -44,18 +310,29 @@ def read_csv(
     path: str | list[str],
     schema: StructType | str | None = None,
     infer_types: bool = False,
-    multi_line: bool | str = "auto",
+    malformed: str | None = None,
+    by_name: bool = False,
+    file_name: str | None = None,
 ) -> DataFrame:
     """CSV with a header line, doubled quotes as escape; an empty field is null.
 
-    Without a schema every column is text, for which only the header line is read ahead;
-    ``infer_types`` costs a pass over the data. ``multi_line`` allows line breaks inside quoted
-    fields, and then one file is one task. "auto" gives the same rows as True, but where a file
-    is large it looks whether lines stand alone, and if they do, large files are split.
+    Without a schema every column is text; ``infer_types`` costs a pass over the data. Line breaks
+    inside quoted fields are allowed, at the cost of two more passes over the text. ``malformed``
+    names a column for the text of records that do not fit; without it such fields are null or cut
+    off, as Spark has it. ``by_name`` matches files with other headers by name, columns that a file
+    lacks are null; else other headers fail the read. ``file_name`` names a column for the name of
+    the file a record is from.
     """
-    if multi_line == "auto":
-        multi_line = not (has_large_files(spark, path) and lines_stand_alone(spark, path))
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer_types).csv(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if by_name or not lines_stand_alone(spark, path):
+        return _read_cut(spark, path, schema, infer_types, malformed, by_name, file_name)
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+    if malformed:
+        if schema is None:
+            schema = reader.option("inferSchema", infer_types).csv(path).schema
+        schema = StructType([*schema, StructField(malformed, StringType())])
+        # With columns left out, Spark would not see that a record has too many fields.
+        reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
+    rows = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", infer_types).csv(path)
+    return rows.select("*", F.col("_metadata.file_name").alias(file_name)) if file_name else rows

@@ -31,19 +31,19 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 
 def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, so a lost
-    executor costs a re-read, never the shuffle that made the rows."""
+    executor costs a re-read, never the shuffle that made the rows. A ``path`` given is overwritten."""
     path = path or work_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def written_and_counted(
-    df: DataFrame, purpose: str, counts: Sequence[Column]
+    df: DataFrame, purpose: str, counts: Sequence[Column], path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``written``, and one row of bigint ``counts`` over the rows, which are taken while they are
     written: no second read. A task that runs again counts once, like its file."""
     seen = Observation()
-    rows = written(df.observe(seen, *counts), purpose)
+    rows = written(df.observe(seen, *counts), purpose, path)
     found = seen.get
     schema = ", ".join(f"{name} bigint" for name in found)
     return rows, df.sparkSession.createDataFrame([tuple(found.values())], schema)
