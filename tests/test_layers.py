@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwork import INCIDENTS
-from tierwork.operators.quality import QualityGateFailed, quality_report
+from tierwork.functions.names import NameCollision
+from tierwork.operators.quality import QualityGateFailed, enforce_gate, quality_report
 from tierwork.plans import layers, run
 from tierwork.sources.files import table_detail
-from tierwork.sources.snapshots import read_commits, read_snapshots
 
 HEADER = (
     "Number,Opened,short_description,Caller,User ID,Priority,State,Category,Assignment group,"
@@ -46,7 +46,8 @@ def test_rows_per_layer(made):
 def test_bronze_has_sixteen_columns_and_metadata(spark, made):
     spec, _, _ = made
     bronze = spark.table(spec.table("bronze"))
-    assert len(bronze.columns) == 18 and "Assignment_Group" in bronze.columns
+    assert bronze.columns[16:] == ["malformed_record", "ingestion_timestamp", "source_file_name"]
+    assert len(bronze.columns) == 19 and "Assignment_Group" in bronze.columns
     assert bronze.select("source_file_name").distinct().collect() == [("incidents.csv",)]
     text = bronze.filter("Number = 'N1'").first()["short_description"]
     assert text == 'line one\nline "two"'
@@ -66,13 +67,13 @@ def test_quarantine(spark, made):
     assert Counter(r[0] for r in rejected.select("reject_reason").collect()) == Counter(
         {"duplicate row": 2, "null in Number": 1, "null in Priority": 1}
     )
-    assert len(rejected.columns) == 20 and dict(rejected.dtypes)["Opened"] == "string"
+    assert len(rejected.columns) == 21 and dict(rejected.dtypes)["Opened"] == "string"
     assert rejected.filter("reject_reason = 'duplicate row' AND Number = 'N2'").first()["Channel"] is None
 
 
 def test_quarantine_is_written_in_few_files(spark, made):
     _, _, folder = made
-    detail = table_detail(spark, f"{folder}/tables/quarantine/snapshots/_version=0").first()
+    detail = table_detail(spark, f"{folder}/tables/quarantine/a").first()
     assert detail["numFiles"] == 1
 
 
@@ -105,7 +106,7 @@ def test_gold(spark, made):
 
 def test_report_equals_the_one_computed_from_bronze(spark, made):
     spec, _, _ = made
-    wanted = quality_report(spark.table(spec.table("bronze")), spec.critical)
+    wanted = quality_report(spark.table(spec.table("bronze")).drop("malformed_record"), spec.critical)
     written = spark.table(spec.table("quality")).drop("report_timestamp")
     assert Counter(written.collect()) == Counter(wanted.collect())
 
@@ -120,13 +121,67 @@ def test_no_rows_at_all(spark, made, tmp_path):
     assert counts == {"bronze": 0, "quality": 21, "silver": 0, "quarantine": 0, "gold": 0}
 
 
-def test_a_second_run_adds_versions(spark, made):
+def test_a_second_run_writes_the_same_folders(spark, made):
     spec, counts, folder = made
-    again = run.run(spark, spec, str(folder / "incidents.csv"), str(folder / "tables"))
+    for _ in range(2):
+        again = run.run(spark, spec, str(folder / "incidents.csv"), str(folder / "tables"))
     assert {r["layer"]: r["row_count"] for r in again.collect()} == counts
-    location = str(folder / "tables" / "silver")
-    assert read_commits(spark, location).count() == 2
-    assert read_snapshots(spark, location).groupBy("_version").count().count() == 2
+    found = sorted(x.name for x in (folder / "tables").iterdir())
+    assert found == ["bronze", "gold", "quality", "quarantine", "routed", "silver"]
+    assert sorted(x.name for x in (folder / "tables" / "silver").iterdir()) == ["a", "b"]
+
+
+def test_malformed_records_are_put_aside(spark, made, tmp_path):
+    spec, _, _ = made
+    (tmp_path / "bad.csv").write_text(HEADER + "\n" + LINES[1] + "\n" + LINES[1] + ",more\nN9,short\n")
+    own = replace(spec, name="bad", schema="layers_test")
+    summary = run.run(spark, own, str(tmp_path / "bad.csv"), str(tmp_path / "tables"))
+    counts = {r["layer"]: r["row_count"] for r in summary.collect()}
+    assert counts["bronze"] == 3 and counts["silver"] == 1 and counts["quarantine"] == 2
+    rejected = spark.table(own.table("quarantine")).collect()
+    assert {r["reject_reason"] for r in rejected} == {"malformed record"}
+    assert {r["malformed_record"] for r in rejected} == {LINES[1] + ",more", "N9,short"}
+    assert "malformed_record" not in spark.table(own.table("silver")).columns
+
+
+def test_lost_dates_stop_or_warn(spark, made, tmp_path):
+    spec, _, folder = made
+    source, warned = str(folder / "incidents.csv"), replace(spec, name="warned")
+    with pytest.warns(UserWarning, match="dates lost: {'Opened': 1}"):
+        run.run(spark, warned, source, str(tmp_path / "warned"))
+    strict = replace(spec, name="strict_dates", on_date_loss="raise")
+    with pytest.raises(run.DatesLost, match="Opened"):
+        run.run(spark, strict, source, str(tmp_path / "strict"))
+    assert not spark.catalog.tableExists(strict.table("gold"))
+
+
+def test_gate_warns(spark, made):
+    spec, _, _ = made
+    with pytest.warns(UserWarning, match="4 critical columns hold nulls"):
+        enforce_gate(spark.table(spec.table("quality")))
+
+
+@pytest.mark.parametrize("name", ["file_names", "on_fail", "on_loss", "on_date_loss"])
+def test_misspelt_words_are_refused(name):
+    with pytest.raises(ValueError, match=name):
+        replace(INCIDENTS, **{name: "Raise"})
+
+
+def test_a_file_with_a_metadata_column_is_refused(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("Number,Source_File_Name\nN1,keep me\n")
+    with pytest.raises(NameCollision):
+        layers.bronze(spark, INCIDENTS, str(tmp_path / "in.csv"))
+
+
+def test_duplicates_across_loads(spark, tmp_path):
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_text("Number,User ID\nN1,U1\nN2,U1\n")
+    spec = replace(INCIDENTS, file_names="each", critical=("Number",), defaults={}, date_columns=())
+    bronze = layers.bronze(spark, spec, str(tmp_path), F.lit("2024-01-01").cast("timestamp"))
+    assert layers.silver(layers.routed(bronze, spec), spec).count() == 4
+    once = replace(spec, across_loads=True)
+    kept = layers.silver(layers.routed(bronze, once), once).collect()
+    assert [(r["Number"], r["source_file_name"]) for r in sorted(kept)] == [("N1", "a.csv"), ("N2", "a.csv")]
 
 
 def test_gate_can_stop_the_run(spark, made, tmp_path):
@@ -153,7 +208,8 @@ def test_each_row_can_name_its_own_file(spark, tmp_path):
     spec = replace(INCIDENTS, file_names="each", duplicate_key=("Number", "User_ID"),
                    duplicate_order=("source_file_name",), critical=("Number",), defaults={}, date_columns=())
     bronze = layers.bronze(spark, spec, str(tmp_path), F.lit("2024-01-01").cast("timestamp"))
-    assert bronze.columns == ["Number", "User_ID", "ingestion_timestamp", "source_file_name"]
+    own = ["malformed_record", "ingestion_timestamp", "source_file_name"]
+    assert bronze.columns == ["Number", "User_ID", *own]
     assert {r["source_file_name"] for r in bronze.collect()} == {"a.csv", "b.csv"}
     routed = layers.routed(bronze, spec)
     assert [r["source_file_name"] for r in layers.silver(routed, spec).collect()] == ["a.csv"]

@@ -20,12 +20,12 @@ def stored(spark, tmp_path_factory):
     made["silver"] = layers.silver(made["routed"], INCIDENTS)
     for name, df in made.items():
         df.write.parquet(f"{folder}/{name}")
-    for version, committed_at, operation in shapes.COMMITS:
+    for version, committed_at, _ in shapes.COMMITS:
         rows = versions.as_of(shapes.snapshots(spark, sf_dir), version=version)
-        snapshots.add_version(rows, f"{folder}/orders", operation, committed_at)
+        snapshots.write_version(rows, f"{folder}/orders", version, committed_at)
     tables = {name: spark.read.parquet(f"{folder}/{name}") for name in made}
-    tables["versions"] = snapshots.read_snapshots(spark, f"{folder}/orders")
-    tables["commits"] = snapshots.read_commits(spark, f"{folder}/orders")
+    tables["versions"] = snapshots.read_versions(spark, f"{folder}/orders")
+    tables["commits"] = shapes.commits(spark)
     return tables
 
 
@@ -110,10 +110,15 @@ def test_version_reads_prune_folders(stored):
 
 def test_feed_over_several_versions_is_one_read_and_one_shuffle(stored):
     plan = final_plan(changes.change_feed(stored["versions"], 1, 3, stored["commits"]))
-    assert plan.count("snapshots") == 1
-    keyed = plan_of(changes.change_feed_keyed(stored["versions"], ["k"], 1, 2, stored["commits"]))
-    assert keyed.count("/snapshots]") == 1
-    assert keyed.count("Exchange hashpartitioning(_commit_version") == 1
+    assert plan.count("/orders]") == 1
+
+
+def test_keyed_feed_folds_whole_rows_by_hash(stored):
+    """Whole rows go through a hash aggregate; only changed ones are then sorted by key."""
+    plan = plan_of(changes.change_feed_keyed(stored["versions"], ["k"], 1, 2, stored["commits"]))
+    rows = [line for line in plan.splitlines() if "HashAggregate(keys=[k#" in line and "price" in line]
+    assert rows and not any("SortAggregate" in line and "price" in line.split("functions=")[0] for line in plan.splitlines())
+    assert "ReadSchema: struct<k:bigint>" in plan, "uniqueness is checked on keys alone"
 
 
 def test_history_reads_no_data_columns(stored):

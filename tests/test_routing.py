@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tierwork.functions.names import UnknownColumn
 from tierwork.operators import copies, quality, routing
 
 CRITICAL = ("number", "category")
@@ -156,7 +157,7 @@ def test_quarantine_needs_no_wide_shuffle_after_routing(spark, tmp_path):
     routing.route(df, CRITICAL).write.parquet(path)
     routed = spark.read.parquet(path)
     plan = routing.clean_rows(routed)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "EqualTo(_kept,true), IsNull(_reason)]" in plan
+    assert "Exchange" not in plan and "EqualTo(_marks.kept,true), IsNull(_marks.reason)]" in plan
     plan = routing.rejected_rows(routed)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1, "only blocks of hot rows move"
 
@@ -166,3 +167,26 @@ def test_partial_counts_come_before_the_shuffle(spark):
     plan = copies.collapse_copies(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("partial_count")
     assert "Window" not in plan
+
+
+HELPERS = ("_extra", "_copies", "_kept", "_reason", "_n", "_first", "_marks", "_case")
+
+
+@pytest.mark.parametrize("name", HELPERS)
+def test_data_columns_named_like_helpers(spark, name):
+    rows = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, None)], f"k int, {name} string")
+    for key, order in ((None, ()), (["K"], [name.upper()])):
+        routed = routing.route(rows, [name], key, order)
+        clean, rejected = routing.clean_rows(routed), routing.rejected_rows(routed)
+        assert clean.columns == ["k", name] and rejected.columns == ["k", name, "reject_reason"]
+        assert clean.count() + rejected.count() == 4
+        report = quality.quality_report_of_routed(routed, [name], keyed=key is not None)
+        wanted = quality.quality_report(rows, [name])
+        assert Counter(report.filter("check_type <> 'DUPLICATE_KEY_CHECK'").collect()) == Counter(wanted.collect())
+        found = report.filter("check_type = 'DUPLICATE_KEY_CHECK'").collect()
+        assert [r["value"] for r in found] == (["1"] if key else [])
+
+
+def test_unknown_key(spark):
+    with pytest.raises(UnknownColumn):
+        routing.route(spark.range(1), [], ["nope"], ["id"])

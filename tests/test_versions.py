@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tierwork.operators import changes, versions
+from tierwork.functions.names import NameCollision
 from tierwork.sources import snapshots
 
 SCHEMA = "_version int, _commit_timestamp timestamp_ntz, k int, v string"
@@ -133,15 +134,15 @@ def test_a_version_without_rows(spark, tmp_path):
     ]
 
 
-def test_an_empty_last_version_is_stored(spark, tmp_path):
+def test_an_empty_last_version(spark, tmp_path):
     location = str(tmp_path / "store")
     rows = spark.createDataFrame([(1, "x")], "k int, v string")
-    snapshots.add_version(rows, location)
-    snapshots.add_version(rows.limit(0), location)
-    stored, notes = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
-    feed = changes.change_feed(stored, 1, commits=notes).select("k", "_change_type")
+    for version, frame in enumerate((rows, rows.limit(0))):
+        snapshots.write_version(frame, location, version, day(version))
+    stored, listed = snapshots.read_versions(spark, location), commits(spark, 2)
+    feed = changes.change_feed(stored, 1, commits=listed).select("k", "_change_type")
     assert bag(feed) == Counter([(1, "delete")])
-    assert versions.as_of(stored, version=1, commits=notes).isEmpty()
+    assert versions.as_of(stored, version=1, commits=listed).isEmpty()
 
 
 def test_retention(spark):
@@ -163,23 +164,22 @@ def test_stored_versions_are_pruned_by_folder(spark, tmp_path):
     location = str(tmp_path / "store")
     for n in range(3):
         rows = spark.createDataFrame([(n, "x")] * (n + 1), "k int, v string")
-        assert snapshots.add_version(rows, location, committed_at=day(n)) == n
-    stored, notes = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+        snapshots.write_version(rows, location, n, day(n))
+    stored = snapshots.read_versions(spark, location)
     plan = versions.as_of(stored, version=1)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_version" in plan
-    one = versions.as_of(stored, timestamp=datetime(2024, 1, 6), commits=notes)
+    one = versions.as_of(stored, timestamp=datetime(2024, 1, 6), commits=commits(spark, 3))
     assert bag(one) == Counter({(1, "x"): 2})
 
 
-def test_a_version_without_note_is_not_read_and_is_replaced(spark, tmp_path):
+def test_writing_a_version_again_replaces_it(spark, tmp_path):
     location = str(tmp_path / "store")
     rows = spark.createDataFrame([(1, "x")], "k int, v string")
-    snapshots.add_version(rows, location)
-    rows.unionByName(rows).write.parquet(snapshots.snapshot_path(location, 1))
-    assert snapshots.read_snapshots(spark, location).count() == 1
-    assert snapshots.latest_version(spark, location) == 0
-    assert snapshots.add_version(rows, location) == 1
-    assert snapshots.read_snapshots(spark, location).count() == 2
+    snapshots.write_version(rows, location, 0, day(0))
+    for _ in range(2):
+        snapshots.write_version(rows.unionByName(rows), location, 1, day(1))
+    stored = snapshots.read_versions(spark, location)
+    assert bag(stored.groupBy("_version").count()) == Counter([(0, 1), (1, 2)])
 
 
 def test_history(spark):
@@ -190,24 +190,32 @@ def test_history(spark):
     assert tuple(versions.version_bounds(rows).first()) == (0, 1)
 
 
-def test_retiring_stored_versions(spark, tmp_path):
+def test_files_of_expired_versions(spark, tmp_path):
     location = str(tmp_path / "store")
     for n in range(3):  # January 1st, 5th, 9th
         rows = spark.createDataFrame([(n, "x")], "k int, v string").repartition(n + 1)
-        snapshots.add_version(rows, location, committed_at=day(n))
-    at = datetime(2024, 1, 12)
-    listed = snapshots.expired_files(spark, location, at).collect()
-    assert {r["version"] for r in listed} == {0} and all("_version=0/" in r["path"] for r in listed)
-    assert snapshots.expired_files(spark, location, datetime(2024, 1, 1)).isEmpty()
-    snapshots.retire_versions(spark, location, at)
-    snapshots.retire_versions(spark, location, at)
-    stored, notes = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
-    assert bag(stored.select("k")) == Counter([(1,), (2,)])
-    assert tuple(versions.version_bounds(notes).first()) == (1, 2)
-    with pytest.raises(versions.VersionNotAvailable):
-        versions.as_of(stored, version=0, commits=notes)
-    with pytest.raises(versions.VersionNotAvailable):
-        changes.change_feed(stored, 1, commits=notes)
-    snapshots.retire_versions(spark, location, datetime(2030, 1, 1))
-    assert snapshots.latest_version(spark, location) == 2
-    assert snapshots.add_version(rows, location) == 3
+        snapshots.write_version(rows, location, n, day(n))
+    stored = snapshots.read_versions(spark, location)
+
+    def listed(at):
+        return snapshots.expired_files(spark, location, versions.expired_versions(stored, at)).collect()
+
+    found = listed(datetime(2024, 1, 12))
+    assert {r["version"] for r in found} == {0} and all("_version=0/" in r["path"] for r in found)
+    assert listed(datetime(2024, 1, 1)) == []
+
+
+def test_a_column_of_the_feed_is_refused(spark):
+    rows = tagged(spark, [[(1, "a")], [(1, "b")]]).withColumnRenamed("v", "_Change_Type")
+    with pytest.raises(NameCollision):
+        changes.change_feed(rows, 1)
+
+
+def test_data_columns_named_like_helpers(spark):
+    names = {"k": "_side", "v": "_net"}
+    rows = tagged(spark, [[(1, "a"), (2, "b")], [(1, "c"), (2, "b")]])
+    feed = changes.change_feed(rows, 1)
+    odd = changes.change_feed(rows.withColumnsRenamed(names), 1)
+    assert bag(odd) == bag(feed) and odd.columns[:2] == ["_side", "_net"]
+    keyed = changes.change_feed_keyed(rows.withColumnsRenamed(names), ["_SIDE"], 1)
+    assert bag(keyed) == bag(changes.change_feed_keyed(rows, ["k"], 1))

@@ -31,13 +31,21 @@ def parse_timestamps(df: DataFrame, names: Sequence[str], formats: Sequence[str]
     return df.withColumns({name: parsed_timestamp(df, name, formats) for name in names})
 
 
+def loss_counts(df: DataFrame, names: Sequence[str], formats: Sequence[str]) -> list[Column]:
+    """Aggregates ``_0``, ``_1`` and so on: values of each date column that fit no format."""
+    return [
+        F.count_if(named(name).isNotNull() & parsed_timestamp(df, name, formats).isNull()).alias(f"_{i}")
+        for i, name in enumerate(names)
+    ]
+
+
 def parse_losses(df: DataFrame, names: Sequence[str], formats: Sequence[str]) -> DataFrame:
     """Per date column, how many values are present as text but fit no format (one pass)."""
-    lost = [
-        F.count_if(named(name).isNotNull() & parsed_timestamp(df, name, formats).isNull())
-        for name in names
-    ]
-    counts = df.agg(*(count.alias(f"_{i}") for i, count in enumerate(lost)))
+    return listed_losses(df.agg(*loss_counts(df, names, formats)), names)
+
+
+def listed_losses(counts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A row per date column from one row of ``loss_counts``."""
     return counts.select(
         F.inline(
             F.array(

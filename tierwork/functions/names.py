@@ -30,6 +30,20 @@ def free_name(stem: str, taken: Iterable[str]) -> str:
     return stem
 
 
+class UnknownColumn(ValueError):
+    """A column that is asked for by name is not there."""
+
+
+def spelled(names: Iterable[str], columns: Iterable[str]) -> list[str]:
+    """The names as the columns spell them; names match without case."""
+    known = {column.lower(): column for column in columns}
+    names = list(names)
+    missing = [name for name in names if name.lower() not in known]
+    if missing:
+        raise UnknownColumn(f"no column {', '.join(missing)}")
+    return [known[name.lower()] for name in names]
+
+
 def _checked(df: DataFrame, names: list[str]) -> DataFrame:
     seen: dict[str, str] = {}
     for old, new in zip(df.columns, names):

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from tierwork.functions.names import named
+from tierwork.functions.names import NameCollision, free_name, named, spelled
 from tierwork.operators.copies import repeat_rows
 from tierwork.operators.versions import COMMIT_TIME, VERSION, VersionNotAvailable, version_bounds
 
@@ -42,19 +43,31 @@ def _feed_range(commits: DataFrame, start: int, end: int | None) -> tuple[int, i
     return start, end
 
 
-def _sides(snapshots: DataFrame, start: int, end: int) -> DataFrame:
-    """Rows with ``_commit_version`` and ``_side``: 1 new in that version, -1 old before it."""
+def _data_columns(snapshots: DataFrame) -> list[str]:
+    """The columns of the rows themselves; those of a feed must be free."""
+    data = [name for name in snapshots.columns if name not in (VERSION, COMMIT_TIME)]
+    taken = {name.lower() for name in data} & {CHANGE_TYPE, COMMIT_VERSION, COMMIT_TIME}
+    if taken:
+        raise NameCollision(f"the feed needs the column {min(taken)!r}, which the rows have")
+    return data
+
+
+def _net_rows(snapshots: DataFrame, start: int, end: int, net: str) -> DataFrame:
+    """Rows per version that the version before it holds unequally often, with the difference:
+    one read and one hash aggregate that folds on the map side, for all versions at once."""
     version = F.col(VERSION).cast("bigint")
     both = F.array(
-        F.struct(version.alias(COMMIT_VERSION), F.lit(1).alias("_side")),
-        F.struct((version + 1).alias(COMMIT_VERSION), F.lit(-1).alias("_side")),
+        F.struct(version.alias(COMMIT_VERSION), F.lit(1).alias(net)),
+        F.struct((version + 1).alias(COMMIT_VERSION), F.lit(-1).alias(net)),
     )
-    data = [named(name) for name in snapshots.columns if name not in (VERSION, COMMIT_TIME)]
-    return (
+    data = list(map(named, _data_columns(snapshots)))
+    sides = (
         snapshots.filter(F.col(VERSION).between(start - 1, end))
         .select(*data, F.inline(both))
         .filter(F.col(COMMIT_VERSION).between(start, end))
     )
+    counted = sides.groupBy(*data, COMMIT_VERSION).agg(F.sum(net).alias(net))
+    return counted.filter(F.col(net) != 0)
 
 
 def _with_times(changes: DataFrame, commits: DataFrame, start: int, end: int) -> DataFrame:
@@ -84,13 +97,10 @@ def change_feed(
     """
     commits = snapshots if commits is None else commits
     start, end = _feed_range(commits, start, end)
-    sides = _sides(snapshots, start, end)
-    same_row = [named(name) for name in sides.columns if name != "_side"]
-    net = sides.groupBy(*same_row).agg(F.sum("_side").alias("_net")).filter(F.col("_net") != 0)
-    change = F.when(F.col("_net") > 0, F.lit(INSERT)).otherwise(F.lit(DELETE))
-    listed = repeat_rows(
-        net.withColumn(CHANGE_TYPE, change).withColumn("_net", F.abs("_net")), "_net"
-    )
+    n = free_name("_net", snapshots.columns)
+    net = _net_rows(snapshots, start, end, n)
+    change = F.when(F.col(n) > 0, F.lit(INSERT)).otherwise(F.lit(DELETE))
+    listed = repeat_rows(net.withColumn(CHANGE_TYPE, change).withColumn(n, F.abs(n)), n)
     return _with_times(listed, commits, start, end).select(*_feed_columns(snapshots))
 
 
@@ -107,42 +117,48 @@ def change_feed_keyed(
     """
     commits = snapshots if commits is None else commits
     start, end = _feed_range(commits, start, end)
-    sides = _sides(snapshots, start, end)
-    data = [name for name in sides.columns if name not in (COMMIT_VERSION, "_side")]
+    data = _data_columns(snapshots)
+    key = spelled(key, data)
+    n = free_name("_net", snapshots.columns)
+    # Rows that did not change have cancelled out by now, so only changed ones are paired by key.
+    net = _net_rows(snapshots, start, end, n)
     row = F.struct(*map(named, data))
-    new, old = F.col("_side") == 1, F.col("_side") == -1
-    # Rows fold on the map side, so a key that wrongly fills a third of a version fails the query
-    # without first being gathered in one task.
-    pairs = sides.groupBy(
-        F.col(COMMIT_VERSION), *(named(name).alias(f"_key{i}") for i, name in enumerate(key))
-    ).agg(
-        F.first(F.when(old, row), ignorenulls=True).alias("_old"),
-        F.first(F.when(new, row), ignorenulls=True).alias("_new"),
-        F.greatest(F.count_if(old), F.count_if(new)).alias("_most"),
+    pairs = net.groupBy(F.col(COMMIT_VERSION), F.struct(*map(named, key)).alias("key")).agg(
+        F.first(F.when(F.col(n) < 0, row), ignorenulls=True).alias("old"),
+        F.first(F.when(F.col(n) > 0, row), ignorenulls=True).alias("new"),
     )
 
     def entry(kind: str, side: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.col(side).alias("row"))
 
-    was, now = F.col("_old"), F.col("_new")
     entries = (
-        F.when(
-            F.col("_most") > 1,
-            F.raise_error(F.lit(f"key {', '.join(key)} is not unique within a version")),
-        )
-        .when(was.isNull(), F.array(entry(INSERT, "_new")))
-        .when(now.isNull(), F.array(entry(DELETE, "_old")))
-        .when(
-            ~was.eqNullSafe(now),
-            F.array(entry(UPDATE_BEFORE, "_old"), entry(UPDATE_AFTER, "_new")),
-        )
-    )
-    listed = pairs.select(COMMIT_VERSION, F.explode(entries).alias("_entry")).select(
-        COMMIT_VERSION, F.col("_entry.kind").alias(CHANGE_TYPE), "_entry.row.*"
+        F.when(F.col("old").isNull(), F.array(entry(INSERT, "new")))
+        .when(F.col("new").isNull(), F.array(entry(DELETE, "old")))
+        .otherwise(F.array(entry(UPDATE_BEFORE, "old"), entry(UPDATE_AFTER, "new")))
     )
+    listed = pairs.select(COMMIT_VERSION, F.explode(entries).alias("entry"))
+    listed = listed.unionByName(_repeated_keys(snapshots, key, start, end, listed.schema["entry"].dataType))
+    listed = listed.select(
+        COMMIT_VERSION, F.col("entry.kind").alias(CHANGE_TYPE), F.col("entry.row").alias("row")
+    ).select(COMMIT_VERSION, CHANGE_TYPE, "row.*")
     return _with_times(listed, commits, start, end).select(*_feed_columns(snapshots))
 
 
+def _repeated_keys(
+    snapshots: DataFrame, key: Sequence[str], start: int, end: int, entry: DataType
+) -> DataFrame:
+    """No rows, or an error if a key occurs twice in a version. Versions and keys alone are read,
+    and counted with a fold on the map side, so a key that wrongly fills a third of a version fails
+    the query without first being gathered in one task."""
+    versions = snapshots.filter(F.col(VERSION).between(start - 1, end))
+    counted = versions.groupBy(F.col(VERSION), *map(named, key)).agg(F.count(F.lit(1)).alias("rows in key"))
+    message = f"key {', '.join(key)} is not unique within a version"
+    failed = F.raise_error(F.lit(message)).cast(entry)
+    return counted.filter(F.col("`rows in key`") > 1).select(
+        F.col(VERSION).cast("bigint").alias(COMMIT_VERSION), failed.alias("entry")
+    )
+
+
 def change_summary(feed: DataFrame) -> DataFrame:
     """Changes per kind."""
     return feed.groupBy(CHANGE_TYPE).count()

@@ -7,6 +7,7 @@ shuffle but that of the partial counts.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,17 +21,19 @@ from tierwork.functions.measures import (
     percentage_text,
     status,
 )
-from tierwork.functions.names import named
+from tierwork.functions.names import free_name, named, spelled
 from tierwork.operators.copies import collapse_copies
-from tierwork.operators.routing import MARKS
+from tierwork.operators.routing import marks, row_columns
 
 # Check names, row labels, wording and the time column of a report.
 RECORD_COUNT = "RECORD_COUNT"
 DUPLICATE_CHECK = "DUPLICATE_CHECK"
+KEY_CHECK = "DUPLICATE_KEY_CHECK"
 CRITICAL_NULL_CHECK = "CRITICAL_NULL_CHECK"
 NULL_CHECK = "NULL_CHECK"
 TOTAL_ROWS = "total_rows"
 DUPLICATE_ROWS = "duplicate_rows"
+KEY_ROWS = "rows_of_a_key_kept_elsewhere"
 CRITICAL_COLUMNS = "critical_columns_with_nulls"
 ALL_ROWS = "100%"
 COLUMNS_AFFECTED = " columns affected"
@@ -69,18 +72,19 @@ def _weighted(columns: Sequence[str], weight: Column, extra: Column) -> list[Col
 
 def counts_with_duplicates(df: DataFrame) -> DataFrame:
     """Total, duplicates and nulls of every column; one pass and one shuffle of folded rows."""
-    n = F.col("_copies")
-    return collapse_copies(df, "_copies").agg(*_weighted(df.columns, n, n - 1))
+    copies = free_name("_copies", df.columns)
+    n = F.col(copies)
+    return collapse_copies(df, copies).agg(*_weighted(df.columns, n, n - 1))
 
 
-def routed_counts(columns: Sequence[str]) -> list[Column]:
-    """The same as aggregates over routed rows, which need no shuffle any more."""
-    weight = F.col("_kept").cast("bigint") + F.col("_extra")
-    return _weighted(columns, weight, F.col("_extra"))
-
-
-def _row_columns(routed: DataFrame) -> list[str]:
-    return [name for name in routed.columns if name not in MARKS]
+def routed_counts(routed: DataFrame) -> list[Column]:
+    """The same as aggregates over routed rows, which need no shuffle any more, and ``rejected``,
+    the rows that another row of their key was kept instead of. A row's copies are duplicates but
+    for one, whether or not that one was kept, so the count is the same as without a key."""
+    mark = marks(routed)
+    kept = mark["kept"].cast("bigint")
+    weight = kept + mark["extra"]
+    return [*_weighted(row_columns(routed), weight, weight - 1), _sum(1 - kept).alias("rejected")]
 
 
 Finding = tuple[str, str, Column]
@@ -94,16 +98,20 @@ def _duplicates() -> Finding:
     return DUPLICATE_CHECK, DUPLICATE_ROWS, F.col("duplicates")
 
 
+def _key_rejects() -> Finding:
+    return KEY_CHECK, KEY_ROWS, F.col("rejected")
+
+
 def _critical(columns: Sequence[str], critical: Sequence[str]) -> Finding:
     """How many critical columns hold a null, from a counts row over ``columns``."""
-    spelled = [name.lower() for name in columns]
-    places = [spelled.index(name.lower()) for name in critical]
+    places = [list(columns).index(name) for name in spelled(critical, columns)]
     hit = (F.when(F.col(f"n{i}") > 0, 1).otherwise(0) for i in places)
     return CRITICAL_NULL_CHECK, CRITICAL_COLUMNS, sum(hit, F.lit(0).cast("bigint"))
 
 
-def _nulls(columns: Sequence[str]) -> list[Finding]:
-    return [(NULL_CHECK, name, F.col(f"n{i}")) for i, name in enumerate(columns)]
+def _nulls(columns: Sequence[str], besides: Sequence[str] = ()) -> list[Finding]:
+    found = ((NULL_CHECK, name, F.col(f"n{i}")) for i, name in enumerate(columns))
+    return [finding for finding in found if finding[1] not in besides]
 
 
 def _found(counts: DataFrame, findings: Sequence[Finding]) -> DataFrame:
@@ -157,10 +165,22 @@ def critical_check(df: DataFrame, critical: Sequence[str]) -> DataFrame:
 
 
 def report_of_counts(
-    counts: DataFrame, columns: Sequence[str], critical: Sequence[str]
+    counts: DataFrame,
+    columns: Sequence[str],
+    critical: Sequence[str],
+    keyed: bool = False,
+    besides: Sequence[str] = (),
 ) -> DataFrame:
-    """The report from one row of counts over ``columns``."""
-    findings = [_record(), _duplicates(), _critical(columns, critical), *_nulls(columns)]
+    """The report from one row of counts over ``columns``; ``keyed`` adds a row for the rows that
+    are no copies but share their key with a row that was kept; the nulls of columns ``besides``
+    those of the data are not reported."""
+    findings = [
+        _record(),
+        _duplicates(),
+        *([_key_rejects()] if keyed else []),
+        _critical(columns, critical),
+        *_nulls(columns, besides),
+    ]
     return _laid_out(counts, findings, len(critical))
 
 
@@ -169,9 +189,11 @@ def quality_report(df: DataFrame, critical: Sequence[str]) -> DataFrame:
     return report_of_counts(counts_with_duplicates(df), df.columns, critical)
 
 
-def quality_report_of_routed(routed: DataFrame, critical: Sequence[str]) -> DataFrame:
-    columns = _row_columns(routed)
-    return report_of_counts(routed.agg(*routed_counts(columns)), columns, critical)
+def quality_report_of_routed(
+    routed: DataFrame, critical: Sequence[str], keyed: bool = False
+) -> DataFrame:
+    counts = routed.agg(*routed_counts(routed))
+    return report_of_counts(counts, row_columns(routed), critical, keyed)
 
 
 def timed(report: DataFrame, at: Column | None = None) -> DataFrame:
@@ -194,11 +216,13 @@ def gate(report: DataFrame) -> DataFrame:
 
 
 def enforce_gate(report: DataFrame, on_fail: str = "warn") -> None:
-    """With ``on_fail="raise"``, stop if critical columns hold nulls (reads one row)."""
-    if on_fail == "raise":
-        row = gate(report).first()
-        if row["critical_issues"]:
-            raise QualityGateFailed(f"{row['critical_issues']} critical columns hold nulls")
+    """Stop or warn if critical columns hold nulls (reads one row)."""
+    row = gate(report).first()
+    if row["critical_issues"]:
+        found = f"{row['critical_issues']} critical columns hold nulls"
+        if on_fail == "raise":
+            raise QualityGateFailed(found)
+        warnings.warn(found, stacklevel=2)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Sending rows to the clean layer or to quarantine, with a reason and without losing any.
 
-``route`` does the one wide shuffle. Its result holds each distinct row once: ``_kept`` tells
-whether a copy of the row survives as the first of its key, ``_extra`` how many further copies
-there are, ``_reason`` why the first copy is refused, if it is. Clean rows, quarantine and quality
-report all follow from it without another wide shuffle, so a run writes it out once.
+``route`` does the one wide shuffle. Its result holds each distinct row once, with its marks in one
+struct as the last column, under a name that no column of the rows has: ``kept`` tells whether a
+copy of the row survives as the first of its key, ``extra`` how many further copies there are,
+``reason`` why the first copy is refused, if it is. Clean rows, quarantine and quality report all
+follow from it without another wide shuffle, so a run writes it out once.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tierwork.functions.names import named
+from tierwork.functions.names import free_name, named, spelled
 from tierwork.operators.copies import collapse_copies, repeat_rows
 
 # The words and columns a quarantine table carries.
@@ -25,7 +26,8 @@ NULL_IN = "null in "
 REASON_COLUMN = "reject_reason"
 QUARANTINE_TIME_COLUMN = "quarantine_timestamp"
 
-MARKS = ("_kept", "_extra", "_reason")
+# Fixed value: why a record that does not fit its header is refused.
+MALFORMED = "malformed record"
 
 
 class DefaultMismatch(ValueError):
@@ -43,39 +45,57 @@ def first_null(columns: Sequence[str]) -> Column:
     return F.coalesce(*tests, F.lit(None).cast("string"))
 
 
+def marks(routed: DataFrame) -> Column:
+    """The marks of routed rows."""
+    return named(routed.columns[-1])
+
+
+def row_columns(routed: DataFrame) -> list[str]:
+    return routed.columns[:-1]
+
+
 def route(
     df: DataFrame,
     critical: Sequence[str],
     key: Sequence[str] | None = None,
     order: Sequence[str] = (),
+    malformed: str | None = None,
 ) -> DataFrame:
     """Distinct rows of ``df`` with the marks described above.
 
     Without ``key`` two rows are duplicates if they agree in every column. With a key the first
-    row of a key survives, by ``order`` and then by the remaining columns.
+    row of a key survives, by ``order`` and then by the remaining columns. Names match without
+    case. Rows with something in the column ``malformed`` are refused for that.
     """
     columns = list(map(named, df.columns))
+    copies, kept = free_name("_copies", df.columns), free_name("_kept", df.columns)
+    key = None if key is None else spelled(key, df.columns)
     if key is None or set(key) >= set(df.columns):
-        marked = collapse_copies(df, "_copies").withColumn("_kept", F.lit(True))
+        marked = collapse_copies(df, copies).withColumn(kept, F.lit(True))
     elif order:
         # The survivors go through the same aggregate as the rows, which so learn whether they are
         # one. Both aggregates fold on the map side: unlike with a window over the key, a key with
         # a third of all rows does not end in one task.
-        rows = df.withColumns({"_n": F.lit(1), "_first": F.lit(False)})
-        firsts = _first_rows(df, key, order).withColumns({"_n": F.lit(0), "_first": F.lit(True)})
+        n, first = free_name("_n", df.columns), free_name("_first", df.columns)
+        rows = df.withColumns({n: F.lit(1), first: F.lit(False)})
+        firsts = _first_rows(df, key, spelled(order, df.columns))
+        firsts = firsts.withColumns({n: F.lit(0), first: F.lit(True)})
         marked = (
             rows.unionByName(firsts)
             .groupBy(*columns)
-            .agg(F.sum("_n").alias("_copies"), F.max("_first").alias("_kept"))
+            .agg(F.sum(n).alias(copies), F.max(first).alias(kept))
         )
     else:
         raise ValueError("a key that is not the whole row needs an order to pick the survivor by")
-    return marked.select(
-        *columns,
-        "_kept",
-        (F.col("_copies") - F.col("_kept").cast("bigint")).alias("_extra"),
-        first_null(critical).alias("_reason"),
+    reason = first_null(spelled(critical, df.columns))
+    if malformed is not None:
+        reason = F.when(named(malformed).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+    found = F.struct(
+        F.col(kept).alias("kept"),
+        (F.col(copies) - F.col(kept).cast("bigint")).alias("extra"),
+        reason.alias("reason"),
     )
+    return marked.select(*columns, found.alias(free_name("_marks", df.columns)))
 
 
 def _first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -92,26 +112,35 @@ def _first_rows(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Data
 
 def clean_rows(routed: DataFrame) -> DataFrame:
     """The rows that pass, as they came in."""
-    return routed.filter(F.col("_kept") & F.col("_reason").isNull()).drop(*MARKS)
+    mark = marks(routed)
+    passed = routed.filter(mark["kept"] & mark["reason"].isNull())
+    return passed.select(*map(named, row_columns(routed)))
 
 
 def rejected_rows(routed: DataFrame) -> DataFrame:
     """The rows that do not pass, every copy of them, as they came in, with the reason."""
+    mark, rows = marks(routed), row_columns(routed)
     cases = F.array_compact(
         F.array(
             F.when(
-                F.col("_kept") & F.col("_reason").isNotNull(),
-                F.struct(F.col("_reason").alias(REASON_COLUMN), F.lit(1).cast("bigint").alias("_n")),
+                mark["kept"] & mark["reason"].isNotNull(),
+                F.struct(mark["reason"].alias("reason"), F.lit(1).cast("bigint").alias("n")),
             ),
             F.when(
-                F.col("_extra") > 0,
-                F.struct(F.lit(DUPLICATE).alias(REASON_COLUMN), F.col("_extra").alias("_n")),
+                mark["extra"] > 0,
+                F.struct(F.lit(DUPLICATE).alias("reason"), mark["extra"].alias("n")),
             ),
         )
     )
-    refused = routed.filter((F.col("_extra") > 0) | F.col("_reason").isNotNull())
-    listed = refused.withColumn("_case", F.explode(cases)).drop(*MARKS)
-    return repeat_rows(listed.select("*", "_case.*").drop("_case"), "_n")
+    refused = routed.filter((mark["extra"] > 0) | mark["reason"].isNotNull())
+    case, n = free_name("_case", rows), free_name("_n", [*rows, REASON_COLUMN])
+    listed = refused.select(*map(named, rows), F.explode(cases).alias(case))
+    listed = listed.select(
+        *map(named, rows),
+        F.col(case)["reason"].alias(REASON_COLUMN),
+        F.col(case)["n"].alias(n),
+    )
+    return repeat_rows(listed, n)
 
 
 def quarantine(routed: DataFrame, at: Column | None = None) -> DataFrame:

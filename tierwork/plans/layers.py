@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierwork.functions.dates import parse_timestamps
-from tierwork.functions.names import named, rename_columns, sanitize_columns
+from tierwork.functions.dates import loss_counts, parse_timestamps
+from tierwork.functions.names import NameCollision, named, rename_columns, sanitize_columns
 from tierwork.operators.metrics import metric_table
 from tierwork.operators.routing import clean_rows, fill_defaults, route
 from tierwork.sources.delimited import read_csv
@@ -17,23 +17,40 @@ CREATED_TIME_COLUMN = "created_timestamp"
 
 
 def with_metadata(df: DataFrame, file_name: Column, at: Column | None = None) -> DataFrame:
-    """Add load time and source file as the last columns."""
+    """Add load time and source file as the last columns; the rows must not have such columns."""
     at = F.current_timestamp() if at is None else at
-    own = [named(name) for name in df.columns if name not in METADATA]
-    return df.select(*own, at.alias(INGEST_TIME_COLUMN), file_name.alias(SOURCE_FILE_COLUMN))
+    taken = {name.lower() for name in df.columns} & {name.lower() for name in METADATA}
+    if taken:
+        raise NameCollision(f"the rows have a column {min(taken)!r} already")
+    return df.select("*", at.alias(INGEST_TIME_COLUMN), file_name.alias(SOURCE_FILE_COLUMN))
 
 
 def bronze(
     spark: SparkSession, spec: DatasetSpec, path: str, at: Column | None = None
 ) -> DataFrame:
-    """The raw file with usable column names and load metadata, otherwise as it came."""
-    raw = read_csv(spark, path, infer_types=spec.infer_types, multi_line=spec.multi_line)
-    if spec.file_names == "each":
-        raw = raw.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE_COLUMN))
-        origin = F.col(SOURCE_FILE_COLUMN)
-    else:
+    """The raw file with usable column names and load metadata, otherwise as it came. A record that
+    does not fit its header keeps its text in a column of its own."""
+    file_name = "/source file"
+    raw = read_csv(
+        spark,
+        path,
+        infer_types=spec.infer_types,
+        malformed=spec.malformed_column,
+        by_name=spec.by_name,
+        file_name=file_name,
+    )
+    origin = named(file_name)
+    if spec.file_names == "path":
         origin = F.lit(path.rstrip("/").rsplit("/", 1)[-1])
-    return with_metadata(usable_names(raw, spec), origin, at)
+    own = usable_names(raw.drop(file_name), spec).columns
+    rows = raw.select(*(named(old).alias(new) for old, new in zip(raw.columns, own)), named(file_name))
+    times = F.current_timestamp() if at is None else at
+    taken = {name.lower() for name in own} & {name.lower() for name in METADATA}
+    if taken:
+        raise NameCollision(f"the file has a column {min(taken)!r}, which the load adds")
+    return rows.select(
+        *map(named, own), times.alias(INGEST_TIME_COLUMN), origin.alias(SOURCE_FILE_COLUMN)
+    )
 
 
 def usable_names(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -43,12 +60,24 @@ def usable_names(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 def routed(rows: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Distinct bronze rows marked for silver or quarantine (see ``operators.routing``)."""
-    return route(rows, spec.critical, spec.duplicate_key, spec.duplicate_order)
+    key, order = spec.duplicate_key, spec.duplicate_order
+    if spec.across_loads:
+        key, order = [name for name in rows.columns if name not in METADATA], METADATA
+    malformed = spec.malformed_column if spec.malformed_column in rows.columns else None
+    return route(rows, spec.critical, key, order, malformed)
 
 
-def silver(routed_rows: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Clean rows with defaults filled in and dates parsed."""
-    filled = fill_defaults(clean_rows(routed_rows), spec.defaults)
+def silver(
+    routed_rows: DataFrame, spec: DatasetSpec, losses: Observation | None = None
+) -> DataFrame:
+    """Clean rows with defaults filled in and dates parsed. ``losses`` sees per date column how many
+    values fit no format, while the rows are written."""
+    rows = clean_rows(routed_rows)
+    if spec.malformed_column in rows.columns:
+        rows = rows.drop(named(spec.malformed_column))
+    filled = fill_defaults(rows, spec.defaults)
+    if losses is not None and spec.date_columns:
+        filled = filled.observe(losses, *loss_counts(filled, spec.date_columns, spec.date_formats))
     return parse_timestamps(filled, spec.date_columns, spec.date_formats)
 
 

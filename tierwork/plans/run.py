@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.operators.quality import enforce_gate, report_of_counts, routed_counts, timed
-from tierwork.operators.routing import quarantine, reconcile
+from tierwork.operators.routing import quarantine, reconcile, row_columns
 from tierwork.plans import layers
 from tierwork.sources.tables import overwrite_table
 from tierwork.sources.work import written_and_counted
@@ -18,6 +19,10 @@ from tierwork.spec import DatasetSpec
 LAYERS = ("bronze", "quality", "silver", "quarantine", "gold")
 
 
+class DatesLost(RuntimeError):
+    """Dates are in none of the formats listed, and the run was told not to let that pass."""
+
+
 class RowsLost(RuntimeError):
     """Silver and quarantine together do not hold as many rows as bronze."""
 
@@ -26,8 +31,9 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
     """Read ``path``, write the five tables under ``location``, return rows per layer.
 
     Each step starts from a written table, so the raw file is read once and the wide shuffle of
-    the duplicate search runs once. The report is counted while its result is written; quarantine
-    and silver are narrow reads of that.
+    the duplicate search runs once. The report is counted while its result is written, and lost
+    dates while silver is; quarantine and silver are narrow reads of that. The next run writes the
+    intermediate table over.
     An exception stops the run and leaves the tables of later layers as they were.
     """
 
@@ -35,20 +41,43 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
         return overwrite_table(df, spec.table(layer), f"{location}/{layer}")
 
     bronze = write(layers.bronze(spark, spec, path), "bronze")
-    columns = bronze.columns
+    routed = layers.routed(bronze, spec)
+    columns, keyed = row_columns(routed), spec.duplicate_key is not None or spec.across_loads
     routed, counts = written_and_counted(
-        layers.routed(bronze, spec), "routed", routed_counts(columns)
+        routed, "routed", routed_counts(routed), f"{location}/routed"
     )
-    report = write(timed(report_of_counts(counts, columns, spec.critical)), "quality")
+    report = report_of_counts(counts, columns, spec.critical, keyed, [spec.malformed_column])
+    report = write(timed(report), "quality")
     enforce_gate(report, spec.on_fail)
     # Few rejected rows come out of every scan task; rebalanced, they make few files.
     rejected = write(quarantine(routed).hint("rebalance"), "quarantine")
-    clean = write(layers.silver(routed, spec), "silver")
+    clean, lost = written_silver(routed, spec, lambda rows: write(rows, "silver"))
+    check_dates(lost, spec.on_date_loss)
     check_rows(bronze, clean, rejected, spec.on_loss)
     write(layers.gold(clean, spec), "gold")
     return layer_rows(spark, spec)
 
 
+def written_silver(
+    routed: DataFrame, spec: DatasetSpec, write: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, dict[str, int]]:
+    """Silver as ``write`` leaves it, and per date column the values that were in no known format,
+    counted while it was written."""
+    losses = Observation()
+    clean = write(layers.silver(routed, spec, losses))
+    counts = losses.get.values() if spec.date_columns else ()
+    return clean, dict(zip(spec.date_columns, counts))
+
+
+def check_dates(lost: dict[str, int], on_loss: str = "warn") -> None:
+    """Stop or warn if some column has dates that no format fits, which are null by now."""
+    found = {name: count for name, count in lost.items() if count}
+    if found:
+        if on_loss == "raise":
+            raise DatesLost(f"dates lost: {found}")
+        warnings.warn(f"dates lost: {found}", stacklevel=2)
+
+
 def check_rows(
     bronze: DataFrame, clean: DataFrame, rejected: DataFrame, on_loss: str = "raise"
 ) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tierwork.registry.shapes import COLUMNS, INCIDENT_SQL, SNAPSHOT_SQL
 
 C = ", ".join(COLUMNS)
+# Fixed values, written down once more so that the SQL does not lean on the code it checks.
 CRITICAL = ("Number", "Category", "Priority", "State")
 DEFAULTS = {
     "short_description": "No Description",
@@ -87,7 +88,15 @@ CRITICALS = (
           warning("k", "FAIL"))
     + f" FROM (SELECT {AFFECTED} AS k FROM inc)"
 )
-REPORT = f"{WITH} {RECORDS} UNION ALL {DUPLICATES} UNION ALL {CRITICALS} UNION ALL {NULLS}"
+REPORT_ROWS = f"{RECORDS} UNION ALL {DUPLICATES} UNION ALL {CRITICALS} UNION ALL {NULLS}"
+REPORT = f"{WITH} {REPORT_ROWS}"
+REJECTED = """(SELECT count(*) FROM (SELECT DISTINCT * FROM inc))
+  - (SELECT count(*) FROM (SELECT DISTINCT User_ID, Opened FROM inc))"""
+KEY_REJECTS = (
+    check("DUPLICATE_KEY_CHECK", "rows_of_a_key_kept_elsewhere", "d", f"{percent('d', 'n')} || '%'", warning("d"))
+    + f" FROM (SELECT count(*) AS n, {REJECTED} AS d FROM inc)"
+)
+AT = "TIMESTAMP '2024-01-15'"
 
 
 def counted(kind: str, group: str, where: str = "true") -> str:
@@ -163,6 +172,22 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan": f"{WITH} SELECT {TEXT_DATES} FROM inc",
         "csv_scan_typed": "SELECT * FROM orders",
         "csv_multi_line": "SELECT * FROM documents",
+        "csv_malformed": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+            CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority
+              WHEN o_orderstatus = 'P' THEN 'more' END AS o_orderpriority,
+            CASE WHEN (o_orderstatus = 'P') <> (o_orderpriority = '5-LOW') THEN
+              concat_ws(',', o_orderkey, o_orderstatus,
+                CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END,
+                CASE WHEN o_orderstatus = 'P' THEN 'more' END) END AS malformed_record
+          FROM orders""",
+        "csv_mixed_headers": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+          CASE WHEN o_totalprice >= 150000 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+        "table_detail": """SELECT 'before' AS state, CAST(16 AS BIGINT) AS numFiles, true AS has_bytes
+          UNION ALL SELECT 'after', 1, true""",
+        "silver_losses": f"""{SILVER} SELECT 'Opened' AS column_name,
+            count(Opened) FILTER (WHERE State = 'F') AS lost_values FROM silver
+          UNION ALL SELECT 'Updated', 0""",
+        "gold_table": f"{SILVER} " + " UNION ALL ".join(GOLD.values()),
         "table_scan": f"{WITH} SELECT * FROM inc",
         "overwrite_roundtrip": f"{WITH} SELECT * FROM inc WHERE Updated IS NOT NULL",
         "append_rows": """SELECT * FROM orders
@@ -179,7 +204,8 @@ def oracle_sql() -> dict[str, str]:
         "table_profile": f"{WITH} SELECT count(*) AS row_count, CAST(16 AS INTEGER) AS column_count FROM inc",
         "ingest_metadata": """SELECT *, TIMESTAMP '2024-01-15' AS ingestion_timestamp,
           'orders.parquet' AS source_file_name FROM orders""",
-        "bronze": f"""{WITH} SELECT {TEXT_DATES}, TIMESTAMP '2024-01-15' AS ingestion_timestamp FROM inc""",
+        "bronze": f"""{WITH} SELECT {TEXT_DATES}, CAST(NULL AS VARCHAR) AS malformed_record,
+          TIMESTAMP '2024-01-15' AS ingestion_timestamp, 'incidents.csv' AS source_file_name FROM inc""",
         "row_count": f"{WITH} SELECT count(*) AS row_count FROM inc",
         **COUNTS,
         "distinct_rows": f"{WITH} SELECT DISTINCT * FROM inc",
@@ -197,13 +223,15 @@ def oracle_sql() -> dict[str, str]:
         "dq_null_check": f"{WITH} {NULLS}",
         "dq_duplicate_check": f"{WITH} {DUPLICATES}",
         "dq_critical_check": f"{WITH} {CRITICALS}",
-        "quality_report": REPORT,
+        "quality_report": f"{WITH} SELECT *, {AT} AS report_timestamp FROM ({REPORT_ROWS})",
+        "quality_report_keyed": f"{WITH} {REPORT_ROWS} UNION ALL {KEY_REJECTS}",
         "quality_report_of_routed": REPORT,
         "dq_gate": f"""{WITH} SELECT CASE WHEN k = 0 THEN 'passed' ELSE 'quarantine' END AS decision,
           k AS critical_issues, d AS duplicate_rows
           FROM (SELECT {AFFECTED} AS k, any_value({TWICE}) AS d FROM inc)""",
         "reject_reason": f"{WITH} SELECT Number, {REASON} AS reject_reason FROM inc",
-        "quarantine": f"{ROUTED} SELECT * FROM routed WHERE reject_reason IS NOT NULL",
+        "quarantine": f"""{ROUTED} SELECT *, {AT} AS quarantine_timestamp FROM routed
+          WHERE reject_reason IS NOT NULL""",
         "quarantine_by_reason": f"""{ROUTED} SELECT reject_reason, count(*) AS row_count
           FROM routed WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
         "union_quarantine": f"{ROUTED} SELECT * FROM routed WHERE reject_reason IS NOT NULL",
@@ -219,15 +247,19 @@ def oracle_sql() -> dict[str, str]:
         "silver": f"{SILVER} SELECT * FROM silver",
         "count_by": """SELECT l_returnflag, count(*) AS incident_count FROM lineitem GROUP BY l_returnflag""",
         "avg_by": f"{WITH} SELECT Channel, round(avg({HOURS}), 2) AS avg_hours FROM inc GROUP BY Channel",
-        "ordered_counts": f"""{WITH} SELECT Assignment_Group, count(*) AS incident_count
-          FROM inc GROUP BY Assignment_Group ORDER BY 2 DESC, 1""",
-        "ordered_months": f"""{WITH} SELECT strftime(Opened, '%Y-%m') AS year_month,
-          count(*) AS incident_count FROM inc GROUP BY 1 ORDER BY 1""",
+        "ordered_counts": f"""{WITH} SELECT *, CAST(row_number() OVER (
+            ORDER BY incident_count DESC, Assignment_Group NULLS FIRST) AS INTEGER) AS position
+          FROM (SELECT Assignment_Group, count(*) AS incident_count FROM inc GROUP BY Assignment_Group)""",
+        "ordered_months": f"""{WITH} SELECT *, CAST(row_number() OVER (
+            ORDER BY year_month NULLS FIRST) AS INTEGER) AS position
+          FROM (SELECT strftime(Opened, '%Y-%m') AS year_month, count(*) AS incident_count FROM inc GROUP BY 1)""",
         "year_month_key": f"""{WITH} SELECT Number, {MONTH} AS year_month,
           strftime(Opened, '%Y-%m') AS padded FROM inc""",
         "duration_hours": f"{WITH} SELECT Number, {HOURS} AS resolution_time_hours FROM inc",
         **{name: f"{SILVER} {sql}" for name, sql in GOLD.items()},
-        "gold_metrics": f"{SILVER} " + " UNION ALL ".join(GOLD.values()),
+        "gold_metrics": f"{SILVER} SELECT *, {AT} AS created_timestamp FROM ("
+        + " UNION ALL ".join(GOLD.values())
+        + ")",
         "layer_rows": f"""{SILVER},
           gold AS ({" UNION ALL ".join(GOLD.values())})
           SELECT 'bronze' AS layer, count(*) AS row_count FROM inc

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierwork.registry import shapes
@@ -16,7 +17,7 @@ from tierwork.functions import dates, names
 from tierwork.operators import changes, copies, metrics, quality, routing, versions
 from tierwork.plans import layers, run
 from tierwork.sources import delimited, files, snapshots, tables
-from tierwork.sources.work import work_path
+from tierwork.sources.work import work_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,9 +69,19 @@ def _without_zone(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in kinds})
 
 
+def _loaded_at() -> Column:
+    """A fixed time, for the columns that hold when something was done."""
+    return F.lit(LOADED_AT).cast("timestamp_ntz")
+
+
+def _numbered(rows: DataFrame, *order: Column) -> DataFrame:
+    """A small ordered result with the place of each row, which a comparison of bags can see."""
+    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
 def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
     """The incident rows as an exported CSV with blanks in its header."""
-    path = work_path(spark, "incidents-csv")
+    path = f"{work_path(spark, 'incidents-csv')}/incidents.csv"
     rows = shapes.with_text_dates(shapes.incidents(spark, sf_dir)).withColumnsRenamed(HEADERS)
     rows.write.option("header", True).option("escape", '"').csv(path)
     return path
@@ -109,6 +120,34 @@ def csv_multi_line(spark, sf_dir):
     return delimited.read_csv(spark, path, schema=schema)
 
 
+def _as_text_file(rows: DataFrame, header: str, path: str) -> None:
+    """Records as they are, under a header line in every file."""
+    rows.toDF(header).write.option("header", True).option("sep", "\u0001").csv(path)
+
+
+@query
+def csv_malformed(spark, sf_dir):
+    """Orders of which some have a field too many and some one too few: their text is kept."""
+    path, orders = work_path(spark, "orders-csv"), shapes.table(spark, sf_dir, "orders")
+    extra = F.when(F.col("o_orderstatus") == "P", F.lit("more"))
+    priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    record = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", priority, extra)
+    _as_text_file(orders.select(record), "o_orderkey,o_orderstatus,o_orderpriority", path)
+    return delimited.read_csv(spark, path, malformed="malformed_record")
+
+
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """Orders in files with two headers, one of them in another order and with one column more."""
+    paths = [work_path(spark, "orders-csv") for _ in range(2)]
+    orders = shapes.table(spark, sf_dir, "orders")
+    cheap = F.col("o_totalprice") < 150000
+    headers = (["o_orderkey", "o_orderstatus"], ["o_orderstatus", "o_orderpriority", "o_orderkey"])
+    for path, rows, columns in zip(paths, (orders.filter(cheap), orders.filter(~cheap)), headers):
+        rows.select(*columns).write.option("header", True).csv(path)
+    return delimited.read_csv(spark, paths, by_name=True)
+
+
 @query
 def table_scan(spark, sf_dir):
     name = f"incidents_{uuid4().hex}"
@@ -148,8 +187,12 @@ def table_detail(spark, sf_dir):
     path, target = work_path(spark, "orders"), work_path(spark, "orders-compacted")
     shapes.table(spark, sf_dir, "orders").repartition(16).write.parquet(path)
     files.compact(spark, path, target)
-    before = files.table_detail(spark, path).select(F.lit("before").alias("state"), "*")
-    return before.unionByName(files.table_detail(spark, target).select(F.lit("after").alias("state"), "*"))
+    found = ((state, files.table_detail(spark, place)) for state, place in (("before", path), ("after", target)))
+    before, after = (
+        detail.select(F.lit(state).alias("state"), "numFiles", (F.col("sizeInBytes") > 0).alias("has_bytes"))
+        for state, detail in found
+    )
+    return before.unionByName(after)
 
 
 @query
@@ -217,15 +260,12 @@ over_incidents(table_profile)
 @query
 def ingest_metadata(spark, sf_dir):
     orders = shapes.table(spark, sf_dir, "orders")
-    at = F.lit(LOADED_AT).cast("timestamp_ntz")
-    return layers.with_metadata(orders, F.col("_metadata.file_name"), at)
+    return layers.with_metadata(orders, F.col("_metadata.file_name"), _loaded_at())
 
 
 @query
 def bronze(spark, sf_dir):
-    at = F.lit(LOADED_AT).cast("timestamp_ntz")
-    rows = layers.bronze(spark, INCIDENTS, _raw_csv(spark, sf_dir), at)
-    return rows.drop("source_file_name")
+    return layers.bronze(spark, INCIDENTS, _raw_csv(spark, sf_dir), _loaded_at())
 
 
 # Counts, filters, distinct rows
@@ -327,7 +367,13 @@ def dq_critical_check(inc):
 
 
 def quality_report(inc):
-    return quality.quality_report(inc, INCIDENTS.critical)
+    return quality.timed(quality.quality_report(inc, INCIDENTS.critical), _loaded_at())
+
+
+def quality_report_keyed(inc):
+    """With a key: copies are counted as without one, rows that lost against another by themselves."""
+    routed = routing.route(inc, INCIDENTS.critical, ["user_id", "OPENED"], ["Updated", "Number"])
+    return quality.quality_report_of_routed(routed, INCIDENTS.critical, keyed=True)
 
 
 def quality_report_of_routed(inc):
@@ -344,6 +390,7 @@ for build in (
     dq_duplicate_check,
     dq_critical_check,
     quality_report,
+    quality_report_keyed,
     quality_report_of_routed,
     dq_gate,
 ):
@@ -358,7 +405,7 @@ def reject_reason(inc):
 
 
 def quarantine(inc):
-    return routing.rejected_rows(layers.routed(inc, INCIDENTS))
+    return routing.quarantine(layers.routed(inc, INCIDENTS), _loaded_at())
 
 
 def quarantine_by_reason(inc):
@@ -434,12 +481,13 @@ def avg_by(inc):
 
 def ordered_counts(inc):
     counts = metrics.count_by(inc, "Assignment_Group", "incident_count")
-    return metrics.largest_first(counts, "incident_count", "Assignment_Group")
+    ordered = metrics.largest_first(counts, "incident_count", "Assignment_Group")
+    return _numbered(ordered, F.desc("incident_count"), F.asc("Assignment_Group"))
 
 
 def ordered_months(inc):
     months = inc.select(dates.year_month(F.col("Opened"), pad=True).alias("year_month"))
-    return metrics.count_by(months, "year_month", "incident_count").orderBy("year_month")
+    return _numbered(metrics.count_by(months, "year_month", "incident_count"), F.asc("year_month"))
 
 
 def year_month_key(inc):
@@ -469,17 +517,42 @@ _queries["gold_avg_resolution"] = _one_metric(4)
 
 
 @query
-def gold_metrics(spark, sf_dir):
-    return metrics.metric_table(_silver(spark, sf_dir), INCIDENTS.metrics)
+def silver_losses(spark, sf_dir):
+    """Finished orders open with a date in no listed format: how many silver loses, counted while
+    it is written."""
+    rows = shapes.with_text_dates(shapes.incidents(spark, sf_dir))
+    odd = F.concat(F.lit("on "), "Opened")
+    rows = rows.withColumn("Opened", F.when(F.col("State") == "F", odd).otherwise(F.col("Opened")))
+    routed = layers.routed(rows, INCIDENTS)
+    _, lost = run.written_silver(routed, INCIDENTS, lambda clean: written(clean, "silver"))
+    return spark.createDataFrame(list(lost.items()), "column_name string, lost_values bigint")
 
 
 @query
-def layer_rows(spark, sf_dir):
-    """Rows per layer after a run over all of them, tables written and read back."""
+def gold_metrics(spark, sf_dir):
+    return layers.gold(_silver(spark, sf_dir), INCIDENTS, _loaded_at())
+
+
+def _whole_run(spark: SparkSession, sf_dir: str) -> tuple[DatasetSpec, DataFrame]:
     spec = replace(INCIDENTS, name=f"incidents_{uuid4().hex}", schema=f"layers_{uuid4().hex}")
     location = work_path(spark, "layers")
     spark.sql(f"CREATE DATABASE {spec.schema} LOCATION '{location}/schema'")
-    return run.run(spark, spec, _raw_csv(spark, sf_dir), location)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", UserWarning)
+        return spec, run.run(spark, spec, _raw_csv(spark, sf_dir), location)
+
+
+@query
+def layer_rows(spark, sf_dir):
+    """Rows per layer after a run over all of them, tables written and read back."""
+    return _whole_run(spark, sf_dir)[1]
+
+
+@query
+def gold_table(spark, sf_dir):
+    """The gold table that a run has written, read back."""
+    spec, _ = _whole_run(spark, sf_dir)
+    return spark.table(spec.table("gold")).drop("created_timestamp")
 
 
 # The same layers for another dataset, told apart by its spec only
@@ -581,58 +654,59 @@ for build in (
     over_snapshots(build)
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> str:
-    """The four versions of the orders in a version store."""
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The four versions of the orders written one by one, and the list of commits."""
     location = work_path(spark, "orders")
     rows = shapes.snapshots(spark, sf_dir)
-    for version, committed_at, operation in shapes.COMMITS:
+    for version, committed_at, _ in shapes.COMMITS:
         one = versions.as_of(rows, version=version, missing="empty")
-        snapshots.add_version(one, location, operation, committed_at)
-    return location
+        snapshots.write_version(one, location, version, committed_at)
+    return snapshots.read_versions(spark, location), shapes.commits(spark)
 
 
 @query
 def stored_as_of(spark, sf_dir):
     """The version in force on January 10th, read from its folder only."""
-    location = _stored(spark, sf_dir)
-    stored, commits = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    stored, commits = _stored(spark, sf_dir)
     return versions.as_of(stored, timestamp=datetime(2024, 1, 10), commits=commits)
 
 
 @query
 def stored_change_feed(spark, sf_dir):
-    location = _stored(spark, sf_dir)
-    stored, commits = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
+    stored, commits = _stored(spark, sf_dir)
     return _without_zone(changes.change_feed(stored, 2, 3, commits))
 
 
 @query
 def table_versions(spark, sf_dir):
-    """A named table written, overwritten with fewer rows and compacted: its history."""
-    name, location = f"orders_{uuid4().hex}", work_path(spark, "orders")
+    """A table written, cut to fewer rows and compacted, each a version: its history."""
+    location, at = work_path(spark, "orders"), shapes.COMMITS[0][1]
+    compacted = work_path(spark, "orders-compacted")
     orders = shapes.table(spark, sf_dir, "orders")
-    tables.overwrite_table(orders, name, location, operation="CREATE TABLE")
-    tables.overwrite_table(spark.table(name).filter("o_orderstatus <> 'P'"), name, location)
-    tables.compact_table(spark, name, location)
-    history = versions.commit_history(snapshots.read_commits(spark, location)).drop("timestamp")
-    stored = snapshots.read_snapshots(spark, location)
-    return versions.version_history(stored, history).drop("timestamp")
+    snapshots.write_version(orders, location, 0, at)
+    snapshots.write_version(orders.filter("o_orderstatus <> 'P'"), location, 1, at)
+    files.compact(spark, f"{location}/_version=1", compacted)
+    rows = spark.read.parquet(compacted).drop("_commit_timestamp")
+    snapshots.write_version(rows, location, 2, at)
+    log = [(0, "CREATE TABLE"), (1, "WRITE"), (2, "OPTIMIZE")]
+    log = spark.createDataFrame(log, "version int, operation string")
+    return versions.version_history(snapshots.read_versions(spark, location), log).drop("timestamp")
 
 
 @query
 def appended_changes(spark, sf_dir):
     """The change feed of a table from before five of its own rows were added again."""
-    name, location = f"orders_{uuid4().hex}", work_path(spark, "orders")
-    orders = tables.overwrite_table(shapes.table(spark, sf_dir, "orders"), name, location)
-    tables.append_rows(orders.orderBy("o_orderkey").limit(5), name, location)
-    stored, commits = snapshots.read_snapshots(spark, location), snapshots.read_commits(spark, location)
-    return changes.change_feed(stored, 1, commits=commits).drop("_commit_timestamp")
+    location, orders = work_path(spark, "orders"), shapes.table(spark, sf_dir, "orders")
+    again = orders.orderBy("o_orderkey").limit(5)
+    for version, rows in enumerate((orders, orders.unionByName(again))):
+        snapshots.write_version(rows, location, version, shapes.COMMITS[version][1])
+    stored = snapshots.read_versions(spark, location)
+    return changes.change_feed(stored, 1).drop("_commit_timestamp")
 
 
 @query
 def stored_retention(spark, sf_dir):
-    """The versions left after those expired on January 15th were retired, and their rows."""
-    location = _stored(spark, sf_dir)
-    snapshots.retire_versions(spark, location, AS_OF)
-    history = versions.version_history(snapshots.read_snapshots(spark, location))
-    return _without_zone(history)
+    """The versions left without those expired on January 15th, and their rows."""
+    stored, commits = _stored(spark, sf_dir)
+    kept = versions.retain_versions(stored, AS_OF, commits=commits)
+    return _without_zone(versions.version_history(kept))

@@ -199,3 +199,10 @@ def operations(spark: SparkSession) -> DataFrame:
     """The operation log that goes with the snapshots: one row per version."""
     rows = [(version, operation) for version, _, operation in COMMITS]
     return spark.createDataFrame(rows, "version int, operation string")
+
+
+def commits(spark: SparkSession) -> DataFrame:
+    """When each version was committed: one row per version."""
+    rows = [(version, str(at)) for version, at, _ in COMMITS]
+    listed = spark.createDataFrame(rows, "_version int, at string")
+    return listed.select("_version", F.col("at").cast("timestamp").alias("_commit_timestamp"))

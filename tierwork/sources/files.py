@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +24,16 @@ def table_detail(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
     )
 
 
-def packed(rows: DataFrame, path: str, file_bytes: int) -> DataFrame:
-    """``rows``, which are those under ``path``, in as many partitions as files of ``file_bytes``
-    are needed. No shuffle: scan tasks pack small files together and ``coalesce`` joins tasks."""
-    size = table_detail(rows.sparkSession, path).first()["sizeInBytes"]
-    return rows.coalesce(max(1, -(-size // file_bytes)))
+@contextmanager
+def _advised(spark: SparkSession, size: int) -> Iterator[None]:
+    """While it lasts, rebalanced partitions are about ``size`` bytes."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def compact(
@@ -40,10 +46,19 @@ def compact(
     """Write the parquet rows under ``path`` to the new folder ``target`` in files of about
     ``file_bytes``, and return them.
 
-    A partitioned table is rebalanced on its partition columns, which brings the rows of a small
-    partition together and splits a large one at Spark's advisory partition size.
+    Smaller files are joined without a shuffle: scan tasks pack them and ``coalesce`` joins tasks. A
+    task begins a new file after as many rows as ``file_bytes`` hold on average, so larger files
+    are cut. A partitioned table is rebalanced on its partition columns first, which brings the rows
+    of a small partition together and splits a large one at ``file_bytes``.
     """
     rows = spark.read.parquet(path)
-    laid_out = rows.hint("rebalance", *partition_by) if partition_by else packed(rows, path, file_bytes)
-    laid_out.write.partitionBy(*partition_by).parquet(target)
+    size = table_detail(spark, path).first()["sizeInBytes"]
+    each = max(1, rows.count() * file_bytes // max(size, 1))
+    if partition_by:
+        laid_out = rows.hint("rebalance", *partition_by)
+    else:
+        laid_out = rows.coalesce(max(1, -(-size // file_bytes)))
+    with _advised(spark, file_bytes):
+        writer = laid_out.write.option("maxRecordsPerFile", each).partitionBy(*partition_by)
+        writer.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)

@@ -1,124 +1,45 @@
-"""Storing every version of a table: one folder per version, one note per commit.
+"""Every version of a table in one folder, partitioned by version.
 
-``<location>/snapshots/_version=<n>`` holds the rows of version n, ``<location>/commits`` a note per
-finished version and one more when it is given up. A version counts only between its two notes, so
-what a failed job leaves behind is never read and is replaced by the next attempt. One writer at a
-time per location.
+A version is rows with their number and commit time; who writes it says which number it has. Writing
+a number again replaces that version, so a job that failed is simply run again. There is no log:
+reading is reading the folder, and picking versions prunes it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.functions.dates import moment
-from tierwork.operators.versions import COMMIT_TIME, VERSION, expired_versions
+from tierwork.operators.versions import COMMIT_TIME, VERSION
 
-RETIRED = "RETIRE"
-COMMIT_SCHEMA = f"{VERSION} int, {COMMIT_TIME} timestamp, operation string"
 
+def write_version(df: DataFrame, location: str, version: int, committed_at: datetime) -> None:
+    """Store ``df`` as a version. One without rows leaves nothing in the folder; that it was
+    committed is known from the ``commits`` which the operators on versions take."""
+    rows = df.withColumns({COMMIT_TIME: moment(committed_at), VERSION: F.lit(version)})
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(VERSION).parquet(location)
 
-def snapshot_path(location: str, version: int) -> str:
-    return f"{location.rstrip('/')}/snapshots/{VERSION}={version}"
 
+def read_versions(spark: SparkSession, location: str, merge_schema: bool = False) -> DataFrame:
+    """All versions with ``_version`` and ``_commit_timestamp``. ``merge_schema`` is for tables whose
+    columns have changed: a version without a column has nulls there."""
+    return spark.read.option("mergeSchema", merge_schema).parquet(location)
 
-def _notes(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{location.rstrip('/')}/commits")
 
-
-def _add_notes(notes: DataFrame, location: str) -> None:
-    notes.coalesce(1).write.mode("append").parquet(f"{location.rstrip('/')}/commits")
-
-
-def read_commits(spark: SparkSession, location: str) -> DataFrame:
-    """One row per version that can be read: ``_version, _commit_timestamp, operation``."""
-    notes = _notes(spark, location)
-    retired = notes.filter(F.col("operation") == RETIRED).select(VERSION)
-    return notes.filter(F.col("operation") != RETIRED).join(retired, VERSION, "left_anti")
-
-
-def latest_version(spark: SparkSession, location: str) -> int | None:
-    """The last finished version, None if there is none."""
-    try:
-        return _notes(spark, location).agg(F.max(VERSION)).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def add_version(
-    df: DataFrame,
-    location: str,
-    operation: str = "WRITE",
-    committed_at: datetime | None = None,
-    file_format: str = "parquet",
-    partition_by: Sequence[str] = (),
-) -> int:
-    """Store ``df`` as the next version under ``location`` and return its number."""
-    spark = df.sparkSession
-    latest = latest_version(spark, location)
-    version = 0 if latest is None else latest + 1
-    rows = df.write.format(file_format).mode("overwrite").partitionBy(*partition_by)
-    rows.save(snapshot_path(location, version))
-    note = spark.range(1).select(
-        F.lit(version).alias(VERSION),
-        (F.current_timestamp() if committed_at is None else moment(committed_at)).alias(COMMIT_TIME),
-        F.lit(operation).alias("operation"),
-    )
-    _add_notes(note, location)
-    return version
-
-
-def read_snapshots(
-    spark: SparkSession, location: str, file_format: str = "parquet", merge_schema: bool = False
-) -> DataFrame:
-    """All finished versions with ``_version`` and ``_commit_timestamp``.
-
-    ``merge_schema`` is for tables whose columns have changed: a version without a column has
-    nulls there. The times come from the notes, a row per version, by a join on the folder's version; Spark
-    broadcasts the notes while they are under its size threshold.
-    """
-    reader = spark.read.format(file_format).option("mergeSchema", merge_schema)
-    rows = reader.load(f"{location.rstrip('/')}/snapshots")
-    return rows.join(read_commits(spark, location).select(VERSION, COMMIT_TIME), VERSION)
-
-
-def expired_files(
-    spark: SparkSession, location: str, as_of: datetime, retain_hours: int = 168
-) -> DataFrame:
-    """The files of the versions superseded before the retention period: ``version, path, length``.
-
-    Files are found by listing folders and none is opened.
-    """
-    commits = read_commits(spark, location)
-    expired = expired_versions(commits, as_of, retain_hours).select("version")
+def expired_files(spark: SparkSession, location: str, expired: DataFrame) -> DataFrame:
+    """The files of ``expired`` versions (``operators.versions.expired_versions``), for the storage's
+    own tools to delete: ``version, path, length``. Folders are listed and no file is opened."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(f"{location.rstrip('/')}/snapshots")
+        .option("pathGlobFilter", "*.parquet")
+        .load(location)
     )
     version = F.regexp_extract("path", f"/{VERSION}=([0-9]+)/", 1).cast("int")
-    return files.select(version.alias("version"), "path", "length").join(expired, "version")
-
-
-def retire_versions(
-    spark: SparkSession, location: str, as_of: datetime, retain_hours: int = 168
-) -> None:
-    """Give up the versions superseded before the retention period; the latest always stays.
-
-    They can no longer be read. No row is copied and no file deleted: ``expired_files``, asked
-    beforehand, tells the storage's own tools what may go.
-    """
-    commits = read_commits(spark, location)
-    expired = expired_versions(commits, as_of, retain_hours)
-    notes = expired.select(
-        F.col("version").alias(VERSION),
-        F.current_timestamp().alias(COMMIT_TIME),
-        F.lit(RETIRED).alias("operation"),
+    return files.select(version.alias("version"), "path", "length").join(
+        expired.select("version"), "version"
     )
-    _add_notes(notes, location)

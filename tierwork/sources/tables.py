@@ -1,4 +1,4 @@
-"""Named tables: current namespace, scan, overwrite, append, compaction, properties."""
+"""Named tables: current namespace, scan, overwrite, append, properties."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tierwork.functions.names import named, quoted
-from tierwork.sources.files import DEFAULT_FILE_BYTES, packed, table_detail
-from tierwork.sources.snapshots import add_version, latest_version, snapshot_path
 
 
 class SchemaChanged(ValueError):
@@ -33,40 +31,51 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"{quoted(name)} {kind}" for name, kind in df.dtypes)
 
 
+def _text(value: str) -> str:
+    """A value as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """The folder a table is in."""
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name})
+    return described.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
 def overwrite_table(
     df: DataFrame,
     name: str,
     location: str,
-    operation: str = "WRITE",
     file_format: str = "parquet",
     partition_by: Sequence[str] = (),
     allow_schema_change: bool = False,
 ) -> DataFrame:
     """Make ``df`` the content of table ``name`` and return the table.
 
-    The rows become the next version under ``location`` and the table is pointed there when they
-    are complete: readers see the old rows or the new ones, ``df`` may read the table it replaces,
-    and a failed job leaves the table as it was. Earlier versions stay readable
-    (``sources.snapshots.read_snapshots``) and the table keeps its properties. A table with
-    partitions, which the catalog may hold by folder, is dropped and created anew instead.
+    A table has two folders under ``location``. The rows are written to the one it is not in, and
+    the table is pointed there when they are complete: readers see the old rows or the new ones,
+    ``df`` may read the table it replaces, and a failed job leaves the table as it was. The rows
+    before the last overwrite stay in the other folder until the next one. The table keeps its
+    properties, but for a table with partitions, which the catalog may hold by folder: it is
+    dropped and created anew.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
     same = exists and _columns(spark.table(name)) == _columns(df)
     if exists and not same and not allow_schema_change:
         raise SchemaChanged(f"{name} has other columns than the rows to be written")
-    version = add_version(
-        df, location, operation, file_format=file_format, partition_by=partition_by
-    )
-    folder = snapshot_path(location, version)
+    side = "b" if exists and _place(spark, name).endswith("/a") else "a"
+    folder = f"{location.rstrip('/')}/{side}"
+    df.write.format(file_format).mode("overwrite").partitionBy(*partition_by).save(folder)
     if same and not partition_by:
-        spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION '{folder}'", args={"name": name})
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET LOCATION {_text(folder)}", args={"name": name})
         spark.catalog.refreshTable(name)
     else:
         parts = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
         spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
         spark.sql(
-            f"CREATE TABLE IDENTIFIER(:name) ({_ddl(df)}) USING {file_format} {parts} LOCATION '{folder}'",
+            f"CREATE TABLE IDENTIFIER(:name) ({_ddl(df)}) USING {file_format} {parts} "
+            f"LOCATION {_text(folder)}",
             args={"name": name},
         )
     if partition_by:
@@ -74,36 +83,17 @@ def overwrite_table(
     return spark.table(name)
 
 
-def append_rows(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
-    """Add rows to a table, matched by column name, and return the table.
-
-    With the ``location`` of its versions the table gets a new version, so a change feed shows
-    the rows as inserts; without, they join the current version's files.
-    """
+def append_rows(df: DataFrame, name: str) -> DataFrame:
+    """Add rows to a table, matched by column name, and return the table. Only the new rows are
+    written."""
     spark = df.sparkSession
-    if location is not None:
-        longer = spark.table(name).unionByName(df)
-        return overwrite_table(longer, name, location, operation="APPEND")
     df.select(*map(named, spark.table(name).columns)).write.insertInto(name)
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
-def current_files(spark: SparkSession, location: str) -> DataFrame:
-    """Number of files and bytes of a table's current version."""
-    return table_detail(spark, snapshot_path(location, latest_version(spark, location)))
-
-
-def compact_table(
-    spark: SparkSession, name: str, location: str, file_bytes: int = DEFAULT_FILE_BYTES
-) -> DataFrame:
-    """The same rows of an unpartitioned table in fewer files, as a version of its own."""
-    current = snapshot_path(location, latest_version(spark, location))
-    rows = packed(spark.table(name), current, file_bytes)
-    return overwrite_table(rows, name, location, operation="OPTIMIZE")
-
-
 def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(
-        f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ('{key}' = '{value}')", args={"name": name}
+        f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({_text(key)} = {_text(value)})",
+        args={"name": name},
     )

@@ -17,10 +17,15 @@ METADATA = (INGEST_TIME_COLUMN, SOURCE_FILE_COLUMN)
 class DatasetSpec:
     """Names, paths and rules of a dataset.
 
-    ``duplicate_key`` is the whole row if left out. ``file_names`` says what the source-file
-    column holds: the name of the path read ("path") or of the file each row came from ("each").
-    ``on_fail`` and ``on_loss`` say whether nulls in critical columns and a row count that does
-    not add up stop a run ("raise") or not ("warn").
+    ``duplicate_key`` is the whole row if left out, load time and source file included, so equal
+    records of two loads are two rows; ``across_loads`` makes it the record without these two, and
+    the one loaded first stays. ``file_names`` says what the source-file column holds: the name of
+    the path read ("path") or of the file each row came from ("each"). ``malformed_column`` is the
+    bronze column for the text of records that do not fit their header; such records go to
+    quarantine. ``by_name`` lets the files of a load have their columns in different orders.
+    ``on_fail``, ``on_loss`` and ``on_date_loss`` say whether nulls in critical columns,
+    a row count that does not add up, and dates in no known format stop a run ("raise") or not
+    ("warn").
     """
 
     name: str
@@ -31,15 +36,31 @@ class DatasetSpec:
     critical: tuple[str, ...] = ()
     duplicate_key: tuple[str, ...] | None = None
     duplicate_order: tuple[str, ...] = ()
+    across_loads: bool = False
     defaults: Mapping[str, str] = field(default_factory=dict)
     date_columns: tuple[str, ...] = ()
     date_formats: tuple[str, ...] = ("dd-MM-yyyy HH:mm", "yyyy-MM-dd HH:mm:ss")
     metrics: tuple[Metric, ...] = ()
     infer_types: bool = False
-    multi_line: bool | str = "auto"
+    malformed_column: str = "malformed_record"
+    by_name: bool = False
     file_names: str = "path"
     on_fail: str = "warn"
     on_loss: str = "raise"
+    on_date_loss: str = "warn"
+
+    def __post_init__(self) -> None:
+        reactions = ("raise", "warn")
+        for name, allowed in (
+            ("file_names", ("path", "each")),
+            ("on_fail", reactions),
+            ("on_loss", reactions),
+            ("on_date_loss", reactions),
+        ):
+            if getattr(self, name) not in allowed:
+                raise ValueError(f"{name} is one of {', '.join(allowed)}, not {getattr(self, name)!r}")
+        if self.across_loads and self.duplicate_key is not None:
+            raise ValueError("across_loads names a duplicate key already")
 
     def table(self, layer: str) -> str:
         """Full name of a layer's table: bronze, silver, quarantine, gold or quality."""
