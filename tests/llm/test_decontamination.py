@@ -1,0 +1,82 @@
+"""Winnowing against comparing every window."""
+
+import pytest
+from llm_cases import LONG, ODD_ROWS, contamination, documents, random_text, rng
+
+from tierwork.llm import decontamination
+from tierwork.llm.words import ALPHANUMERIC, gram_hashes, grams_inside, words_of
+
+ITEM = "item_id long, text string, row string, items string"
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(i, t, "x", "y") for i, t in rows], ITEM)
+
+
+def check(spark, rows, items):
+    found = decontamination.contamination(documents(spark, rows), items_of(spark, items)).collect()
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in found)
+    wanted = sorted((str(row[0]), *contamination(row[1], items)) for row in rows)
+    assert got == wanted
+    return found
+
+
+def test_random_texts(spark):
+    """Few different words, so windows repeat, overlap and begin anywhere; short items too."""
+    r = rng(1)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [(i, random_text(r, vocabulary, 10, 40)) for i in range(25)]
+    items += [(100 + i, random_text(r, vocabulary, 0, 9)) for i in range(25)]
+    rows = [(i, random_text(r, vocabulary, 0, 60)) for i in range(60)]
+    for i in range(60, 120):
+        item = r.choice(items)[1].split()
+        start = r.randint(0, max(0, len(item) - 10))
+        part = " ".join(item[start : start + r.randint(8, 30)])
+        rows.append((i, f"{random_text(r, vocabulary, 0, 20)} {part.upper()} {random_text(r, vocabulary, 0, 20)}"))
+    check(spark, rows, items)
+
+
+def test_one_passage_in_many_documents_and_items(spark):
+    passage = " ".join(f"p{i}" for i in range(14))
+    items = [(i, f"{passage} tail{i}") for i in range(30)] + [(99, "the the the the the the the the the the the")]
+    rows = [(i, f"own{i} {passage} {'the ' * 25}") for i in range(200)]
+    found = check(spark, rows, items)
+    assert {r["n_hit"] for r in found} == {14 + 25}
+
+
+def test_odd_rows(spark):
+    items = [(None, "only a null id here with some words to count"), (1, None), (2, ""), (3, "word"), (4, "Word!"),
+             (5, "straße été niño 漢字"), (6, " ".join(LONG.split()[500:520]))]
+    check(spark, ODD_ROWS, items)
+
+
+@pytest.mark.parametrize("rows, items", [([], [(1, "a b")]), ([(1, "a b")], []), ([], [])])
+def test_empty_tables(spark, rows, items):
+    check(spark, rows, items)
+
+
+def test_clean_documents_stay_whole(spark):
+    docs = documents(spark, [*ODD_ROWS, (50, "x one two three four five six seven eight nine ten y")])
+    items = items_of(spark, [(1, "one two three four five six seven eight nine ten")])
+    kept = decontamination.decontaminated(docs, items)
+    assert kept.columns == docs.columns and kept.count() == len(ODD_ROWS)
+    assert kept.filter("doc_id = 50").isEmpty()
+
+
+def test_every_shared_window_keeps_a_common_fingerprint():
+    """The guarantee itself: two texts that share ten words keep the same gram inside them."""
+    import pyarrow as pa
+
+    r = rng(2)
+    for _ in range(200):
+        shared = [f"s{r.randint(0, 5)}" for _ in range(10)]
+        sides = []
+        for _ in range(2):
+            before = [f"b{r.randint(0, 5)}" for _ in range(r.randint(0, 12))]
+            after = [f"a{r.randint(0, 5)}" for _ in range(r.randint(0, 12))]
+            found = words_of(pa.array([" ".join(before + shared + after)]), ALPHANUMERIC)
+            grams = gram_hashes(found.hashes, decontamination.GRAM)
+            kept = decontamination.kept_grams(grams, grams_inside(found, decontamination.WINDOW))
+            inside = {k - len(before) for k in kept if 0 <= k - len(before) <= 5}
+            sides.append({(place, grams[place + len(before)]) for place in inside})
+        assert sides[0] & sides[1]

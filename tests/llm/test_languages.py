@@ -1,0 +1,75 @@
+"""Language filters: held-out accuracy and odd rows."""
+
+import numpy as np
+import pyarrow as pa
+from llm_cases import ODD_ROWS, documents, rng
+from pyspark.sql import functions as F
+
+from tierwork.llm import languages
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = languages.predicted(docs, languages.learned(docs)).join(docs.select("doc_id", "lang"), "doc_id")
+    held = found.filter(languages.held_out(F.col("doc_id")))
+    right = held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    assert right[0] >= 0.98 and right[1] > 200
+    assert found.filter("score < 0 or score > 1").isEmpty()
+
+
+def test_odd_rows(spark):
+    docs = documents(spark, ODD_ROWS)
+    found = languages.predicted(docs, languages.learned(docs)).collect()
+    assert len(found) == len(ODD_ROWS)
+    letters = {str(row[0]) for row in ODD_ROWS if row[1] and any(map(str.isalpha, row[1]))}
+    assert {str(r["doc_id"]) for r in found if r["lang_pred"] != "und"} == letters
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_without_labels_or_rows(spark):
+    docs = documents(spark, [(1, "some text", None, None)])
+    found = languages.predicted(docs, languages.learned(docs)).collect()
+    assert [tuple(r) for r in found] == [(1, "und", 0.0)]
+    assert languages.accepted(docs, languages.learned(docs), 0.2).collect() == []
+    empty = documents(spark, [])
+    assert languages.predicted(empty, languages.learned(empty)).collect() == []
+
+
+def test_many_languages(spark):
+    """More than 64: masks of several words."""
+    r, rows = rng(10), []
+    for language in range(70):
+        letters = r.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        for _ in range(8):
+            text = " ".join("".join(r.choice(letters) for _ in range(r.randint(3, 8))) for _ in range(60))
+            rows.append((len(rows), text, f"l{language:02}", "s"))
+    docs = documents(spark, rows)
+    found = {x["doc_id"]: x["lang_pred"] for x in languages.predicted(docs, languages.learned(docs)).collect()}
+    assert np.mean([found[i] == lang for i, _, lang, _ in rows]) > 0.95
+
+
+def test_filters_return_all_languages_that_have_an_n_gram():
+    texts = {"a": pa.array(["shared words here and there"] * 2), "b": pa.array(["shared words elsewhere"] * 2)}
+    filters = languages.filters_of(texts)
+    shares = filters.shares(pa.array(["shared words", "here and there", "qqqqq zzzzz"]))
+    assert shares[0].min() > 0.9 and shares[1, 0] > 0.9 and shares[1, 1] < 0.5 and shares[2].max() < 0.1
+    assert (filters.false_rates() < 1e-6).all()
+
+
+def test_fuller_filters_are_corrected():
+    slots = np.zeros((1 << languages.SLOT_BITS, 1), np.uint64)
+    slots[:: 2] |= np.uint64(1)
+    filters = languages.Filters(["half"], slots)
+    assert abs(filters.false_rates()[0] - 0.25) < 1e-9
+    r = rng(11)
+    text = " ".join("".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(3_000))
+    assert filters.shares(pa.array([text]))[0, 0] < 0.03
+
+
+def test_accepted_documents_keep_their_columns(spark, sf_dir):
+    docs = documents(spark, [*ODD_ROWS, (90, "0123 4567", "en", "s"), (91, "Der", "de", "s")])
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = languages.accepted(docs, languages.learned(table), 0.2)
+    assert kept.columns == docs.columns
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert 90 not in ids and 5 not in ids and 1 not in ids and 91 in ids

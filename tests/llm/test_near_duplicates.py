@@ -1,0 +1,116 @@
+"""HyperMinHash links against comparing all pairs."""
+
+import numpy as np
+import pytest
+from llm_cases import ODD_ROWS, documents, near_components, rng, shingles
+
+from tierwork.llm import near_duplicates as nd
+from tierwork.llm.components import components
+
+
+def check(spark, rows):
+    found = nd.near_duplicates(documents(spark, [(i, t, "en", "s") for i, t in rows])).collect()
+    parts = near_components(rows)
+    wanted = sorted(
+        str((i, len(shingles(t)), p if shingles(t) else i, i == (p if shingles(t) else i)))
+        for (i, t), p in zip(rows, parts)
+    )
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])) for r in found) == wanted
+    return parts
+
+
+def edited(r, base, changes):
+    own = list(base)
+    for _ in range(changes):
+        own[r.randrange(len(own))] = f"e{r.randrange(10_000)}"
+    return " ".join(own)
+
+
+def families(seed, sizes, words, most):
+    """Groups of copies with some words changed, so similarities lie on both sides of the limit."""
+    r, rows = rng(seed), []
+    for group, size in enumerate(sizes):
+        base = [f"f{group}w{r.randrange(5_000)}" for _ in range(words)]
+        rows += [edited(r, base, r.randint(0, most)) for _ in range(size)]
+    r.shuffle(rows)
+    return [(i + 1, text) for i, text in enumerate(rows)]
+
+
+def test_families(spark):
+    rows = families(1, [2, 3, 3, 5, 8, 40], 80, 6)
+    rows += [(500 + i, f"alone {i} with some words of its own {i * 7} here") for i in range(20)]
+    rows += [(600, "short one"), (601, "Short  ONE"), (602, "one"), (603, "four words are few"), (604, "x " * 50)]
+    parts = check(spark, rows)
+    assert 20 < len(set(parts)) < len(rows)
+
+
+def test_a_cluster_of_many_blocks(spark, monkeypatch):
+    """One large group that no task gets whole: buckets without estimates, blocks, pivots, and what
+    is outside of the largest component."""
+    monkeypatch.setattr(nd, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 12)
+    monkeypatch.setattr(nd, "PIVOTS", 2)
+    check(spark, families(2, [150, 2, 30], 60, 6))
+
+
+def test_equal_texts(spark):
+    rows = [(i, "the very same text stands here many times over") for i in range(300, 0, -1)]
+    parts = check(spark, [*rows, (1000, "another text that stands here only once today")])
+    assert set(parts) == {1, 1000}
+
+
+def test_odd_rows(spark):
+    check(spark, [row[:2] for row in ODD_ROWS])
+
+
+def test_empty_table(spark):
+    assert nd.near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_one_document_of_each_group_stays(spark):
+    docs = documents(spark, [*ODD_ROWS, (900, "word"), (901, None)])
+    kept = nd.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    left = sorted(str(r["doc_id"]) for r in kept.collect())
+    assert left == sorted(str(row[0]) for row in [*ODD_ROWS, (901, None)])
+
+
+def test_estimates_are_corrected_for_collisions():
+    r = np.random.default_rng(4)
+    low, expected = [], []
+    for n, m in ((300, 300), (2_000, 500), (20_000, 20_000)):
+        one, other = (
+            np.stack([nd.registers_of(np.unique(r.integers(0, 2**64, size, np.uint64))) for _ in range(150)])
+            for size in (n, m)
+        )
+        low.append(np.mean([(other == row).mean() for row in one]))
+        expected.append(nd.chance_of_collision(np.array([n]), np.array([m]))[0])
+    assert np.allclose(low, expected, rtol=0.25)
+
+
+@pytest.mark.parametrize("n", [4, 30, 200, 3_000])
+def test_estimates_are_right_on_average(n):
+    r, found = np.random.default_rng(n), []
+    for _ in range(150):
+        both = np.unique(r.integers(0, 2**64, n, np.uint64))
+        one, other = np.delete(both, 0), both[: max(1, len(both) * 3 // 4)]
+        found.append(nd.estimates(np.stack([nd.registers_of(one), nd.registers_of(other)]), np.array([len(one), len(other)]))[0, 1])
+    true = len(np.intersect1d(one, other)) / len(np.union1d(one, other))
+    assert abs(np.mean(found) - true) < 0.04
+
+
+def test_links_of_full_sets():
+    r = np.random.default_rng(9)
+    sets = [np.unique(r.integers(0, 60, r.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
+    linked = nd.links_within(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common = len(np.intersect1d(a, b))
+            assert linked[i, j] == (i != j and 100 * common >= 75 * (len(a) + len(b) - common))
+
+
+def test_components_of_long_paths_and_hubs(spark):
+    links = [(i, i + 1) for i in range(1, 60)] + [(200, i) for i in range(201, 260)] + [(300, 300), (5, 4)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: 1 for i in range(1, 61)} | {i: 200 for i in range(200, 260)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
