@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tierwork import INCIDENTS
 from tierwork.functions.dates import hours_between, parse_losses, parse_timestamps, year_month
+from tierwork.operators import metrics
 from tierwork.operators.metrics import AverageHours, CountBy, CountByMonth, average_by, metric_table
+from tierwork.registry import queries
 
 SCHEMA = "g string, s string, a timestamp, b timestamp"
 
@@ -134,3 +136,16 @@ def test_a_date_becomes_midnight(spark):
 def test_a_timestamp_is_left_as_it_is(spark):
     df = spark.range(1).select(F.to_timestamp_ntz(F.lit("2024-01-01 00:00:59")).alias("d"))
     assert parse_timestamps(df, ["d"], ["dd-MM-yyyy HH:mm"]).collect() == df.collect()
+
+
+def test_ordered_results_are_in_order(spark, sf_dir):
+    """The list itself: largest counts first and ties by name; months one after the other."""
+    for name, order in (
+        ("ordered_counts", lambda r: (-r["incident_count"], r["Assignment_Group"] or "")),
+        ("ordered_months", lambda r: r["year_month"] or ""),
+    ):
+        rows = queries.queries()[name](spark, sf_dir).collect()
+        assert len(rows) > 20 and rows == sorted(rows, key=order)
+        assert [r["position"] for r in rows] == list(range(1, len(rows) + 1))
+    counts = metrics.count_by(spark.range(9).selectExpr("id % 4 AS g"), "g", "n")
+    assert [tuple(r) for r in metrics.largest_first(counts, "n", "g").collect()] == [(0, 3), (1, 2), (2, 2), (3, 2)]

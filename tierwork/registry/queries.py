@@ -76,7 +76,7 @@ def _loaded_at() -> Column:
 
 def _numbered(rows: DataFrame, *order: Column) -> DataFrame:
     """A small ordered result with the place of each row, which a comparison of bags can see."""
-    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order))).orderBy("position")
 
 
 def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
