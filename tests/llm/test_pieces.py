@@ -88,7 +88,7 @@ def test_memory_of_parts_is_bounded(monkeypatch, library):
     r = rng(8)
     for _ in range(200):
         agrees(ours, library, " ".join(f"w{r.randrange(500)}" for _ in range(30)))
-        assert len(ours.remembered.newer) <= 20 and len(ours._pairs) <= 21
+        assert len(ours.remembered.newer) <= 20 and len(ours.remembered.older) <= 20 and sum(map(len, ours._fits.values())) <= 20
 
 
 def test_each_prefix_has_one_last_token(ours):

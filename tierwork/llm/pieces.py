@@ -9,8 +9,9 @@ it is stored. The tokens are then read backwards from the end. Merging itself is
 two tokens at a time, and its outcome is remembered.
 
 Texts are cut first where no piece of the vocabulary can lie across: before a blank that follows
-another character, and around characters that occur in no longer piece. Each part has its own
-encoding, and those of frequent parts are remembered, in memory of a fixed size.
+another character, and between characters that no chain of pieces connects, such as letters and
+commas. Each part has its own encoding, and those of frequent parts are remembered, in memory of a
+fixed size.
 
 Runs of blanks are the exception to the rule above: their pieces have no order of merging among
 each other, so what a merge gives is not decided by pairs alone. A run is encoded by merging from the
@@ -31,7 +32,6 @@ from collections.abc import Iterator
 from itertools import pairwise
 from struct import pack, unpack
 
-import ahocorasick
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -39,9 +39,10 @@ from pyspark.sql import DataFrame
 from tierwork.llm.words import by_slices
 
 BLANK = "▁"
+NO_PIECE = float("-inf")
 #: Parts of texts whose encodings are remembered at a time: the newer half and the older half.
-REMEMBERED = 600_000
-REMEMBERED_PAIRS = 500_000
+REMEMBERED = 400_000
+REMEMBERED_PAIRS = 600_000
 #: Characters of a part that is not remembered.
 LONG_PART = 64
 
@@ -69,49 +70,99 @@ class Pieces:
                 self.text_of[number] = piece.replace(BLANK, " ")
         self._longest_run = max((len(x) for x in self.id_of if not x.strip(BLANK)), default=1)
         self._cut = re.compile(self._parts())
-        self._pairs: dict[tuple[str, str], bool] = {}
-        self._automaton = ahocorasick.Automaton()
-        for piece in self.id_of:
-            if len(piece) == 1 or self.merged(piece) == [piece]:
-                self._automaton.add_word(piece, len(piece))
-        self._automaton.make_automaton()
+        self._known_pairs = 0
+        self._fits: dict[str, dict[str, bool]] = {}
+        self._build_automaton([x for x in self.id_of if len(x) == 1 or self.merged(x) == [x]])
         self.remembered = _Remembered(self)
+        self._first, self._last = pack("<I", self.begin), pack("<I", self.end)
 
     def _parts(self) -> str:
-        """A pattern for parts of a text that no piece reaches beyond."""
+        """A pattern for parts of a text that no piece reaches beyond. Characters that stand side by
+        side in some piece are of one kind, and so are those of the same kind as a third one."""
         across = set()
         for piece in self.id_of:
             across.update(pairwise(piece))
         if any(right == BLANK != left for left, right in across):
             return r"(?s).+"
-        letters = {x for pair in across for x in pair if x != BLANK}
-        letters = "".join(map(re.escape, sorted(letters)))
-        return rf"(?s){BLANK}+[{letters}]*|[{letters}]+|."
+        kind: dict[str, set[str]] = {}
+        for left, right in across:
+            if left != BLANK:
+                one, other = kind.setdefault(left, {left}), kind.setdefault(right, {right})
+                if one is not other:
+                    one |= other
+                    kind.update(dict.fromkeys(other, one))
+        kinds = sorted({id(x): x for x in kind.values()}.values(), key=len, reverse=True)
+        runs = [f"{BLANK}*[{''.join(map(re.escape, sorted(x)))}]+" for x in kinds]
+        return "(?s)" + "|".join([*runs, f"{BLANK}+.?" if self._takes_blank(kind) else f"{BLANK}+", "."])
+
+    def _takes_blank(self, kind: dict[str, set[str]]) -> bool:
+        """Whether some piece is a blank before a character that occurs in no other longer piece."""
+        return any(len(x) > 1 and x[0] == BLANK and x[-1] != BLANK and x[-1] not in kind for x in self.id_of)
+
+    def _build_automaton(self, pieces: list[str]) -> None:
+        """States are the beginnings of pieces. ``_next`` leads from a state over a character,
+        ``_fall`` to the longest shorter state the text also ends with, and ``_ends`` has the pieces the
+        text ends with in a state, longest first, with their lengths and the tokens they are known
+        to fit."""
+        self._next: list[dict[str, int]] = [{}]
+        self._fall, self._ends = [0], [()]
+        for piece in pieces:
+            state = 0
+            for character in piece:
+                following = self._next[state].get(character)
+                if following is None:
+                    following = self._next[state][character] = len(self._next)
+                    self._next.append({})
+                    self._fall.append(0)
+                    self._ends.append(())
+                state = following
+            self._ends[state] = ((piece, len(piece), self._fits.setdefault(piece, {})),)
+        front = list(self._next[0].values())
+        while front:
+            behind = []
+            for state in front:
+                for character, following in self._next[state].items():
+                    self._fall[following] = self._step(self._fall[state], character)
+                    self._ends[following] += self._ends[self._fall[following]]
+                    behind.append(following)
+            front = behind
+
+    def _step(self, state: int, character: str) -> int:
+        following = self._next[state].get(character)
+        while following is None and state:
+            state = self._fall[state]
+            following = self._next[state].get(character)
+        return following or 0
 
     def merged(self, text: str) -> list[str]:
         """The text as merging gives it: the best-ranked neighbours first, the leftmost of equal
         ones. For short texts: pairs of tokens, and runs of blanks."""
-        parts = list(text)
-        while True:
-            best = max(
-                (
-                    (self.rank[left + right], -at)
-                    for at, (left, right) in enumerate(pairwise(parts))
-                    if left + right in self.rank
-                ),
-                default=None,
-            )
-            if best is None:
-                return parts
-            at = -best[1]
+        parts, rank = list(text), self.rank
+        ranks = [rank.get(left + right, NO_PIECE) for left, right in pairwise(parts)]
+        while ranks:
+            best = max(ranks)
+            if best == NO_PIECE:
+                break
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank.get(parts[at] + parts[at + 1], NO_PIECE)
+            if at:
+                ranks[at - 1] = rank.get(parts[at - 1] + parts[at], NO_PIECE)
+        return parts
 
     def compatible(self, left: str, right: str) -> bool:
-        known = self._pairs.get((left, right))
+        """Whether two tokens are what merging makes of their text; remembered."""
+        fits = self._fits.setdefault(right, {})
+        known = fits.get(left)
         if known is None:
-            if len(self._pairs) >= REMEMBERED_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self.merged(left + right) == [left, right]
+            if self._known_pairs >= REMEMBERED_PAIRS:
+                for seen in self._fits.values():
+                    seen.clear()
+                self._known_pairs = 0
+            self._known_pairs += 1
+            known = fits[left] = self.merged(left + right) == [left, right]
         return known
 
     def tokens(self, part: str) -> list[str]:
@@ -137,23 +188,19 @@ class Pieces:
         return [longest] * whole + self.merged(BLANK * (blanks - whole * len(longest)))
 
     def _by_prefixes(self, part: str) -> list[str]:
-        last: list[str] = [""] * (len(part) + 1)
-        done = 0
-        pairs = self._pairs
-        for end, length in self._automaton.iter(part):
-            stop = end + 1
-            if last[stop]:
-                continue
-            for gap in range(done + 1, stop):
-                last[gap] = last[gap] or part[gap - 1]
-            token, before = part[stop - length : stop], last[stop - length]
-            if not before or pairs.get((before, token)) or self.compatible(before, token):
-                last[stop] = token
-                done = stop
-        for gap in range(done + 1, len(part) + 1):
-            last[gap] = part[gap - 1]
+        last = [""]
+        state = stop = 0
+        for character in part:
+            state = self._next[state].get(character) or self._step(state, character)
+            stop += 1
+            for token, length, fits in self._ends[state]:
+                before = last[stop - length]
+                if not before or fits.get(before) or self.compatible(before, token):
+                    last.append(token)
+                    break
+            else:
+                last.append(character)
         found = []
-        stop = len(part)
         while stop:
             token = last[stop]
             found.append(token)
@@ -177,10 +224,14 @@ class Pieces:
     def encode_and_decode(self, text: str) -> tuple[bytes, str]:
         """The ids as ``encode`` gives them, and the text that ``decode`` makes of them."""
         marked = BLANK + text.replace(" ", BLANK) if text else ""
-        known = self.remembered.newer
-        found = [known[part] for part in self._cut.findall(marked)]
-        ids = b"".join([pack("<I", self.begin), *(x[0] for x in found), pack("<I", self.end)])
-        decoded = "".join([x[1] for x in found])
+        parts = self._cut.findall(marked)
+        odd = self.remembered.odd
+        odd.clear()
+        ids = b"".join([self._first, *map(self.remembered.newer.__getitem__, parts), self._last])
+        if odd:
+            decoded = "".join([odd[part] if part in odd else part.replace(BLANK, " ") for part in parts])
+        else:
+            decoded = marked.replace(BLANK, " ")
         return ids, decoded.removeprefix(" ")
 
     def decode_ids(self, ids: list[int]) -> str:
@@ -205,11 +256,13 @@ def _characters(values: bytearray) -> str:
 
 
 class _Remembered:
-    """Ids and decoded text of parts. When the newer half is full it becomes the older one; parts
-    still in use move over again."""
+    """The ids of parts that decode to themselves, which is nearly all of them. When the newer half
+    is full it becomes the older one; parts still in use move over again. ``odd`` has the decoded
+    text of the other parts of the text at hand."""
 
     def __init__(self, pieces: Pieces):
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}
         self.newer = _Half(self, pieces)
 
 
@@ -218,11 +271,14 @@ class _Half(dict):
         super().__init__()
         self.both, self.pieces = both, pieces
 
-    def __missing__(self, part: str) -> tuple[bytes, str]:
+    def __missing__(self, part: str) -> bytes:
         known = self.both.older.get(part)
         if known is None:
             ids = self.pieces.ids(part)
-            known = pack(f"<{len(ids)}I", *ids), self.pieces.decode_ids(ids)
+            known, decoded = pack(f"<{len(ids)}I", *ids), self.pieces.decode_ids(ids)
+            if decoded != part.replace(BLANK, " "):
+                self.both.odd[part] = decoded
+                return known
             if len(part) > LONG_PART:
                 return known
         if len(self) >= REMEMBERED // 2:
