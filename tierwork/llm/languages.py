@@ -10,8 +10,8 @@ the largest corrected share of n-grams wins.
 N-grams are runs of ``GRAM`` bytes of the lower-cased text in which everything but letters is one blank.
 
 The filters are filled from a bounded sample: at most ``SAMPLE_TEXTS`` labelled texts in all, the
-same number for every language, taken by a digest of the id, of at most ``SAMPLE_BYTES`` bytes in all;
-n-grams seen less than ``LEAST_SEEN`` times in a language are left out. Everything else covers all rows.
+same number for every language, taken by a digest of the id, of at most ``samples.LONGEST_BYTES`` bytes
+each and about ``SAMPLE_BYTES`` in all; n-grams seen less than ``LEAST_SEEN`` times in a language are left out. Everything else covers all rows.
 
 At scale: one count of texts per language, one pass to draw the sample, one pass that predicts; no text
 is shuffled. The filter has a fixed size for up to 64 languages, and a multiple of it beyond.
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierwork.llm import samples
 from tierwork.llm.words import by_slices, laid_out, mix, text_slices
 
 GRAM = 5
@@ -128,14 +129,16 @@ def filters_of(texts: dict[str, pa.Array]) -> Filters:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
+    return samples.crc_remainder(doc_id, 4) == 2
 
 
 def learned(documents: DataFrame) -> Filters:
     """The filters, from a sample of the texts that are labelled and not held out."""
     text, language = documents["text"], documents["lang"]
-    rows = documents.filter(language.isNotNull() & text.isNotNull() & ~held_out(documents["doc_id"]))
-    bucket = F.conv(F.substring(F.md5(F.concat(F.lit("lang:"), F.coalesce(documents["doc_id"].cast("string"), F.lit("")))), 1, 8), 16, 10)
+    learnable = language.isNotNull() & (F.octet_length(text) <= samples.LONGEST_BYTES)
+    rows = documents.filter(learnable & ~held_out(documents["doc_id"]))
+    digest = F.md5(F.concat(F.lit("lang:"), documents["doc_id"].cast("string")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10)
     rows = rows.select(
         language.cast("string").alias("language"),
         text.alias("sample"),

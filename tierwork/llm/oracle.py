@@ -48,12 +48,15 @@ CRC32 = (
 )
 SHARDING = f"""
 WITH d AS (
-  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, coalesce(text, '') AS text, source,
-    md5('interleave-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, coalesce(text, '') AS text, source
+  FROM documents),
 crcs AS (SELECT text, {CRC32} AS crc FROM (SELECT DISTINCT text FROM d)),
+drawn AS (
+  SELECT d.*, crc, md5(concat_ws(':', 'interleave-1', coalesce(CAST(doc_id AS VARCHAR), ''), crc)) AS digest
+  FROM d JOIN crcs USING (text)),
 placed AS (
-  SELECT d.*, crc, (2 * row_number() OVER (PARTITION BY source ORDER BY digest, size, crc) - 1)::DOUBLE
-    / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS place FROM d JOIN crcs USING (text)),
+  SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY digest, size, crc) - 1)::DOUBLE
+    / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS place FROM drawn),
 ranked AS (
   SELECT *, row_number() OVER (ORDER BY place, digest, size, crc) - 1 AS g, count(*) OVER () AS n FROM placed)
 SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, CAST(g * 24 // n AS INTEGER) AS shard,

@@ -12,7 +12,8 @@ the rows in the ranges before. The same is done again for the sorted places. Tex
 only ids, sizes and digests move. One task sees one row for each range of the whole order.
 
 Defined cases: a null source is a source of its own; a null text has no bytes, so size 8 and the
-CRC of nothing, 0; rows that repeat a doc_id are rows of their own; an empty table gives no rows.
+CRC of nothing, 0; rows that repeat a doc_id, or have none, are rows of their own, dealt by their text
+too; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,13 +43,13 @@ def _rows_before(counts: DataFrame, within: list[str], order: str) -> DataFrame:
 def places(documents: DataFrame, ranges: int, seed: str) -> DataFrame:
     """Every row with its place between 0 and 1, among the rows of its source."""
     text = documents["text"]
-    digest = F.md5(
-        F.concat(F.lit(f"{seed}:"), F.coalesce(documents["doc_id"].cast("string"), F.lit("")))
-    )
+    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    own = F.coalesce(documents["doc_id"].cast("string"), F.lit(""))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), own, crc.cast("string")))
     rows = documents.select(
         documents["doc_id"],
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint").alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        crc.alias("text_crc32"),
         _stratum(documents["source"]).alias("stratum"),
         digest.alias("digest"),
     )
@@ -73,7 +74,7 @@ def places(documents: DataFrame, ranges: int, seed: str) -> DataFrame:
 
 def interleaved(documents: DataFrame, shards: int, seed: str = SEED) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, the ``shard`` (from 0) and the ``slot`` in it (from 0)."""
-    total = documents.count()
+    total = max(1, documents.count())
     ranges = max(1, total // RANGE_ROWS)
     placed = written(
         places(documents, ranges, seed).withColumn("range", F.floor(F.col("place") * ranges)),
@@ -84,10 +85,9 @@ def interleaved(documents: DataFrame, shards: int, seed: str = SEED) -> DataFram
     inside = Window.partitionBy("range").orderBy("place", "digest", "size", "text_crc32")
     ordered = placed.withColumn("rank", F.row_number().over(inside)).join(counts, "range")
     ordered = ordered.withColumn("rank", F.col("rank") + F.col("before") - 1)
-    shard = F.floor(F.col("rank") * shards / total) if total else F.lit(0)
-    exact = F.expr(f"(rank * {shards}) div {max(total, 1)}")
+    ordered = ordered.withColumn("shard", F.expr(f"rank * {shards} div {total}"))
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
-    return ordered.withColumn("shard", exact if total else shard).select(
+    return ordered.select(
         "doc_id",
         "size",
         "text_crc32",

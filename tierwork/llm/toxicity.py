@@ -11,8 +11,8 @@ The fit uses a bounded sample, at most ``SAMPLE_DOCUMENTS`` labelled documents o
 At scale: one pass over the labels, one over the documents for the sample, one that scores; only the
 labels drawn, of bounded number, are sent to the documents, and no text is shuffled.
 
-Defined cases: a null or empty text, or one without words, has score 0 and no sentences; without any
-label of one kind every score is the share of the other; sentences end at full stops, question and
+Defined cases: a null or empty text, or one without words, has score 0 and no sentences; without labels of
+both kinds nothing is learned and all scores are next to 0; sentences end at full stops, question and
 exclamation marks and line ends; rows that repeat a doc_id are scored each; only ``doc_id`` and
 ``text`` of the documents are looked at.
 """
