@@ -52,7 +52,7 @@ def plain_pipeline(rows, filters, items):
             kept.append((doc_id, text))
     parts = near_components(kept)
     kept = [row for row, part in zip(kept, parts) if row[0] == part or not row[1].split()]
-    left = [(doc_id, text) for doc_id, text, _, spans in plain(kept) if words(text) or not spans]
+    left = [(doc_id, text) for doc_id, text, _, _, spans in plain(kept) if words(text) or not spans]
     clean = [row for row in left if not contamination(row[1], items)[1]]
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     found = []

@@ -38,33 +38,45 @@ def units(text):
     return [(tuple(w for w, _ in unit), unit[0][1]) for unit in found]
 
 
+def windows(found):
+    """Per unit the words from it on, if there are enough in whole units, and the unit behind them."""
+    result = []
+    for i in range(len(found)):
+        words, j = (), i
+        while j < len(found) and len(words) < repeats.LEAST_WORDS:
+            words, j = (*words, *found[j][0]), j + 1
+        result.append((words if len(words) >= repeats.LEAST_WORDS else None, j))
+    return result
+
+
 def plain(rows):
     """What is left of each text, and what went."""
     own = [units(text) for _, text in rows]
     first = {}
     for (doc_id, _), found in zip(rows, own):
-        for words, _ in found:
+        for words, _ in windows(found):
             key = (doc_id is None, doc_id)
             if words not in first or key < first[words]:
                 first[words] = key
     result = []
     for (doc_id, text), found in zip(rows, own):
-        seen, marks = set(), []
-        for words, _ in found:
-            marks.append(words in seen or first[words] != (doc_id is None, doc_id))
+        seen, marks = set(), [False] * len(found)
+        for i, (words, j) in enumerate(windows(found)):
+            if words and (words in seen or first[words] != (doc_id is None, doc_id)):
+                marks[i:j] = [True] * (j - i)
             seen.add(words)
         spans, i = [], 0
         while i < len(found):
             j = i
             while j < len(found) and marks[j] == marks[i]:
                 j += 1
-            if marks[i] and sum(len(w) for w, _ in found[i:j]) >= repeats.LEAST_WORDS:
-                spans += [(found[k][1], found[k + 1][1] if k + 1 < len(found) else len(text)) for k in range(i, j)]
+            if marks[i]:
+                spans.append((found[i][1], found[j][1] if j < len(found) else len(text)))
             i = j
         left, at = "", 0
         for start, stop in spans:
             left, at = left + text[at:start], stop
-        result.append((doc_id, None if text is None else left + text[at:], len(found), spans))
+        result.append((doc_id, None if text is None else left + text[at:], len(found), sum(marks), spans))
     return result
 
 
@@ -72,7 +84,7 @@ def check(spark, rows):
     docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
     found = repeats.deduplicated(docs)
     got = [
-        (r["document"]["doc_id"], r["document"]["text"], r["n_units"], [(s["start"], s["end"]) for s in r["removed"]])
+        (r["document"]["doc_id"], r["document"]["text"], r["n_units"], r["n_removed"], [(s["start"], s["end"]) for s in r["removed"]])
         for r in found.collect()
     ]
     assert sorted(map(str, got)) == sorted(map(str, plain(rows)))
@@ -142,7 +154,9 @@ def test_emptied_documents_go(spark):
     assert kept.count() == 2 + 5
 
 
-def test_unit_digests_depend_on_order():
-    found = words_of(pa.array(["a b c", "c b a", "a b c"]), ALPHANUMERIC)
-    one, two = repeats.unit_digests(found, np.array([0, 3, 6]))
-    assert one[0] == one[2] != one[1] and two[0] == two[2] != two[1] and one[0] != two[0]
+def test_digests_depend_on_words_and_order_alone():
+    found = words_of(pa.array(["a b c", "c b a", "x y a b c d"]), ALPHANUMERIC)
+    one, two = repeats.span_digests(found, np.array([0, 3, 8, 8]), np.array([3, 6, 11, 12]))
+    for digest in (one, two):
+        assert digest[0] == digest[2] != digest[1] and digest[3] != digest[0]
+    assert one[0] != two[0]

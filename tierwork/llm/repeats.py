@@ -2,29 +2,33 @@
 
 A unit is a line, normalised to its lower-cased words of letters and digits. A passage can also be
 pasted into the middle of a line, which hashes of whole lines never notice; lines are therefore cut
-into smaller units behind words whose hash is the smallest among their ``REACH`` neighbours on either side.
-Where a line is cut depends on the words around the cut alone, so a passage of ``4 * REACH`` words or
-more is cut alike wherever it stands, but for its two ends.
+into smaller units behind words whose hash is the smallest among their ``REACH`` neighbours on either
+side. Where a line is cut depends on the words around the cut alone, so a passage is cut alike
+wherever it stands, but for its two ends.
 
-Digests of units are grouped over all documents. The unit of the smallest doc_id stays, in that document
-the first; every other one is marked. Marked units next to each other are removed if they have
-``LEAST_WORDS`` words together, which chance does not give; shorter ones stay. The original character
-offsets of what is removed are kept, with the document that has the first occurrence.
+Short units repeat by chance, the more so the larger the corpus. What is compared are therefore
+windows: from every unit on as many units as have ``LEAST_WORDS`` words together. Digests of windows are
+grouped over all documents. The window of the smallest doc_id stays, in that document the first;
+the units of all others are removed, and their original character offsets are kept, with the
+document that has the first occurrence. What is removed from a document stands in one of a smaller id, or
+earlier in itself, so the first occurrence of everything stays.
 
 At scale: digests are 128 bits; the global step moves ids and digests, first folded on the map side, so a
-line that a third of all documents hold costs its reducer a row per map task. The join that marks units
-is on digests and split by Spark where it is skewed. Texts move once, by document. Units are
+line that a third of all documents hold costs its reducer a row per map task. The join that marks
+windows is on digests and split by Spark where it is skewed. Texts move once, by document. Windows are
 computed again where they are needed rather than stored.
 
-Defined cases: a null text stays null and an empty one empty; texts without words are left alone; rows
-that share a doc_id count as one document, none of them loses what another of them has, only what it
-repeats itself; a null doc_id ranks behind all others, and units that only such rows have stay;
-an empty table gives no rows; all columns of the documents are kept, in a struct, so no name clashes.
+Defined cases: a null text stays null and an empty one empty; texts of fewer than ``LEAST_WORDS`` words
+are left alone; rows that share a doc_id count as one document, none of them loses what another of them has,
+only what it repeats itself; a null doc_id ranks behind all others, and windows that only such rows
+have stay; an empty table gives no rows; all columns of the documents are kept, in a struct, so
+no name clashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,7 @@ from tierwork.llm.words import ALPHANUMERIC, Words, by_slices, lists, mix, signe
 REACH = 4
 LEAST_WORDS = 12
 
-_UNIT_FACTORS = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
+_FACTORS = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def unit_starts(words: Words) -> np.ndarray:
@@ -60,56 +64,77 @@ def unit_starts(words: Words) -> np.ndarray:
     return np.flatnonzero(fresh)
 
 
-def unit_digests(words: Words, starts: np.ndarray) -> list[np.ndarray]:
-    """Two numbers per unit that depend on all its words and their order."""
-    count = len(words.hashes)
-    lengths = np.diff(np.append(starts, count))
-    place = np.arange(count) - np.repeat(starts, lengths)
+def span_digests(words: Words, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+    """Two numbers per span of words, from ``starts`` up to ``stops``, that depend on all its words and
+    their order and on nothing else: sums of words times powers, up to either end."""
     found = []
-    for number, factor in enumerate(_UNIT_FACTORS):
-        powers = np.cumprod(np.full(int(lengths.max(initial=1)), factor))
-        values = mix(words.hashes + np.uint64(number)) * powers[place]
-        sums = np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.uint64)
-        found.append(mix(sums + lengths.astype(np.uint64)))
+    for number, factor in enumerate(_FACTORS):
+        inverse = np.uint64(pow(int(factor), -1, 1 << 64))
+        count = len(words.hashes) + 1
+        powers, undone = (np.cumprod(np.full(count, x)) for x in (factor, inverse))
+        sums = np.append(np.uint64(0), np.cumsum(mix(words.hashes + np.uint64(number)) * powers[:-1]))
+        values = (sums[stops] - sums[starts]) * undone[starts]
+        found.append(mix(values + (stops - starts).astype(np.uint64)))
     return found
 
 
-def _units(batch: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """Words, first words of units, units before each text, digests, and whether a unit repeats an
-    earlier one of its text."""
-    words = words_of(batch.column("text"), ALPHANUMERIC)
+@dataclass
+class Windows:
+    """Units of some texts (``starts``, their first words, and ``before``, the units before each
+    text), and the windows that begin at them: ``stops``, the unit behind the last one; whether
+    there is one (``whole``); two digests; and whether it repeats an earlier one of its text."""
+
+    words: Words
+    starts: np.ndarray
+    before: np.ndarray
+    stops: np.ndarray
+    whole: np.ndarray
+    digests: list[np.ndarray]
+    again: np.ndarray
+
+    def text_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.before) - 1), np.diff(self.before))
+
+
+def windows_of(column: pa.Array) -> Windows:
+    words = words_of(column, ALPHANUMERIC)
     starts = unit_starts(words)
     before = np.searchsorted(starts, words.first)
-    digests = unit_digests(words, starts)
-    texts = np.repeat(np.arange(len(batch)), np.diff(before))
-    order = np.lexsort((digests[1], digests[0], texts))
+    texts = np.repeat(np.arange(len(column)), np.diff(before))
+    upto = np.append(starts, len(words.hashes))
+    stops = np.searchsorted(upto, starts + LEAST_WORDS)
+    whole = stops <= before[1:][texts]
+    found = span_digests(words, starts, np.where(whole, upto[np.minimum(stops, len(starts))], starts))
     again = np.zeros(len(starts), bool)
-    same = np.ones(max(0, len(starts) - 1), bool)
-    for key in (texts, *digests):
+    there = np.flatnonzero(whole)
+    order = there[np.lexsort((found[1][there], found[0][there], texts[there]))]
+    same = np.ones(max(0, len(order) - 1), bool)
+    for key in (texts, *found):
         same &= key[order][1:] == key[order][:-1]
-    again[order[1:]] = same
-    return words, starts, before, digests, again
+    again[order[1:][same]] = True
+    return Windows(words, starts, before, stops, whole, found, again)
 
 
 def _digest_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    _, starts, before, digests, again = _units(batch)
-    texts = np.repeat(np.arange(len(batch)), np.diff(before))
-    unit = (np.arange(len(starts)) - before[:-1][texts]).astype(np.int32)
-    counts = np.bincount(texts[~again], minlength=len(batch))
+    found = windows_of(batch.column("text"))
+    texts = found.text_of()
+    unit = (np.arange(len(texts)) - found.before[:-1][texts]).astype(np.int32)
+    first = found.whole & ~found.again
+    counts = np.bincount(texts[first], minlength=len(batch))
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),
             batch.column("copy"),
-            lists(pa.array(unit[~again]), counts),
-            lists(pa.array(signed(digests[0][~again])), counts),
-            lists(pa.array(signed(digests[1][~again])), counts),
+            lists(pa.array(unit[first]), counts),
+            lists(pa.array(signed(found.digests[0][first])), counts),
+            lists(pa.array(signed(found.digests[1][first])), counts),
         ],
         ["doc_id", "copy", "unit", "digest", "digest2"],
     )
 
 
 def digests(documents: DataFrame) -> DataFrame:
-    """A row per document and different unit: its number in the text and its digest."""
+    """A row per document and different window: its first unit's number and its digest."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return by_slices(batches, "text", _digest_rows)
@@ -125,8 +150,8 @@ def digests(documents: DataFrame) -> DataFrame:
 
 
 def marked(documents: DataFrame) -> DataFrame:
-    """Per ``doc_id`` and ``copy`` (a digest of the text) the units that a smaller doc_id has, with
-    that doc_id."""
+    """Per ``doc_id`` and ``copy`` (a digest of the text) the windows that a smaller doc_id has, by
+    their first unit, with that doc_id."""
     units = digests(documents)
     first = (
         units.groupBy("digest", "digest2")
@@ -141,35 +166,43 @@ def marked(documents: DataFrame) -> DataFrame:
 
 
 def _cut(batch: pa.RecordBatch, kind: pa.DataType) -> pa.RecordBatch:
-    words, starts, before, _, again = _units(batch)
-    rows = len(batch)
-    texts = np.repeat(np.arange(rows), np.diff(before))
+    found = windows_of(batch.column("text"))
+    words, starts, before, texts = found.words, found.starts, found.before, found.text_of()
+    rows, count = len(batch), len(starts)
     gone = batch.column("gone")
     lengths = np.diff(gone.offsets.to_numpy(zero_copy_only=False)) if rows else np.zeros(0, np.int64)
     lengths = np.where(gone.is_null().to_numpy(zero_copy_only=False), 0, lengths)
     entries = gone.flatten()
     unit = entries.field("unit").to_numpy(zero_copy_only=False).astype(np.int64)
-    mark = again.copy()
     at = before[np.repeat(np.arange(rows), lengths)] + unit
-    mark[at] = True
-    source = np.full(len(starts), -1)
+    source = np.full(count, -1)
     source[at] = np.arange(len(at))
-    sizes = np.diff(np.append(starts, len(words.hashes)))
-    edge = np.ones(len(starts), bool)
+    marked_windows = np.flatnonzero((source >= 0) | found.again)
+    cover = np.zeros(count + 1, np.int64)
+    np.add.at(cover, marked_windows, 1)
+    np.add.at(cover, found.stops[marked_windows], -1)
+    mark = np.cumsum(cover[:-1]) > 0
+    # Windows end in the order they begin, so the last one begun before a unit covers it.
+    origin = np.full(count, -1)
+    origin[marked_windows] = marked_windows
+    origin = np.maximum.accumulate(origin) if count else origin
+    edge = np.ones(count, bool)
     edge[1:] = (mark[1:] != mark[:-1]) | (texts[1:] != texts[:-1])
-    run = np.cumsum(edge) - 1
-    run_words = np.bincount(run, sizes) if len(run) else np.zeros(0)
-    mark &= run_words[run] >= LEAST_WORDS
-    begin = words.starts[starts]
-    end = np.append(begin[1:], 0)
-    last = np.append(texts[1:] != texts[:-1], True) if len(texts) else np.zeros(0, bool)
-    end[last] = words.origin[1:][texts[last]] - 1
+    edges = np.append(np.flatnonzero(edge), count)
+    runs = np.flatnonzero(mark[edges[:-1]])
+    first, behind = edges[:-1][runs], edges[1:][runs]
+    owner = texts[first]
+    begin = words.starts[starts[first]]
+    ends_text = behind == before[1:][owner]
+    next_unit = words.starts[starts[np.minimum(behind, max(0, count - 1))]] if count else behind
+    end = np.where(ends_text, words.origin[1:][owner] - 1, next_unit)
     chars = np.append(0, np.cumsum((words.data & 0xC0) != 0x80))
-    chosen = np.flatnonzero(mark)
-    first_char = chars[words.origin[:-1]][texts[chosen]]
-    span_from, span_to = chars[begin[chosen]] - first_char, chars[end[chosen]] - first_char
-    first_doc = entries.field("first_doc").take(pa.array(source[chosen], mask=source[chosen] < 0))
-    cuts = np.searchsorted(texts[chosen], np.arange(rows + 1))
+    first_char = chars[words.origin[:-1]][owner]
+    span_from, span_to = chars[begin] - first_char, chars[end] - first_char
+    by = source[origin[first]]
+    first_doc = entries.field("first_doc").take(pa.array(by, mask=by < 0))
+    cuts = np.searchsorted(owner, np.arange(rows + 1))
+    n_removed = np.bincount(texts[mark], minlength=rows)
     out = batch.column("text").to_pylist()
     for row in np.flatnonzero(np.diff(cuts)):
         text, kept, at_char = out[row], [], 0
@@ -186,17 +219,18 @@ def _cut(batch: pa.RecordBatch, kind: pa.DataType) -> pa.RecordBatch:
             batch.column("others"),
             pa.array(out, pa.string()),
             pa.array(np.diff(before).astype(np.int64)),
+            pa.array(n_removed.astype(np.int64)),
             lists(spans, np.diff(cuts)),
         ],
-        ["others", "text", "n_units", "removed"],
+        ["others", "text", "n_units", "n_removed", "removed"],
     )
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """Per document ``document`` (its columns, with what is left of the text, and ``n_chars``, if it
-    has it, counted again), ``n_units``, and ``removed``: per removed unit the characters from
-    ``start`` up to ``end`` of the original text, and ``first_doc``, whose unit stays; null where
-    that is the document itself."""
+    has it, counted again), ``n_units``, ``n_removed`` of these, and ``removed``: per run of removed
+    units the characters from ``start`` up to ``end`` of the original text, and ``first_doc``, where
+    its beginning stays; null where that is the document itself."""
     kind = documents.schema["doc_id"].dataType
     arrow_kind = documents.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
 
@@ -216,7 +250,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     span = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
     span = span.add("first_doc", kind)
     schema = T.StructType([joined.schema["others"], joined.schema["text"]])
-    schema = schema.add("n_units", T.LongType()).add("removed", T.ArrayType(span))
+    schema = schema.add("n_units", T.LongType()).add("n_removed", T.LongType()).add("removed", T.ArrayType(span))
     found = joined.mapInArrow(work, schema)
 
     def column(name: str) -> Column:
@@ -229,7 +263,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
         return F.when(F.size("removed") > 0, size).otherwise(own).alias(name)
 
     document = F.struct(*map(column, documents.columns))
-    return found.select(document.alias("document"), "n_units", "removed")
+    return found.select(document.alias("document"), "n_units", "n_removed", "removed")
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
