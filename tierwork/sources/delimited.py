@@ -52,11 +52,13 @@ def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:
     True only if no line has a quote outside a complete quoted field, a carriage return but at its
     end, or nothing but blanks; whatever is in doubt counts as no. One parallel pass over the text.
     """
-    line = F.regexp_replace("value", "\r$", "")
+    line = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)"))
+    line = line.otherwise(F.col("value"))
+    # The patterns are only tried on lines with a quote, or with a blank at their start.
     doubtful = (
-        F.regexp_replace(line, QUOTED_FIELD, "$1").contains('"')
+        (line.contains('"') & F.regexp_replace(line, QUOTED_FIELD, "$1").contains('"'))
         | line.contains("\r")
-        | line.rlike(r"^[\x00-\x20]+$")
+        | ((line < "!") & line.rlike(r"^[\x00-\x20]+$"))
     )
     return _lines(spark, path).filter(doubtful).limit(1).count() == 0
 
