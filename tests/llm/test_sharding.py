@@ -14,7 +14,8 @@ def shards_of(docs, shards=24):
 
 
 def test_counts_slots_and_mixture(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "RANGE_ROWS", 50)
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 20)
+    monkeypatch.setattr(sharding, "BLOCK_RANGES", 4)
     sources = ["hot"] * 700 + ["b"] * 200 + ["c"] * 90 + ["d"] * 11 + [None] * 46
     docs = documents(spark, [(i, f"text {i}", "en", s) for i, s in enumerate(sources)])
     rows = shards_of(docs)

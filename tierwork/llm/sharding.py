@@ -9,7 +9,8 @@ At scale: ranks come from counts of small ranges instead of one sort of a whole
 even, so cutting them into ranges, ``RANGE_ROWS`` rows of a source each at most on average, gives
 groups of bounded size however large a source is; a row's rank is its place in its range plus
 the rows in the ranges before. The same is done again for the sorted places. Texts are read once,
-only ids, sizes and digests move. One task sees one row for each range of the whole order.
+only ids, sizes and digests move. One task sees a row for each ``BLOCK_RANGES`` ranges of the whole
+order, one for two million rows.
 
 Defined cases: a null source is a source of its own; a null text has no bytes, so size 8 and the
 CRC of nothing, 0; rows that repeat a doc_id, or have none, are rows of their own, dealt by their text
@@ -25,7 +26,9 @@ from tierwork.sources.work import written
 
 SEED = "interleave-1"
 #: Rows of one range, about; the ranges of a source differ by chance only.
-RANGE_ROWS = 8192
+RANGE_ROWS = 2048
+#: Ranges whose counts are added up together.
+BLOCK_RANGES = 1024
 #: What a row takes in a shard besides its text.
 ROW_BYTES = 8
 
@@ -34,10 +37,24 @@ def _stratum(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
-def _rows_before(counts: DataFrame, within: list[str], order: str) -> DataFrame:
-    """Adds to each count the sum of those before it."""
-    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+def _rows_before(counts: DataFrame, within: list[str]) -> DataFrame:
+    """Adds to each range the rows in the ranges ``before`` it, and the rows ``of`` all of them: by
+    sums over blocks of ranges and sums within a block, so that no task sees all ranges."""
+    counts = counts.withColumn("block", F.floor(F.col("range") / BLOCK_RANGES))
+    blocks = counts.groupBy(*within, "block").agg(F.sum("n").alias("in_block"))
+    earlier = Window.partitionBy(*within).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        *within,
+        "block",
+        F.coalesce(F.sum("in_block").over(earlier), F.lit(0)).alias("blocks_before"),
+        F.sum("in_block").over(Window.partitionBy(*within)).alias("of"),
+    )
+    inside = Window.partitionBy(*within, "block").orderBy("range")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return counts.join(blocks, [*within, "block"]).select(
+        *within, "range", (F.col("blocks_before") + F.col("inside")).alias("before"), "of"
+    )
 
 
 def places(documents: DataFrame, ranges: int, seed: str) -> DataFrame:
@@ -55,13 +72,10 @@ def places(documents: DataFrame, ranges: int, seed: str) -> DataFrame:
     )
     first = F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint")
     rows = written(rows.withColumn("range", F.shiftright(first * ranges, 32)), "shard-rows")
-    counts = rows.groupBy("stratum", "range").agg(F.count("*").alias("n"))
-    counts = _rows_before(counts, ["stratum"], "range").withColumn(
-        "of", F.sum("n").over(Window.partitionBy("stratum"))
-    )
+    counts = _rows_before(rows.groupBy("stratum", "range").agg(F.count("*").alias("n")), ["stratum"])
     inside = Window.partitionBy("stratum", "range").orderBy("digest", "size", "text_crc32")
     ranked = rows.withColumn("rank", F.row_number().over(inside))
-    ranked = ranked.join(counts.drop("n"), ["stratum", "range"])
+    ranked = ranked.join(counts, ["stratum", "range"])
     rank = F.col("rank") + F.col("before")
     return ranked.select(
         "doc_id",
@@ -80,8 +94,7 @@ def interleaved(documents: DataFrame, shards: int, seed: str = SEED) -> DataFram
         places(documents, ranges, seed).withColumn("range", F.floor(F.col("place") * ranges)),
         "shard-places",
     )
-    counts = placed.groupBy("range").agg(F.count("*").alias("n"))
-    counts = _rows_before(counts, [], "range").drop("n")
+    counts = _rows_before(placed.groupBy("range").agg(F.count("*").alias("n")), []).drop("of")
     inside = Window.partitionBy("range").orderBy("place", "digest", "size", "text_crc32")
     ordered = placed.withColumn("rank", F.row_number().over(inside)).join(counts, "range")
     ordered = ordered.withColumn("rank", F.col("rank") + F.col("before") - 1)
