@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from compare import differences, duck
 from llm_cases import contamination, documents, near_components, words
-from test_repeats import plain
+from test_repeats import plain, plain_lines
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -84,3 +84,10 @@ def test_stages_bear_an_empty_table(spark, sf_dir):
     docs = documents(spark, [], extra=())
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_pipeline_agrees_with_a_plain_version_of_whole_lines(spark, monkeypatch):
+    """The same comparison, where repeated lines of any length go as well."""
+    found = lambda rows: [(i, text, 0, n, [0] * n) for i, text, n in plain_lines(rows)]
+    monkeypatch.setitem(globals(), "plain", found)
+    test_pipeline_agrees_with_a_plain_version(spark)

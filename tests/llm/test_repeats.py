@@ -160,3 +160,78 @@ def test_digests_depend_on_words_and_order_alone():
     for digest in (one, two):
         assert digest[0] == digest[2] != digest[1] and digest[3] != digest[0]
     assert one[0] != two[0]
+
+
+def compared(text):
+    """Units and, for each that begins some, the spans compared: windows, whole lines and line ends."""
+    found = units(text)
+    lowered = (text or "").translate(LOWER)
+    line = [lowered.count("\n", 0, start) for _, start in found]
+    spans = {(i, j) for i, (words, j) in enumerate(windows(found)) if words}
+    for number in set(line):
+        first, stop = line.index(number), len(line) - line[::-1].index(number)
+        spans.add((first, stop))
+        ends = [i for i in range(first, stop) if sum(len(w) for w, _ in found[i:stop]) >= repeats.LEAST_WORDS]
+        spans |= {(max(ends), stop)} if ends else set()
+    return found, [(i, j, tuple(w for words, _ in found[i:j] for w in words)) for i, j in sorted(spans)]
+
+
+def plain_lines(rows):
+    """What is left of each text, and the characters that went, with whole lines compared too."""
+    own = [compared(text) for _, text in rows]
+    first = {}
+    for (doc_id, _), (_, spans) in zip(rows, own):
+        for *_, words in spans:
+            key = (doc_id is None, doc_id)
+            first[words] = min(first.get(words, key), key)
+    result = []
+    for (doc_id, text), (found, spans) in zip(rows, own):
+        seen, marks = set(), [False] * len(found)
+        for i, j, words in spans:
+            if words in seen or first[words] != (doc_id is None, doc_id):
+                marks[i:j] = [True] * (j - i)
+            seen.add(words)
+        left = "" if text is not None else None
+        edges = [start for _, start in found] + [len(text or "")]
+        if text is not None:
+            left = text[: edges[0]] + "".join(
+                text[a:b] for a, b, gone in zip(edges, edges[1:], marks) if not gone
+            )
+        result.append((doc_id, left, sum(marks)))
+    return result
+
+
+def check_lines(spark, rows):
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
+    found = repeats.deduplicated(docs, lines=True).collect()
+    got = [(r["document"]["doc_id"], r["document"]["text"], r["n_removed"]) for r in found]
+    assert sorted(map(str, got)) == sorted(map(str, plain_lines(rows)))
+    return {doc_id: text for doc_id, text, _ in got}
+
+
+def test_whole_lines_of_any_length_and_line_ends(spark):
+    r = rng(5)
+    vocabulary = [f"{a}{b}{c}" for a in "abcdefgh" for b in "xyzuvwé" for c in "mnopqrst"]
+    lines = [" ".join(r.choice(vocabulary) for _ in range(n)) for n in (1, 2, 3, 5, 9, 11, 13, 20, 30)]
+    rows = []
+    for i in range(80):
+        own = [f"{random_text(r, vocabulary, 20, 60)}" for _ in range(3)]
+        rows.append((i, f"{own[0]}\n{lines[i % 9].title()}.\n{own[1]}\n{r.choice(lines)}\n{own[2]} {lines[8]}"))
+    left = check_lines(spark, [*rows, *[row[:2] for row in ODD_ROWS]])
+    for i in range(9, 80):
+        assert lines[i % 9].title() not in left[i].split("\n")
+
+
+def test_a_repeated_line_of_five_words_goes_between_lines_of_its_own(spark):
+    line = "five words stand here again"
+    rows = [(i, f"own{i} first line\n{line}\nown{i} last line") for i in range(20)]
+    left = check_lines(spark, rows)
+    assert line in left[0] and not any(line in left[i] for i in range(1, 20))
+    docs = documents(spark, [*rows, (99, line)])
+    kept = {r["doc_id"]: r["text"] for r in repeats.without_repeats(docs).collect()}
+    assert set(kept) == set(range(20)) and kept[7] == "own7 first line\nown7 last line"
+
+
+def test_little_lines(spark):
+    check_lines(spark, [])
+    check_lines(spark, [(1, None), (2, "a\na\nb"), (None, "a"), (None, "c"), (3, "\n!\nb")])

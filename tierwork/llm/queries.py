@@ -113,7 +113,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.deduplicated(table(spark, sf_dir, "documents"))
+    found = repeats.deduplicated(table(spark, sf_dir, "documents"), lines=True)
     return found.select(
         "document.doc_id",
         "document.text",

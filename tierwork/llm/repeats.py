@@ -6,21 +6,22 @@ into smaller units behind words whose hash is the smallest among their ``REACH``
 side. Where a line is cut depends on the words around the cut alone, so a passage is cut alike
 wherever it stands, but for its two ends.
 
-Short units repeat by chance, the more so the larger the corpus. What is compared are therefore
-windows: from every unit on as many units as have ``LEAST_WORDS`` words together. Digests of windows are
-grouped over all documents. The window of the smallest doc_id stays, in that document the first;
+Short units repeat by chance, the more so the larger the corpus. What is compared inside of lines are
+therefore windows: from every unit on as many units as have ``LEAST_WORDS`` words together, and from the
+end of every line back as many. With ``lines``, as the query has it, whole lines are compared too,
+whatever their length. Digests of these spans are
+grouped over all documents. The span of the smallest doc_id stays, in that document the first;
 the units of all others are removed, and their original character offsets are kept, with the
 document that has the first occurrence. What is removed from a document stands in one of a smaller id, or
 earlier in itself, so the first occurrence of everything stays.
 
 At scale: digests are 128 bits; the global step moves ids and digests, first folded on the map side, so a
 line that a third of all documents hold costs its reducer a row per map task. The join that marks
-windows is on digests and split by Spark where it is skewed. Texts move once, by document. Windows are
+spans is on digests and split by Spark where it is skewed. Texts move once, by document. Spans are
 computed again where they are needed rather than stored.
 
-Defined cases: a null text stays null and an empty one empty; texts of fewer than ``LEAST_WORDS`` words
-are left alone; rows that share a doc_id count as one document, none of them loses what another of them has,
-only what it repeats itself; a null doc_id ranks behind all others, and windows that only such rows
+Defined cases: a null text stays null and an empty one empty; lines without words are not compared; rows that share a doc_id count as one document, none of them loses what another of them has,
+only what it repeats itself; a null doc_id ranks behind all others, and spans that only such rows
 have stay; an empty table gives no rows; all columns of the documents are kept, in a struct, so
 no name clashes.
 """
@@ -44,15 +45,22 @@ LEAST_WORDS = 12
 _FACTORS = (np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def unit_starts(words: Words) -> np.ndarray:
-    """The first word of every unit."""
+def begins_line(words: Words) -> np.ndarray:
+    """For every word whether it is the first of its line."""
     count = len(words.hashes)
-    if not count:
-        return np.zeros(0, np.int64)
     line = np.cumsum(words.data == ord("\n"))[words.starts]
     texts = words.text_of()
     fresh = np.ones(count, bool)
     fresh[1:] = (line[1:] != line[:-1]) | (texts[1:] != texts[:-1])
+    return fresh
+
+
+def unit_starts(words: Words) -> np.ndarray:
+    """The first word of every unit."""
+    count = len(words.hashes)
+    if not count:
+        return np.zeros(0, np.int64)
+    fresh = begins_line(words)
     line = np.cumsum(fresh)
     least = np.ones(count, bool)
     for step in range(1, min(REACH, count - 1) + 1):
@@ -79,16 +87,18 @@ def span_digests(words: Words, starts: np.ndarray, stops: np.ndarray) -> list[np
 
 
 @dataclass
-class Windows:
+class Spans:
     """Units of some texts (``starts``, their first words, and ``before``, the units before each
-    text), and the windows that begin at them: ``stops``, the unit behind the last one; whether
-    there is one (``whole``); two digests; and whether it repeats an earlier one of its text."""
+    text), and the spans of units that are compared, by their beginning: from unit ``first`` up to
+    ``stop``; the spans before each text (``spans_before``); two digests; and whether a span
+    repeats an earlier one of its text (``again``)."""
 
     words: Words
     starts: np.ndarray
     before: np.ndarray
-    stops: np.ndarray
-    whole: np.ndarray
+    first: np.ndarray
+    stop: np.ndarray
+    spans_before: np.ndarray
     digests: list[np.ndarray]
     again: np.ndarray
 
@@ -96,96 +106,107 @@ class Windows:
         return np.repeat(np.arange(len(self.before) - 1), np.diff(self.before))
 
 
-def windows_of(column: pa.Array) -> Windows:
+def spans_of(column: pa.Array, lines: bool) -> Spans:
+    """The windows of every text; with ``lines`` also its whole lines, of any length, and the last window
+    of every line, each span once."""
     words = words_of(column, ALPHANUMERIC)
     starts = unit_starts(words)
     before = np.searchsorted(starts, words.first)
     texts = np.repeat(np.arange(len(column)), np.diff(before))
     upto = np.append(starts, len(words.hashes))
     stops = np.searchsorted(upto, starts + LEAST_WORDS)
-    whole = stops <= before[1:][texts]
-    found = span_digests(words, starts, np.where(whole, upto[np.minimum(stops, len(starts))], starts))
-    again = np.zeros(len(starts), bool)
-    there = np.flatnonzero(whole)
-    order = there[np.lexsort((found[1][there], found[0][there], texts[there]))]
+    first = np.flatnonzero(stops <= before[1:][texts])
+    stop = stops[first]
+    if lines:
+        line = np.flatnonzero(begins_line(words)[starts])
+        line_stop = np.append(line[1:], len(starts))[: len(line)]
+        last = np.searchsorted(upto, upto[line_stop] - LEAST_WORDS, "right") - 1
+        inside = last >= line
+        width = len(starts) + 1
+        firsts = np.concatenate([first, line, last[inside]])
+        found = np.concatenate([stop, line_stop, line_stop[inside]])
+        first, stop = np.divmod(np.unique(firsts * width + found), width)
+    pair = span_digests(words, upto[first], upto[stop])
+    owner = texts[first]
+    again = np.zeros(len(first), bool)
+    order = np.lexsort((pair[1], pair[0], owner))
     same = np.ones(max(0, len(order) - 1), bool)
-    for key in (texts, *found):
+    for key in (owner, *pair):
         same &= key[order][1:] == key[order][:-1]
     again[order[1:][same]] = True
-    return Windows(words, starts, before, stops, whole, found, again)
+    return Spans(words, starts, before, first, stop, np.searchsorted(first, before), pair, again)
 
 
-def _digest_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    found = windows_of(batch.column("text"))
-    texts = found.text_of()
-    unit = (np.arange(len(texts)) - found.before[:-1][texts]).astype(np.int32)
-    first = found.whole & ~found.again
-    counts = np.bincount(texts[first], minlength=len(batch))
+def _digest_rows(batch: pa.RecordBatch, lines: bool) -> pa.RecordBatch:
+    found = spans_of(batch.column("text"), lines)
+    texts = found.text_of()[found.first]
+    number = (np.arange(len(texts)) - found.spans_before[:-1][texts]).astype(np.int32)
+    fresh = ~found.again
+    counts = np.bincount(texts[fresh], minlength=len(batch))
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),
             batch.column("copy"),
-            lists(pa.array(unit[first]), counts),
-            lists(pa.array(signed(found.digests[0][first])), counts),
-            lists(pa.array(signed(found.digests[1][first])), counts),
+            lists(pa.array(number[fresh]), counts),
+            lists(pa.array(signed(found.digests[0][fresh])), counts),
+            lists(pa.array(signed(found.digests[1][fresh])), counts),
         ],
-        ["doc_id", "copy", "unit", "digest", "digest2"],
+        ["doc_id", "copy", "span", "digest", "digest2"],
     )
 
 
-def digests(documents: DataFrame) -> DataFrame:
-    """A row per document and different window: its first unit's number and its digest."""
+def digests(documents: DataFrame, lines: bool) -> DataFrame:
+    """A row per document and different span: the number of the first such span and its digest."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return by_slices(batches, "text", _digest_rows)
+        return by_slices(batches, "text", lambda batch: _digest_rows(batch, lines))
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(
         work,
-        f"doc_id {kind}, copy bigint, unit array<int>, digest array<bigint>, digest2 array<bigint>",
+        f"doc_id {kind}, copy bigint, span array<int>, digest array<bigint>, digest2 array<bigint>",
     )
     return rows.select(
-        "doc_id", "copy", F.explode(F.arrays_zip("unit", "digest", "digest2")).alias("x")
+        "doc_id", "copy", F.explode(F.arrays_zip("span", "digest", "digest2")).alias("x")
     ).select("doc_id", "copy", "x.*")
 
 
-def marked(documents: DataFrame) -> DataFrame:
-    """Per ``doc_id`` and ``copy`` (a digest of the text) the windows that a smaller doc_id has, by
-    their first unit, with that doc_id."""
-    units = digests(documents)
+def marked(documents: DataFrame, lines: bool) -> DataFrame:
+    """Per ``doc_id`` and ``copy`` (a digest of the text) the spans that a smaller doc_id has, by
+    number, with that doc_id."""
+    spans = digests(documents, lines)
     first = (
-        units.groupBy("digest", "digest2")
+        spans.groupBy("digest", "digest2")
         .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
         .filter("n > 1")
         .drop("n")
     )
-    later = units.join(first, ["digest", "digest2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    later = spans.join(first, ["digest", "digest2"]).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     return later.groupBy("doc_id", "copy").agg(
-        F.collect_set(F.struct("unit", "first_doc")).alias("gone")
+        F.collect_set(F.struct("span", "first_doc")).alias("gone")
     )
 
 
-def _cut(batch: pa.RecordBatch, kind: pa.DataType) -> pa.RecordBatch:
-    found = windows_of(batch.column("text"))
+def _cut(batch: pa.RecordBatch, kind: pa.DataType, lines: bool) -> pa.RecordBatch:
+    found = spans_of(batch.column("text"), lines)
     words, starts, before, texts = found.words, found.starts, found.before, found.text_of()
     rows, count = len(batch), len(starts)
     gone = batch.column("gone")
     lengths = np.diff(gone.offsets.to_numpy(zero_copy_only=False)) if rows else np.zeros(0, np.int64)
     lengths = np.where(gone.is_null().to_numpy(zero_copy_only=False), 0, lengths)
     entries = gone.flatten()
-    unit = entries.field("unit").to_numpy(zero_copy_only=False).astype(np.int64)
-    at = before[np.repeat(np.arange(rows), lengths)] + unit
-    source = np.full(count, -1)
+    number = entries.field("span").to_numpy(zero_copy_only=False).astype(np.int64)
+    at = found.spans_before[np.repeat(np.arange(rows), lengths)] + number
+    source = np.full(len(found.first), -1)
     source[at] = np.arange(len(at))
-    marked_windows = np.flatnonzero((source >= 0) | found.again)
+    marked_spans = np.flatnonzero((source >= 0) | found.again)
     cover = np.zeros(count + 1, np.int64)
-    np.add.at(cover, marked_windows, 1)
-    np.add.at(cover, found.stops[marked_windows], -1)
+    np.add.at(cover, found.first[marked_spans], 1)
+    np.add.at(cover, found.stop[marked_spans], -1)
     mark = np.cumsum(cover[:-1]) > 0
-    # Windows end in the order they begin, so the last one begun before a unit covers it.
+    # A run of removed units begins where a removed span does; the longest of these is named.
     origin = np.full(count, -1)
-    origin[marked_windows] = marked_windows
-    origin = np.maximum.accumulate(origin) if count else origin
+    origin[found.first[marked_spans]] = marked_spans
     edge = np.ones(count, bool)
     edge[1:] = (mark[1:] != mark[:-1]) | (texts[1:] != texts[:-1])
     edges = np.append(np.flatnonzero(edge), count)
@@ -226,16 +247,17 @@ def _cut(batch: pa.RecordBatch, kind: pa.DataType) -> pa.RecordBatch:
     )
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
+def deduplicated(documents: DataFrame, lines: bool = False) -> DataFrame:
     """Per document ``document`` (its columns, with what is left of the text, and ``n_chars``, if it
     has it, counted again), ``n_units``, ``n_removed`` of these, and ``removed``: per run of removed
     units the characters from ``start`` up to ``end`` of the original text, and ``first_doc``, where
-    its beginning stays; null where that is the document itself."""
+    its beginning stays; null where that is the document itself. Without ``lines`` windows alone are
+    compared, and repeated lines of fewer words stay."""
     kind = documents.schema["doc_id"].dataType
     arrow_kind = documents.select("doc_id").limit(0).toArrow().schema.field("doc_id").type
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return by_slices(batches, "text", lambda batch: _cut(batch, arrow_kind))
+        return by_slices(batches, "text", lambda batch: _cut(batch, arrow_kind, lines))
 
     others = [c for c in documents.columns if c != "text"]
     rows = documents.select(
@@ -244,7 +266,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
         "text",
         F.xxhash64("text").alias("own_copy"),
     )
-    gone = marked(documents)
+    gone = marked(documents, lines)
     same = rows["own_id"].eqNullSafe(gone["doc_id"]) & (rows["own_copy"] == gone["copy"])
     joined = rows.join(gone, same, "left").select("others", "text", "gone")
     span = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
@@ -269,6 +291,6 @@ def deduplicated(documents: DataFrame) -> DataFrame:
 def without_repeats(documents: DataFrame) -> DataFrame:
     """The documents with all their columns and what is left of their texts. Documents that lost all
     their words are left out."""
-    found = deduplicated(documents)
+    found = deduplicated(documents, lines=True)
     lost = (F.size("removed") > 0) & ~F.col("document.text").rlike("[\\p{L}\\p{N}]")
     return found.filter(~F.coalesce(lost, F.lit(False))).select("document.*")
