@@ -91,3 +91,34 @@ def test_records_from_pieces_of_any_kind(size):
     assert [r["payload"] for r in found] == [("a\r\n\r\n" * size).encode()] * 3
     with pytest.raises(ValueError, match="ends within a record"):
         list(warc.parsed(("f", piece) for piece in pieces[:-1]))
+
+
+@pytest.mark.parametrize("html", ["x\r\n", "\r\n", "x\r\n\r\n", "x\r\n\r\n\r\n", "x\r", "\r\nx\n\r\n"])
+def test_a_last_payload_that_ends_in_line_ends(spark, tmp_path, html):
+    """A file for every row, so that each record is the last of its file."""
+    rows = [(i, f"u{i}", f"{i}{html}") for i in range(3)] + [(9, "u", html)]
+    path = str(tmp_path / "archives")
+    pages = pages_of(spark, rows)
+    for row in rows:
+        records = warc.archive_records(pages.filter(pages["page_id"] == row[0])).coalesce(1)
+        records.write.mode("append").option("lineSep", warc.END).option("compression", "gzip").text(path)
+    found = {int(r["page_id"]): bytes(r["payload"]).decode() for r in warc.read_archives(spark, path).collect()}
+    assert found == {i: text for i, _, text in rows}
+
+
+def test_what_is_left_of_a_record_still_stops_the_reader():
+    head = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: i\r\nPage-Id: 1\r\nWARC-Target-URI: u\r\n"
+    block = "HTTP/1.1 200 OK\r\n\r\nbody\r\n"
+    record = f"{head}WARC-Payload-Digest: sha1:X\r\nContent-Length: {len(block)}{END}{block}{END}".encode()
+    end = END.encode()
+
+    def pieces(file, data):
+        """As Spark cuts a file: nothing stands behind the last separator."""
+        cut = data.split(end)
+        return [(file, piece) for piece in (cut if cut[-1] else cut[:-1])]
+
+    both = [*pieces("f", record * 2), *pieces("g", record)]
+    assert [r["payload"] for r in warc.parsed(iter(both))] == [b"body\r\n"] * 3
+    for file, data in (("f", record[:-1]), ("f", record[:-2]), ("f", record[:-6])):
+        with pytest.raises(ValueError):
+            list(warc.parsed(iter([*pieces(file, data), *pieces("g", record)])))

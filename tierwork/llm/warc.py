@@ -140,17 +140,19 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
 def parsed(pieces: Iterator[tuple[str, bytes]]) -> Iterator[dict]:
     """Records from the pieces of archives, which come file by file and in order, each without the
-    two line ends that follow it."""
+    two line ends that follow it. Where a file's last payload ends in a line end, the last piece is a line
+    end that had nothing behind it, and the two added to it are left over."""
     rest, of, begin = bytearray(), None, 0
     end = END.encode()
     for file, piece in pieces:
         if file != of:
-            if rest:
+            if rest and rest != end:
                 raise ValueError(f"{of} ends within a record")
+            rest.clear()
             of = file
         rest += piece
         rest += end
-        while rest:
+        while rest and rest != end:
             stop = rest.find(end)
             lines = bytes(rest[:stop]).decode().split("\r\n")
             if lines[0] != VERSION:
@@ -173,7 +175,7 @@ def parsed(pieces: Iterator[tuple[str, bytes]]) -> Iterator[dict]:
                 "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
                 "payload": block[block.find(end) + len(end) :] if fields["WARC-Type"] == "response" else None,
             }
-    if rest:
+    if rest and rest != end:
         raise ValueError(f"{of} ends within a record")
 
 
