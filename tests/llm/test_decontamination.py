@@ -80,3 +80,11 @@ def test_every_shared_window_keeps_a_common_fingerprint():
             inside = {k - len(before) for k in kept if 0 <= k - len(before) <= 5}
             sides.append({(place, grams[place + len(before)]) for place in inside})
         assert sides[0] & sides[1]
+
+
+def test_a_row_goes_for_its_own_text_alone(spark):
+    window = "one two three four five six seven eight nine ten"
+    rows = [(None, window), (None, "clean"), (None, None), (3, f"x {window}"), (3, "clean too"), (4, "clean")]
+    kept = decontamination.decontaminated(documents(spark, rows), items_of(spark, [(1, window)]))
+    left = sorted(str((r["doc_id"], r["text"])) for r in kept.collect())
+    assert left == sorted(str(rows[i]) for i in (1, 2, 4, 5))

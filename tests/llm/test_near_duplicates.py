@@ -114,3 +114,23 @@ def test_components_of_long_paths_and_hubs(spark):
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 1 for i in range(1, 61)} | {i: 200 for i in range(200, 260)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_row_goes_for_its_own_text_alone(spark):
+    """Null and repeated ids, of which one text has a near copy and the other has none."""
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join([*base[:-1], "other"])
+    rows = [(1, " ".join(base)), (None, near), (None, "a clean text of no id"), (7, near), (7, "a clean text of seven")]
+    kept = nd.without_near_duplicates(documents(spark, rows))
+    left = sorted(str((r["doc_id"], r["text"])) for r in kept.collect())
+    assert left == sorted(map(str, [rows[0], rows[2], rows[4]]))
+
+
+def test_a_group_without_ids_leaves_one_row(spark):
+    base = [f"w{i}" for i in range(60)]
+    group = [(None, " ".join(base))] * 3 + [(None, " ".join([*base[:-1], x])) for x in ("one", "two")]
+    docs = documents(spark, [*group, (None, "alone and without an id"), (None, None), (None, None), (5, "five")])
+    kept = nd.without_near_duplicates(docs)
+    left = [r["text"] for r in kept.collect()]
+    assert kept.dtypes == docs.dtypes and len(left) == 5
+    assert sum(text in {t for _, t in group} for text in left) == 1

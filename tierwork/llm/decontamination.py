@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierwork.llm.rows import text_digest, without_rows
 from tierwork.llm.words import (
     ALPHANUMERIC,
     Words,
@@ -168,23 +169,25 @@ def document_fingerprints(documents: DataFrame, table: np.ndarray, shorts: list[
                 [
                     batch.column("row"),
                     batch.column("doc_id"),
+                    batch.column("copy"),
+                    batch.column("copy2"),
                     pa.array(words.counts.astype(np.int64)),
                     lists(pa.array((at - begin)[order].astype(np.int32)), counts),
                     lists(pa.array(signed(np.concatenate(prints)[order])), counts),
                     lists(pa.array(np.concatenate(lengths)[order]), counts),
                     lists(near.take(pa.array(order)), counts),
                 ],
-                ["row", "doc_id", "n_words", "at", "print", "length", "around"],
+                ["row", "doc_id", "copy", "copy2", "n_words", "at", "print", "length", "around"],
             )
 
         return by_slices(batches, "text", one)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"row bigint, doc_id {kind}, n_words bigint, at array<int>, print array<bigint>, "
-        "length array<int>, around array<binary>"
+        f"row bigint, doc_id {kind}, copy bigint, copy2 bigint, n_words bigint, at array<int>, "
+        "print array<bigint>, length array<int>, around array<binary>"
     )
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", *text_digest(), "text")
     return rows.mapInArrow(work, schema)
 
 
@@ -255,9 +258,8 @@ def _covered(spans):
     )
 
 
-def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """Per document: ``doc_id``, ``n_words``, ``n_hit`` (words inside an occurrence of an item's
-    window), ``spans`` (the hit words, as ranges), ``items`` (ids, sorted as text)."""
+def contaminated_rows(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """``contamination`` with ``copy`` and ``copy2``, the digest of the document's text."""
     wanted = written(item_fingerprints(items), "item-fingerprints")
     slots = wanted.select("slot").distinct().toPandas()["slot"].to_numpy(dtype=np.int64)
     table = np.zeros(1 << TABLE_BITS, bool)
@@ -268,9 +270,11 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
         F.collect_set(F.struct("first", "last")).alias("spans"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
     )
-    base = prints.select("row", "doc_id", "n_words")
+    base = prints.select("row", "doc_id", "copy", "copy2", "n_words")
     return base.join(per_row, "row", "left").select(
         "doc_id",
+        "copy",
+        "copy2",
         "n_words",
         F.coalesce(_covered(F.col("spans")), F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce(F.array_sort("spans"), F.array().cast(per_row.schema["spans"].dataType)).alias("spans"),
@@ -278,7 +282,14 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """Per document: ``doc_id``, ``n_words``, ``n_hit`` (words inside an occurrence of an item's
+    window), ``spans`` (the hit words, as ranges), ``items`` (ids, sorted as text)."""
+    return contaminated_rows(documents, items).drop("copy", "copy2")
+
+
 def decontaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    bad = contamination(documents, items).filter("n_hit > 0").select("doc_id").distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The documents without a hit, with all their columns. A row goes for its own text, never for
+    another row of its id."""
+    bad = contaminated_rows(documents, items).filter("n_hit > 0")
+    return without_rows(documents, bad.select("doc_id", "copy", "copy2"))

@@ -27,8 +27,9 @@ No task holds a group that grows with the corpus, and nothing is collected.
 
 Defined cases: documents without words, or null, have no shingles, link with nothing and are kept; fewer
 than five words are one shingle; rows that repeat a doc_id are linked each by its own text, and the
-component's id is the smallest doc_id in it; null ids do not count for it, and a component of null ids
-only has null and is kept; empty tables give no rows.
+component's id is the smallest doc_id in it, whose rows are all kept; null ids do not count for it, and a
+component of null ids only has null and is kept, of which ``without_near_duplicates`` leaves one row; empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.llm.components import components
+from tierwork.llm.rows import text_digest, without_rows
 from tierwork.llm.words import NOT_BLANK, by_slices, gram_hashes, lists, mix, signed, words_of
 from tierwork.sources.work import written
 
@@ -169,12 +171,14 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         [
             batch.column("row"),
             batch.column("doc_id"),
+            batch.column("copy"),
+            batch.column("copy2"),
             pa.array([len(x) for x in sets], pa.int64()),
             pa.array(signed(one)),
             pa.array(signed(two)),
             lists(pa.array(np.concatenate(sketches)), np.array([len(x) for x in sketches])),
         ],
-        ["row", "doc_id", "n_shingles", "digest", "digest2", "registers"],
+        ["row", "doc_id", "copy", "copy2", "n_shingles", "digest", "digest2", "registers"],
     )
 
 
@@ -187,16 +191,18 @@ def set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """Per row a number of its own, ``doc_id``, the size and a digest of its set, and its registers,
-    four to a long."""
+    """Per row a number of its own, ``doc_id``, a digest of its text, the size and a digest of its
+    set, and its registers, four to a long."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return by_slices(batches, "text", _sketch)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+    return documents.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", *text_digest(), "text"
+    ).mapInArrow(
         work,
-        f"row bigint, doc_id {kind}, n_shingles bigint, digest bigint, digest2 bigint, registers array<bigint>",
+        f"row bigint, doc_id {kind}, copy bigint, copy2 bigint, n_shingles bigint, digest bigint, digest2 bigint, registers array<bigint>",
     )
 
 
@@ -404,10 +410,9 @@ def _links_between_blocks(split: DataFrame, links: DataFrame) -> DataFrame:
     return by_groups(inside.union(outside), ["cluster", "block", "chunk"], _links_across)
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """Per row ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id that links lead to)
-    and ``kept`` (whether that is its own)."""
-    rows = written(sketches(documents), "sketches")
+def linked_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """``near_duplicates`` from written sketches, with ``copy`` and ``copy2``, the digest of the row's
+    text, and ``component``, the number of its component; null where a row has no shingles."""
     classes = rows.filter("n_shingles > 0").groupBy("digest", "digest2").agg(
         F.min("row").alias("cls"), F.min("doc_id").alias("least")
     )
@@ -421,18 +426,42 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "cls")
     )
     least = numbered.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = numbered.join(least, "component").select("digest", "digest2", "component_id")
+    known = numbered.join(least, "component").select("digest", "digest2", "component", "component_id")
     plain = rows.drop("registers", "row")
     linked = plain.filter("n_shingles > 0").join(known, ["digest", "digest2"])
-    alone = plain.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    alone = plain.filter("n_shingles = 0").withColumns(
+        {"component": F.lit(None).cast("bigint"), "component_id": F.col("doc_id")}
+    )
+    columns = ["doc_id", "copy", "copy2", "n_shingles", "component", "component_id"]
     return (
-        linked.select("doc_id", "n_shingles", "component_id")
-        .unionByName(alone.select("doc_id", "n_shingles", "component_id"))
+        linked.select(columns)
+        .unionByName(alone.select(columns))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """Per row ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id that links lead to)
+    and ``kept`` (whether that is its own)."""
+    found = linked_rows(documents, written(sketches(documents), "sketches"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns."""
-    gone = near_duplicates(documents).filter(~F.col("kept")).select("doc_id").distinct()
-    return documents.join(gone, documents["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    """One document of each component, with all its columns: all rows that have the component's id, or
+    one row, where all its ids are null. A row goes for its own text, never for another row of its id."""
+    rows = written(sketches(documents), "sketches")
+    found = linked_rows(documents, rows)
+    gone = found.filter(~F.col("kept")).select("doc_id", "copy", "copy2")
+    if rows.filter("doc_id is null and n_shingles > 0").isEmpty():
+        return without_rows(documents, gone)
+    nameless = found.filter("component is not null and component_id is null")
+    nameless = nameless.select("doc_id", "copy", "copy2", "component")
+    ones = nameless.groupBy("component").agg(F.min(F.struct("copy", "copy2")).alias("one"), F.count("*").alias("n"))
+    ones = written(ones.filter("n > 1").select("component", "one.*"), "nameless")
+    # All rows of these components go, and one row of one text of each comes back.
+    gone = gone.union(nameless.join(ones, "component", "left_semi").select("doc_id", "copy", "copy2"))
+    whole = F.struct(*(documents[c] for c in documents.columns)).alias("document")
+    back = documents.filter(documents["doc_id"].isNull()).select(whole, *text_digest())
+    back = back.join(ones, ["copy", "copy2"], "left_semi").dropDuplicates(["copy", "copy2"])
+    return without_rows(documents, gone).union(back.select("document.*"))
