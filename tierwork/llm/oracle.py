@@ -104,10 +104,40 @@ FROM d JOIN least_of USING (r) LEFT JOIN sizes USING (r)
 """
 
 
+RESAMPLING = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS}, []) AS w FROM documents),
+own AS (SELECT r, unnest(w) AS text FROM d),
+target AS (SELECT unnest({WORDS}) AS text FROM benchmark WHERE text IS NOT NULL),
+buckets AS (
+  SELECT text, {CRC32} % 10000 AS b FROM (SELECT DISTINCT text FROM (SELECT text FROM own UNION ALL SELECT text FROM target))),
+s AS (SELECT b, count(*) AS n FROM own JOIN buckets USING (text) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM target JOIN buckets USING (text) GROUP BY b),
+totals AS (SELECT (SELECT count(*) FROM own) AS s_all, (SELECT count(*) FROM target) AS t_all),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * (s_all + 10000) AS DOUBLE)
+    / CAST((s.n + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (b), totals),
+sums AS (SELECT r, CAST(sum(gain) AS BIGINT) AS in_all FROM own JOIN buckets USING (text) JOIN gains USING (b) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w) AS n_features,
+    CASE WHEN len(w) = 0 THEN 0 ELSE (in_all - ((in_all % len(w)) + len(w)) % len(w)) // len(w) END AS weight,
+    CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+      + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS drawn
+  FROM d LEFT JOIN sums USING (r)),
+able AS (
+  SELECT r, row_number() OVER (ORDER BY weight + drawn DESC, doc_id ASC NULLS LAST, n_features) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight,
+  CAST(weight + drawn AS BIGINT) AS score, CASE WHEN place <= 10 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM scored LEFT JOIN able USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_sharding": SHARDING,
         "op3_warc": WARC,
         "op5_minhash": NEAR_DUPLICATES,
+        "op13_resampling": RESAMPLING,
     }

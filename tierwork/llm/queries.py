@@ -15,6 +15,7 @@ from tierwork.llm import (
     pieces,
     quality,
     repeats,
+    resampling,
     sharding,
     toxicity,
     vantage,
@@ -123,5 +124,15 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "benchmark"),
+        least_words=20,
+        percent=10,
+        seed=2024,
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: build for name, build in globals().items() if name.startswith("op")}
