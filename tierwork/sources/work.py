@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import cache
 from uuid import uuid4
 
@@ -29,11 +30,36 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
 
 
+#: Lets Spark delete an execution's shuffle files when it ends, not when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_here(spark: SparkSession) -> Iterator[None]:
+    """Executions inside leave no shuffle files, as their rows are in a table from then on."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of the work folder that no one reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there, so a lost
     executor costs a re-read, never the shuffle that made the rows. A ``path`` given is overwritten."""
     path = path or work_path(df.sparkSession, purpose)
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_end_here(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
