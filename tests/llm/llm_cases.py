@@ -89,16 +89,16 @@ def contamination(text, items):
     return len(own), len(hit), sorted(map(str, found))
 
 
-def shingles(text):
+def shingles(text, n=5):
     own = tokens(text)
     if not own:
         return frozenset()
-    return frozenset(tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4)))
+    return frozenset(tuple(own[i : i + n]) for i in range(max(1, len(own) - n + 1)))
 
 
-def near_components(rows):
+def near_components(rows, n=5, percent=75):
     """Per row the smallest id of its component, by comparing all pairs."""
-    sets = [shingles(text) for _, text in rows]
+    sets = [shingles(text, n) for _, text in rows]
     part = list(range(len(rows)))
 
     def root(x):
@@ -109,7 +109,7 @@ def near_components(rows):
     for i, one in enumerate(sets):
         for j in range(i):
             common = len(one & sets[j])
-            if common and 100 * common >= 75 * (len(one) + len(sets[j]) - common):
+            if common and 100 * common >= percent * (len(one) + len(sets[j]) - common):
                 part[max(root(i), root(j))] = min(root(i), root(j))
     ids: dict[int, list] = {}
     for i, (doc_id, _) in enumerate(rows):

@@ -35,6 +35,8 @@ tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +48,17 @@ from tierwork.llm.rows import text_digest, without_rows
 from tierwork.llm.words import NOT_BLANK, by_slices, gram_hashes, lists, mix, signed, words_of
 from tierwork.sources.work import written
 
-SHINGLE = 5
-#: Links have ``100 * common >= PERCENT * all``.
-PERCENT = 75
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Sets are shingles of ``shingle`` words; links have ``100 * common >= percent * all``."""
+
+    shingle: int
+    percent: int
+
+
+NEAR = Rule(shingle=5, percent=75)
 REGISTERS = 128
 MANTISSA_BITS = 10
 BAND = 4
@@ -66,14 +76,14 @@ _BORROW = np.argsort(
 )
 
 
-def shingle_sets(column: pa.Array) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, shingle: int = NEAR.shingle) -> list[np.ndarray]:
     """Per text its different shingles, sorted, as 64-bit numbers."""
     words = words_of(column, NOT_BLANK)
-    grams = gram_hashes(words.hashes, SHINGLE)
+    grams = gram_hashes(words.hashes, shingle)
     found = []
     for start, stop in zip(words.first[:-1], words.first[1:]):
-        if stop - start >= SHINGLE:
-            found.append(np.unique(grams[start : stop - SHINGLE + 1]))
+        if stop - start >= shingle:
+            found.append(np.unique(grams[start : stop - shingle + 1]))
         elif stop > start:
             found.append(gram_hashes(words.hashes[start:stop], int(stop - start)))
         else:
@@ -152,7 +162,7 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def links_within(sets: list[np.ndarray]) -> np.ndarray:
+def links_within(sets: list[np.ndarray], percent: int = NEAR.percent) -> np.ndarray:
     """Which pairs of sets are similar enough, exactly; float32 counts are exact to 16 million."""
     sizes = np.array([len(x) for x in sets], np.float64)
     if len(sets) == 2:
@@ -160,7 +170,7 @@ def links_within(sets: list[np.ndarray]) -> np.ndarray:
         common[0, 1] = common[1, 0] = len(np.intersect1d(*sets, assume_unique=True))
     else:
         common = common_counts(sets).astype(np.float64)
-    return (100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)) & ~np.eye(len(sets), dtype=bool)
+    return (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)) & ~np.eye(len(sets), dtype=bool)
 
 
 def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -292,27 +302,38 @@ def candidate_links(classes: DataFrame) -> DataFrame:
     return by_groups(members, ["bucket", "block"], _alike_in_bucket)
 
 
-def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sets of ``wanted`` classes (``cls``, ``doc_id``, ``digest``, ``digest2`` and more columns),
-    from the texts: ``shingles``, one row per class at least."""
-    rows = documents.select(F.col("doc_id").alias("own_id"), "text")
-    joined = rows.join(wanted, rows["own_id"].eqNullSafe(wanted["doc_id"])).drop("own_id", "doc_id")
+def full_sets(documents: DataFrame, wanted: DataFrame, shingle: int = NEAR.shingle) -> DataFrame:
+    """The sets of ``wanted`` classes (``cls``, ``doc_id``, ``copy``, ``copy2``, ``rows``, how many rows the class has, and
+    more columns), from the texts: ``shingles``, one row per class, but for a class of several rows one per task at most."""
+    rows = documents.select(F.col("doc_id").alias("own_id"), F.col("text"), *text_digest())
+    rows = rows.withColumnsRenamed({"copy": "own_copy", "copy2": "own_copy2"})
+    same = (
+        rows["own_id"].eqNullSafe(wanted["doc_id"])
+        & (rows["own_copy"] == wanted["copy"])
+        & (rows["own_copy2"] == wanted["copy2"])
+    )
+    joined = rows.join(wanted, same).drop("own_id", "own_copy", "own_copy2", "doc_id", "copy", "copy2")
     others = [c for c in joined.columns if c != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+
+        def fresh(batch: pa.RecordBatch) -> pa.RecordBatch:
+            """Without rows that repeat a class: they have the same text."""
+            keep = np.ones(len(batch), bool)
+            several = np.flatnonzero(batch.column("rows").to_numpy() > 1)
+            for place, number in zip(several.tolist(), batch.column("cls").to_numpy()[several].tolist()):
+                keep[place] = number not in seen
+                seen.add(number)
+            return batch if keep.all() else batch.filter(pa.array(keep))
+
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = shingle_sets(batch.column("text"))
-            same = np.ones(len(batch), bool)
-            for name, digest in zip(("digest", "digest2"), set_digests(sets)):
-                same &= batch.column(name).to_numpy(zero_copy_only=False) == signed(digest)
+            sets = shingle_sets(batch.column("text"), shingle)
             values = pa.array(signed(np.concatenate(sets)))
             shingles = lists(values, np.array([len(x) for x in sets]))
-            found = pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in others), shingles], [*others, "shingles"]
-            )
-            return found.filter(pa.array(same))
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), shingles], [*others, "shingles"])
 
-        return by_slices(batches, "text", one)
+        return by_slices((fresh(batch) for batch in batches), "text", one)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name != "text")
     return joined.mapInArrow(work, f"{schema}, shingles array<bigint>")
@@ -325,20 +346,20 @@ def _different(group: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, list[
     return group, nodes, _arrays(group.column("shingles"), np.uint64)
 
 
-def _links_in_block(group: pa.RecordBatch) -> list[tuple[int, int]]:
+def _links_in_block(group: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
     _, nodes, sets = _different(group)
     if len(nodes) < 2:
         return []
-    part = linked_parts(links_within(sets))
+    part = linked_parts(links_within(sets, percent))
     return [(int(nodes[p]), int(node)) for p, node in zip(part, nodes) if nodes[p] != node]
 
 
-def _links_across(group: pa.RecordBatch) -> list[tuple[int, int]]:
+def _links_across(group: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
     """Links between classes outside the largest component and those of one block, one for every
     component of the block that a class has a link to."""
     group, nodes, sets = _different(group)
     parts = group.column("component").to_numpy(zero_copy_only=False)
-    linked = links_within(sets) & (parts[:, None] != parts[None, :])
+    linked = links_within(sets, percent) & (parts[:, None] != parts[None, :])
     found = []
     for row in np.flatnonzero(linked.any(axis=1)):
         others = np.flatnonzero(linked[row])
@@ -351,19 +372,22 @@ def _blocks(rows: Column, shingles: Column) -> Column:
     return F.ceil(F.greatest(rows / BLOCK_ROWS, shingles / BLOCK_SHINGLES)).cast("bigint")
 
 
-def verified_links(documents: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
+def verified_links(
+    documents: DataFrame, classes: DataFrame, clusters: DataFrame, rule: Rule = NEAR
+) -> DataFrame:
     """Links between classes whose full sets are similar enough, as many as hold every component
     together. ``clusters``: ``node`` and ``component`` of the candidate links."""
-    wanted = classes.drop("registers").join(
+    wanted = classes.select("cls", "doc_id", "copy", "copy2", "rows", "n_shingles").join(
         clusters.select(F.col("node").alias("cls"), F.col("component").alias("cluster")), "cls"
     )
     sizes = wanted.groupBy("cluster").agg(
-        F.count("*").alias("rows"), F.sum("n_shingles").alias("in_all")
+        F.count("*").alias("in_cluster"), F.sum("n_shingles").alias("in_all")
     )
-    sizes = sizes.select("cluster", _blocks(F.col("rows"), F.col("in_all")).alias("blocks"), "rows")
+    blocks = _blocks(F.col("in_cluster"), F.col("in_all"))
+    sizes = sizes.select("cluster", blocks.alias("blocks"), "in_cluster")
     wanted = wanted.join(sizes, "cluster")
-    sets = written(full_sets(documents, wanted), "shingle-sets")
-    order = F.pmod(F.xxhash64("cls"), F.col("rows"))
+    sets = written(full_sets(documents, wanted, rule.shingle), "shingle-sets")
+    order = F.pmod(F.xxhash64("cls"), F.col("in_cluster"))
     pivot = (F.col("blocks") > 1) & (order < PIVOTS)
     own = F.pmod(F.xxhash64("cls", F.lit(2)), F.col("blocks"))
     placed = sets.select(
@@ -372,14 +396,15 @@ def verified_links(documents: DataFrame, classes: DataFrame, clusters: DataFrame
         "shingles",
         F.explode(F.when(pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))).alias("block"),
     )
-    links = written(by_groups(placed, ["cluster", "block"], _links_in_block), "block-links")
+    links = by_groups(placed, ["cluster", "block"], partial(_links_in_block, percent=rule.percent))
+    links = written(links, "block-links")
     split = sets.filter("blocks > 1")
     if split.isEmpty():
         return links
-    return links.union(_links_between_blocks(split, links))
+    return links.union(_links_between_blocks(split, links, rule.percent))
 
 
-def _links_between_blocks(split: DataFrame, links: DataFrame) -> DataFrame:
+def _links_between_blocks(split: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     parts = components(links).withColumnRenamed("node", "cls")
     part = F.coalesce("component", "cls").alias("component")
     found = split.join(parts, "cls", "left").select(split["*"], part)
@@ -407,27 +432,33 @@ def _links_between_blocks(split: DataFrame, links: DataFrame) -> DataFrame:
     outside = found.filter("component <> largest").select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), chunk.alias("chunk")
     )
-    return by_groups(inside.union(outside), ["cluster", "block", "chunk"], _links_across)
+    return by_groups(inside.union(outside), ["cluster", "block", "chunk"], partial(_links_across, percent=percent))
 
 
-def linked_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
-    """``near_duplicates`` from written sketches, with ``copy`` and ``copy2``, the digest of the row's
-    text, and ``component``, the number of its component; null where a row has no shingles."""
+def linked_rows(
+    documents: DataFrame,
+    rows: DataFrame,
+    candidates: Callable[[DataFrame], DataFrame] = candidate_links,
+    rule: Rule = NEAR,
+) -> DataFrame:
+    """``near_duplicates`` from written sketches (the columns of ``sketches``, or others in place of ``registers`` that
+    ``candidates`` knows), with ``copy`` and ``copy2``, the digest of the row's text, and ``component``, the number of its
+    component; null where a row has no shingles."""
     classes = rows.filter("n_shingles > 0").groupBy("digest", "digest2").agg(
-        F.min("row").alias("cls"), F.min("doc_id").alias("least")
+        F.min("row").alias("cls"), F.min("doc_id").alias("least"), F.count("*").alias("rows")
     )
     classes = written(classes, "classes")
-    members = rows.select(F.col("row").alias("cls"), "doc_id", "n_shingles", "registers").join(classes, "cls")
+    members = rows.withColumnRenamed("row", "cls").drop("digest", "digest2").join(classes, "cls")
     members = written(members, "class-sketches")
-    clusters = components(candidate_links(members))
-    links = verified_links(documents, members.drop("least"), clusters)
+    clusters = components(candidates(members))
+    links = verified_links(documents, members, clusters, rule)
     parts = components(links)
     numbered = classes.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
     least = numbered.groupBy("component").agg(F.min("least").alias("component_id"))
     known = numbered.join(least, "component").select("digest", "digest2", "component", "component_id")
-    plain = rows.drop("registers", "row")
+    plain = rows.select("doc_id", "copy", "copy2", "n_shingles", "digest", "digest2")
     linked = plain.filter("n_shingles > 0").join(known, ["digest", "digest2"])
     alone = plain.filter("n_shingles = 0").withColumns(
         {"component": F.lit(None).cast("bigint"), "component_id": F.col("doc_id")}

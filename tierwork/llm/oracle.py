@@ -80,30 +80,36 @@ FROM f
 """
 
 
-NEAR_DUPLICATES = rf"""
+def components_of_shingles(shingle: int, percent: int) -> str:
+    """Per row ``doc_id``, ``n_shingles`` and ``component_id``."""
+    return rf"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS r, doc_id,
     coalesce(regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 shingles AS (
-  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + least(len(w), 5) - 1), ' ') AS s
-  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + least(len(w), {shingle}) - 1), ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - {shingle - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
 sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
 pairs AS (
   SELECT a.r AS a, b.r AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.r < b.r
   GROUP BY a.r, b.r),
 links AS (
   SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
-  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+  WHERE 100 * common >= {percent} * (x.n + y.n - common)),
 steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT r, r AS t FROM d UNION SELECT reached.r, steps.b FROM reached JOIN steps ON steps.a = reached.t),
 least_of AS (SELECT reached.r, min(d.doc_id) AS component_id FROM reached JOIN d ON d.r = reached.t GROUP BY reached.r)
-SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id,
-  d.doc_id IS NOT DISTINCT FROM component_id AS kept
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d JOIN least_of USING (r) LEFT JOIN sizes USING (r)
 """
 
 
+NEAR_DUPLICATES = f"""
+SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({components_of_shingles(5, 75)})
+"""
+
+
 RESAMPLING = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS}, []) AS w FROM documents),
 own AS (SELECT r, unnest(w) AS text FROM d),
@@ -133,11 +139,48 @@ FROM scored LEFT JOIN able USING (r)
 """
 
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?
+-
+]')) AS piece
+    FROM documents WHERE text IS NOT NULL)),
+f AS (
+  SELECT lang, m, p, count(*) AS f FROM (
+    SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS p FROM (
+      SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) lengths(m)))
+  GROUP BY lang, m, p),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, p, f AS a, string_split(p, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, m, p, a, k, array_to_string(list_slice(w, 1, k), ' ') AS lp, array_to_string(list_slice(w, k + 1, m), ' ') AS rp
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+scores AS (
+  SELECT c.lang, c.m, c.p, a, x.f AS l, y.f AS r, k,
+    CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.m = c.k AND x.p = lp JOIN f y ON y.lang = c.lang AND y.m = c.m - k AND y.p = rp),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM scores),
+covers AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS p, a AS most
+  FROM candidates WHERE m = 3),
+cover AS (SELECT lang, p, max(most) AS most FROM covers GROUP BY lang, p),
+left_over AS (
+  SELECT s.* FROM lowest s LEFT JOIN cover c ON c.lang = s.lang AND c.p = s.p AND s.m = 2
+  WHERE place = 1 AND coalesce(100 * most >= 50 * a, false) = false),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM left_over)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op2_sharding": SHARDING,
         "op3_warc": WARC,
         "op5_minhash": NEAR_DUPLICATES,
+        "op11_collocations": COLLOCATIONS,
+        "op12_jaccard": components_of_shingles(3, 90),
         "op13_resampling": RESAMPLING,
     }

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierwork.llm import (
+    collocations,
     decontamination,
     languages,
     near_duplicates,
+    parity,
     pieces,
     quality,
     repeats,
@@ -124,6 +126,16 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(
+        table(spark, sf_dir, "documents"), longest=3, least=10, cover=50, best=2000
+    )
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(
         table(spark, sf_dir, "documents"),
