@@ -6,12 +6,15 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tierwork import INCIDENTS
+from tierwork import INCIDENTS, DatasetSpec
 from tierwork.functions.names import NameCollision
+from tierwork.operators.metrics import CountBy
 from tierwork.operators.quality import QualityGateFailed, enforce_gate, quality_report
 from tierwork.plans import layers, run
+from tierwork.sources.delimited import UnclosedQuote, inspect
 from tierwork.sources.files import table_detail
 
+# Fixed value: the header line of the incident export.
 HEADER = (
     "Number,Opened,short_description,Caller,User ID,Priority,State,Category,Assignment group,"
     "Assigned to,Channel,Service,Service Family,Service Subcategory,Updated,Updated by"
@@ -219,3 +222,35 @@ def test_table_names():
     spec = replace(INCIDENTS, catalog="c", schema="s")
     assert spec.table("silver") == "c.s.silver_incidents"
     assert spec.table("quality") == "c.s.quality_report"
+
+
+def test_a_run_misses_what_an_unclosed_quote_swallows(spark, tmp_path):
+    """One stray quote among 1,000 records: the run stops, or warns and bronze has all the text."""
+    path = tmp_path / "in.csv"
+    lines = [f"{i},note {i},x" for i in range(1, 1001)]
+    lines[299] = '300,"note 300,x'
+    path.write_text("\n".join(["id,note,more", *lines]) + "\n")
+    spec = DatasetSpec(name="strays", critical=("id",), metrics=(CountBy("by_more", "more", "n"),))
+    with pytest.raises(UnclosedQuote):
+        run.run(spark, spec, str(path), str(tmp_path / "t"))
+    with pytest.warns(UserWarning, match="unclosed"):
+        run.run(spark, replace(spec, on_loss="warn"), str(path), str(tmp_path / "t"))
+    swallowed = spark.table("bronze_strays").filter("malformed_record is not null").collect()
+    assert len(swallowed) == 1 and "1000,note 1000,x" in swallowed[0]["malformed_record"]
+
+
+def test_bronze_is_compared_with_the_lines_of_the_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,note\n1,x\n2,y\n\n")
+    (tmp_path / "in" / "b.csv").write_text('id,note\n3,"two\n\nlines"\n4,z\n')
+    path, spec = str(tmp_path / "in"), DatasetSpec(name="counted")
+    facts = inspect(spark, path)
+    whole = layers.bronze(spark, spec, path, facts=facts)
+    run.check_source(spark, path, facts, whole, spec.malformed_column)
+    with pytest.raises(run.RowsLost, match="under"):
+        run.check_source(spark, path, facts, whole.filter("id <> '3'"), spec.malformed_column)
+    facts = inspect(spark, f"{path}/a.csv")
+    one = layers.bronze(spark, spec, f"{path}/a.csv", facts=facts)
+    for wrong in (one.filter("id = '1'"), one.union(one)):
+        with pytest.warns(UserWarning, match="lines of 2"):
+            run.check_source(spark, path, facts, wrong, spec.malformed_column, "warn")

@@ -74,25 +74,6 @@ def test_lines_that_stand_alone(spark, tmp_path, text, alone):
     assert bag(delimited.read_csv(spark, str(path), schema)) == bag(whole)
 
 
-@pytest.mark.parametrize(
-    "line, outside, inside",
-    [
-        ("a,b", False, True),
-        ('"a,b', True, False),
-        ('a","b', True, True),
-        ('"a""b', True, False),
-        ('"a"",b",c', False, False),
-        ('5" disk', False, False),
-        ('x,"', True, False),
-        ('"x"y,"z', True, True),
-        ("", False, True),
-    ],
-)
-def test_where_lines_end(line, outside, inside):
-    assert delimited.ends_inside(line, False) is outside
-    assert delimited.ends_inside(line, True) is inside
-
-
 PLAIN_FIELD = st.text("ab ", max_size=3)
 QUOTED_FIELD = st.text('ab ,"\n', max_size=6).map(lambda text: '"' + text.replace('"', '""') + '"')
 RECORD = st.tuples(*[PLAIN_FIELD | QUOTED_FIELD] * 2).map(",".join).filter(str.strip)
@@ -116,27 +97,72 @@ def test_splitting_never_changes_the_rows(spark, tmp_path, records, end):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_files_are_split_whatever_their_records_look_like(spark, tmp_path):
+def test_only_files_whose_records_span_lines_are_not_split(spark, tmp_path):
     plain, broken = str(tmp_path / "plain.csv"), str(tmp_path / "broken.csv")
     rows = spark.range(200_000).select("id", F.lit('x, "y" ' * 6).alias("s"))
     odd = spark.range(100).select("id", F.lit("two\nlines").alias("s"))
-    for path, df in ((plain, rows), (broken, rows.unionByName(odd))):
+    for path, df in ((plain, rows), (broken, odd)):
         df.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
 
-    def tasks(path):
-        df = delimited.read_csv(spark, path)
+    def tasks(path, **options):
+        df = delimited.read_csv(spark, path, **options)
         return df.groupBy(F.spark_partition_id()).count().count(), df.distinct().count()
 
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
     try:
         split, count = tasks(plain)
         assert split > 4 and count == 200_000
-        split, count = tasks(broken)
-        assert split > 4 and count == 200_100
+        split, count = tasks([plain, broken])
+        assert split > 5 and count == 200_100
+        assert tasks(plain, multi_line=True) == (1, 200_000)
+        assert tasks(plain, multi_line=False)[0] > 4
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def stray(tmp_path, place):
+    """1,000 records, of which the 300th opens a quote that is never closed."""
+    path = tmp_path / "in.csv"
+    lines = [f"{i},note {i},x" for i in range(1, 1001)]
+    lines[299] = place
+    path.write_text("\n".join(["id,note,more", *lines]) + "\n")
+    return str(path)
+
+
+@pytest.mark.parametrize("place", ['300,"note 300,x', '"300,note 300,x', '300,note 300,"x'])
+def test_nothing_vanishes_behind_an_unclosed_quote(spark, tmp_path, place):
+    path = stray(tmp_path, place)
+    with pytest.warns(UserWarning, match="unclosed quote"):
+        rows = delimited.read_csv(spark, path, malformed="bad").collect()
+    whole = spark.read.csv(path, header=True, escape='"', multiLine=True)
+    assert len(rows) == whole.count() == 300
+    last = next(r for r in rows if "1000,note 1000" in str(r))
+    assert all(f"{i},note {i},x" in str(last["bad"] or last) for i in range(301, 1001))
+
+
+@pytest.mark.parametrize(
+    "text, unclosed",
+    [
+        (PLAIN, 0),
+        (PLAIN + '7,"two\nlines"\n', 0),
+        (PLAIN + '7,"""two""\n,""lines"""\n', 0),
+        (PLAIN + '7,"\n\nlines\n"\n8,x\n', 0),
+        (PLAIN + '7,5" disk\n', 0),
+        (PLAIN + '7,"two\n8,lines\n', 1),
+        (PLAIN + '"7,two\n8,lines\n', 1),
+        (PLAIN + '7,"""two\n8,lines\n', 1),
+    ],
+)
+def test_facts_of_a_file(spark, tmp_path, text, unclosed):
+    path = tmp_path / "in.csv"
+    path.write_text(text)
+    facts = delimited.inspect(spark, str(path))
+    assert (facts.files, facts.unclosed) == (1, unclosed)
+    assert facts.lines == sum(bool(line.strip()) for line in text.split("\n"))
+    assert delimited.record_lines(spark, str(path), facts) == facts.lines - 1
+    assert delimited.inspect(spark, str(path), by_name=True).groups[0].header == "id,note"
+
+
 @pytest.mark.parametrize("extra", ["", '9,"two\nlines"\n'])
 def test_malformed_records_keep_their_text(spark, tmp_path, extra):
     path = tmp_path / "in.csv"
@@ -158,8 +184,13 @@ def test_files_with_other_headers(spark, tmp_path):
     assert rows.columns == ["a", "b", "c"]
     assert bag(rows) == Counter([("1", "x", None), ("2", "y", None), ("3", "z", "more"), ("4", "w", None)])
     (tmp_path / "e.csv").write_text('a,b\n5,"two\nlines"\n')
-    with pytest.raises(delimited.OtherHeader):
-        delimited.read_csv(spark, str(tmp_path))
+    with pytest.raises(Exception, match="header"):
+        delimited.read_csv(spark, str(tmp_path)).collect()
+    rows = delimited.read_csv(spark, str(tmp_path), by_name=True, schema="c string, a int, b string, d int", file_name="f")
+    assert rows.dtypes == [("c", "string"), ("a", "int"), ("b", "string"), ("d", "int"), ("f", "string")]
+    assert bag(rows.select("a", "b", "f").filter("a = 5")) == Counter([(5, "two\nlines", "e.csv")])
+    assert rows.count() == 5 and rows.filter("d is null").count() == 5
+    assert "Python" not in rows._jdf.queryExecution().toString() and "Arrow" not in rows._jdf.queryExecution().toString()
 
 
 def test_names(spark):

@@ -9,7 +9,7 @@ from tierwork.functions.dates import loss_counts, parse_timestamps
 from tierwork.functions.names import NameCollision, named, rename_columns, sanitize_columns
 from tierwork.operators.metrics import metric_table
 from tierwork.operators.routing import clean_rows, fill_defaults, route
-from tierwork.sources.delimited import read_csv
+from tierwork.sources.delimited import Facts, read_csv
 from tierwork.spec import INGEST_TIME_COLUMN, METADATA, SOURCE_FILE_COLUMN, DatasetSpec
 
 # Fixed value: the time column of a metric table.
@@ -26,10 +26,14 @@ def with_metadata(df: DataFrame, file_name: Column, at: Column | None = None) ->
 
 
 def bronze(
-    spark: SparkSession, spec: DatasetSpec, path: str, at: Column | None = None
+    spark: SparkSession,
+    spec: DatasetSpec,
+    path: str,
+    at: Column | None = None,
+    facts: Facts | None = None,
 ) -> DataFrame:
     """The raw file with usable column names and load metadata, otherwise as it came. A record that
-    does not fit its header keeps its text in a column of its own."""
+    does not fit its header keeps its text in a column of its own. ``facts``, if known, save a pass over the text."""
     file_name = "/source file"
     raw = read_csv(
         spark,
@@ -38,6 +42,8 @@ def bronze(
         malformed=spec.malformed_column,
         by_name=spec.by_name,
         file_name=file_name,
+        multi_line=spec.multi_line,
+        facts=facts,
     )
     origin = named(file_name)
     if spec.file_names == "path":

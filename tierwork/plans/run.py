@@ -9,9 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierwork.functions.names import named
 from tierwork.operators.quality import enforce_gate, report_of_counts, routed_counts, timed
 from tierwork.operators.routing import quarantine, reconcile, row_columns
+from tierwork.functions.names import named
 from tierwork.plans import layers
+from tierwork.sources.delimited import Facts, UnclosedQuote, inspect, record_lines
 from tierwork.sources.tables import overwrite_table
 from tierwork.sources.work import written_and_counted
 from tierwork.spec import DatasetSpec
@@ -24,7 +27,8 @@ class DatesLost(RuntimeError):
 
 
 class RowsLost(RuntimeError):
-    """Silver and quarantine together do not hold as many rows as bronze."""
+    """A layer does not hold all rows of the one before: bronze those of the files, or silver and
+    quarantine together those of bronze."""
 
 
 def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> DataFrame:
@@ -40,7 +44,10 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> Dat
     def write(df: DataFrame, layer: str) -> DataFrame:
         return overwrite_table(df, spec.table(layer), f"{location}/{layer}")
 
-    bronze = write(layers.bronze(spark, spec, path), "bronze")
+    facts = inspect(spark, path, spec.by_name) if spec.by_name or spec.multi_line is None else None
+    bronze = write(layers.bronze(spark, spec, path, facts=facts), "bronze")
+    if facts:
+        check_source(spark, path, facts, bronze, spec.malformed_column, spec.on_loss)
     routed = layers.routed(bronze, spec)
     columns, keyed = row_columns(routed), spec.duplicate_key is not None or spec.across_loads
     routed, counts = written_and_counted(
@@ -78,6 +85,40 @@ def check_dates(lost: dict[str, int], on_loss: str = "warn") -> None:
         warnings.warn(f"dates lost: {found}", stacklevel=2)
 
 
+def check_source(
+    spark: SparkSession, path: str, facts: Facts, bronze: DataFrame, malformed: str, on_loss: str = "raise"
+) -> None:
+    """Compare bronze with the lines that were counted apart from the CSV reader; stop or warn if a quote is never
+    closed, or if there are fewer. Where all records are lines, parquet footers hold the count; else the line breaks
+    inside of fields are counted too, and lines of blanks inside of them may make up for lost ones."""
+    if facts.unclosed:
+        if on_loss == "raise":
+            raise UnclosedQuote(f"{facts.unclosed} files with an unclosed quote under {path}")
+        warnings.warn(f"{facts.unclosed} files with an unclosed quote under {path}", stacklevel=2)
+    wanted = record_lines(spark, path, facts)
+    if facts.spanning:
+        breaks = reduce(
+            lambda one, other: one + other,
+            (
+                F.coalesce(F.length(named(f.name)) - F.length(F.replace(named(f.name), F.lit("\n"), F.lit(""))), F.lit(0))
+                for f in bronze.schema
+                if f.dataType.simpleString() == "string" and f.name != malformed
+            ),
+            F.lit(0),
+        )
+        if malformed in bronze.columns:
+            own = F.length(named(malformed)) - F.length(F.replace(named(malformed), F.lit("\n"), F.lit("")))
+            breaks = F.coalesce(own, breaks)
+        found = bronze.agg(F.coalesce(F.sum(breaks + 1), F.lit(0))).first()[0]
+    else:
+        found = bronze.count()
+    if found < wanted or (found > wanted and not facts.spanning):
+        text = f"bronze has {found} lines of {wanted} under {path}"
+        if on_loss == "raise":
+            raise RowsLost(text)
+        warnings.warn(text, stacklevel=2)
+
+
 def check_rows(
     bronze: DataFrame, clean: DataFrame, rejected: DataFrame, on_loss: str = "raise"
 ) -> None:

@@ -1,257 +1,156 @@
-"""Delimited text files, split into tasks whatever their records look like.
+"""Delimited text files, read by Spark's own reader.
 
-A record may span lines, inside quotes, and then no one can tell from the middle of a file
-whether a line begins inside or outside of quotes. Where every line is a record, which one pass
-over the text tells, Spark's reader splits files by itself. Otherwise records are cut here: a line
-is a map of "inside quotes or not" at its start to the same at its end, the maps of a block's lines
-make the block's map, and carried over the blocks of a file they give the state every block begins
-with, so all blocks are cut in parallel. The rule is the same for files of every size.
+A record may span lines, inside quotes, and then no one can tell from the middle of a file whether a
+line begins inside or outside of quotes. ``inspect`` looks at all lines in one parallel pass: files whose lines are
+all whole records are split by Spark at line ends; files with records that span lines are read by
+one task each, so such loads are as parallel as they have files. ``multi_line`` says it beforehand and saves the
+pass. The same pass counts lines, apart from any CSV parser, which tells later whether
+all of them arrived, and finds files in which a quote is opened and never closed: there everything
+behind it becomes one field.
 
 Records that do not fit their header, with fields too many or too few or of another type, keep
 their text in a column of their own. Files of one load have the same header, else the read fails, or
-with ``by_name`` they are matched by column name.
+with ``by_name`` files with the same header are read together and matched by column name.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+import warnings
+from dataclasses import dataclass
 from functools import reduce
 from io import StringIO
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierwork.functions.names import named, quoted
-from tierwork.sources.work import written
+from tierwork.functions.names import named
 
 # A quoted field: at the start of a line or after a comma, up to a comma or the end of the line,
 # quotes inside it doubled. The quantifiers give nothing back, so long fields cost no stack.
 QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+# What is left of a field that begins on a line or ends on it: an odd number of quotes at its edge. A line
+# that begins with one before a comma or its end is taken to end a field.
+OPENED = r'(?:^"(?:"")*+(?=[^",])|,"(?:"")*+(?!"))'
+CLOSED = r'(?<!")"(?:"")*+(?=,|$)'
 
 
-class OtherHeader(ValueError):
-    """The files of a load have different headers."""
+class UnclosedQuote(ValueError):
+    """A file opens a quote and never closes it, so the rest of it is one field."""
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every line with its file and where the block it was read in begins."""
-    return spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        "value",
-    )
+@dataclass(frozen=True)
+class Group:
+    """Files of a load that are read together: how many, and which, where they are not all of it. ``header`` is
+    their first line, if it was asked for."""
 
+    header: str | None
+    spanning: bool
+    files: int
+    paths: tuple[str, ...] | None
 
-def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether every line is a whole record, so that Spark may split files at line ends.
 
-    True only if no line has a quote outside a complete quoted field, a carriage return but at its
-    end, or nothing but blanks; whatever is in doubt counts as no. One parallel pass over the text.
+@dataclass(frozen=True)
+class Facts:
+    """What one pass over the lines of a load found: its groups of files, the number of ``files`` that have a line,
+    the ``lines`` that are not blank, headers included, and the number of files with an ``unclosed`` quote."""
+
+    groups: tuple[Group, ...]
+    files: int
+    lines: int
+    unclosed: int
+
+    @property
+    def spanning(self) -> bool:
+        return any(group.spanning for group in self.groups)
+
+
+def inspect(spark: SparkSession, path: str | list[str], by_name: bool = False) -> Facts:
+    """The facts of a load, from one parallel pass over its text; with ``by_name`` also the headers.
+
+    A line is a record if it has no quote outside a complete quoted field, no carriage return but at
+    its end, and is not blank without being empty; whatever is in doubt counts as part of a record that spans lines. The
+    driver sees a row per header, and the names of the files, which its listing has anyway, if not all are read alike.
     """
-    line = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)"))
-    line = line.otherwise(F.col("value"))
-    # The patterns are only tried on lines with a quote, or with a blank at their start.
-    doubtful = (
-        (line.contains('"') & F.regexp_replace(line, QUOTED_FIELD, "$1").contains('"'))
-        | line.contains("\r")
-        | ((line < "!") & line.rlike(r"^[\x00-\x20]+$"))
-    )
-    return _lines(spark, path).filter(doubtful).limit(1).count() == 0
-
-
-def ends_inside(line: str, inside: bool) -> bool:
-    """Whether a line ends inside a quoted field, if it begins inside one or not."""
-    at = 0
-    while True:
-        if not inside:
-            if not line.startswith('"', at):
-                at = line.find(",", at) + 1
-                if not at:
-                    return False
-                continue
-            at += 1
-        quote = line.find('"', at)
-        while quote >= 0 and line.startswith('"', quote + 1):
-            quote = line.find('"', quote + 2)
-        if quote < 0:
-            return True
-        inside = False
-        at = line.find(",", quote + 1) + 1
-        if not at:
-            return False
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], str]]:
-    for batch in batches:
-        places = zip(batch.column("file").to_pylist(), batch.column("block").to_pylist())
-        yield from zip(places, batch.column("value").to_pylist())
-
-
-def _block_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block whether it ends inside quotes, begun outside and begun inside; whether, begun
-    inside, some line ends outside; and the first record of a file."""
-
-    def row(place, outside, inside, closed, first):
-        file, block = place
-        header = "\n".join(first).removesuffix("\r") if block == 0 else None
-        columns = ([file], [block], [outside], [inside], [closed], [header])
-        kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["file", "block", "outside", "inside", "closed", "header"],
-        )
-
-    now, outside, inside, closed, first, whole = None, False, True, False, [], False
-    for place, line in _rows(batches):
-        if place != now:
-            if now is not None:
-                yield row(now, outside, inside, closed, first)
-            now, outside, inside, closed, first, whole = place, False, True, False, [], False
-        if '"' in line:
-            same = outside == inside
-            outside = ends_inside(line, outside)
-            inside = outside if same else ends_inside(line, inside)
-        closed = closed or not inside
-        if not whole and (first or line.strip("\r")):
-            first.append(line)
-            whole = not outside
-    if now is not None:
-        yield row(now, outside, inside, closed, first)
-
-
-@dataclass
-class Cuts:
-    """What the blocks need to know of each other: which begin inside a record, and in which block
-    that record begins; and per file its header's number, if it is not 0."""
-
-    begun_in: dict[tuple[str, int], int] = field(default_factory=dict)
-    header_of: dict[str, int] = field(default_factory=dict)
-
-
-def find_cuts(spark: SparkSession, path: str | list[str]) -> tuple[Cuts, list[str]]:
-    """The cuts of all blocks, and the different headers. What comes to the driver is a row for each
-    block that begins inside a record and for each file whose header is not the most frequent one."""
-    schema = "file string, block bigint, outside boolean, inside boolean, closed boolean, header string"
-    maps = written(_lines(spark, path).mapInArrow(_block_maps, schema), "block-maps")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("file").orderBy("block")
-
-    def last(value: Column) -> Column:
-        return F.last(value, ignorenulls=True).over(before)
-
-    # A block either ends in the same state whatever it began with, keeps the state, or turns it.
-    fixed, turns = F.col("outside") == F.col("inside"), F.col("outside") & ~F.col("inside")
-    turned = F.sum(turns.cast("int")).over(upto)
-    states = maps.withColumn("turned", turned)
-    since = F.coalesce(last(F.col("turned")), F.lit(0)) - F.coalesce(
-        last(F.when(fixed, F.col("turned"))), F.lit(0)
+    text = spark.read.option("lineSep", "\n").text(path)
+    line = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        line.alias("line"),
     )
-    known = F.coalesce(last(F.when(fixed, F.col("outside"))), F.lit(False))
-    states = states.withColumn("begins_inside", known != (since % 2 == 1))
-    ends = F.when(F.col("begins_inside"), F.col("inside")).otherwise(F.col("outside"))
-    opens = ends & (~F.col("begins_inside") | F.col("closed"))
-    states = states.withColumn("opens", opens)
-    states = states.withColumn("begun_in", last(F.when(F.col("opens"), F.col("block"))))
-    begun = states.filter("begins_inside").select("file", "block", "begun_in").collect()
-    files = maps.filter("block = 0")
-    headers = [
-        row.header for row in files.groupBy("header").count().orderBy(F.desc("count"), "header").collect()
-    ]
-    others = files.filter(F.col("header") != headers[0]).collect() if len(headers) > 1 else []
-    number = {header: n for n, header in enumerate(headers)}
-    return (
-        Cuts(
-            {(row.file, row.block): row.begun_in for row in begun},
-            {row.file: number[row.header] for row in others},
-        ),
-        headers,
+    # The patterns are only tried on lines with a quote, or with a blank at their start.
+    quote = F.col("line").contains('"')
+    left = F.when(quote, F.regexp_replace("line", QUOTED_FIELD, "$1")).otherwise("")
+    blank = (F.col("line") < "!") & F.col("line").rlike(r"^[\x00-\x20]*$")
+    lines = lines.withColumns({"left": left, "blank": blank})
+    odd = quote & F.col("left").contains('"')
+    spans = odd | F.col("line").contains("\r") | (F.col("blank") & (F.col("line") != ""))
+    opened = F.count_if(odd & F.col("left").rlike(OPENED)) > F.count_if(odd & F.col("left").rlike(CLOSED))
+    found = [F.count_if(~F.col("blank")).alias("lines"), opened.alias("unclosed")]
+    if by_name:
+        # A set of blocks is bounded, and with it the aggregate holds text without sorting the lines.
+        first = F.when(~F.col("blank") & (F.col("block") == 0), F.col("place"))
+        spanning = F.size(F.collect_set(F.when(spans, F.col("block")))) > 0
+        found += [spanning.alias("spanning"), F.min_by("line", first).alias("header")]
+    else:
+        found += [(F.count_if(spans) > 0).alias("spanning"), F.lit(None).cast("string").alias("header")]
+    files = lines.groupBy("file").agg(*found).filter("lines > 0")
+    counts = files.groupBy("header", "spanning").agg(
+        F.count("*").alias("files"), F.sum("lines").alias("lines"), F.count_if("unclosed").alias("unclosed")
     )
+    counts = counts.orderBy(F.desc("files"), "header", "spanning").collect()
+    if len(counts) > 1:
+        paths: dict[tuple, list[str]] = {}
+        for row in files.select("header", "spanning", "file").orderBy("file").toLocalIterator():
+            paths.setdefault((row["header"], row["spanning"]), []).append(row["file"])
+        groups = [Group(*key, len(paths[key]), tuple(paths[key])) for key in ((x["header"], x["spanning"]) for x in counts)]
+    else:
+        groups = [Group(x["header"], x["spanning"], x["files"], None) for x in counts]
+    return Facts(tuple(groups), *(sum(x[c] for x in counts) for c in ("files", "lines", "unclosed")))
 
 
-def records(spark: SparkSession, path: str | list[str], cuts: Cuts) -> DataFrame:
-    """``header`` (its number), ``file_name`` and ``record`` for every record but the headers."""
-    sent = spark.sparkContext.broadcast(cuts)
-    schema = "header int, file string, begun_in bigint, block bigint, record string"
-
-    def cut(pieces: bool):
-        """Whole records, or the pieces of those that go on in other blocks."""
-
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, found = sent.value, []
-            now, open_lines, inside, begun, header_left = None, [], False, None, False
-
-            def add(begun_in: int | None) -> None:
-                if (begun_in is not None) == pieces:
-                    text = "\n".join(open_lines)
-                    number = known.header_of.get(now[0], 0)
-                    found.append((number, now[0], begun_in, now[1], text))
-
-            def batch() -> pa.RecordBatch:
-                kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string())
-                columns = zip(*found) if found else ([],) * 5
-                names = ["header", "file", "begun_in", "block", "record"]
-                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-            for place, line in _rows(batches):
-                if place != now:
-                    if open_lines:
-                        add(now[1] if begun is None else begun)
-                    now, open_lines = place, []
-                    begun = known.begun_in.get(place)
-                    inside, header_left = begun is not None, place[1] == 0
-                if '"' in line:
-                    inside = ends_inside(line, inside)
-                if not open_lines and begun is None and not inside and not line.strip("\r"):
-                    continue
-                open_lines.append(line)
-                if not inside:
-                    if header_left:
-                        header_left = False
-                    else:
-                        add(begun)
-                    open_lines, begun = [], None
-                    if len(found) >= 4096:
-                        yield batch()
-                        found = []
-            if open_lines:
-                add(now[1] if begun is None else begun)
-            yield batch()
-
-        return work
-
-    lines = _lines(spark, path)
-    whole = lines.mapInArrow(cut(False), schema)
-    if cuts.begun_in:
-        parts = lines.mapInArrow(cut(True), schema).groupBy("header", "file", "begun_in")
-        text = F.array_sort(F.collect_list(F.struct("block", "record")))
-        joined = parts.agg(F.array_join(F.transform(text, lambda x: x["record"]), "\n").alias("record"))
-        whole = whole.select("header", "file", "record").union(joined.select("header", "file", "record"))
-    return whole.select(
-        "header",
-        F.element_at(F.split("file", "/"), -1).alias("file_name"),
-        F.regexp_replace("record", "\r$", "").alias("record"),
-    )
+def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether every line is a whole record, so that Spark may split files at line ends."""
+    return not inspect(spark, path).spanning
 
 
-def _header_names(header: str) -> list[str]:
-    """The column names of a header record; nameless and repeated ones get their place."""
-    fields = next(csv.reader(StringIO(header, newline="")))
-    seen: set[str] = set()
-    names = []
-    for place, name in enumerate(fields):
-        name = name or f"_c{place}"
-        names.append(f"{name}{place}" if name.lower() in seen else name)
-        seen.add(name.lower())
-    return names
+def _options(spanning: bool, malformed: str | None = None) -> dict[str, str]:
+    found = {"header": "true", "escape": '"', "enforceSchema": "false", "multiLine": str(spanning).lower()}
+    if malformed:
+        # With columns left out, Spark would not see that a record has too many fields.
+        found |= {"columnNameOfCorruptRecord": malformed, "columnPruning": "false"}
+    return found
+
+
+def _read(
+    spark: SparkSession,
+    path: str | list[str],
+    spanning: bool,
+    schema: StructType | None,
+    infer_types: bool,
+    malformed: str | None,
+    header: str | None = None,
+) -> DataFrame:
+    """Files with one header, by Spark's reader; its header check fails on others."""
+    reader = spark.read.options(**_options(spanning, malformed))
+    if schema is None and not infer_types and header and not spanning:
+        schema = _text_schema(header)
+    if malformed:
+        if schema is None:
+            schema = reader.option("inferSchema", infer_types).csv(path).schema
+        schema = StructType([*schema, StructField(malformed, StringType())])
+    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", infer_types).csv(path)
 
 
-def _ddl(names: list[str], kinds: dict[str, str], malformed: str | None) -> str:
-    fields = [f"{quoted(name)} {kinds.get(name.lower(), 'string')}" for name in names]
-    return ", ".join([*fields, f"{quoted(malformed)} string"] if malformed else fields)
+def _text_schema(header: str) -> StructType | None:
+    """Text columns of a header line, if all its names are there and different; else Spark names them."""
+    names = next(csv.reader(StringIO(header, newline="")), [])
+    if not all(names) or len({name.lower() for name in names}) < len(names):
+        return None
+    return StructType([StructField(name, StringType()) for name in names])
 
 
 def _inferred(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -274,37 +173,47 @@ def _inferred(rows: DataFrame, names: list[str]) -> DataFrame:
     return rows.withColumns({name: named(name).cast(kind) for name, kind in found.items() if kind != "string"})
 
 
-def _read_cut(
+def _read_by_name(
     spark: SparkSession,
     path: str | list[str],
+    facts: Facts,
     schema: StructType | None,
     infer_types: bool,
     malformed: str | None,
-    by_name: bool,
     file_name: str | None,
 ) -> DataFrame:
-    cuts, headers = find_cuts(spark, path)
-    if len(headers) > 1 and not by_name:
-        raise OtherHeader(f"headers differ: {headers[0]!r} and {headers[1]!r}")
-    found = records(spark, path, cuts)
-    kinds = {f.name.lower(): f.dataType.simpleString() for f in schema} if schema else {}
-    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
-    if malformed:
-        options["columnNameOfCorruptRecord"] = malformed
+    """Every group of files with a schema in its own order, put together by name."""
+    kinds = {f.name.lower(): f.dataType for f in schema} if schema else {}
+    extra = [x for x in (malformed, file_name) if x]
     parts, columns = [], []
-    for number, header in enumerate(headers):
-        names = _header_names(header)
-        columns += [name for name in names if name.lower() not in {c.lower() for c in columns}]
-        parsed = F.from_csv("record", _ddl(names, kinds, malformed), options).alias("fields")
-        rows = found.filter(F.col("header") == number).select("file_name", parsed)
-        origin = [F.col("file_name").alias(file_name)] if file_name else []
-        parts.append(rows.select("fields.*", *origin))
+    for group in facts.groups or (Group(None, False, 0, None),):
+        paths = path if group.paths is None else list(group.paths)
+        own = _read(spark, paths, group.spanning, None, False, None, group.header).schema
+        columns += [name for name in own.fieldNames() if name.lower() not in {c.lower() for c in columns}]
+        own = StructType([StructField(f.name, kinds.get(f.name.lower(), f.dataType)) for f in own])
+        parts.append(_with_file(_read(spark, paths, group.spanning, own, False, malformed), file_name))
     rows = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
     if schema is not None:
+        missing = [f for f in schema if f.name.lower() not in {c.lower() for c in columns}]
+        rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
         columns = schema.fieldNames()
     elif infer_types:
         rows = _inferred(rows, columns)
-    return rows.select(*map(named, [*columns, *(x for x in (malformed, file_name) if x)]))
+    return rows.select(*map(named, [*columns, *extra]))
+
+
+def _with_file(rows: DataFrame, file_name: str | None) -> DataFrame:
+    return rows.select("*", F.col("_metadata.file_name").alias(file_name)) if file_name else rows
+
+
+def record_lines(spark: SparkSession, path: str | list[str], facts: Facts) -> int:
+    """The lines of a load that are neither blank nor part of a header."""
+    headers = 0
+    for group in facts.groups:
+        paths = path if group.paths is None else list(group.paths)
+        names = _read(spark, paths, True, None, False, None).columns if group.spanning else ()
+        headers += group.files * (1 + sum(name.count("\n") for name in names))
+    return facts.lines - headers
 
 
 def read_csv(
@@ -315,26 +224,34 @@ def read_csv(
     malformed: str | None = None,
     by_name: bool = False,
     file_name: str | None = None,
+    multi_line: bool | None = None,
+    facts: Facts | None = None,
 ) -> DataFrame:
     """CSV with a header line, doubled quotes as escape; an empty field is null.
 
-    Without a schema every column is text; ``infer_types`` costs a pass over the data. Line breaks
-    inside quoted fields are allowed, at the cost of two more passes over the text. ``malformed``
-    names a column for the text of records that do not fit; without it such fields are null or cut
-    off, as Spark has it. ``by_name`` matches files with other headers by name, columns that a file
-    lacks are null; else other headers fail the read. ``file_name`` names a column for the name of
-    the file a record is from.
+    Without a schema every column is text; ``infer_types`` costs a pass over the data. ``multi_line`` says whether
+    quoted fields may have line breaks; files are not split then. Without it, ``facts`` of the load tell, or a pass over the
+    text, and only files with such records are not split. ``malformed`` names a column for the text of records
+    that do not fit; without it such fields are null or cut off, as Spark has it. ``by_name`` matches files with other
+    headers by name, columns that a file lacks are null; else other headers fail the read. ``file_name``
+    names a column for the name of the file a record is from. A file with an unclosed quote is warned of; its last record has all
+    that follows.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    if by_name or not lines_stand_alone(spark, path):
-        return _read_cut(spark, path, schema, infer_types, malformed, by_name, file_name)
-    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
-    if malformed:
-        if schema is None:
-            schema = reader.option("inferSchema", infer_types).csv(path).schema
-        schema = StructType([*schema, StructField(malformed, StringType())])
-        # With columns left out, Spark would not see that a record has too many fields.
-        reader = reader.option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
-    rows = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", infer_types).csv(path)
-    return rows.select("*", F.col("_metadata.file_name").alias(file_name)) if file_name else rows
+    if facts is None and (by_name or multi_line is None):
+        facts = inspect(spark, path, by_name)
+    if facts is not None and facts.unclosed:
+        warnings.warn(f"{facts.unclosed} files with an unclosed quote under {path}", stacklevel=2)
+    if by_name:
+        return _read_by_name(spark, path, facts, schema, infer_types, malformed, file_name)
+    if facts is None or multi_line is not None or len(facts.groups) < 2:
+        spanning = facts.spanning if multi_line is None else multi_line
+        return _with_file(_read(spark, path, spanning, schema, infer_types, malformed), file_name)
+    # Some files have records that span lines: the others are split all the same.
+    if schema is None:
+        schema = _read(spark, path, True, None, infer_types, None).schema
+    parts = [
+        _with_file(_read(spark, list(g.paths), g.spanning, schema, False, malformed), file_name) for g in facts.groups
+    ]
+    return reduce(DataFrame.unionByName, parts)

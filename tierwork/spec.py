@@ -22,7 +22,9 @@ class DatasetSpec:
     the one loaded first stays. ``file_names`` says what the source-file column holds: the name of
     the path read ("path") or of the file each row came from ("each"). ``malformed_column`` is the
     bronze column for the text of records that do not fit their header; such records go to
-    quarantine. ``by_name`` lets the files of a load have their columns in different orders.
+    quarantine. ``by_name`` lets the files of a load have their columns in different orders. ``multi_line``
+    says whether records may span lines; if it does not, a pass over the text finds out, and the
+    run compares its count of lines with what arrives.
     ``on_fail``, ``on_loss`` and ``on_date_loss`` say whether nulls in critical columns,
     a row count that does not add up, and dates in no known format stop a run ("raise") or not
     ("warn").
@@ -44,6 +46,7 @@ class DatasetSpec:
     infer_types: bool = False
     malformed_column: str = "malformed_record"
     by_name: bool = False
+    multi_line: bool | None = None
     file_names: str = "path"
     on_fail: str = "warn"
     on_loss: str = "raise"
