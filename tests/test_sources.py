@@ -254,6 +254,86 @@ def test_partitioned_table(spark, tmp_path, name):
     assert bag(even.groupBy("p").count()) == Counter([(0, 5)])
 
 
+class Stopped(BaseException):
+    """The driver ends here."""
+
+
+def stop_at(monkeypatch, step, number=1):
+    """Let the ``number``-th call of a step of the catalog end the driver."""
+    calls, whole = [], getattr(tables, step)
+
+    def call(*args):
+        calls.append(args)
+        if len(calls) == number:
+            raise Stopped
+        return whole(*args)
+
+    monkeypatch.setattr(tables, step, call)
+
+
+@pytest.mark.parametrize("partition_by", [(), ("p",)])
+@pytest.mark.parametrize("step, number", [("_write", 1), ("_point", 1)])
+def test_a_table_is_there_at_every_step(spark, tmp_path, name, monkeypatch, partition_by, step, number):
+    rows = spark.range(10).withColumn("p", F.col("id") % 2)
+    location = str(tmp_path / "t")
+    tables.overwrite_table(rows, name, location, partition_by=partition_by)
+    tables.set_table_property(spark, name, "k", "v")
+    with monkeypatch.context() as patched, pytest.raises(Stopped):
+        stop_at(patched, step, number)
+        tables.overwrite_table(rows.filter("p = 0"), name, location, partition_by=partition_by)
+    assert bag(spark.table(name)) == bag(rows), "the old rows are read"
+    tables.overwrite_table(rows.filter("p = 0"), name, location, partition_by=partition_by)
+    assert bag(spark.table(name)) == bag(rows.filter("p = 0"))
+    assert spark.sql(f"SHOW TBLPROPERTIES {name} ('k')").first()["value"] == "v"
+
+
+@pytest.mark.parametrize("step, number", [("_write", 1), ("_create", 1), ("_exchange", 1), ("_rename", 1), ("_rename", 2)])
+def test_an_exchange_of_columns_can_fail_at_every_step(spark, tmp_path, name, monkeypatch, step, number):
+    rows = spark.range(10).withColumn("p", F.col("id") % 2)
+    location = str(tmp_path / "t")
+    tables.overwrite_table(rows, name, location, partition_by=["p"])
+    tables.set_table_property(spark, name, "k", "v")
+    other = rows.select(F.col("id").cast("string").alias("id"), "p")
+    with monkeypatch.context() as patched, pytest.raises(Stopped):
+        stop_at(patched, step, number)
+        tables.overwrite_table(other, name, location, partition_by=["p"], allow_schema_change=True)
+    assert bag(spark.table(name)) == bag(rows)
+    after = tables.overwrite_table(other, name, location, partition_by=["p"], allow_schema_change=True)
+    assert dict(after.dtypes)["id"] == "string" and bag(after) == bag(other)
+    assert spark.sql(f"SHOW TBLPROPERTIES {name} ('k')").first()["value"] == "v"
+
+
+def test_a_table_left_between_two_renames_is_restored(spark, tmp_path, name):
+    location = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(3), name, location)
+    tables._rename(spark, name, f"{name}__before")
+    tables.restore_table(spark, name)
+    assert spark.table(name).count() == 3
+    assert tables.overwrite_table(spark.range(4), name, location).count() == 4
+
+
+def test_partitions_of_a_table_the_catalog_keeps(spark, tmp_path, name):
+    """A table made elsewhere, whose partitions the catalog holds by folder."""
+    rows = spark.range(10).withColumn("p", F.col("id") % 2)
+    rows.write.partitionBy("p").option("path", str(tmp_path / "t" / "a")).saveAsTable(name)
+    for kept in ("id < 4", "p = 0"):
+        again = tables.overwrite_table(rows.filter(kept), name, str(tmp_path / "t"), partition_by=["p"])
+        assert bag(again.select("id", "p")) == bag(rows.filter(kept))
+    assert bag(tables.append_rows(rows.filter("id = 1"), name).select("id", "p")) == bag(rows.filter("p = 0 or id = 1"))
+
+
+def test_columns_that_are_added(spark, tmp_path, name, monkeypatch):
+    rows, location = spark.range(4).withColumn("p", F.col("id") % 2), str(tmp_path / "t")
+    tables.overwrite_table(rows, name, location, partition_by=["p"])
+    wider = rows.withColumn("x", F.lit("y"))
+    with monkeypatch.context() as patched, pytest.raises(Stopped):
+        stop_at(patched, "_point")
+        tables.overwrite_table(wider, name, location, partition_by=["p"], allow_schema_change=True)
+    assert bag(spark.table(name).select("id", "p")) == bag(rows)
+    after = tables.overwrite_table(wider, name, location, partition_by=["p"], allow_schema_change=True)
+    assert bag(after.select("id", "p", "x")) == bag(wider.select("id", "p", "x"))
+
+
 def test_append_matches_columns_by_name(spark, tmp_path, name):
     rows = spark.createDataFrame([(1, "a")], "k int, v string")
     tables.overwrite_table(rows, name, str(tmp_path / "t"))
