@@ -219,3 +219,76 @@ def test_data_columns_named_like_helpers(spark):
     assert bag(odd) == bag(feed) and odd.columns[:2] == ["_side", "_net"]
     keyed = changes.change_feed_keyed(rows.withColumnsRenamed(names), ["_SIDE"], 1)
     assert bag(keyed) == bag(changes.change_feed_keyed(rows, ["k"], 1))
+
+
+WIDE = "_version int, _commit_timestamp timestamp_ntz, k int, v string, w string, x double, y array<int>"
+CELL = st.sampled_from([None, "a", "b"])
+WIDE_ROW = st.tuples(
+    st.integers(0, 2),
+    CELL,
+    CELL,
+    st.sampled_from([None, 0.0, -0.0, float("nan"), 1.5]),
+    st.sampled_from([None, [], [None, 1], [1, None], [1]]),
+)
+
+
+def plain_feed(contents):
+    """Net changes by counting rows; -0.0 is 0.0 and all NaN are one."""
+
+    def key(row):
+        return tuple("nan" if x != x else abs(x) if isinstance(x, float) and x == 0 else str(x) for x in row)
+
+    found, before = Counter(), Counter()
+    for version, content in enumerate(contents):
+        now = Counter(map(key, content))
+        for row, n in (now - before).items():
+            found[(version, "insert", row)] += n
+        for row, n in (before - now).items():
+            found[(version, "delete", row)] += n
+        before = now
+    return found
+
+
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_feed_by_digests(spark, most, monkeypatch):
+    """Nulls that change places, NaN, zeros and arrays; with digests that are sent and with too many of them."""
+    monkeypatch.setattr(changes, "MOST_BROADCAST_DIGESTS", most)
+
+    @settings(max_examples=6, deadline=None)
+    @given(contents=st.lists(st.lists(WIDE_ROW, max_size=14), min_size=3, max_size=3))
+    def check(contents):
+        rows = [(n, day(n), *row) for n, content in enumerate(contents) for row in content]
+        feed = changes.change_feed(spark.createDataFrame(rows, WIDE), 0, 2, commits(spark, 3)).collect()
+        found = Counter()
+        for r in feed:
+            row = (r["k"], r["v"], r["w"], r["x"], r["y"])
+            text = tuple("nan" if x != x else abs(x) if isinstance(x, float) and x == 0 else str(x) for x in row)
+            found[(r["_commit_version"], r["_change_type"], text)] += 1
+        assert found == plain_feed(contents)
+
+    check()
+
+
+def test_nulls_have_a_place_in_a_digest(spark):
+    from tierwork.functions.digests import row_digest
+
+    rows = [(None, "a", [None, 1], {"s": None, "t": "a"}), ("a", None, [1, None], {"s": "a", "t": None})]
+    df = spark.createDataFrame(rows, "a string, b string, c array<int>, d struct<s: string, t: string>")
+    for columns in (["a", "b"], ["c"], ["d"]):
+        assert df.select(*row_digest(df, columns)).distinct().count() == 2
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert zeros.select(*row_digest(zeros, ["x"])).distinct().count() == 1
+
+
+def test_unchanged_rows_are_not_shuffled_whole(spark):
+    """Two versions of 20,000 rows of some 200 bytes, of which ten change."""
+    rows = spark.range(20_000).select(
+        F.col("id").alias("k"), *(F.sha2(F.concat(F.lit(f"{i}"), F.col("id")), 256).alias(f"c{i}") for i in range(4))
+    )
+    both = rows.select(F.lit(0).alias("_version"), F.lit(day(0)).alias("_commit_timestamp"), "*").union(
+        rows.select(F.lit(1), F.lit(day(1)), "k", F.when(F.col("k") < 10, "new").otherwise(F.col("c0")), "c1", "c2", "c3")
+    )
+    feed = changes.change_feed(both, 1)
+    assert feed.count() == 20
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

@@ -2,7 +2,9 @@
 
 A feed over versions ``start .. end`` lists what each of those versions changed against the one
 before it; version 0 starts from nothing. Every row takes part twice, as new row of its version
-and as old row of the next one, so all steps of a feed share one read and one shuffle. Which
+and as old row of the next one, so all steps of a feed share one shuffle. What goes through it is a digest of each row; the
+digests that do not cancel out pick the changed rows in a second read, and these alone are compared whole. Where more
+digests change than may be broadcast, all rows are compared whole instead, in one read. Which
 versions there are and when they were committed comes from ``commits`` (one row per version) if
 given, else from the snapshots themselves, which do not show a last version without rows.
 """
@@ -15,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from tierwork.functions.digests import row_digest
 from tierwork.functions.names import NameCollision, free_name, named, spelled
 from tierwork.operators.copies import repeat_rows
 from tierwork.operators.versions import COMMIT_TIME, VERSION, VersionNotAvailable, version_bounds
+from tierwork.sources.work import written_and_counted
 
 # The columns and words of a change feed.
 CHANGE_TYPE = "_change_type"
@@ -27,6 +31,12 @@ DELETE = "delete"
 UPDATE_BEFORE = "update_preimage"
 UPDATE_AFTER = "update_postimage"
 
+# Digests of changed rows are broadcast up to this many, some 64 bytes each in memory.
+MOST_BROADCAST_DIGESTS = 500_000
+
+# Rows of fewer columns are hardly wider than their digests.
+LEAST_DIGESTED_COLUMNS = 4
+
 # Commit times of a feed are broadcast only up to this many versions, one small row each.
 MOST_BROADCAST_VERSIONS = 10_000
 
@@ -53,21 +63,34 @@ def _data_columns(snapshots: DataFrame) -> list[str]:
 
 
 def _net_rows(snapshots: DataFrame, start: int, end: int, net: str) -> DataFrame:
-    """Rows per version that the version before it holds unequally often, with the difference:
-    one read and one hash aggregate that folds on the map side, for all versions at once."""
+    """Rows per version that the version before it holds unequally often, with the difference, by
+    hash aggregates that fold on the map side, for all versions at once."""
     version = F.col(VERSION).cast("bigint")
     both = F.array(
         F.struct(version.alias(COMMIT_VERSION), F.lit(1).alias(net)),
         F.struct((version + 1).alias(COMMIT_VERSION), F.lit(-1).alias(net)),
     )
-    data = list(map(named, _data_columns(snapshots)))
-    sides = (
-        snapshots.filter(F.col(VERSION).between(start - 1, end))
-        .select(*data, F.inline(both))
-        .filter(F.col(COMMIT_VERSION).between(start, end))
-    )
-    counted = sides.groupBy(*data, COMMIT_VERSION).agg(F.sum(net).alias(net))
-    return counted.filter(F.col(net) != 0)
+    names = _data_columns(snapshots)
+    data = list(map(named, names))
+    one, two = free_name("_one", snapshots.columns), free_name("_two", snapshots.columns)
+    digests = dict(zip((one, two), row_digest(snapshots, names)))
+
+    def sides(*columns: Column) -> DataFrame:
+        """Every row as a new row of its version and as an old row of the next one."""
+        rows = snapshots.filter(F.col(VERSION).between(start - 1, end)).select(*columns, F.inline(both))
+        return rows.filter(F.col(COMMIT_VERSION).between(start, end))
+
+    def differing(rows: DataFrame, *keys: Column | str) -> DataFrame:
+        return rows.groupBy(*keys, COMMIT_VERSION).agg(F.sum(net).alias(net)).filter(F.col(net) != 0)
+
+    rows = sides(*data)
+    if len(names) >= LEAST_DIGESTED_COLUMNS:
+        narrow = differing(sides(*(column.alias(name) for name, column in digests.items())), one, two)
+        changed, counts = written_and_counted(narrow.drop(net), "changed-digests", [F.count(F.lit(1)).alias("n")])
+        if counts.first()["n"] <= MOST_BROADCAST_DIGESTS:
+            rows = sides(*data, *(column.alias(name) for name, column in digests.items()))
+            rows = rows.join(F.broadcast(changed), [one, two, COMMIT_VERSION], "left_semi")
+    return differing(rows, *data)
 
 
 def _with_times(changes: DataFrame, commits: DataFrame, start: int, end: int) -> DataFrame:

@@ -52,6 +52,13 @@ class CountByMonth(CountBy):
         return group.isNotNull()
 
 
+def exact_mean(values: Column) -> Column:
+    """The mean of decimals, rounded to two places. A decimal sum does not depend on the order in which
+    partial sums arrive, so a task that runs again cannot change the last digit."""
+    mean = F.try_divide(F.sum(values).cast("double"), F.count(values).cast("double"))
+    return F.round(mean, 2)
+
+
 @dataclass(frozen=True)
 class AverageHours:
     """Mean hours between two dates per value of a column; missing dates and negative durations
@@ -71,10 +78,7 @@ class AverageHours:
         return F.when(hours >= 0, hours).cast("decimal(20,2)")
 
     def measure(self, values: Column) -> Column:
-        # A decimal sum does not depend on the order in which partial sums arrive, so a task that
-        # runs again cannot change the last digit.
-        mean = F.try_divide(F.sum(values).cast("double"), F.count(values).cast("double"))
-        return F.round(mean, 2)
+        return exact_mean(values)
 
     def reported(self, group: Column, measure: Column) -> Column:
         return measure.isNotNull()
@@ -87,8 +91,10 @@ def count_by(df: DataFrame, column: str, alias: str = "count") -> DataFrame:
     return df.groupBy(named(column)).agg(F.count(F.lit(1)).alias(alias))
 
 
-def average_by(df: DataFrame, column: str, value: Column, alias: str) -> DataFrame:
-    return df.groupBy(named(column)).agg(F.round(F.avg(value), 2).alias(alias))
+def average_by(df: DataFrame, column: str, value: Column, alias: str, scale: int = 6) -> DataFrame:
+    """The mean of a value per value of a column, rounded to two places. The value is taken to ``scale``
+    places, in decimals of 38 digits, so the sum does not depend on the order of partial sums."""
+    return df.groupBy(named(column)).agg(exact_mean(value.cast(f"decimal({20 + scale},{scale})")).alias(alias))
 
 
 def largest_first(df: DataFrame, measure: str, *ties: str) -> DataFrame:
