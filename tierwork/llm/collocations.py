@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tierwork.llm.words import Words, mix, text_slices, words_of
 from tierwork.sources.work import remove, work_path, written
 
-SHARDS = 3
+SHARDS = 2
 #: Bytes of the table that says when phrases of a length begin.
 SLOTS = 1 << 24
 #: In that table: no phrase of the slot is frequent so far.
