@@ -254,3 +254,57 @@ def test_bronze_is_compared_with_the_lines_of_the_files(spark, tmp_path):
     for wrong in (one.filter("id = '1'"), one.union(one)):
         with pytest.warns(UserWarning, match="lines of 2"):
             run.check_source(spark, path, facts, wrong, spec.malformed_column, "warn")
+
+
+@pytest.mark.parametrize("stopped_at", ["routed", "quality", "quarantine", "silver", "gold"])
+def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch, stopped_at):
+    """The file is not read again, layers that are complete are not made again, and the result is the same."""
+    source = tmp_path / "incidents.csv"
+    source.write_text("\n".join([HEADER, *LINES]) + "\n")
+    schema = f"resumed_{stopped_at}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{tmp_path}/schema'")
+    spec, location = replace(INCIDENTS, schema=schema), str(tmp_path / "tables")
+
+    def stop(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    places = {"routed": (layers, "routed"), "quality": (run, "timed"), "quarantine": (run, "quarantine"),
+              "silver": (layers, "silver"), "gold": (layers, "gold")}
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(*places[stopped_at], stop)
+        run.run(spark, spec, str(source), location)
+    made, whole = [], run.overwrite_table
+    with monkeypatch.context() as patched:
+        patched.setattr(run, "inspect", stop)
+        patched.setattr(layers, "bronze", stop)
+        patched.setattr(run, "overwrite_table", lambda df, name, at: made.append(name) or whole(df, name, at))
+        found = {r["layer"]: r["row_count"] for r in run.run(spark, spec, str(source), location, resume=True).collect()}
+    order = ["quality", "quarantine", "silver", "gold"]
+    first = 0 if stopped_at == "routed" else order.index(stopped_at)
+    assert [name.split(".")[1].split("_")[0] for name in made] == order[first:]
+    again = {r["layer"]: r["row_count"] for r in run.run(spark, spec, str(source), str(tmp_path / "other")).collect()}
+    assert found == again
+
+
+def test_a_run_over_other_files_or_rules_begins_anew(spark, tmp_path):
+    source = tmp_path / "in.csv"
+    source.write_text("id,note\n1,x\n2,y\n")
+    spec = DatasetSpec(name="anew", critical=("id",), metrics=(CountBy("by_note", "note", "n"),))
+    location = str(tmp_path / "t")
+
+    def rows(spec, resume):
+        found = run.run(spark, spec, str(source), location, resume=resume).collect()
+        return {r["layer"]: r["row_count"] for r in found}
+
+    def loaded():
+        return spark.table("bronze_anew").select(F.max("ingestion_timestamp")).first()[0]
+
+    assert rows(spec, True)["bronze"] == 2
+    first = loaded()
+    assert rows(spec, True)["bronze"] == 2 and loaded() == first
+    source.write_text("id,note\n1,x\n2,y\n3,z\n")
+    assert rows(spec, True)["gold"] == 3 and loaded() > first
+    second = loaded()
+    assert rows(replace(spec, critical=("note",)), True)["bronze"] == 3 and loaded() > second
+    third = loaded()
+    assert rows(replace(spec, critical=("note",)), False)["bronze"] == 3 and loaded() > third

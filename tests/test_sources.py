@@ -403,6 +403,52 @@ def test_compaction_gives_files_of_the_size_asked_for(spark, tmp_path, partition
     assert before["numFiles"] <= 4 and 8 <= after["numFiles"] <= 24
 
 
+def layout(folder):
+    return {str(x.relative_to(folder)): x.stat().st_mtime_ns for x in folder.rglob("*") if x.is_file() and x.suffix == ".parquet"}
+
+
+@pytest.mark.parametrize("partition_by", [(), ("p q",)])
+def test_only_small_files_are_joined(spark, tmp_path, partition_by):
+    path = tmp_path / "in it"
+    rows = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 2).alias("p q"))
+    rows.repartition(2).write.partitionBy(*partition_by).parquet(str(path))
+    large = layout(path)
+    for _ in range(3):
+        rows.limit(600).repartition(2).write.mode("append").partitionBy(*partition_by).parquet(str(path))
+    wanted = bag(spark.read.parquet(str(path)))
+    size = min((path / x).stat().st_size for x in large)
+    replaced, made = files.compact_small(spark, str(path), size, partition_by)
+    after = layout(path)
+    assert replaced > made >= 1 and len(after) == len(large) + made
+    assert large.items() <= after.items(), "large files are neither moved nor written"
+    assert bag(spark.read.parquet(str(path))) == wanted
+    assert not [x for x in path.iterdir() if x.name.startswith("_") and x.name != "_SUCCESS"]
+    assert files.compact_small(spark, str(path), size, partition_by) == (0, 0)
+
+
+@pytest.mark.parametrize("step, number", [("write", 1), ("move", 1), ("move", 2), ("remove", 1), ("remove", 3)])
+def test_an_exchange_of_files_that_stops_is_finished(spark, tmp_path, monkeypatch, step, number):
+    path = str(tmp_path / "t")
+    rows = spark.range(900).withColumn("p", F.col("id") % 3)
+    rows.repartition(4).write.partitionBy("p").parquet(path)
+    calls, whole = [], getattr(work.Folder, step)
+
+    def call(self, *args):
+        calls.append(args)
+        if len(calls) == number:
+            raise Stopped
+        return whole(self, *args)
+
+    with monkeypatch.context() as patched, pytest.raises(Stopped):
+        patched.setattr(work.Folder, step, call)
+        files.compact_small(spark, path, partition_by=["p"])
+    assert set(bag(spark.read.parquet(path))) == set(bag(rows)), "no row is missing meanwhile"
+    files.finish_exchange(spark, path)
+    assert bag(spark.read.parquet(path)) == bag(rows)
+    files.compact_small(spark, path, partition_by=["p"])
+    assert bag(spark.read.parquet(path)) == bag(rows) and len(layout(tmp_path / "t")) == 3
+
+
 @pytest.mark.parametrize("size, partition", [(1, 128 * 2**20), (10**14, 1_810_193_360), (10**18, 2**31)])
 def test_settings_follow_the_table_size(spark, size, partition):
     assert settings.partition_bytes(size) == pytest.approx(partition, rel=1e-6)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import warnings
 from collections.abc import Callable
 from functools import reduce
@@ -14,11 +15,15 @@ from tierwork.operators.quality import enforce_gate, report_of_counts, routed_co
 from tierwork.operators.routing import quarantine, reconcile, row_columns
 from tierwork.functions.names import named
 from tierwork.plans import layers
-from tierwork.sources.delimited import Facts, UnclosedQuote, inspect, record_lines
+from tierwork.plans.progress import Progress
+from tierwork.sources.delimited import Facts, UnclosedQuote, inspect, listing_of, record_lines
 from tierwork.sources.tables import overwrite_table
 from tierwork.sources.work import written_and_counted
 from tierwork.spec import DatasetSpec
 
+#: The step that the intermediate table stands for, noted on the bronze table.
+ROUTED = ".routed"
+
 LAYERS = ("bronze", "quality", "silver", "quarantine", "gold")
 
 
@@ -31,37 +36,64 @@ class RowsLost(RuntimeError):
     quarantine together those of bronze."""
 
 
-def run(spark: SparkSession, spec: DatasetSpec, path: str, location: str) -> DataFrame:
+def run(
+    spark: SparkSession, spec: DatasetSpec, path: str, location: str, resume: bool = False
+) -> DataFrame:
     """Read ``path``, write the five tables under ``location``, return rows per layer.
 
     Each step starts from a written table, so the raw file is read once and the wide shuffle of
     the duplicate search runs once. The report is counted while its result is written, and lost
     dates while silver is; quarantine and silver are narrow reads of that. The next run writes the
     intermediate table over.
-    An exception stops the run and leaves the tables of later layers as they were.
+    An exception stops the run and leaves the tables of later layers as they were. With ``resume`` a run over
+    the same files by the same rules goes on behind the last layer that is complete; its checks are made again.
     """
+    inspected = spec.by_name or spec.multi_line is None
+    facts = inspect(spark, path, spec.by_name) if inspected and not resume else None
+    progress = Progress(spark, spec, facts.listing if facts else listing_of(spark, path), resume)
 
     def write(df: DataFrame, layer: str) -> DataFrame:
         return overwrite_table(df, spec.table(layer), f"{location}/{layer}")
 
-    facts = inspect(spark, path, spec.by_name) if spec.by_name or spec.multi_line is None else None
-    bronze = write(layers.bronze(spark, spec, path, facts=facts), "bronze")
-    if facts:
-        check_source(spark, path, facts, bronze, spec.malformed_column, spec.on_loss)
-    routed = layers.routed(bronze, spec)
+    def layer(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The table of a layer, made unless it is complete."""
+        if progress.done(name):
+            return spark.table(spec.table(name))
+        table = write(make(), name)
+        progress.mark(name)
+        return table
+
+    if progress.done("bronze"):
+        bronze = spark.table(spec.table("bronze"))
+    else:
+        if inspected and facts is None:
+            facts = inspect(spark, path, spec.by_name)
+        bronze = write(layers.bronze(spark, spec, path, facts=facts), "bronze")
+        if facts:
+            check_source(spark, path, facts, bronze, spec.malformed_column, spec.on_loss)
+        progress.mark("bronze")
+    if progress.done("bronze", ROUTED):
+        routed = spark.read.parquet(f"{location}/routed")
+        counts = routed.agg(*routed_counts(routed))
+    else:
+        routed = layers.routed(bronze, spec)
+        routed, counts = written_and_counted(routed, "routed", routed_counts(routed), f"{location}/routed")
+        progress.mark("bronze", ROUTED)
     columns, keyed = row_columns(routed), spec.duplicate_key is not None or spec.across_loads
-    routed, counts = written_and_counted(
-        routed, "routed", routed_counts(routed), f"{location}/routed"
-    )
-    report = report_of_counts(counts, columns, spec.critical, keyed, [spec.malformed_column])
-    report = write(timed(report), "quality")
+    found = report_of_counts(counts, columns, spec.critical, keyed, [spec.malformed_column])
+    report = layer("quality", lambda: timed(found))
     enforce_gate(report, spec.on_fail)
     # Few rejected rows come out of every scan task; rebalanced, they make few files.
-    rejected = write(quarantine(routed).hint("rebalance"), "quarantine")
-    clean, lost = written_silver(routed, spec, lambda rows: write(rows, "silver"))
+    rejected = layer("quarantine", lambda: quarantine(routed).hint("rebalance"))
+    if progress.done("silver"):
+        clean, lost = spark.table(spec.table("silver")), json.loads(progress.noted("silver", "dates lost"))
+    else:
+        clean, lost = written_silver(routed, spec, lambda rows: write(rows, "silver"))
+        progress.note("silver", "dates lost", json.dumps(lost))
+        progress.mark("silver")
     check_dates(lost, spec.on_date_loss)
     check_rows(bronze, clean, rejected, spec.on_loss)
-    write(layers.gold(clean, spec), "gold")
+    layer("gold", lambda: layers.gold(clean, spec))
     return layer_rows(spark, spec)
 
 

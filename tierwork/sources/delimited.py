@@ -20,6 +20,7 @@ import warnings
 from dataclasses import dataclass
 from functools import reduce
 from io import StringIO
+from operator import xor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +55,14 @@ class Group:
 @dataclass(frozen=True)
 class Facts:
     """What one pass over the lines of a load found: its groups of files, the number of ``files`` that have a line,
-    the ``lines`` that are not blank, headers included, and the number of files with an ``unclosed`` quote."""
+    the ``lines`` that are not blank, headers included, the number of files with an ``unclosed`` quote, and a
+    digest of the files' paths, sizes and times (``listing``)."""
 
     groups: tuple[Group, ...]
     files: int
     lines: int
     unclosed: int
+    listing: int
 
     @property
     def spanning(self) -> bool:
@@ -76,7 +79,7 @@ def inspect(spark: SparkSession, path: str | list[str], by_name: bool = False) -
     text = spark.read.option("lineSep", "\n").text(path)
     line = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
     lines = text.select(
-        F.col("_metadata.file_path").alias("file"),
+        *file_identity(),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
         line.alias("line"),
@@ -97,11 +100,17 @@ def inspect(spark: SparkSession, path: str | list[str], by_name: bool = False) -
         found += [spanning.alias("spanning"), F.min_by("line", first).alias("header")]
     else:
         found += [(F.count_if(spans) > 0).alias("spanning"), F.lit(None).cast("string").alias("header")]
-    files = lines.groupBy("file").agg(*found).filter("lines > 0")
+    files = lines.groupBy("file", "size", "modified").agg(*found)
     counts = files.groupBy("header", "spanning").agg(
-        F.count("*").alias("files"), F.sum("lines").alias("lines"), F.count_if("unclosed").alias("unclosed")
+        F.count_if(F.col("lines") > 0).alias("files"),
+        F.sum("lines").alias("lines"),
+        F.count_if("unclosed").alias("unclosed"),
+        listing_digest().alias("listing"),
     )
     counts = counts.orderBy(F.desc("files"), "header", "spanning").collect()
+    listing = reduce(xor, (x["listing"] for x in counts), 0)
+    counts = [x for x in counts if x["files"]]
+    files = files.filter("lines > 0")
     if len(counts) > 1:
         paths: dict[tuple, list[str]] = {}
         for row in files.select("header", "spanning", "file").orderBy("file").toLocalIterator():
@@ -109,7 +118,24 @@ def inspect(spark: SparkSession, path: str | list[str], by_name: bool = False) -
         groups = [Group(*key, len(paths[key]), tuple(paths[key])) for key in ((x["header"], x["spanning"]) for x in counts)]
     else:
         groups = [Group(x["header"], x["spanning"], x["files"], None) for x in counts]
-    return Facts(tuple(groups), *(sum(x[c] for x in counts) for c in ("files", "lines", "unclosed")))
+    return Facts(tuple(groups), *(sum(x[c] for x in counts) for c in ("files", "lines", "unclosed")), listing)
+
+
+def file_identity() -> list[Column]:
+    """Path, size and time of the file that a row is from."""
+    fields = {"file": "file_path", "size": "file_size", "modified": "file_modification_time"}
+    return [F.col(f"_metadata.{field}").alias(name) for name, field in fields.items()]
+
+
+def listing_digest() -> Column:
+    """A number for a set of files, as an aggregate over their identities."""
+    return F.coalesce(F.bit_xor(F.xxhash64("file", "size", "modified")), F.lit(0).cast("bigint"))
+
+
+def listing_of(spark: SparkSession, path: str | list[str]) -> int:
+    """The ``listing`` of the facts of a load, from the folder listing; no file is opened. Empty files do not count."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(*file_identity()).filter("size > 0").agg(listing_digest()).first()[0]
 
 
 def lines_stand_alone(spark: SparkSession, path: str | list[str]) -> bool:

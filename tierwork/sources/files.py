@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwork.functions.names import quoted
+from tierwork.sources.work import Folder
+
 DEFAULT_FILE_BYTES = 512 * 1024 * 1024
+#: Files of at least this share of the size asked for are left alone.
+LARGE_ENOUGH = 0.75
+#: The note of an exchange of files; readers pass over names that begin so.
+EXCHANGE_NOTE = "_exchange.json"
+JOINED = "_joined-"
 
 
 def table_detail(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -55,10 +65,85 @@ def compact(
     size = table_detail(spark, path).first()["sizeInBytes"]
     each = max(1, rows.count() * file_bytes // max(size, 1))
     if partition_by:
-        laid_out = rows.hint("rebalance", *partition_by)
+        laid_out = rows.hint("rebalance", *map(quoted, partition_by))
     else:
         laid_out = rows.coalesce(max(1, -(-size // file_bytes)))
     with _advised(spark, file_bytes):
         writer = laid_out.write.option("maxRecordsPerFile", each).partitionBy(*partition_by)
         writer.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)
+
+
+def small_files(
+    spark: SparkSession, path: str, file_bytes: int = DEFAULT_FILE_BYTES, pattern: str = "*.parquet"
+) -> DataFrame:
+    """The data files worth joining: ``path``, ``length`` and ``folder`` of those below ``LARGE_ENOUGH`` of
+    ``file_bytes`` that are not alone in their folder. Folders are listed and no file is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"))
+    )
+    small = files.filter(F.col("length") < int(file_bytes * LARGE_ENOUGH))
+    several = small.groupBy("folder").agg(F.count("*").alias("n")).filter("n > 1").select("folder")
+    return small.join(several, "folder").select("path", "length", "folder")
+
+
+def compact_small(
+    spark: SparkSession,
+    path: str,
+    file_bytes: int = DEFAULT_FILE_BYTES,
+    partition_by: Sequence[str] = (),
+) -> tuple[int, int]:
+    """Join the small parquet files under ``path`` into files of about ``file_bytes`` and leave the others as
+    they are; the number of files replaced, and of those in their place.
+
+    Only the small files are read. Their rows are written beside the table, in a folder that readers pass over; then
+    the files are exchanged: a note of what comes and goes is written, the new files are moved in, the old ones deleted, the
+    note deleted. The exchange is file operations alone, one per file; a reader that lists the folder meanwhile may see rows
+    twice, never miss any. One call at a time may work on a table. If the exchange does not end, ``finish_exchange``, which every call begins with, ends it. The driver
+    holds the names of the small files.
+    """
+    finish_exchange(spark, path)
+    folder = Folder(spark, path)
+    for name in folder.names():
+        if name.startswith(JOINED):
+            folder.remove(name)
+    chosen = small_files(spark, path, file_bytes).collect()
+    if not chosen:
+        return 0, 0
+    size = sum(row["length"] for row in chosen)
+    rows = spark.read.option("basePath", path).parquet(*(row["path"] for row in chosen))
+    each = max(1, rows.count() * file_bytes // max(size, 1))
+    tasks = max(1, -(-size // file_bytes))
+    laid_out = rows.hint("rebalance", *map(quoted, partition_by)) if partition_by else rows.coalesce(tasks)
+    beside = f"{JOINED}{uuid4().hex}"
+    with _advised(spark, file_bytes):
+        writer = laid_out.write.option("maxRecordsPerFile", each).partitionBy(*partition_by)
+        writer.parquet(f"{folder.path}/{beside}")
+    new = [name for name in folder.files(beside) if name.endswith(".parquet")]
+    if not new:
+        folder.remove(beside)
+        return 0, 0
+    note = {"beside": beside, "new": new, "old": [folder.relative(row["path"]) for row in chosen]}
+    folder.write(EXCHANGE_NOTE, json.dumps(note))
+    finish_exchange(spark, path)
+    return len(chosen), len(new)
+
+
+def finish_exchange(spark: SparkSession, path: str) -> None:
+    """Move in and delete what the note of an exchange says, if there is one; steps that are done
+    already are passed over."""
+    folder = Folder(spark, path)
+    text = folder.read(EXCHANGE_NOTE)
+    if text is None:
+        return
+    note = json.loads(text)
+    for name in note["new"]:
+        folder.move(f"{note['beside']}/{name}", name)
+    for name in note["old"]:
+        folder.remove(name)
+    folder.remove(note["beside"])
+    folder.remove(EXCHANGE_NOTE)

@@ -177,6 +177,14 @@ def append_rows(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    """A property of a table, None if there is no such table or property."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:name)", args={"name": name}).collect()
+    return next((row["value"] for row in rows if row["key"] == key), None)
+
+
 def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(
         f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({_text(key)} = {_text(value)})",

@@ -48,10 +48,67 @@ def shuffles_end_here(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+class Folder:
+    """Files under a path of any store that Spark reads, by names relative to it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._context = spark.sparkContext
+        root = self._at()
+        self._store = root.getFileSystem(self._context._jsc.hadoopConfiguration())
+        self._root = self._store.makeQualified(root).toUri().getPath()
+
+    def _at(self, name: str = ""):
+        return self._context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def relative(self, path: str) -> str:
+        """The name of a file that Spark calls ``path``."""
+        return self._context._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()[len(self._root) + 1 :]
+
+    def files(self, name: str) -> list[str]:
+        """All files below a folder, by names relative to that."""
+        found, below = [], self._store.listFiles(self._at(name), True)
+        start = len(f"{self._root}/{name}") + 1
+        while below.hasNext():
+            found.append(below.next().getPath().toUri().getPath()[start:])
+        return sorted(found)
+
+    def names(self) -> list[str]:
+        """What is in the folder itself."""
+        return sorted(x.getPath().getName() for x in self._store.listStatus(self._at()))
+
+    def read(self, name: str) -> str | None:
+        """The text of a file, None if there is none."""
+        if not self._store.exists(self._at(name)):
+            return None
+        opened = self._store.open(self._at(name))
+        try:
+            return bytes(opened.readAllBytes()).decode()
+        finally:
+            opened.close()
+
+    def write(self, name: str, text: str) -> None:
+        """Write a file under another name and rename it, so that it is there whole or not at all."""
+        opened = self._store.create(self._at(f"{name}.part"), True)
+        opened.write(bytearray(text.encode()))
+        opened.close()
+        self._store.rename(self._at(f"{name}.part"), self._at(name))
+
+    def move(self, name: str, other: str) -> None:
+        """Rename a file, unless it is gone already."""
+        if self._store.exists(self._at(name)):
+            self._store.mkdirs(self._at(other).getParent())
+            if not self._store.rename(self._at(name), self._at(other)):
+                raise OSError(f"{name} could not be moved to {other} under {self.path}")
+
+    def remove(self, name: str = "") -> None:
+        """Delete a file or a folder with all in it, if it is there."""
+        self._store.delete(self._at(name), True)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table of the work folder that no one reads any more."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    Folder(spark, path).remove()
 
 
 def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
