@@ -1,5 +1,8 @@
 """Toxicity and quality: held-out accuracy on made-up texts, sentences, odd rows."""
 
+import math
+import re
+
 import numpy as np
 import pytest
 from llm_cases import ODD_ROWS, documents, rng
@@ -106,3 +109,103 @@ def test_scores_equal_those_of_averaged_vectors(made):
         mean = model.vectors[rows].sum(axis=0) / (len(rows) + quality.EMPTY_ROWS)
         odds = model.softmax @ mean + model.bias
         assert abs(np.exp(odds)[1] / np.exp(odds).sum() - fast[at]) < 1e-6
+
+
+MASK = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+    return x ^ (x >> 31)
+
+
+VALUES = [plain_mix(b + 1) for b in range(256)]
+
+
+def plain_hash(word):
+    total, power = len(word), 1
+    for byte in word:
+        total, power = (total + VALUES[byte] * power) & MASK, (power * 0x9E3779B97F4A7C15) & MASK
+    return plain_mix(total)
+
+
+def test_toxicity_of_all_documents_by_a_plain_noisy_or(spark, sf_dir):
+    """Every score of the table from sentences, dictionaries and products."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.learned(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    weights, shift = model.weights.astype(float).tolist(), 64 - toxicity.WEIGHT_BITS
+
+    def of_word(word):
+        found = weights[plain_hash(word) >> shift]
+        for size in toxicity.BEGINNINGS:
+            if len(word) >= size:
+                found += weights[plain_mix((int.from_bytes(word[:size], "big") + ((size - 1) << 56)) & MASK) >> shift]
+        return found
+
+    memory = {}
+    found = {r["doc_id"]: r["score"] for r in toxicity.scored(table, model).collect()}
+    rows = table.select("doc_id", "text").collect()
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        lower = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+        clean = 1.0
+        for sentence in re.split(rb"[.!?\n]", lower):
+            own = set(re.findall(rb"[0-9a-z\x80-\xff]+", sentence))
+            if own:
+                odds = sum(memory.setdefault(w, of_word(w)) for w in own) + model.bias
+                clean *= 1 / (1 + math.exp(min(60, odds)))
+        assert abs(found[doc_id] - (1 - clean)) < 1e-6
+
+
+def test_quality_of_all_documents_by_a_plain_softmax(spark, sf_dir):
+    """Every score of the table from words, runs of characters and averages of their vectors."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = quality.learned(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    shift = 64 - quality.ROW_BITS
+    factor = 0x9E3779B97F4A7C15
+    per_row = model.odds_per_row().tolist()
+
+    def of_run(run):
+        code = 0
+        for character in run:
+            code = (code * factor + int.from_bytes(character.encode(), "big")) & MASK
+        return per_row[(plain_mix(code) >> shift) + (1 << quality.ROW_BITS)]
+
+    words, runs = {}, {}
+    found = {r["doc_id"]: r["score"] for r in quality.scored(table, model).collect()}
+    rows = table.select("doc_id", "text").collect()
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        parts = [words.setdefault(w, per_row[plain_hash(w.encode()) >> shift]) for w in own]
+        parts += [per_row[quality.REPEATED] for one, other in zip(own, own[1:]) if one == other]
+        laid = (text or "") + " "
+        for at in range(len(laid) - quality.GRAM + 1):
+            run = laid[at : at + quality.GRAM]
+            if run not in runs:
+                runs[run] = of_run(run)
+            parts.append(runs[run])
+        odds = sum(parts) / (len(parts) + quality.EMPTY_ROWS) + float(model.bias[1] - model.bias[0])
+        assert abs(found[doc_id] - 1 / (1 + math.exp(-odds))) < 1e-6
+
+
+def test_runs_are_of_characters():
+    import pyarrow as pa
+
+    words = quality.words_of(pa.array(["aé漢🙂", None, "x"]), quality.NOT_BLANK, lower=False)
+    codes, owner = quality.characters(words)
+    assert codes.tolist() == [int.from_bytes(c.encode(), "big") for c in "aé漢🙂  x "]
+    assert owner.tolist() == [0] * 5 + [1, 2, 2]
+
+
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(samples, "SAMPLE_BYTES", 10_000)
+    text = "some words of a text " * 100
+    docs = documents(spark, [(i, text[: 1_000 + i % 7]) for i in range(200)])
+    labels = labels_of(spark, [(i, i % 2, i % 2) for i in range(200)])
+    for most in (5, 200):
+        found, kinds = samples.labelled(docs, labels, "toxic", F.lit(True), most)
+        assert len(found) == len(kinds) == min(most, 9) and sum(map(len, found.to_pylist())) <= 10_000
+    monkeypatch.setattr(samples, "SAMPLE_BYTES", 10)
+    assert len(samples.labelled(docs, labels, "toxic", F.lit(True), 5)[0]) == 0

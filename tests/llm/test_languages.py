@@ -73,3 +73,50 @@ def test_accepted_documents_keep_their_columns(spark, sf_dir):
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}
     assert 90 not in ids and 5 not in ids and 1 not in ids and 91 in ids
+
+
+def test_short_texts_are_judged_by_what_few_n_grams_can_tell(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    filters = languages.learned(table)
+    known = [(i, " ".join(r["text"].split()[:n]), "en", "s") for i, (r, n) in enumerate(
+        (r, n) for r in table.filter("length(text) > 400").orderBy("doc_id").limit(60).collect() for n in (2, 4, 8)
+    )]
+    junk = ["zqxj vvkpw qqqzx xxkjq", "\u03ba\u03b1\u03bb\u03b7\u03bc\u03ad\u03c1\u03b1 \u03ba\u03cc\u03c3\u03bc\u03b5", "qwertz asdfgh yxcvbn", "xq " * 400]
+    docs = documents(spark, [*known, *((1_000 + i, text, "en", "s") for i, text in enumerate(junk)), (2_000, "Der", "de", "s")])
+    kept = {r["doc_id"] for r in languages.accepted(docs, filters, 0.2).collect()}
+    assert not {1_000 + i for i in range(len(junk))} & kept and 2_000 in kept
+    assert len(kept) - 1 >= 0.98 * len(known)
+
+
+def test_predictions_equal_sets_of_n_grams(spark, sf_dir):
+    """The whole query against plain sets per language; filters answer yes by chance, hence the tolerance."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    filters = languages.learned(table)
+    rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
+
+    def grams(text):
+        letters = bytes(languages._LETTER[b] for b in (text or "").encode() + b" ")
+        joined = bytes(c for at, c in enumerate(letters) if c != 0x20 or (at and letters[at - 1] != 0x20))
+        return [joined[i : i + languages.GRAM] for i in range(len(joined) - languages.GRAM + 1)]
+
+    def has(gram, number):
+        value = np.array([int.from_bytes(gram, "big")], np.uint64)
+        return all(int(filters.slots[slot[0], number // 64]) >> (number % 64) & 1 for slot in languages._slots(value))
+
+    memory = {}
+    wanted = {}
+    rates = filters.false_rates()
+    for doc_id, text in rows:
+        own = grams(text)
+        if not any(map(str.isalpha, text or "")):
+            wanted[doc_id] = ("und", 0.0)
+            continue
+        shares = []
+        for number in range(len(filters.languages)):
+            count = sum(memory.setdefault((g, number), has(g, number)) for g in own)
+            shares.append(min(1, max(0, (count / max(1, len(own)) - rates[number]) / (1 - rates[number]))))
+        best = max(range(len(shares)), key=lambda i: (shares[i], -i))
+        wanted[doc_id] = (filters.languages[best], shares[best])
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in languages.predicted(table, filters).collect()}
+    assert found.keys() == wanted.keys()
+    assert all(found[i][0] == wanted[i][0] and abs(found[i][1] - wanted[i][1]) < 1e-9 for i in found)

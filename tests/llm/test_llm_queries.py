@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from compare import differences, duck
 from llm_cases import contamination, documents, near_components, words
-from test_repeats import plain, plain_lines
+from test_repeats import plain_lines
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -47,12 +47,16 @@ def plain_pipeline(rows, filters, items):
     kept = []
     for doc_id, text in rows:
         column = pa.array([text], pa.string())
-        few = len(languages.text_grams(column)[0]) < languages.FEW_GRAMS
-        if text and any(map(str.isalpha, text)) and (few or filters.shares(column).max() >= corpus_pipeline.LEAST_LANGUAGE_SHARE):
+        count = len(languages.text_grams(column)[0])
+        share = filters.shares(column).max()
+        wide = languages.BENEFIT**2
+        highest = (share * count + wide / 2 + (wide * (share * (1 - share) * count + wide / 4)) ** 0.5) / (count + wide)
+        known = not count or (share > 0 and highest >= corpus_pipeline.LEAST_LANGUAGE_SHARE)
+        if text and any(map(str.isalpha, text)) and known:
             kept.append((doc_id, text))
     parts = near_components(kept)
     kept = [row for row, part in zip(kept, parts) if row[0] == part or not row[1].split()]
-    left = [(doc_id, text) for doc_id, text, _, _, spans in plain(kept) if words(text) or not spans]
+    left = [(doc_id, text) for doc_id, text, removed in plain_lines(kept) if words(text) or not removed]
     clean = [row for row in left if not contamination(row[1], items)[1]]
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     found = []
@@ -84,10 +88,3 @@ def test_stages_bear_an_empty_table(spark, sf_dir):
     docs = documents(spark, [], extra=())
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
-
-
-def test_pipeline_agrees_with_a_plain_version_of_whole_lines(spark, monkeypatch):
-    """The same comparison, where repeated lines of any length go as well."""
-    found = lambda rows: [(i, text, 0, n, [0] * n) for i, text, n in plain_lines(rows)]
-    monkeypatch.setitem(globals(), "plain", found)
-    test_pipeline_agrees_with_a_plain_version(spark)

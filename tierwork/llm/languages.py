@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierwork.functions.names import free_name
 from tierwork.llm import samples
 from tierwork.llm.words import by_slices, laid_out, mix, text_slices
 
@@ -43,7 +44,8 @@ LEAST_SEEN = 2
 SAMPLE_TEXTS = 4_000
 SAMPLE_BYTES = 16 << 20
 UNDETERMINED = "und"
-FEW_GRAMS = 40
+#: Standard errors that a share of few n-grams may be below what is asked for.
+BENEFIT = 3.0
 
 _BLANK = 0x20
 _LETTER = np.full(256, _BLANK, np.uint8)
@@ -179,10 +181,9 @@ def predicted(documents: DataFrame, filters: Filters) -> DataFrame:
             if known.languages:
                 shares = known.shares(batch.column("text"))
                 best = shares.argmax(axis=1)
-                for row, text in enumerate(batch.column("text").to_pylist()):
-                    if text and any(map(str.isalpha, text)):
-                        names[row] = known.languages[best[row]]
-                        scores[row] = shares[row, best[row]]
+                for row in np.flatnonzero(batch.column("letters").to_numpy(zero_copy_only=False)):
+                    names[row] = known.languages[best[row]]
+                    scores[row] = shares[row, best[row]]
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(names), pa.array(scores)],
                 ["doc_id", "lang_pred", "score"],
@@ -191,29 +192,45 @@ def predicted(documents: DataFrame, filters: Filters) -> DataFrame:
         return by_slices(batches, "text", one)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
+    return documents.select("doc_id", "text", has_letters("text").alias("letters")).mapInArrow(
         work, f"doc_id {kind}, lang_pred string, score double"
     )
 
 
+def has_letters(column: str) -> Column:
+    return F.coalesce(F.col(column).rlike("\\p{L}"), F.lit(False))
+
+
+def highest_share(shares: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The upper end of Wilson's interval of ``BENEFIT`` standard errors about shares of ``total`` n-grams: near the share
+    for many, and far above for few."""
+    wide = BENEFIT**2
+    middle = shares * total + wide / 2
+    half = BENEFIT * np.sqrt(shares * (1 - shares) * total + wide / 4)
+    return (middle + half) / (total + wide)
+
+
 def accepted(documents: DataFrame, filters: Filters, least: float) -> DataFrame:
-    """The documents whose language is determined with a score of ``least`` or more, with all their
-    columns. Texts with letters but fewer than ``FEW_GRAMS`` n-grams have too little to be rejected for."""
+    """The documents whose language is determined with a share of ``least`` or more, with all their
+    columns. A share of few n-grams is judged by the ``highest_share`` that it may stand for. Texts without a letter, or none
+    of whose n-grams is known, are rejected; those with letters, but too short for an n-gram, are kept."""
     sent = documents.sparkSession.sparkContext.broadcast(filters)
     columns = documents.columns
+    letters = free_name("letters", columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = batch.drop_columns([letters])
             if not known.languages:
-                return batch.slice(0, 0)
+                return rows.slice(0, 0)
+            total = np.bincount(text_grams(batch.column("text"))[1], minlength=len(batch))
             best = known.shares(batch.column("text")).max(axis=1)
-            few = np.bincount(text_grams(batch.column("text"))[1], minlength=len(batch)) < FEW_GRAMS
-            texts = batch.column("text").to_pylist()
-            letters = np.array([bool(x) and any(map(str.isalpha, x)) for x in texts], bool)
-            return batch.filter(pa.array(letters & (few | (best >= least))))
+            keep = (total == 0) | ((best > 0) & (highest_share(best, total) >= least))
+            return rows.filter(pa.array(keep & batch.column(letters).to_numpy(zero_copy_only=False)))
 
         return by_slices(batches, "text", one)
 
-    return documents.select(columns).mapInArrow(work, documents.schema)
+    rows = documents.select(*columns, has_letters("text").alias(letters))
+    return rows.mapInArrow(work, documents.schema)

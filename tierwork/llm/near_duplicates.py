@@ -5,12 +5,14 @@ shingle's hash names a bucket, and the smallest hash of a bucket is kept as the
 zeros and the ten bits behind the first one. An empty bucket borrows from another one, in an order of its
 own, so small sets have whole sketches too. Four registers make a band of 64 bits; documents that
 share a band are candidates. Two sets of similarity 0.75 miss each other in all 32 bands once in
-200,000 times.
+200,000 times. Sets of few shingles fill few registers, and the chance would be higher; sets of up to ``SMALL``
+shingles are therefore found exactly: of a set that can be linked to one, as many of its shingles of the smallest hashes are
+buckets of their own that two linked sets must share one, and the sets themselves are compared there.
 
 From candidates to links:
 
 1. Equal sets are one class, and only classes go on.
-2. In a bucket of a band all members are compared by sketch: the share of equal registers, less the
+2. In a bucket of a band all members are compared by sketch (in one of a shingle by their sets): the share of equal registers, less the
    share that collides by chance. Members with an estimate of ``LEAST_ESTIMATE`` or more, directly or
    through others, are one cluster with all that buckets hang on to it. A bucket of more than
    ``BUCKET_ROWS`` members is one cluster without an estimate, in no task as a whole.
@@ -27,9 +29,9 @@ No task holds a group that grows with the corpus, and nothing is collected.
 
 Defined cases: documents without words, or null, have no shingles, link with nothing and are kept; fewer
 than five words are one shingle; rows that repeat a doc_id are linked each by its own text, and the
-component's id is the smallest doc_id in it, whose rows are all kept; null ids do not count for it, and a
-component of null ids only has null and is kept, of which ``without_near_duplicates`` leaves one row; empty
-tables give no rows.
+component's id is the smallest doc_id in it, whose rows are all ``kept``; null ids do not count for it, and a
+component of null ids only has null and is ``kept``; ``without_near_duplicates`` leaves one row of every component, also
+where several rows have its id or none has one; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -65,6 +67,10 @@ BAND = 4
 BANDS = REGISTERS // BAND
 #: Lowest estimate that is verified: six standard errors below the similarity of a link.
 LEAST_ESTIMATE = 0.52
+#: Sets of at most so many shingles are found by shared shingles, not by bands.
+SMALL = 31
+#: The largest set that one of these can be linked with.
+SMALL_REACH = SMALL * 100 // NEAR.percent
 BUCKET_ROWS = 1024
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 1 << 20
@@ -175,7 +181,8 @@ def links_within(sets: list[np.ndarray], percent: int = NEAR.percent) -> np.ndar
 
 def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = shingle_sets(batch.column("text"))
-    sketches = [registers_of(x).view(np.int64) if len(x) else np.zeros(0, np.int64) for x in sets]
+    sketches = [registers_of(x).view(np.int64) if len(x) > SMALL else np.zeros(0, np.int64) for x in sets]
+    small = [x if len(x) <= SMALL_REACH else x[:0] for x in sets]
     one, two = set_digests(sets)
     return pa.RecordBatch.from_arrays(
         [
@@ -187,8 +194,9 @@ def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
             pa.array(signed(one)),
             pa.array(signed(two)),
             lists(pa.array(np.concatenate(sketches)), np.array([len(x) for x in sketches])),
+            lists(pa.array(signed(np.concatenate(small))), np.array([len(x) for x in small])),
         ],
-        ["row", "doc_id", "copy", "copy2", "n_shingles", "digest", "digest2", "registers"],
+        ["row", "doc_id", "copy", "copy2", "n_shingles", "digest", "digest2", "registers", "small"],
     )
 
 
@@ -202,7 +210,7 @@ def set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def sketches(documents: DataFrame) -> DataFrame:
     """Per row a number of its own, ``doc_id``, a digest of its text, the size and a digest of its
-    set, and its registers, four to a long."""
+    set, its registers, four to a long, and the set itself, if it is small."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return by_slices(batches, "text", _sketch)
@@ -212,7 +220,8 @@ def sketches(documents: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "doc_id", *text_digest(), "text"
     ).mapInArrow(
         work,
-        f"row bigint, doc_id {kind}, copy bigint, copy2 bigint, n_shingles bigint, digest bigint, digest2 bigint, registers array<bigint>",
+        f"row bigint, doc_id {kind}, copy bigint, copy2 bigint, n_shingles bigint, digest bigint, digest2 bigint, "
+        "registers array<bigint>, small array<bigint>",
     )
 
 
@@ -271,6 +280,9 @@ def _alike_in_bucket(group: pa.RecordBatch) -> list[tuple[int, int]]:
     if group.column("blocks")[0].as_py() > 1:
         centre = group.column("centre")[0].as_py()
         return [(centre, node) for node in nodes.tolist() if node != centre]
+    if group.column("exact")[0].as_py():
+        part = linked_parts(links_within(_arrays(group.column("small"), np.uint64)))
+        return [(int(nodes[p]), int(node)) for p, node in zip(part, nodes) if nodes[p] != node]
     registers = np.stack(_arrays(group.column("registers"), np.uint16))
     sizes = group.column("n_shingles").to_numpy(zero_copy_only=False)
     part = linked_parts(estimates(registers, sizes) >= LEAST_ESTIMATE)
@@ -281,9 +293,14 @@ def candidate_links(classes: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` between classes that share a bucket and are alike by their sketches, directly
     or through others of the bucket."""
     bands = classes.select("cls", F.posexplode("registers").alias("band", "value"))
-    bands = bands.select("cls", F.xxhash64("band", "value").alias("bucket"))
+    bands = bands.select("cls", F.lit(False).alias("exact"), F.xxhash64("band", "value").alias("bucket"))
+    # Two sets with 100 * common >= percent * all share one of so many of their smallest shingles.
+    few = F.col("n_shingles") - F.ceil(F.col("n_shingles") * NEAR.percent / 100) + 1
+    first = classes.filter(F.col("n_shingles") <= SMALL_REACH)
+    first = first.select("cls", F.explode(F.slice("small", 1, few.cast("int"))).alias("shingle"))
+    bands = bands.union(first.select("cls", F.lit(True), F.xxhash64(F.lit(-1), "shingle")))
     shared = (
-        bands.groupBy("bucket")
+        bands.groupBy("bucket", "exact")
         .agg(
             F.count("*").alias("n"),
             F.min("cls").alias("centre"),
@@ -293,13 +310,13 @@ def candidate_links(classes: DataFrame) -> DataFrame:
         .filter("n > 1")
     )
     # Buckets with the same members need one comparison only.
-    shared = shared.groupBy("n", "centre", "mark", "mark2").agg(F.min("bucket").alias("bucket"))
+    shared = shared.groupBy("n", "centre", "mark", "mark2", "exact").agg(F.min("bucket").alias("bucket"))
     blocks = F.ceil(F.col("n") / BUCKET_ROWS)
-    shared = shared.select("bucket", "centre", blocks.alias("blocks"))
-    members = bands.join(shared, "bucket")
-    members = members.join(classes.select("cls", "n_shingles", "registers"), "cls")
+    shared = shared.select("bucket", "exact", "centre", blocks.alias("blocks"))
+    members = bands.join(shared, ["bucket", "exact"])
+    members = members.join(classes.select("cls", "n_shingles", "registers", "small"), "cls")
     members = members.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    return by_groups(members, ["bucket", "block"], _alike_in_bucket)
+    return by_groups(members, ["bucket", "exact", "block"], _alike_in_bucket)
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame, shingle: int = NEAR.shingle) -> DataFrame:
@@ -479,20 +496,29 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: all rows that have the component's id, or
-    one row, where all its ids are null. A row goes for its own text, never for another row of its id."""
-    rows = written(sketches(documents), "sketches")
-    found = linked_rows(documents, rows)
+    """One row of each component, with all its columns: that of the smallest id, null ids last; of several such rows
+    that of the smallest digest of its text, and one of those that repeat id and text. A row goes for its own text,
+    never for another row of its id; rows without words all stay."""
+    found = linked_rows(documents, written(sketches(documents), "sketches"))
+    found = written(found.filter("component is not null"), "linked-rows")
     gone = found.filter(~F.col("kept")).select("doc_id", "copy", "copy2")
-    if rows.filter("doc_id is null and n_shingles > 0").isEmpty():
+    kept = found.filter("kept")
+    several = kept.groupBy("component").agg(
+        F.min(F.struct("doc_id", "copy", "copy2")).alias("one"), F.count("*").alias("n")
+    )
+    several = written(several.filter("n > 1").select("component", "one.*"), "several-kept")
+    if several.isEmpty():
         return without_rows(documents, gone)
-    nameless = found.filter("component is not null and component_id is null")
-    nameless = nameless.select("doc_id", "copy", "copy2", "component")
-    ones = nameless.groupBy("component").agg(F.min(F.struct("copy", "copy2")).alias("one"), F.count("*").alias("n"))
-    ones = written(ones.filter("n > 1").select("component", "one.*"), "nameless")
-    # All rows of these components go, and one row of one text of each comes back.
-    gone = gone.union(nameless.join(ones, "component", "left_semi").select("doc_id", "copy", "copy2"))
+    # All rows of these components go, and one row of each comes back.
+    again = kept.join(several.select("component"), "component", "left_semi")
+    gone = gone.union(again.select("doc_id", "copy", "copy2"))
     whole = F.struct(*(documents[c] for c in documents.columns)).alias("document")
-    back = documents.filter(documents["doc_id"].isNull()).select(whole, *text_digest())
-    back = back.join(ones, ["copy", "copy2"], "left_semi").dropDuplicates(["copy", "copy2"])
+    rows = documents.select(whole, documents["doc_id"].alias("own_id"), *text_digest())
+    one = several.toDF("component", "one_id", "one_copy", "one_copy2")
+    same = (
+        rows["own_id"].eqNullSafe(one["one_id"])
+        & (rows["copy"] == one["one_copy"])
+        & (rows["copy2"] == one["one_copy2"])
+    )
+    back = rows.join(one, same, "left_semi").dropDuplicates(["own_id", "copy", "copy2"])
     return without_rows(documents, gone).union(back.select("document.*"))

@@ -1,6 +1,6 @@
 """Quality by supervised subword embeddings.
 
-Every word, and every run of ``GRAM`` bytes of the text, is hashed to a row of a table of vectors; one
+Every word, and every run of ``GRAM`` characters of the text, is hashed to a row of a table of vectors; one
 more row stands for a word that repeats the word before it. The vectors of a document are averaged,
 with ``EMPTY_ROWS`` vectors of zero so that a few words decide little, and a softmax over the average
 gives its label. Vectors and softmax are
@@ -11,7 +11,7 @@ For scoring, the average can be taken of what each row adds to the log odds inst
 vector: the same number, one lookup per word or run.
 
 The fit uses a bounded sample, at most ``SAMPLE_DOCUMENTS`` labelled documents of at most
-``samples.LONGEST_BYTES`` bytes; every document is scored, whole. The table has a fixed size.
+``samples.LONGEST_BYTES`` bytes each and ``samples.SAMPLE_BYTES`` together; every document is scored, whole. The table has a fixed size.
 
 At scale: one pass over the labels, one over the documents for the sample, one that scores; only the
 labels drawn, of bounded number, are sent to the documents, and no text is shuffled.
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.llm import samples
-from tierwork.llm.words import NOT_BLANK, by_slices, mix, words_of
+from tierwork.llm.words import NOT_BLANK, Words, by_slices, mix, words_of
 
 SAMPLE_DOCUMENTS = 3_000
 ROW_BITS = 17
@@ -42,6 +42,7 @@ REPEATED = 2 << ROW_BITS
 EMPTY_ROWS = 50
 EPOCHS = 6
 RATE = 0.2
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def features_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,19 +56,30 @@ def features_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     again[1:] = (words.hashes[1:] == words.hashes[:-1]) & (texts[0][1:] == texts[0][:-1])
     rows.append(np.full(np.count_nonzero(again), REPEATED))
     texts.append(texts[0][again])
-    data = words.data.astype(np.uint64)
-    count = len(data) - GRAM + 1
+    codes, owner = characters(words)
+    count = len(codes) - GRAM + 1
     if count > 0:
         grams = np.zeros(count, np.uint64)
         for place in range(GRAM):
-            grams = (grams << np.uint64(8)) | data[place : place + count]
-        owner = np.repeat(np.arange(len(column)), np.diff(words.origin))
+            grams = grams * _FACTOR + codes[place : place + count]
         inside = owner[:count] == owner[GRAM - 1 :]
         rows.append((mix(grams[inside]) >> shift).astype(np.int64) + (1 << ROW_BITS))
         texts.append(owner[:count][inside])
     return np.concatenate(rows), np.concatenate(texts)
 
 
+def characters(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of every character as one number, and the text it is in; each text ends in a blank."""
+    data = words.data
+    begins = np.flatnonzero((data & 0xC0) != 0x80)
+    ends = np.append(begins[1:], len(data))
+    codes = data[begins].astype(np.uint64)
+    for place in range(1, 4):
+        longer = np.flatnonzero(ends - begins > place)
+        codes[longer] = (codes[longer] << np.uint64(8)) | data[begins[longer] + place]
+    return codes, np.searchsorted(words.origin, begins, "right") - 1
+
+
 @dataclass
 class Model:
     """``vectors`` per row, and the softmax over labels 0 and 1."""

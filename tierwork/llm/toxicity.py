@@ -6,7 +6,7 @@ combined by noisy-or, ``1 - prod(1 - p)``. The weights are fitted to the documen
 noisy-or, by numpy gradient descent, and then name the sentences that make a document toxic.
 
 The fit uses a bounded sample, at most ``SAMPLE_DOCUMENTS`` labelled documents of at most
-``samples.LONGEST_BYTES`` bytes; every document is scored, whole. The model is a fixed number of weights.
+``samples.LONGEST_BYTES`` bytes each and ``samples.SAMPLE_BYTES`` together; every document is scored, whole. The model is a fixed number of weights.
 
 At scale: one pass over the labels, one over the documents for the sample, one that scores; only the
 labels drawn, of bounded number, are sent to the documents, and no text is shuffled.

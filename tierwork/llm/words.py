@@ -16,6 +16,8 @@ import pyarrow as pa
 
 #: Bytes of text that are turned into arrays at once; a longer single text is taken whole.
 SLICE_BYTES = 1 << 20
+#: Bytes whose places and values are held at once while words are hashed, or those of one word.
+HASHED_BYTES = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -108,17 +110,25 @@ def words_of(column: pa.Array, word_bytes: np.ndarray, lower: bool = True) -> Wo
     if len(inside) and inside[0]:
         edges = np.append(0, edges)
     starts, ends = edges[::2], edges[1::2]
+    del inside
     hashes = np.zeros(len(starts), np.uint64)
-    if len(starts):
-        lengths = ends - starts
-        begin = np.append(0, np.cumsum(lengths)[:-1])
-        place = np.arange(lengths.sum()) - np.repeat(begin, lengths)
-        powers = _factor_powers(int(lengths.max()))
-        values = _BYTE_VALUES[data[inside]] * powers[place]
-        hashes = mix(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
+    done = 0
+    while done < len(starts):
+        upto = max(done + 1, int(np.searchsorted(ends, starts[done] + HASHED_BYTES, "right")))
+        hashes[done:upto] = _word_hashes(data, starts[done:upto], ends[done:upto])
+        done = upto
     return Words(data, origin, starts, ends, hashes, np.searchsorted(starts, origin))
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    lengths = ends - starts
+    begin = np.append(0, np.cumsum(lengths)[:-1])
+    place = np.arange(lengths.sum()) - np.repeat(begin, lengths)
+    powers = _factor_powers(int(lengths.max()))
+    values = _BYTE_VALUES[data[np.repeat(starts, lengths) + place]] * powers[place]
+    return mix(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """A number for every ``n`` consecutive words; empty where there are fewer."""
     count = len(hashes) - n + 1
