@@ -469,6 +469,26 @@ def test_work_folder_is_the_one_the_session_names(spark):
     assert kept.count() == 5 and "Range" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_work_tables_are_listed_and_removed(spark, tmp_path):
+    before = work.work_paths()
+    one, other = (work.work_path(spark, name) for name in ("one", "other"))
+    work.written(spark.range(3), "one", one)
+    assert work.work_paths() == [*before, one, other]
+    work.remove(spark, one)
+    assert work.work_paths() == [*before, other] and not work.Folder(spark, one.rsplit("/", 1)[0]).read(one)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(one)
+    work.remove(spark, other)
+    assert work.work_paths() == before
+
+
+def test_shuffles_of_written_tables_leave_no_files(spark):
+    setting = work.SHUFFLE_CLEANUP
+    before = spark.conf.get(setting)
+    rows = work.written(spark.range(100).groupBy(F.col("id") % 7).count(), "x")
+    assert rows.count() == 7 and spark.conf.get(setting) == before
+
+
 @pytest.mark.parametrize("n", [0, 1, 1000])
 def test_counts_taken_while_writing(spark, n):
     rows = spark.range(n).withColumn("g", F.col("id") % 3).groupBy("g").agg(F.count("id").alias("c"))

@@ -127,7 +127,9 @@ def test_a_version_without_rows(spark, tmp_path):
     assert versions.as_of(rows, version=1, commits=commits(spark, 3)).isEmpty()
     with pytest.raises(versions.VersionNotAvailable):
         versions.as_of(rows, version=3, commits=commits(spark, 3))
-    log = versions.commit_history(commits(spark, 3).withColumn("operation", F.lit("WRITE")))
+    log = commits(spark, 3).select(
+        F.col("_version").alias("version"), F.col("_commit_timestamp").alias("timestamp"), F.lit("WRITE").alias("operation")
+    )
     shown = versions.newest_first(versions.version_history(rows, log)).collect()
     assert [tuple(r) for r in shown] == [
         (2, day(2), 1, "WRITE"), (1, day(1), 0, "WRITE"), (0, day(0), 1, "WRITE")

@@ -42,13 +42,6 @@ def version_history(snapshots: DataFrame, operations: DataFrame | None = None) -
     )
 
 
-def commit_history(commits: DataFrame) -> DataFrame:
-    """``version, timestamp, operation`` from the notes of a version store, no snapshot read."""
-    return commits.select(
-        F.col(VERSION).alias("version"), F.col(COMMIT_TIME).alias("timestamp"), "operation"
-    )
-
-
 def newest_first(history: DataFrame) -> DataFrame:
     return history.orderBy(F.col("version").desc())
 

@@ -16,6 +16,16 @@ def _local_base() -> str:
     return tempfile.mkdtemp(prefix="tierwork-")
 
 
+#: The paths given out by this process, in order.
+_given: list[str] = []
+
+
+def work_paths() -> list[str]:
+    """The work tables of this process that were not removed: once its results are written, they can go, by
+    ``remove`` or by the storage's own tools."""
+    return list(_given)
+
+
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A new path under ``spark.checkpoint.dir``.
 
@@ -27,7 +37,9 @@ def work_path(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_base()
-    return f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
+    _given.append(path)
+    return path
 
 
 #: Lets Spark delete an execution's shuffle files when it ends, not when the driver collects garbage.
@@ -109,6 +121,14 @@ class Folder:
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table of the work folder that no one reads any more."""
     Folder(spark, path).remove()
+    if path in _given:
+        _given.remove(path)
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete all work tables of this process. Results that were not written elsewhere can't be read after it."""
+    for path in work_paths():
+        remove(spark, path)
 
 
 def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
