@@ -122,7 +122,7 @@ def _item_prints(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def item_fingerprints(items: DataFrame) -> DataFrame:
-    """Distinct fingerprints of the items, with their surroundings and the items that have them:
+    """Distinct fingerprints of the items, numbered, with their surroundings and the items that have them:
     ``length`` is 0 for a winnowed fingerprint, else the number of words of a short item."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +131,8 @@ def item_fingerprints(items: DataFrame) -> DataFrame:
     kind = items.schema["item_id"].dataType.simpleString()
     schema = f"item_id {kind}, print bigint, length int, around binary, slot bigint"
     prints = items.select("item_id", "text").mapInArrow(work, schema)
-    return prints.groupBy("print", "length", "around", "slot").agg(
-        F.collect_set("item_id").alias("items")
-    )
+    found = prints.groupBy("print", "length", "around", "slot").agg(F.collect_set("item_id").alias("items"))
+    return found.withColumn("number", F.monotonically_increasing_id())
 
 
 def document_fingerprints(documents: DataFrame, table: np.ndarray, shorts: list[int]) -> DataFrame:
@@ -219,14 +218,15 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("row").take(chosen),
                 pa.array(first[keep]),
                 pa.array(last[keep]),
-                batch.column("items").take(chosen),
+                batch.column("number").take(chosen),
             ],
-            ["row", "first", "last", "items"],
+            ["row", "first", "last", "number"],
         )
 
 
 def hits(prints: DataFrame, items: DataFrame) -> DataFrame:
-    """Document words ``first`` up to ``last`` that equal words of ``items``, by ``row``."""
+    """Document words ``first`` up to ``last`` that equal words of items, by ``row``, with the ``number`` of the
+    items' fingerprint; the lists of items, which may be long, are joined later."""
     found = prints.select(
         "row",
         F.explode(F.arrays_zip("at", "print", "length", "around")).alias("x"),
@@ -234,14 +234,13 @@ def hits(prints: DataFrame, items: DataFrame) -> DataFrame:
     copies = items.select(
         "print",
         "length",
-        "items",
+        "number",
         F.col("around").alias("item_around"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"),
     )
-    kind = items.schema["items"].dataType.simpleString()
     joined = found.join(copies, ["print", "length", "salt"])
-    return joined.select("row", "at", "length", "around", "item_around", "items").mapInArrow(
-        _extended, f"row bigint, first bigint, last bigint, items {kind}"
+    return joined.select("row", "at", "length", "around", "item_around", "number").mapInArrow(
+        _extended, "row bigint, first bigint, last bigint, number bigint"
     )
 
 
@@ -266,10 +265,11 @@ def contaminated_rows(documents: DataFrame, items: DataFrame) -> DataFrame:
     table[slots] = True
     shorts = [x.length for x in wanted.filter("length > 0").select("length").distinct().collect()]
     prints = written(document_fingerprints(documents, table, sorted(shorts)), "fingerprints")
-    per_row = hits(prints.filter(F.size("at") > 0), wanted).groupBy("row").agg(
-        F.collect_set(F.struct("first", "last")).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-    )
+    found = written(hits(prints.filter(F.size("at") > 0), wanted), "hits")
+    spans = found.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    named = found.select("row", "number").distinct().join(wanted.select("number", "items"), "number")
+    named = named.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    per_row = spans.join(named, "row")
     base = prints.select("row", "doc_id", "copy", "copy2", "n_words")
     return base.join(per_row, "row", "left").select(
         "doc_id",
