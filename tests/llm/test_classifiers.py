@@ -193,10 +193,20 @@ def test_quality_of_all_documents_by_a_plain_softmax(spark, sf_dir):
 def test_runs_are_of_characters():
     import pyarrow as pa
 
-    words = quality.words_of(pa.array(["aé漢🙂", None, "x"]), quality.NOT_BLANK, lower=False)
-    codes, owner = quality.characters(words)
-    assert codes.tolist() == [int.from_bytes(c.encode(), "big") for c in "aé漢🙂  x "]
-    assert owner.tolist() == [0] * 5 + [1, 2, 2]
+    laid = "aé漢🙂  x "
+    codes, begins = quality.characters(np.frombuffer(laid.encode(), np.uint8))
+    assert codes.tolist() == [int.from_bytes(c.encode(), "big") for c in laid]
+    assert begins.tolist() == [len(laid[:at].encode()) for at in range(len(laid))]
+    cut = np.frombuffer("aé漢🙂".encode()[1:-1], np.uint8)
+    assert quality.characters(cut)[0].tolist() == [int.from_bytes(c.encode(), "big") for c in "é漢"]
+    # Pieces of any size give the same runs.
+    texts = pa.array(["aé漢🙂 some text", None, "x", "", "wörter und 漢字 " * 9])
+    whole = quality.features_of(texts)
+    for size in (1, 2, 3, 7, 50):
+        with pytest.MonkeyPatch.context() as patched:
+            patched.setattr(quality, "RUN_BYTES", size)
+            pieces = quality.features_of(texts)
+        assert sorted(zip(*(x.tolist() for x in pieces))) == sorted(zip(*(x.tolist() for x in whole)))
 
 
 def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):

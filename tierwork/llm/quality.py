@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierwork.llm import samples
-from tierwork.llm.words import NOT_BLANK, Words, by_slices, mix, words_of
+from tierwork.llm.words import NOT_BLANK, by_slices, mix, words_of
 
 SAMPLE_DOCUMENTS = 3_000
 ROW_BITS = 17
@@ -42,6 +42,8 @@ REPEATED = 2 << ROW_BITS
 EMPTY_ROWS = 50
 EPOCHS = 6
 RATE = 0.2
+#: Bytes whose runs of characters are made at once.
+RUN_BYTES = 2 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,34 +52,41 @@ def features_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     half of the table, runs the upper one, and a repeated word the last row."""
     words = words_of(column, NOT_BLANK, lower=False)
     shift = np.uint64(64 - ROW_BITS)
-    rows = [(words.hashes >> shift).astype(np.int64)]
-    texts = [words.text_of()]
+    rows = [(words.hashes >> shift).astype(np.int32)]
+    texts = [words.text_of().astype(np.int32)]
     again = np.zeros(len(words.hashes), bool)
     again[1:] = (words.hashes[1:] == words.hashes[:-1]) & (texts[0][1:] == texts[0][:-1])
-    rows.append(np.full(np.count_nonzero(again), REPEATED))
+    rows.append(np.full(np.count_nonzero(again), REPEATED, np.int32))
     texts.append(texts[0][again])
-    codes, owner = characters(words)
-    count = len(codes) - GRAM + 1
-    if count > 0:
-        grams = np.zeros(count, np.uint64)
-        for place in range(GRAM):
-            grams = grams * _FACTOR + codes[place : place + count]
-        inside = owner[:count] == owner[GRAM - 1 :]
-        rows.append((mix(grams[inside]) >> shift).astype(np.int64) + (1 << ROW_BITS))
-        texts.append(owner[:count][inside])
+    data, origin = words.data, words.origin
+    del words, again
+    # Some bytes at a time, each piece with the runs that begin in it: a run has at most 4 bytes per character.
+    for start in range(0, len(data), RUN_BYTES):
+        codes, begins = characters(data[start : start + RUN_BYTES + 4 * GRAM])
+        count = min(len(codes) - GRAM + 1, int(np.searchsorted(begins, RUN_BYTES)))
+        if count > 0:
+            grams = np.zeros(count, np.uint64)
+            for place in range(GRAM):
+                grams = grams * _FACTOR + codes[place : place + count]
+            owner = (np.searchsorted(origin, begins + start, "right") - 1).astype(np.int32)
+            inside = owner[:count] == owner[GRAM - 1 : GRAM - 1 + count]
+            rows.append((mix(grams[inside]) >> shift).astype(np.int32) + np.int32(1 << ROW_BITS))
+            texts.append(owner[:count][inside])
     return np.concatenate(rows), np.concatenate(texts)
 
 
-def characters(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of every character as one number, and the text it is in; each text ends in a blank."""
-    data = words.data
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of every character that is whole as one number, and where it begins."""
     begins = np.flatnonzero((data & 0xC0) != 0x80)
-    ends = np.append(begins[1:], len(data))
+    first = data[begins]
+    size = 1 + (first >= 0xC0).astype(np.int8) + (first >= 0xE0) + (first >= 0xF0)
+    whole = begins + size <= len(data)
+    begins, size = begins[whole], size[whole]
     codes = data[begins].astype(np.uint64)
     for place in range(1, 4):
-        longer = np.flatnonzero(ends - begins > place)
+        longer = np.flatnonzero(size > place)
         codes[longer] = (codes[longer] << np.uint64(8)) | data[begins[longer] + place]
-    return codes, np.searchsorted(words.origin, begins, "right") - 1
+    return codes, begins
 
 
 @dataclass
