@@ -418,7 +418,7 @@ def verified_links(
     split = sets.filter("blocks > 1")
     if split.isEmpty():
         return links
-    return links.union(_links_between_blocks(split, links, rule.percent))
+    return links.union(written(_links_between_blocks(split, links, rule.percent), "links-between"))
 
 
 def _links_between_blocks(split: DataFrame, links: DataFrame, percent: int) -> DataFrame:
@@ -467,7 +467,7 @@ def linked_rows(
     classes = written(classes, "classes")
     members = rows.withColumnRenamed("row", "cls").drop("digest", "digest2").join(classes, "cls")
     members = written(members, "class-sketches")
-    clusters = components(candidates(members))
+    clusters = components(written(candidates(members), "candidate-links"))
     links = verified_links(documents, members, clusters, rule)
     parts = components(links)
     numbered = classes.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
