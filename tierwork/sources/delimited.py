@@ -107,7 +107,7 @@ def inspect(spark: SparkSession, path: str | list[str], by_name: bool = False) -
         F.count_if("unclosed").alias("unclosed"),
         listing_digest().alias("listing"),
     )
-    counts = counts.orderBy(F.desc("files"), "header", "spanning").collect()
+    counts = sorted(counts.collect(), key=lambda x: (-x["files"], x["header"] or "", x["spanning"]))
     listing = reduce(xor, (x["listing"] for x in counts), 0)
     counts = [x for x in counts if x["files"]]
     files = files.filter("lines > 0")
