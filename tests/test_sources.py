@@ -403,6 +403,36 @@ def test_compaction_gives_files_of_the_size_asked_for(spark, tmp_path, partition
     assert before["numFiles"] <= 4 and 8 <= after["numFiles"] <= 24
 
 
+def read_by_task(folder):
+    """Bytes that each task wrote, by the task's number in the names of its files."""
+    tasks = {}
+    for x in folder.rglob("part-*.parquet"):
+        task = x.name.split("-")[1]
+        tasks[task] = tasks.get(task, 0) + x.stat().st_size
+    return tasks
+
+
+@pytest.mark.parametrize("in_place", [False, True])
+def test_a_task_of_a_compaction_reads_no_more_than_a_file(spark, tmp_path, in_place):
+    path, target, wanted = tmp_path / "uneven", tmp_path / "even", 2 * 2**20
+    rows = spark.range(240_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    rows.repartition(16).write.parquet(str(path))
+    rows.limit(600).repartition(120).write.mode("append").parquet(str(path))
+    large = [x.stat().st_size for x in path.glob("*.parquet") if x.stat().st_size > 2**18]
+    assert len(large) == 16 and sum(large) > 4 * wanted, "large files beside many small ones"
+    before = bag(spark.read.parquet(str(path)))
+    settings_before = {x: spark.conf.get(x, None) for x in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")}
+    if in_place:
+        assert files.compact_small(spark, str(path), wanted)[0] == 136
+        target = path
+    else:
+        files.compact(spark, str(path), str(target), wanted)
+    assert max(read_by_task(target).values()) < 1.25 * wanted
+    assert len(layout(target)) <= 2 * sum(large) // wanted
+    assert bag(spark.read.parquet(str(target))) == before
+    assert {x: spark.conf.get(x, None) for x in settings_before} == settings_before
+
+
 def layout(folder):
     return {str(x.relative_to(folder)): x.stat().st_mtime_ns for x in folder.rglob("*") if x.is_file() and x.suffix == ".parquet"}
 

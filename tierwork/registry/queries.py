@@ -174,10 +174,21 @@ def append_rows(spark, sf_dir):
     return tables.append_rows(orders.orderBy("o_orderkey").limit(5), name)
 
 
+#: A table to be compacted has at least so many files, and one per so many bytes of the tables it is made from.
+SMALL_FILES, BYTES_A_FILE = 16, 32 * 1024**2
+
+
+def _small_files(spark: SparkSession, *paths: str) -> int:
+    """How many files to cut a table into that is made from the ones given: their rows do not grow with it."""
+    size = sum(files.table_detail(spark, path).first()["sizeInBytes"] for path in paths)
+    return max(SMALL_FILES, -(-size // BYTES_A_FILE))
+
+
 @query
 def compact_roundtrip(spark, sf_dir):
     path = work_path(spark, "incidents")
-    shapes.incidents(spark, sf_dir).repartition(16).write.parquet(path)
+    number = _small_files(spark, *(f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem")))
+    shapes.incidents(spark, sf_dir).repartition(number).write.parquet(path)
     return files.compact(spark, path, work_path(spark, "incidents-compacted"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,9 @@ LARGE_ENOUGH = 0.75
 #: The note of an exchange of files; readers pass over names that begin so.
 EXCHANGE_NOTE = "_exchange.json"
 JOINED = "_joined-"
+#: A file is joined from up to so many scan tasks, each of ``SMALLEST_PIECE`` bytes at least.
+PIECES = 4
+SMALLEST_PIECE = 1024 * 1024
 
 
 def table_detail(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -35,15 +38,52 @@ def table_detail(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 
 
 @contextmanager
-def _advised(spark: SparkSession, size: int) -> Iterator[None]:
-    """While it lasts, rebalanced partitions are about ``size`` bytes."""
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(size))
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """The session with other settings while it lasts."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _advised(spark: SparkSession, size: int) -> AbstractContextManager[None]:
+    """While it lasts, rebalanced partitions are about ``size`` bytes."""
+    return _settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size)})
+
+
+def _write_joined(rows: DataFrame, target: str, size: int, file_bytes: int, most_rows: int) -> None:
+    """Write scanned rows of ``size`` bytes to ``target`` without a shuffle, each task about ``file_bytes`` of them.
+
+    Scan tasks are packed by bytes alone, however many files those are, and as many of them are joined
+    as together hold ``file_bytes``; so what a task reads does not grow with the table, nor with the
+    number of small files beside large ones.
+    """
+    piece = max(file_bytes // PIECES, SMALLEST_PIECE)
+    packed = {
+        "spark.sql.files.maxPartitionBytes": f"{piece}b",
+        "spark.sql.files.openCostInBytes": "0b",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    with _settings(rows.sparkSession, packed):
+        pieces = rows.rdd.getNumPartitions() if size > file_bytes else 1
+        tasks = max(1, -(-pieces // max(1, file_bytes // piece)))
+        rows.coalesce(tasks).write.option("maxRecordsPerFile", most_rows).parquet(target)
+
+
+def _write_rebalanced(
+    rows: DataFrame, target: str, file_bytes: int, most_rows: int, partition_by: Sequence[str]
+) -> None:
+    """Write rows to ``target`` in the folders of their partitions, each task about ``file_bytes``."""
+    with _advised(rows.sparkSession, file_bytes):
+        laid_out = rows.hint("rebalance", *map(quoted, partition_by))
+        laid_out.write.option("maxRecordsPerFile", most_rows).partitionBy(*partition_by).parquet(target)
 
 
 def compact(
@@ -56,21 +96,19 @@ def compact(
     """Write the parquet rows under ``path`` to the new folder ``target`` in files of about
     ``file_bytes``, and return them.
 
-    Smaller files are joined without a shuffle: scan tasks pack them and ``coalesce`` joins tasks. A
-    task begins a new file after as many rows as ``file_bytes`` hold on average, so larger files
-    are cut. A partitioned table is rebalanced on its partition columns first, which brings the rows
-    of a small partition together and splits a large one at ``file_bytes``.
+    Smaller files are joined without a shuffle: scan tasks pack them and ``coalesce`` joins tasks, as many
+    as together read ``file_bytes`` (a row group is read whole by one of them). A task begins a new file
+    after as many rows as ``file_bytes`` hold on average, so larger files are cut. A partitioned table is
+    rebalanced on its partition columns first, which brings the rows of a small partition together and
+    splits a large one at ``file_bytes``.
     """
     rows = spark.read.parquet(path)
     size = table_detail(spark, path).first()["sizeInBytes"]
     each = max(1, rows.count() * file_bytes // max(size, 1))
     if partition_by:
-        laid_out = rows.hint("rebalance", *map(quoted, partition_by))
+        _write_rebalanced(rows, target, file_bytes, each, partition_by)
     else:
-        laid_out = rows.coalesce(max(1, -(-size // file_bytes)))
-    with _advised(spark, file_bytes):
-        writer = laid_out.write.option("maxRecordsPerFile", each).partitionBy(*partition_by)
-        writer.parquet(target)
+        _write_joined(rows, target, size, file_bytes, each)
     return spark.read.schema(rows.schema).parquet(target)
 
 
@@ -117,12 +155,11 @@ def compact_small(
     size = sum(row["length"] for row in chosen)
     rows = spark.read.option("basePath", path).parquet(*(row["path"] for row in chosen))
     each = max(1, rows.count() * file_bytes // max(size, 1))
-    tasks = max(1, -(-size // file_bytes))
-    laid_out = rows.hint("rebalance", *map(quoted, partition_by)) if partition_by else rows.coalesce(tasks)
     beside = f"{JOINED}{uuid4().hex}"
-    with _advised(spark, file_bytes):
-        writer = laid_out.write.option("maxRecordsPerFile", each).partitionBy(*partition_by)
-        writer.parquet(f"{folder.path}/{beside}")
+    if partition_by:
+        _write_rebalanced(rows, f"{folder.path}/{beside}", file_bytes, each, partition_by)
+    else:
+        _write_joined(rows, f"{folder.path}/{beside}", size, file_bytes, each)
     new = [name for name in folder.files(beside) if name.endswith(".parquet")]
     if not new:
         folder.remove(beside)
