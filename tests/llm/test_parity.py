@@ -7,6 +7,7 @@ from test_near_duplicates import edited, families
 
 from tierwork.llm import near_duplicates as nd
 from tierwork.llm import parity
+from tierwork.sources import work
 
 
 def check(spark, rows, rule=parity.ALIKE):
@@ -96,3 +97,72 @@ def test_bands_cover_every_size_once():
         low, high = parity.size_bands(50_000, percent)
         assert (low[1:] == high[:-1] + 1).all() and high[-1] >= 50_000
         assert parity.differences(int(low[0]), percent) == 1 and parity.differences(int(low[0]) - 1, percent) == 0
+
+
+def test_large_unlike_sets_are_no_candidates():
+    """What sets of thousands of shingles may differ in is more than half of 512 bits."""
+    r = np.random.default_rng(3)
+    sizes = np.array([1_500, 2_500, 4_000, 4_100, 9_000, 20_000])
+    sketches = parity.small_sketches([np.unique(r.integers(0, 2**64, int(n), np.uint64)) for n in sizes])
+    assert (parity.may_link(sketches, sizes, 90) == np.eye(len(sizes), dtype=bool)).all()
+
+
+@pytest.mark.parametrize("size", [1_150, 1_210, 2_400, 4_800])
+def test_linked_sets_about_a_change_of_width(size):
+    r = np.random.default_rng(size)
+    widths = set()
+    for _ in range(20):
+        pair = linked_pair(r, size, 90)
+        sizes = np.array([len(x) for x in pair])
+        sketches = parity.small_sketches(list(pair))
+        widths.add(tuple(len(x) for x in sketches))
+        assert parity.may_link(sketches, sizes, 90).all()
+        differ = len(np.setxor1d(*pair))
+        assert (parity.distances(sketches) <= differ).all()
+    assert any(one < other for one, other in widths)
+
+
+@pytest.mark.parametrize("size", [10, 60, 400])
+def test_words_are_not_equal_by_chance(size):
+    """Sets of one band, many more than there are words of one or two bits."""
+    r = np.random.default_rng(size)
+    sets = [np.unique(r.integers(0, 2**64, size, np.uint64)) for _ in range(200_000 // size)]
+    found, _ = parity.signatures(sets, 90)
+    # But for words of zero, of which small sets have more.
+    again = len(found) - len(np.unique(found))
+    assert again <= (0 if size > 10 else len(found) // 100)
+
+
+def recorded(monkeypatch):
+    """The names, columns and rows of the tables that are written from now on."""
+    tables = []
+
+    def noted(df, purpose, path=None, inner=nd.written):
+        rows = inner(df, purpose, path)
+        tables.append((purpose, rows.columns, rows.count()))
+        return rows
+
+    monkeypatch.setattr(nd, "written", noted)
+    monkeypatch.setattr(parity, "written", noted)
+    return tables
+
+
+def test_near_copies_are_compared_once(spark, monkeypatch):
+    """Signatures that one cluster shares go no further, and texts go to its blocks, not sets."""
+    tables = recorded(monkeypatch)
+    rows = families(4, [30] * 10, 200, 1)
+    check(spark, rows)
+    sets = [np.arange(0, 198, dtype=np.uint64)] * len(rows)
+    shared = sum(n for purpose, _, n in tables if purpose == "shared-signatures")
+    assert 0 < shared < 0.4 * parity.signatures(sets, 90)[1].sum()
+    assert not [purpose for purpose, columns, _ in tables if "shingles" in columns]
+
+
+def test_wide_tables_are_removed(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 12)
+    monkeypatch.setattr(nd, "PIVOTS", 2)
+    before = set(work.work_paths())
+    check(spark, families(8, [60, 10], 90, 6))
+    left = [spark.read.parquet(path) for path in set(work.work_paths()) - before]
+    assert left
+    assert not [df.columns for df in left if {"text", "signatures", "sketch", "bucket", "shingles"} & set(df.columns)]

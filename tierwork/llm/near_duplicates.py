@@ -18,14 +18,15 @@ From candidates to links:
    ``BUCKET_ROWS`` members is one cluster without an estimate, in no task as a whole.
 3. Clusters are cut into blocks of bounded size. Every block compares its full sets, all with all,
    exactly, by counting common shingles with a matrix product, and gives the links that hold it together.
-   Blocks of the same cluster share some pivots.
+   Blocks of the same cluster share some pivots. Texts go to the blocks, and are shingled there.
 4. Where a cluster of several blocks is not one component by then, its documents outside of the largest
    component are compared with all others of the cluster, block by block. So no pair of a cluster that
    could still make a link goes untested.
 
-At scale: texts are read twice and move once; sketches, bands and links are narrow. Hot groups are split:
+At scale: texts are read twice and move once, those of clusters twice; sketches, bands and links are narrow. Hot groups are split:
 equal sets fold on the map side, buckets and clusters are dealt by blocks whose number follows their size.
-No task holds a group that grows with the corpus, and nothing is collected.
+No task holds a group that grows with the corpus, and nothing is collected. Sketches and the texts of clusters are removed
+behind the step that reads them last.
 
 Defined cases: documents without words, or null, have no shingles, link with nothing and are kept; fewer
 than five words are one shingle; rows that repeat a doc_id are linked each by its own text, and the
@@ -48,8 +49,7 @@ from pyspark.sql import functions as F
 from tierwork.llm.components import components
 from tierwork.llm.rows import text_digest, without_rows
 from tierwork.llm.words import NOT_BLANK, by_slices, gram_hashes, lists, mix, signed, words_of
-from tierwork.sources.work import written
-
+from tierwork.sources.work import remove, work_path, written
 
 
 @dataclass(frozen=True)
@@ -229,12 +229,14 @@ def by_groups(
     frame: DataFrame,
     keys: list[str],
     work: Callable[[pa.RecordBatch], list[tuple[int, int]]],
+    shingle: int | None = None,
 ) -> DataFrame:
     """Links ``a``, ``b`` that ``work`` finds in the rows of each key. A partition is sorted by key and
-    read as a stream, so many small groups cost little and one group is in memory at a time."""
+    read as a stream, so many small groups cost little and one group is in memory at a time. With ``shingle``
+    it gets the rows ``with_sets``: the texts move, which are half as long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, keys):
+        for group in _groups(batches if shingle is None else with_sets(batches, shingle), keys):
             found = work(group)
             if found:
                 a, b = zip(*found)
@@ -269,7 +271,7 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
 
 
-def _arrays(column: pa.ListArray, kind: type) -> list[np.ndarray]:
+def arrays(column: pa.ListArray, kind: type) -> list[np.ndarray]:
     ends = column.offsets.to_numpy(zero_copy_only=False)
     values = column.values.to_numpy(zero_copy_only=False)
     return [values[start:stop].view(kind) for start, stop in zip(ends, ends[1:])]
@@ -281,9 +283,9 @@ def _alike_in_bucket(group: pa.RecordBatch) -> list[tuple[int, int]]:
         centre = group.column("centre")[0].as_py()
         return [(centre, node) for node in nodes.tolist() if node != centre]
     if group.column("exact")[0].as_py():
-        part = linked_parts(links_within(_arrays(group.column("small"), np.uint64)))
+        part = linked_parts(links_within(arrays(group.column("small"), np.uint64)))
         return [(int(nodes[p]), int(node)) for p, node in zip(part, nodes) if nodes[p] != node]
-    registers = np.stack(_arrays(group.column("registers"), np.uint16))
+    registers = np.stack(arrays(group.column("registers"), np.uint16))
     sizes = group.column("n_shingles").to_numpy(zero_copy_only=False)
     part = linked_parts(estimates(registers, sizes) >= LEAST_ESTIMATE)
     return [(int(nodes[p]), int(node)) for p, node in zip(part, nodes) if nodes[p] != node]
@@ -319,9 +321,22 @@ def candidate_links(classes: DataFrame) -> DataFrame:
     return by_groups(members, ["bucket", "exact", "block"], _alike_in_bucket)
 
 
-def full_sets(documents: DataFrame, wanted: DataFrame, shingle: int = NEAR.shingle) -> DataFrame:
-    """The sets of ``wanted`` classes (``cls``, ``doc_id``, ``copy``, ``copy2``, ``rows``, how many rows the class has, and
-    more columns), from the texts: ``shingles``, one row per class, but for a class of several rows one per task at most."""
+def with_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """The rows with ``shingles``, the set of each text, in place of ``text``."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column("text"), shingle)
+        values = pa.array(signed(np.concatenate(sets)))
+        shingles = lists(values, np.array([len(x) for x in sets]))
+        others = [c for c in batch.schema.names if c != "text"]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), shingles], [*others, "shingles"])
+
+    return by_slices(batches, "text", one)
+
+
+def full_texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of ``wanted`` classes (``cls``, ``doc_id``, ``copy``, ``copy2``, ``rows``, how many rows the class has, and
+    more columns): ``text``, one row per class, but for a class of several rows one per task at most."""
     rows = documents.select(F.col("doc_id").alias("own_id"), F.col("text"), *text_digest())
     rows = rows.withColumnsRenamed({"copy": "own_copy", "copy2": "own_copy2"})
     same = (
@@ -330,37 +345,33 @@ def full_sets(documents: DataFrame, wanted: DataFrame, shingle: int = NEAR.shing
         & (rows["own_copy2"] == wanted["copy2"])
     )
     joined = rows.join(wanted, same).drop("own_id", "own_copy", "own_copy2", "doc_id", "copy", "copy2")
-    others = [c for c in joined.columns if c != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-
-        def fresh(batch: pa.RecordBatch) -> pa.RecordBatch:
-            """Without rows that repeat a class: they have the same text."""
+        for batch in batches:
+            # Rows that repeat a class have the same text.
             keep = np.ones(len(batch), bool)
             several = np.flatnonzero(batch.column("rows").to_numpy() > 1)
             for place, number in zip(several.tolist(), batch.column("cls").to_numpy()[several].tolist()):
                 keep[place] = number not in seen
                 seen.add(number)
-            return batch if keep.all() else batch.filter(pa.array(keep))
+            yield batch if keep.all() else batch.filter(pa.array(keep))
 
-        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = shingle_sets(batch.column("text"), shingle)
-            values = pa.array(signed(np.concatenate(sets)))
-            shingles = lists(values, np.array([len(x) for x in sets]))
-            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), shingles], [*others, "shingles"])
+    return joined.mapInArrow(work, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema))
 
-        return by_slices((fresh(batch) for batch in batches), "text", one)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name != "text")
-    return joined.mapInArrow(work, f"{schema}, shingles array<bigint>")
+def full_sets(documents: DataFrame, wanted: DataFrame, shingle: int = NEAR.shingle) -> DataFrame:
+    """``full_texts`` with ``shingles``, their sets, in place of the texts."""
+    texts = full_texts(documents, wanted)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name != "text")
+    return texts.mapInArrow(partial(with_sets, shingle=shingle), f"{schema}, shingles array<bigint>")
 
 
 def _different(group: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, list[np.ndarray]]:
     """A group with every class once, its classes and their sets."""
     nodes, at = np.unique(group.column("cls").to_numpy(zero_copy_only=False), return_index=True)
     group = group.take(pa.array(at))
-    return group, nodes, _arrays(group.column("shingles"), np.uint64)
+    return group, nodes, arrays(group.column("shingles"), np.uint64)
 
 
 def _links_in_block(group: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
@@ -403,25 +414,27 @@ def verified_links(
     blocks = _blocks(F.col("in_cluster"), F.col("in_all"))
     sizes = sizes.select("cluster", blocks.alias("blocks"), "in_cluster")
     wanted = wanted.join(sizes, "cluster")
-    sets = written(full_sets(documents, wanted, rule.shingle), "shingle-sets")
+    path = work_path(documents.sparkSession, "cluster-texts")
+    texts = written(full_texts(documents, wanted), "cluster-texts", path)
     order = F.pmod(F.xxhash64("cls"), F.col("in_cluster"))
     pivot = (F.col("blocks") > 1) & (order < PIVOTS)
     own = F.pmod(F.xxhash64("cls", F.lit(2)), F.col("blocks"))
-    placed = sets.select(
+    placed = texts.select(
         "cls",
         "cluster",
-        "shingles",
+        "text",
         F.explode(F.when(pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))).alias("block"),
     )
-    links = by_groups(placed, ["cluster", "block"], partial(_links_in_block, percent=rule.percent))
+    links = by_groups(placed, ["cluster", "block"], partial(_links_in_block, percent=rule.percent), rule.shingle)
     links = written(links, "block-links")
-    split = sets.filter("blocks > 1")
-    if split.isEmpty():
-        return links
-    return links.union(written(_links_between_blocks(split, links, rule.percent), "links-between"))
+    split = texts.filter("blocks > 1")
+    if not split.isEmpty():
+        links = links.union(_links_between_blocks(split, links, rule))
+    remove(documents.sparkSession, path)
+    return links
 
 
-def _links_between_blocks(split: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+def _links_between_blocks(split: DataFrame, links: DataFrame, rule: Rule) -> DataFrame:
     parts = components(links).withColumnRenamed("node", "cls")
     part = F.coalesce("component", "cls").alias("component")
     found = split.join(parts, "cls", "left").select(split["*"], part)
@@ -439,43 +452,55 @@ def _links_between_blocks(split: DataFrame, links: DataFrame, percent: int) -> D
         "largest",
         _blocks(F.col("all_rows") - F.col("most"), F.col("all_shingles") * (F.col("all_rows") - F.col("most")) / F.col("all_rows")).alias("chunks"),
     )
-    found = written(found.join(in_all, "cluster"), "sets-between")
+    path = work_path(split.sparkSession, "texts-between")
+    found = written(found.join(in_all, "cluster"), "texts-between", path)
     block = F.pmod(F.xxhash64("cls", F.lit(2)), F.col("blocks"))
     chunk = F.pmod(F.xxhash64("cls", F.lit(3)), F.col("chunks"))
-    columns = ["cls", "cluster", "component", "shingles"]
+    columns = ["cls", "cluster", "component", "text"]
     inside = found.select(
         *columns, block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
     )
     outside = found.filter("component <> largest").select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), chunk.alias("chunk")
     )
-    return by_groups(inside.union(outside), ["cluster", "block", "chunk"], partial(_links_across, percent=percent))
+    keys = ["cluster", "block", "chunk"]
+    across = by_groups(inside.union(outside), keys, partial(_links_across, percent=rule.percent), rule.shingle)
+    across = written(across, "links-between")
+    remove(split.sparkSession, path)
+    return across
 
 
 def linked_rows(
     documents: DataFrame,
-    rows: DataFrame,
+    sketched: DataFrame,
     candidates: Callable[[DataFrame], DataFrame] = candidate_links,
     rule: Rule = NEAR,
 ) -> DataFrame:
-    """``near_duplicates`` from written sketches (the columns of ``sketches``, or others in place of ``registers`` that
+    """``near_duplicates`` from sketches (the columns of ``sketches``, or others in place of ``registers`` that
     ``candidates`` knows), with ``copy`` and ``copy2``, the digest of the row's text, and ``component``, the number of its
-    component; null where a row has no shingles."""
+    component; null where a row has no shingles. Sketches are written twice, for all rows and for classes, and both tables
+    go as soon as their narrow columns are in one of their own."""
+    spark = documents.sparkSession
+    row_path, class_path = work_path(spark, "sketches"), work_path(spark, "class-sketches")
+    rows = written(sketched, "sketches", row_path)
+    plain = written(rows.select("doc_id", "copy", "copy2", "n_shingles", "digest", "digest2"), "sketched-rows")
     classes = rows.filter("n_shingles > 0").groupBy("digest", "digest2").agg(
         F.min("row").alias("cls"), F.min("doc_id").alias("least"), F.count("*").alias("rows")
     )
     classes = written(classes, "classes")
     members = rows.withColumnRenamed("row", "cls").drop("digest", "digest2").join(classes, "cls")
-    members = written(members, "class-sketches")
-    clusters = components(written(candidates(members), "candidate-links"))
-    links = verified_links(documents, members, clusters, rule)
+    members = written(members, "class-sketches", class_path)
+    remove(spark, row_path)
+    candidate = written(candidates(members), "candidate-links")
+    members = written(members.select("cls", "doc_id", "copy", "copy2", "rows", "n_shingles"), "class-rows")
+    remove(spark, class_path)
+    links = verified_links(documents, members, components(candidate), rule)
     parts = components(links)
     numbered = classes.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
     least = numbered.groupBy("component").agg(F.min("least").alias("component_id"))
     known = numbered.join(least, "component").select("digest", "digest2", "component", "component_id")
-    plain = rows.select("doc_id", "copy", "copy2", "n_shingles", "digest", "digest2")
     linked = plain.filter("n_shingles > 0").join(known, ["digest", "digest2"])
     alone = plain.filter("n_shingles = 0").withColumns(
         {"component": F.lit(None).cast("bigint"), "component_id": F.col("doc_id")}
@@ -491,7 +516,7 @@ def linked_rows(
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """Per row ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id that links lead to)
     and ``kept`` (whether that is its own)."""
-    found = linked_rows(documents, written(sketches(documents), "sketches"))
+    found = linked_rows(documents, sketches(documents))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
@@ -499,7 +524,7 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each component, with all its columns: that of the smallest id, null ids last; of several such rows
     that of the smallest digest of its text, and one of those that repeat id and text. A row goes for its own text,
     never for another row of its id; rows without words all stay."""
-    found = linked_rows(documents, written(sketches(documents), "sketches"))
+    found = linked_rows(documents, sketches(documents))
     found = written(found.filter("component is not null"), "linked-rows")
     gone = found.filter(~F.col("kept")).select("doc_id", "copy", "copy2")
     kept = found.filter("kept")
